@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_NULL_D = F.lit(None).cast("double")
+def _null_d() -> Column:
+    return F.lit(None).cast("double")
 
 # Java's parser accepts a trailing type suffix ("1d", "2.5f"); the feed's
 # other consumers treat such strings as missing, so they are mapped to NULL.
@@ -16,14 +17,14 @@ _SUFFIX = r"[0-9.][dDfF]\s*$"
 def num(c: str | Column, from_string: bool = True) -> Column:
     """Parse a feed value to double: malformed -> NULL, NaN -> NULL.
 
-    ``try_cast`` keeps ANSI mode on without failing the job on bad input.
+    ``try_cast`` keeps ANSI mode on without failing the job on bad input;
+    ``nanvl`` maps NaN to NULL with a single evaluation of the cast.
     """
     c = F.col(c) if isinstance(c, str) else c
-    d = c.try_cast("double")
-    bad = F.isnan(d)
-    if from_string:
-        bad = bad | c.rlike(_SUFFIX)
-    return F.when(bad, _NULL_D).otherwise(d)
+    d = F.nanvl(c.try_cast("double"), _null_d())
+    if not from_string:
+        return d
+    return F.when(c.rlike(_SUFFIX), _null_d()).otherwise(d)
 
 
 def ieee_div(a: Column, b: Column) -> Column:
@@ -32,6 +33,6 @@ def ieee_div(a: Column, b: Column) -> Column:
         F.when(b == 0,
                F.when(a > 0, F.lit(float("inf")))
                .when(a < 0, F.lit(float("-inf")))
-               .otherwise(_NULL_D))
+               .otherwise(_null_d()))
         .otherwise(F.try_divide(a, b))
     )

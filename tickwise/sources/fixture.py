@@ -10,6 +10,8 @@ measures it small at run time).
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -75,3 +77,43 @@ def ticker_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
         _s(F.least(op, last) * (1.0 - v / 2.0)).alias("lowPrice"),
         _s(q.cast("double") * last).alias("quoteVolume"),
     )
+
+
+# Snapshots landed per (application, test-data folder): queries of one session
+# share one landing instead of rewriting it.
+_LANDED: dict[tuple[str, str], str] = {}
+
+FIXTURE_STAMP = "2024-06-01_08-30-00"
+
+
+def _app_id(spark: SparkSession) -> str:
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:
+        return str(id(spark))
+
+
+def landed_fixture(spark: SparkSession, sf_dir: str) -> str:
+    """Land the derived ticker once as a JSON-lines snapshot; return its path.
+
+    Reading the feed back from JSON is how every job receives it, and the
+    file boundary keeps the string-building expressions of the fixture out
+    of the scoring stages' generated code.
+    """
+    from tickwise.session import new_scratch_dir
+    from tickwise.sources.sinks import land_snapshot
+
+    key = (_app_id(spark), os.path.abspath(sf_dir))
+    path = _LANDED.get(key)
+    if path is None:
+        raw_dir = new_scratch_dir(spark, "feed")
+        path = land_snapshot(ticker_fixture(spark, sf_dir), raw_dir, FIXTURE_STAMP)
+        _LANDED[key] = path
+    return path
+
+
+def ticker_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The derived ticker as a feed reader sees it (all-string JSON rows)."""
+    from tickwise.sources.snapshots import read_snapshots
+
+    return read_snapshots(spark, landed_fixture(spark, sf_dir), "lines")
