@@ -35,9 +35,8 @@ def exact_median(df: DataFrame, col: str, buckets: int = 1024) -> DataFrame:
     stats = vals.agg(F.sum("c").alias("n"),
                      _monotone(F.min("v")).alias("tlo"),
                      _monotone(F.max("v")).alias("thi"))
-    n = stats.select("n").scalar()
-    tlo = stats.select("tlo").scalar()
-    thi = stats.select("thi").scalar()
+    st = stats.select(F.struct("n", "tlo", "thi").alias("s")).select("s").scalar()
+    n, tlo, thi = st.getField("n"), st.getField("tlo"), st.getField("thi")
     bucketed = vals.withColumn(
         "b",
         F.when(thi > tlo, F.width_bucket(_monotone(F.col("v")), tlo, thi,

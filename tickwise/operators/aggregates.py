@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 from tickwise.operators.anomalies import add_anomalies
 from tickwise.operators.cleaning import cast_feed, enrich, final_rows, valid_rows
 from tickwise.operators.indicators import add_indicators
-from tickwise.schema import ANOMALY_LABELS_B, RISK_LABELS_B
+from tickwise.schema import LABELS_A, LABELS_B, ZERO_FILLED_B
 
-DIMENSIONS_A = ["risk_category", "trading_signal", "anomaly_level", "recommendation"]
+DIMENSIONS_A = list(LABELS_A)
 
 
 def stage_counts(raw: DataFrame) -> DataFrame:
@@ -51,33 +51,42 @@ def label_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             .groupBy("dimension", "label").agg(F.count(F.lit(1)).alias("n")))
 
 
-def _domain(df: DataFrame, domains: dict[str, Sequence[str]]) -> DataFrame:
-    pairs = [F.struct(F.lit(d).alias("dimension"), F.lit(lab).alias("label"))
-             for d, labels in domains.items() for lab in labels]
-    return df.sparkSession.range(1).select(F.inline(F.array(*pairs)))
+def domain_counts(df: DataFrame, domains: dict[str, Sequence[str]],
+                  zero_filled: Sequence[str] = ()) -> DataFrame:
+    """(dimension, label, n) over known label domains in ONE scan.
 
-
-def zero_filled_counts(df: DataFrame, binned: dict[str, Sequence[str]],
-                       seen_only: Sequence[str]) -> DataFrame:
-    """Binned columns list every label of their domain (zero included);
-    the other columns list only labels that occur."""
-    counts = label_counts(df, [*binned, *seen_only])
-    binned_counts = (_domain(df, binned)
-                     .join(counts, ["dimension", "label"], "left")
-                     .select("dimension", "label",
-                             F.coalesce("n", F.lit(0).cast("long")).alias("n")))
-    others = counts.where(F.col("dimension").isin(*seen_only)) if seen_only else None
-    return binned_counts if others is None else binned_counts.unionByName(others)
+    One global aggregate of conditional counts: each task emits a single
+    partial row, so there is no shuffle by label and no skew however the
+    labels are distributed. Columns in ``zero_filled`` list every label of
+    their domain (as a categorical value count does); the others only
+    labels that occur.
+    """
+    pairs = [(d, lab) for d, labels in domains.items() for lab in labels]
+    row = df.agg(*[F.count_if(F.col(d) == lab).alias(f"{d}={lab}") for d, lab in pairs])
+    entries = F.array(*[F.struct(F.lit(d).alias("dimension"), F.lit(lab).alias("label"),
+                                 F.col(f"`{d}={lab}`").alias("n")) for d, lab in pairs])
+    long = row.select(F.inline(entries))
+    return long.where((F.col("n") > 0) | F.col("dimension").isin(*zero_filled)) \
+        if zero_filled else long.where(F.col("n") > 0)
+
+
+def domain_count_maps(df: DataFrame, domains: dict[str, Sequence[str]],
+                      zero_filled: Sequence[str] = ()) -> dict[str, Column]:
+    """label -> count map per dimension as aggregate expressions (one scan)."""
+    out = {}
+    for d, labels in domains.items():
+        m = F.create_map(*[x for lab in labels
+                           for x in (F.lit(lab), F.count_if(F.col(d) == lab))])
+        out[d] = m if d in zero_filled else F.map_filter(m, lambda k, v: v > 0)
+    return out
 
 
 def distributions_a(df: DataFrame) -> DataFrame:
-    return label_counts(df, DIMENSIONS_A)
+    return domain_counts(df, LABELS_A)
 
 
 def distributions_b(df: DataFrame) -> DataFrame:
-    return zero_filled_counts(
-        df, {"risk_category": RISK_LABELS_B, "anomaly_level": ANOMALY_LABELS_B},
-        ["trading_signal", "recommendation"])
+    return domain_counts(df, LABELS_B, ZERO_FILLED_B)
 
 
 def totals(df: DataFrame, volume: str = "volume_usd",
@@ -117,19 +126,3 @@ def top_k(df: DataFrame, by: str, k: int, columns: Sequence[str | Column],
     order = F.desc(by) if largest else F.asc(by)
     return (df.where(F.col(by).isNotNull() & ~F.isnan(by))
             .orderBy(order, F.asc(tie)).limit(k).select(*columns))
-
-
-def ranked_list(df: DataFrame, by: str, k: int, fields: Sequence[str],
-                largest: bool = True, tie: str = "symbol") -> Column:
-    """Top-k as one ordered ``array<struct>`` value (a scalar subquery).
-
-    At most k structs are ever gathered, whatever the input size.
-    """
-    top = top_k(df, by, k, [by, tie, *[f for f in fields if f not in (by, tie)]],
-                largest, tie)
-    key = F.col(by) * (-1.0 if largest else 1.0)
-    packed = F.sort_array(F.collect_list(F.struct(
-        key.alias("_k"), F.col(tie).alias("_t"),
-        F.struct(*[F.col(f) for f in fields]).alias("_v"))))
-    arr = top.agg(F.transform(packed, lambda s: s["_v"]).alias("v"))
-    return arr.select("v").scalar()

@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickwise.operators.aggregates import (distributions_a, distributions_b,
-                                           ranked_list)
-from tickwise.schema import SOURCE_TAG_A, SOURCE_TAG_B
+from tickwise.operators.aggregates import domain_count_maps, top_k
+from tickwise.schema import LABELS_A, LABELS_B, SOURCE_TAG_A, SOURCE_TAG_B, ZERO_FILLED_B
 
 
 def _ts(run_ts) -> Column:
@@ -50,48 +49,62 @@ def alerts_b(df: DataFrame, run_ts=None) -> DataFrame:
         _ts(run_ts).alias("timestamp"))
 
 
-def _dist_map(counts: DataFrame, dimension: str) -> Column:
-    """label -> count map of one dimension (bounded by its label domain)."""
-    m = (counts.where(F.col("dimension") == dimension)
-         .agg(F.map_from_entries(F.sort_array(F.collect_list(
-             F.struct("label", "n")))).alias("m")))
-    return m.select("m").scalar()
-
-
-def _summary(df: DataFrame, run_ts, tag: str, change: str, counts: DataFrame,
-             lists: dict[str, Column]) -> DataFrame:
+def _ranked_lists(df: DataFrame, specs: dict[str, tuple]) -> DataFrame:
+    """Several top-k lists, each an ordered ``array<struct>``, in one pass
+    over their union (k rows per list ever reach the final aggregate)."""
+    frames = []
+    for name, (by, k, fields, largest) in specs.items():
+        key = F.col(by) * (-1.0 if largest else 1.0)
+        top = top_k(df, by, k, [by, "symbol", *[f for f in fields if f not in (by, "symbol")]],
+                    largest)
+        frames.append(top.select(F.struct(key.alias("_k"), F.col("symbol").alias("_t"),
+                                          F.struct(*fields).alias("_v")).alias(name)))
+    union = frames[0]
+    for f in frames[1:]:
+        union = union.unionByName(f, allowMissingColumns=True)
+    return union.agg(*[F.transform(F.sort_array(F.collect_list(name)), lambda e: e["_v"])
+                       .alias(name) for name in specs])
+
+
+def _summary(df: DataFrame, run_ts, tag: str, change: str,
+             domains: dict, zero_filled, lists: dict[str, tuple]) -> DataFrame:
+    """Totals and all four distributions in one aggregate (one scan, no
+    shuffle); the top-k lists in one more pass, attached as a scalar."""
+    maps = domain_count_maps(df, domains, zero_filled)
+    names = {"risk_category": "risk_distribution",
+             "trading_signal": "signal_distribution",
+             "anomaly_level": "anomaly_distribution",
+             "recommendation": "recommendation_distribution"}
     base = df.agg(
         F.count(F.lit(1)).alias("total_symbols"),
         F.sum("volume_usd").alias("total_volume_usd"),
         F.avg(change).alias("average_price_change"),
         F.count_if(F.col("critical_alert")).alias("critical_alerts"),
+        *[maps[d].alias(names[d]) for d in names],
     )
-    dims = {"risk_distribution": "risk_category",
-            "signal_distribution": "trading_signal",
-            "anomaly_distribution": "anomaly_level",
-            "recommendation_distribution": "recommendation"}
+    tops = _ranked_lists(df, lists)
+    tops = tops.select(F.struct(*tops.columns).alias("t")).select("t").scalar()
     return base.select(
         _ts(run_ts).alias("timestamp"), F.lit(tag).alias("data_source"), "*",
-        *[_dist_map(counts, d).alias(name) for name, d in dims.items()],
-        *[col.alias(name) for name, col in lists.items()])
+        *[tops.getField(name).alias(name) for name in lists])
 
 
 def summary_a(df: DataFrame, run_ts=None, k: int = 5) -> DataFrame:
     chg = "price_change_percent"
-    return _summary(df, run_ts, SOURCE_TAG_A, chg, distributions_a(df), {
-        "top_gainers": ranked_list(df, chg, k, ["symbol", chg]),
-        "top_losers": ranked_list(df, chg, k, ["symbol", chg], largest=False),
-        "highest_volume": ranked_list(df, "volume_usd", k, ["symbol", "volume_usd"]),
-        "most_anomalous": ranked_list(df, "overall_anomaly_score", k,
-                                      ["symbol", "overall_anomaly_score", "anomaly_level"]),
+    return _summary(df, run_ts, SOURCE_TAG_A, chg, LABELS_A, (), {
+        "top_gainers": (chg, k, ["symbol", chg], True),
+        "top_losers": (chg, k, ["symbol", chg], False),
+        "highest_volume": ("volume_usd", k, ["symbol", "volume_usd"], True),
+        "most_anomalous": ("overall_anomaly_score", k,
+                           ["symbol", "overall_anomaly_score", "anomaly_level"], True),
     })
 
 
 def summary_b(df: DataFrame, run_ts=None, k: int = 5) -> DataFrame:
     chg = "priceChangePercent"
-    return _summary(df, run_ts, SOURCE_TAG_B, chg, distributions_b(df), {
-        "top_gainers": ranked_list(df, chg, k, ["symbol", chg]),
-        "top_losers": ranked_list(df, chg, k, ["symbol", chg], largest=False),
+    return _summary(df, run_ts, SOURCE_TAG_B, chg, LABELS_B, ZERO_FILLED_B, {
+        "top_gainers": (chg, k, ["symbol", chg], True),
+        "top_losers": (chg, k, ["symbol", chg], False),
     })
 
 

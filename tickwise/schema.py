@@ -41,3 +41,20 @@ DISPLAY_COLUMNS = [
 # Summary source tags.
 SOURCE_TAG_A = "spark_etl_pipeline"
 SOURCE_TAG_B = "relative_profile"
+
+# Every label each ladder can emit, per profile.
+LABELS_A = {
+    "risk_category": ["LOW", "MEDIUM", "HIGH", "VERY_HIGH"],
+    "trading_signal": ["STRONG_BUY", "BUY", "STRONG_SELL", "SELL", "HOLD"],
+    "anomaly_level": ["CRITICAL", "HIGH", "MODERATE", "LOW", "NORMAL"],
+    "recommendation": ["AVOID", "EXTREME_CAUTION", "INVESTIGATE", "BUY_RECOMMENDED",
+                       "SELL_RECOMMENDED", "ARBITRAGE_OPPORTUNITY", "CAUTION", "MONITOR"],
+}
+LABELS_B = {
+    "risk_category": RISK_LABELS_B,
+    "trading_signal": ["HOLD", "STRONG_BUY", "BUY", "STRONG_SELL", "SELL"],
+    "anomaly_level": ANOMALY_LABELS_B,
+    "recommendation": ["MONITOR", "AVOID", "BUY_RECOMMENDED", "SELL_RECOMMENDED", "CAUTION"],
+}
+# profile B's binned columns list every label, zero counts included
+ZERO_FILLED_B = ["risk_category", "anomaly_level"]
