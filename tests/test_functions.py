@@ -60,6 +60,8 @@ def test_exact_median_matches_numpy(spark, n, mode):
         xs = [42.0] * (n // 3) + [rng.uniform(0, 100) for _ in range(n - n // 3)]
     df = spark.createDataFrame([(x,) for x in xs] + [(None,), (float("nan"),)], "v double")
     got = exact_median(df, "v", buckets=16).collect()[0][0]
+    # tiny candidate budget: forces several refinement passes
+    assert exact_median(df, "v", buckets=4, max_candidates=4).collect()[0][0] == got
     if n == 0:
         assert got is None
     else:

@@ -1,25 +1,28 @@
 """Exact population median without funnelling the values through one task.
 
-``percentile``/``median`` merge a value->count map of every distinct value in
-a single final task. Here the work stays partitioned:
-
-1. distinct values with multiplicities (``groupBy(v).count()``; map-side
-   partial aggregation collapses a hot value before the shuffle),
-2. one-row stats (n, min, max),
-3. an order-preserving bucket per distinct value (``width_bucket`` over a
-   sign-preserving log transform, O(1) per row, deterministic on retry),
-4. per-bucket counts (at most ``buckets + 2`` rows) and their running
-   offsets,
-5. a sort of only the one or two buckets that hold the middle ranks, with a
-   running count that pins the exact middle value(s).
-
-The result is a one-row DataFrame; ``population_median`` exposes it as a
-scalar subquery column so attaching it to rows needs no join.
+``percentile``/``median`` merge a value->count map of every distinct value
+in one final task, which does not survive a 100 TB population. This is an
+exact distributed selection instead (like ``DataFrame.approxQuantile`` it
+runs its own small jobs and returns a Python value):
+
+1. one aggregate: n, min, max (partial aggregation, a single row per task);
+2. refinement passes: rows inside the current [lo, hi] range are counted per
+   ``width_bucket`` (at most ``buckets + 2`` rows reach the driver); the
+   bucket(s) holding the middle rank(s) become the next range. The first
+   pass buckets a sign-preserving log transform so that heavy-tailed values
+   spread evenly, later passes are linear. Every pass strictly shrinks the
+   range, and a value holding a third of all rows is just one bucket count;
+3. once the range holds at most ``max_candidates`` distinct values (judged
+   by ``approx_count_distinct``), those distinct values with their
+   multiplicities are ranked exactly.
+
+Only bounded scalars and bucket summaries reach the driver; every pass is a
+deterministic job, so a lost executor just re-runs its tasks.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -27,47 +30,84 @@ def _monotone(c: Column) -> Column:
     return F.signum(c) * F.log1p(F.abs(c))
 
 
-def exact_median(df: DataFrame, col: str, buckets: int = 1024) -> DataFrame:
+def exact_median_value(df: DataFrame, col: str, buckets: int = 1024,
+                       max_candidates: int = 100_000) -> float | None:
     v = F.col(col)
-    vals = (df.select(v.alias("v"))
-            .where(F.col("v").isNotNull() & ~F.isnan("v"))
-            .groupBy("v").agg(F.count(F.lit(1)).alias("c")))
-    stats = vals.agg(F.sum("c").alias("n"),
-                     _monotone(F.min("v")).alias("tlo"),
-                     _monotone(F.max("v")).alias("thi"))
-    st = stats.select(F.struct("n", "tlo", "thi").alias("s")).select("s").scalar()
-    n, tlo, thi = st.getField("n"), st.getField("tlo"), st.getField("thi")
-    bucketed = vals.withColumn(
-        "b",
-        F.when(thi > tlo, F.width_bucket(_monotone(F.col("v")), tlo, thi,
-                                         F.lit(buckets)))
-        .otherwise(F.lit(0).cast("long")))
-    # Per-bucket totals are tiny (<= buckets + 2 rows): the running offset
-    # over them is bounded work no matter how large the input is.
-    totals = bucketed.groupBy("b").agg(F.sum("c").alias("bc"))
-    running = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, 0)
-    r_lo = F.floor((n - 1) / 2)
-    r_hi = F.floor(n / 2)
-    hit = (totals.withColumn("off", F.sum("bc").over(running) - F.col("bc"))
-           .where((F.col("off") <= r_hi) & (F.col("off") + F.col("bc") > r_lo))
-           .select("b", "off"))
-    within = Window.partitionBy("b").orderBy("v").rowsBetween(
-        Window.unboundedPreceding, 0)
-    ranked = (bucketed.join(F.broadcast(hit), "b")
-              .withColumn("last", F.col("off") + F.sum("c").over(within) - 1)
-              .withColumn("first", F.col("last") - F.col("c") + 1))
-    covers = lambda r: (F.col("first") <= r) & (F.col("last") >= r)
-    picked = ranked.agg(F.max(F.when(covers(r_lo), F.col("v"))).alias("lo"),
-                        F.max(F.when(covers(r_hi), F.col("v"))).alias("hi"))
-    return picked.select(((F.col("lo") + F.col("hi")) / 2).alias("median"))
+    vals = df.select(v.cast("double").alias("v")).where(
+        F.col("v").isNotNull() & ~F.isnan("v"))
+    st = vals.agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"),
+                  F.max("v").alias("hi")).first()
+    n, lo, hi = st["n"], st["lo"], st["hi"]
+    if not n:
+        return None
+    r_lo, r_hi = (n - 1) // 2, n // 2          # 0-based middle ranks
+    below = 0                                    # rows with v < lo
+    first = True
+    x = F.col("v")
+    while True:
+        if lo == hi:
+            return (lo + hi) / 2
+        in_range = vals.where((x >= lo) & (x <= hi))
+        key = (F.width_bucket(_monotone(x), F.lit(_mono(lo)), F.lit(_mono(hi)), F.lit(buckets))
+               if first and _mono(lo) < _mono(hi)
+               else F.width_bucket(x, F.lit(lo), F.lit(hi), F.lit(buckets)))
+        first = False
+        rows = (in_range.groupBy(key.alias("b"))
+                .agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("lo"),
+                     F.max("v").alias("hi"),
+                     F.approx_count_distinct("v", 0.05).alias("d"))
+                .orderBy("b").collect())            # <= buckets + 2 rows
+        cum, picked = below, {}
+        for r in rows:
+            for name, rank in (("lo", r_lo), ("hi", r_hi)):
+                if name not in picked and cum <= rank < cum + r["c"]:
+                    picked[name] = (r, cum)
+            cum += r["c"]
+        (blo, off_lo), (bhi, _) = picked["lo"], picked["hi"]
+        if blo["b"] != bhi["b"]:
+            # adjacent ranks split across buckets: last of one, first of next
+            return (blo["hi"] + bhi["lo"]) / 2
+        lo, hi, below = blo["lo"], blo["hi"], off_lo
+        if lo != hi and blo["d"] <= max_candidates:
+            return _rank_candidates(vals, lo, hi, below, r_lo, r_hi)
+
+
+def _mono(x: float) -> float:
+    import math
+
+    return math.copysign(math.log1p(abs(x)), x) if x else 0.0
+
+
+def _rank_candidates(vals: DataFrame, lo: float, hi: float, below: int,
+                     r_lo: int, r_hi: int) -> float:
+    x = F.col("v")
+    cands = (vals.where((x >= lo) & (x <= hi)).groupBy("v")
+             .agg(F.count(F.lit(1)).alias("c")).orderBy("v").collect())
+    cum, out = below, {}
+    for r in cands:
+        for name, rank in (("lo", r_lo), ("hi", r_hi)):
+            if name not in out and cum <= rank < cum + r["c"]:
+                out[name] = r["v"]
+        cum += r["c"]
+    return (out["lo"] + out["hi"]) / 2
+
+
+def exact_median(df: DataFrame, col: str, buckets: int = 1024,
+                 max_candidates: int = 100_000) -> DataFrame:
+    """One-row DataFrame ``median`` holding the exact median of ``col``."""
+    m = exact_median_value(df, col, buckets, max_candidates)
+    return df.sparkSession.range(1).select(F.lit(m).cast("double").alias("median"))
 
 
 def approx_median(df: DataFrame, col: str, accuracy: int = 100000) -> DataFrame:
-    return df.agg(F.percentile_approx(col, 0.5, accuracy).alias("median"))
+    return df.agg(F.percentile_approx(col, 0.5, accuracy).cast("double").alias("median"))
 
 
 def population_median(df: DataFrame, col: str, exact: bool = True,
                       accuracy: int = 100000) -> Column:
-    """Median of ``col`` over ``df`` as a scalar-subquery column."""
-    m = exact_median(df, col) if exact else approx_median(df, col, accuracy)
-    return m.select("median").scalar()
+    """Median of ``col`` over ``df`` as a column: a literal for the exact
+    path (computed by the passes above), a scalar subquery for the
+    approximate sketch."""
+    if exact:
+        return F.lit(exact_median_value(df, col)).cast("double")
+    return approx_median(df, col, accuracy).select("median").scalar()
