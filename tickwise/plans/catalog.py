@@ -336,7 +336,7 @@ register("snk_list_snapshots",
 # ------------------------------------------------------------------ jobs
 def _pipeline_a(spark, sf):
     out = new_scratch_dir(spark, "etl")
-    jobs.run_absolute(spark, raw(spark, sf), out, batch_size=100, run_ts=RUN_TS)
+    jobs.run_absolute(spark, raw(spark, sf), out, run_ts=RUN_TS)
     return serving.read_collection(spark, out, "processed_data").drop(TS)
 
 
@@ -367,7 +367,7 @@ def stored_run(spark, sf) -> str:
     key = (id(spark), sf)
     if key not in _STORED:
         out = new_scratch_dir(spark, "store")
-        jobs.run_absolute(spark, raw(spark, sf), out, batch_size=100, run_ts=RUN_TS)
+        jobs.run_absolute(spark, raw(spark, sf), out, run_ts=RUN_TS)
         _STORED[key] = out
     return _STORED[key]
 

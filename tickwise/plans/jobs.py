@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 
 from tickwise.operators import documents as D
 from tickwise.operators.cleaning import score_absolute
-from tickwise.operators.relative import score_relative
+from tickwise.operators.relative import (filter_relative, relative_anomalies,
+                                          relative_indicators)
 from tickwise.sources import sinks
 from tickwise.sources.snapshots import (ensure_nonempty, read_all_snapshots,
                                         read_latest_snapshot, read_ticker)
@@ -41,9 +42,13 @@ def _write_all(processed: DataFrame, alerts: DataFrame, summary: DataFrame,
 
 
 def run_absolute(spark: SparkSession, raw: DataFrame, output: str,
-                 batch_size: int = 100, run_ts: _dt.datetime | None = None,
+                 batch_size: int | None = None, run_ts: _dt.datetime | None = None,
                  persist: bool = True) -> dict:
-    """Profile A: clean -> indicators -> anomalies -> three appends."""
+    """Profile A: clean -> indicators -> anomalies -> three appends.
+
+    ``batch_size`` bounds the rows per written file (the writer's unit of
+    work); by default Spark sizes files by partition.
+    """
     run_ts = run_ts or _now()
     loaded = Observation("loaded")
     raw = raw.observe(loaded, F.count(F.lit(1)).alias("rows"))
@@ -68,9 +73,16 @@ def run_absolute(spark: SparkSession, raw: DataFrame, output: str,
 def run_relative(spark: SparkSession, raw: DataFrame, output: str,
                  run_ts: _dt.datetime | None = None, exact_median: bool = True,
                  persist: bool = True) -> dict:
-    """Profile B: filter -> indicators -> median-relative anomalies -> replace."""
+    """Profile B: filter -> indicators -> median-relative anomalies -> replace.
+
+    The filtered population is persisted first: the median passes and the
+    final scoring then read it instead of re-scanning the snapshots.
+    """
     run_ts = run_ts or _now()
-    scored = score_relative(raw, exact_median).withColumn(
+    base = relative_indicators(filter_relative(raw))
+    if persist:
+        base = base.persist(StorageLevel.MEMORY_AND_DISK)
+    scored = relative_anomalies(base, exact_median).withColumn(
         "processing_timestamp", F.lit(run_ts).cast("timestamp"))
     stats = Observation("relative")
     scored = scored.observe(stats, F.count(F.lit(1)).alias("rows"),
@@ -84,6 +96,7 @@ def run_relative(spark: SparkSession, raw: DataFrame, output: str,
     finally:
         if persist:
             scored.unpersist()
+            base.unpersist()
     log.info("profile B: %s", result)
     return result
 
@@ -104,7 +117,8 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--mode", choices=["all", "latest"], default="all")
     p.add_argument("--layout", choices=["lines", "array"], default="array")
     p.add_argument("--output", required=True)
-    p.add_argument("--batch-size", type=int, default=100)
+    p.add_argument("--batch-size", type=int, default=1_000_000,
+                   help="rows per written file of processed rows")
     p.add_argument("--approx-median", action="store_true")
     args = p.parse_args(argv)
 
