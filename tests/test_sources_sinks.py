@@ -21,11 +21,11 @@ def _array_file(d, name, rows):
 
 def test_array_layout_and_latest_by_parsed_stamp(spark):
     d = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    _array_file(d, "binance_20240315_120000.json", [feed_row(symbol="OLD1USDT")])
-    _array_file(d, "binance_2024-06-01_08-30-00.json",
+    _array_file(d, "ticker_20240315_120000.json", [feed_row(symbol="OLD1USDT")])
+    _array_file(d, "ticker_2024-06-01_08-30-00.json",
                 [feed_row(symbol="NEW1USDT"), feed_row(symbol="NEW2USDT")])
     # by name the compact stamp sorts last, by time the dashed one is newer
-    assert S.latest_snapshot_name(spark, d) == "binance_2024-06-01_08-30-00.json"
+    assert S.latest_snapshot_name(spark, d) == "ticker_2024-06-01_08-30-00.json"
     latest = S.read_latest_snapshot(spark, d, layout="array")
     assert sorted(r.symbol for r in latest.collect()) == ["NEW1USDT", "NEW2USDT"]
     everything = S.read_all_snapshots(spark, d, layout="array")
@@ -34,20 +34,20 @@ def test_array_layout_and_latest_by_parsed_stamp(spark):
 
 def test_single_file_failfast(spark):
     d = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    with open(os.path.join(d, "binance_20240101_000000.json"), "w") as f:
+    with open(os.path.join(d, "ticker_20240101_000000.json"), "w") as f:
         f.write('[{"symbol": "AUSDT", "lastPrice": "1"}, {"symbol": ')
     with pytest.raises(Exception):
-        S.read_single_file(spark, os.path.join(d, "binance_20240101_000000.json")).collect()
+        S.read_single_file(spark, os.path.join(d, "ticker_20240101_000000.json")).collect()
 
 
 def test_fallbacks_and_dispatch(spark):
     d = new_scratch_dir(spark, "t")
     sinks.land_snapshot(S.rows_frame(spark, [feed_row(symbol="AUSDT")]), d, "20240101_000000")
-    got = S.read_with_glob_fallback(spark, d, ("nothing_*.json", "binance_*.json"))
+    got = S.read_with_glob_fallback(spark, d, ("nothing_*.json", "ticker_*.json"))
     assert [r.symbol for r in got.collect()] == ["AUSDT"]
-    got = S.read_with_path_fallback(spark, [d + "/missing/x.json", d + "/binance_*.json"])
+    got = S.read_with_path_fallback(spark, [d + "/missing/x.json", d + "/ticker_*.json"])
     assert got.count() == 1
-    assert S.local_fallback("hdfs://namenode:9000/binance/raw") == "./binance/raw"
+    assert S.local_fallback("hdfs://namenode:9000/feed/raw") == "./feed/raw"
     with pytest.raises(ValueError):
         S.read_ticker(spark)
 
@@ -67,7 +67,7 @@ def test_land_modes_and_listing(spark):
     sinks.land_snapshot(df, d, "20240101_000000", "overwrite")
     sinks.land_snapshot(df.limit(1), d, "2024-02-01_00-00-00")
     listed = {r.snapshot: r.records for r in sinks.list_snapshots(spark, d).collect()}
-    assert listed == {"binance_20240101_000000.json": 2, "binance_2024-02-01_00-00-00.json": 1}
+    assert listed == {"ticker_20240101_000000.json": 2, "ticker_2024-02-01_00-00-00.json": 1}
 
 
 def test_raw_append_accepts_one_record_or_many(spark):

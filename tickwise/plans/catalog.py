@@ -24,7 +24,7 @@ from tickwise.operators.relative import (cast_relative, filter_relative,
                                          relative_indicators, score_relative)
 from tickwise.plans import jobs, serving
 from tickwise.plans import oracle as O
-from tickwise.schema import RAW
+from tickwise.schema import RAW, SNAPSHOT_GLOB, SNAPSHOT_PREFIX
 from tickwise.session import new_scratch_dir, settle
 from tickwise.sources import sinks
 from tickwise.sources import snapshots as S
@@ -234,10 +234,10 @@ register("src_all_snapshots", f"{CAST_A} UNION ALL {CAST_A}")(
     lambda spark, sf: cast_rows(S.read_all_snapshots(spark, _two_snapshots(spark, sf))))
 register("src_glob_filter", CAST_A)(
     lambda spark, sf: cast_rows(S.read_with_glob_fallback(
-        spark, _landed_dir(spark, sf), ("ticker_*.json", "binance_*.json"))))
+        spark, _landed_dir(spark, sf), ("snapshot_*.json", SNAPSHOT_GLOB))))
 register("src_path_fallback", CAST_A)(
     lambda spark, sf: cast_rows(S.read_with_path_fallback(
-        spark, [_landed_dir(spark, sf) + "/missing/binance_*.json",
+        spark, [_landed_dir(spark, sf) + "/missing/" + SNAPSHOT_GLOB,
                 landed_fixture(spark, sf)])))
 register("src_latest_snapshot", CAST_A)(
     lambda spark, sf: cast_rows(S.read_latest_snapshot(
@@ -246,7 +246,7 @@ register("src_single_file", CAST_A)(
     lambda spark, sf: cast_rows(S.read_single_file(spark, landed_fixture(spark, sf), "lines")))
 register("src_dispatch", CAST_A)(
     lambda spark, sf: (lambda d: cast_rows(S.read_ticker(
-        spark, file=f"{d}/binance_*.json", directory=d)))(_two_snapshots(spark, sf, True)))
+        spark, file=f"{d}/{SNAPSHOT_GLOB}", directory=d)))(_two_snapshots(spark, sf, True)))
 register("src_nonempty", "SELECT count(*) AS records FROM raw")(
     lambda spark, sf: S.ensure_nonempty(raw(spark, sf)).agg(F.count(F.lit(1)).alias("records")))
 register("src_preview",
@@ -327,9 +327,9 @@ register("snk_processed_append", "SELECT * FROM a_all UNION ALL SELECT * FROM a_
 register("snk_alerts", "SELECT * FROM a_alerts")(_snk_alerts)
 register("snk_metrics", O.summary_a())(_snk_metrics)
 register("snk_list_snapshots",
-         f"SELECT 'binance_{OLDER_STAMP}.json' AS snapshot, count(*) AS records FROM raw "
+         f"SELECT '{SNAPSHOT_PREFIX}{OLDER_STAMP}.json' AS snapshot, count(*) AS records FROM raw "
          f"WHERE symbol NOT LIKE '%USDT' UNION ALL "
-         f"SELECT 'binance_{NEWER_STAMP}.json', count(*) FROM raw")(
+         f"SELECT '{SNAPSHOT_PREFIX}{NEWER_STAMP}.json', count(*) FROM raw")(
     lambda spark, sf: sinks.list_snapshots(spark, _two_snapshots(spark, sf, True)))
 
 

@@ -21,6 +21,7 @@ from tickwise.operators import documents as D
 from tickwise.operators.cleaning import score_absolute
 from tickwise.operators.relative import (filter_relative, relative_anomalies,
                                           relative_indicators)
+from tickwise.schema import SNAPSHOT_GLOB
 from tickwise.sources import sinks
 from tickwise.sources.snapshots import (ensure_nonempty, read_all_snapshots,
                                         read_latest_snapshot, read_ticker)
@@ -102,7 +103,7 @@ def run_relative(spark: SparkSession, raw: DataFrame, output: str,
 
 
 def replay_latest(spark: SparkSession, raw_dir: str, output: str,
-                  pattern: str = "binance_*.json", layout: str = "lines",
+                  pattern: str = SNAPSHOT_GLOB, layout: str = "lines",
                   run_ts: _dt.datetime | None = None) -> dict:
     """Newest landed snapshot through profile B, in the same session."""
     raw = read_latest_snapshot(spark, raw_dir, pattern, layout)

@@ -58,3 +58,8 @@ LABELS_B = {
 }
 # profile B's binned columns list every label, zero counts included
 ZERO_FILLED_B = ["risk_category", "anomaly_level"]
+
+# Landed snapshot naming, <prefix><stamp>.json, where the stamp
+# is %Y-%m-%d_%H-%M-%S or %Y%m%d_%H%M%S (both occur in one folder).
+SNAPSHOT_PREFIX = "ticker_"
+SNAPSHOT_GLOB = SNAPSHOT_PREFIX + "*.json"

@@ -10,15 +10,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwise.schema import RAW
+from tickwise.schema import RAW, SNAPSHOT_GLOB, SNAPSHOT_PREFIX
 
 
 def land_snapshot(df: DataFrame, raw_dir: str, stamp: str,
-                  mode: str = "errorifexists") -> str:
-    """Write one snapshot as JSON lines under ``binance_<stamp>.json``."""
+                  mode: str = "errorifexists", prefix: str = SNAPSHOT_PREFIX) -> str:
+    """Write one snapshot as JSON lines under ``<prefix><stamp>.json``."""
     if mode not in ("overwrite", "errorifexists"):
         raise ValueError("landing mode is overwrite or errorifexists")
-    path = f"{raw_dir.rstrip('/')}/binance_{stamp}.json"
+    path = f"{raw_dir.rstrip('/')}/{prefix}{stamp}.json"
     df.select(*RAW.fieldNames()).write.mode(mode).json(path)
     return path
 
@@ -50,7 +50,7 @@ def write_metrics(summary: DataFrame, table: str, mode: str = "append") -> None:
 
 
 def list_snapshots(spark: SparkSession, raw_dir: str,
-                   pattern: str = "binance_*.json", layout: str = "lines") -> DataFrame:
+                   pattern: str = SNAPSHOT_GLOB, layout: str = "lines") -> DataFrame:
     """(snapshot, records) for every landed snapshot, one scan of the records."""
     from tickwise.sources.snapshots import SNAPSHOT_NAME, read_snapshots
 

@@ -3,7 +3,7 @@
 Two on-disk layouts exist: the feed's own files hold one JSON array each
 (``layout="array"``, read with ``multiLine`` - one task per file), while
 snapshots landed by Spark are JSON lines (``layout="lines"``, splittable).
-A snapshot is addressed as ``binance_<stamp>.json`` whether that name is a
+A snapshot is addressed as ``<prefix><stamp>.json`` whether that name is a
 single file or a directory of part files written by Spark.
 """
 
@@ -15,9 +15,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwise.schema import RAW
+from tickwise.schema import RAW, SNAPSHOT_GLOB
 
-SNAPSHOT_NAME = r"(binance_[0-9_-]+\.json)"
+# the path component naming a snapshot (a file, or the folder of its parts)
+SNAPSHOT_NAME = r"([A-Za-z][A-Za-z0-9]*_[0-9][0-9_-]*\.json)"
 
 
 def _reader(spark: SparkSession, layout: str, mode: str = "PERMISSIVE"):
@@ -40,7 +41,7 @@ def read_all_snapshots(spark: SparkSession, directory: str,
 
 
 def read_with_glob_fallback(spark: SparkSession, directory: str,
-                            patterns: Sequence[str] = ("*.json", "binance_*.json"),
+                            patterns: Sequence[str] = ("*.json", SNAPSHOT_GLOB),
                             layout: str = "lines") -> DataFrame:
     """First pattern whose read resolves; the last failure is re-raised."""
     err = None
@@ -73,7 +74,7 @@ def read_with_path_fallback(spark: SparkSession, candidates: Sequence[str],
 
 
 def snapshot_index(spark: SparkSession, directory: str,
-                   pattern: str = "binance_*.json") -> DataFrame:
+                   pattern: str = SNAPSHOT_GLOB) -> DataFrame:
     """(snapshot, stamp) per snapshot; the file listing reads no content.
 
     Both stamp formats (``%Y-%m-%d_%H-%M-%S`` and ``%Y%m%d_%H%M%S``) reduce
@@ -90,7 +91,7 @@ def snapshot_index(spark: SparkSession, directory: str,
 
 
 def latest_snapshot_name(spark: SparkSession, directory: str,
-                         pattern: str = "binance_*.json") -> str:
+                         pattern: str = SNAPSHOT_GLOB) -> str:
     idx = snapshot_index(spark, directory, pattern).where(F.col("stamp").isNotNull())
     row = idx.orderBy(F.desc("stamp"), F.desc("snapshot")).select("snapshot").first()
     if row is None:
@@ -99,7 +100,7 @@ def latest_snapshot_name(spark: SparkSession, directory: str,
 
 
 def read_latest_snapshot(spark: SparkSession, directory: str,
-                         pattern: str = "binance_*.json",
+                         pattern: str = SNAPSHOT_GLOB,
                          layout: str = "lines") -> DataFrame:
     """Only the newest snapshot is scanned (one path string reaches the driver)."""
     name = latest_snapshot_name(spark, directory, pattern)
