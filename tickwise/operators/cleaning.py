@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tickwise.functions import ladder, num
@@ -21,14 +21,25 @@ def _ts(run_ts: _dt.datetime | Column | None) -> Column:
     return F.lit(run_ts).cast("timestamp")
 
 
-def cast_feed(df: DataFrame, run_ts=None) -> DataFrame:
-    """Feed fields -> snake_case doubles plus the processing timestamp."""
+def cast_feed(df: DataFrame, run_ts=None, observation: Observation | None = None) -> DataFrame:
+    """Feed fields -> snake_case doubles plus the processing timestamp.
+
+    The parsed rows are counted with an ``Observation`` (the "rows parsed"
+    stage count, no extra job). The observed node is also where the
+    optimizer stops pushing later filters down: without it every validity
+    and quality predicate would re-inline the string parsing of each column
+    it touches into one scan filter whose generated method outgrows the JIT
+    (measured: 2x slower scoring).
+    """
     types = dict(df.dtypes)
     cols = [F.col("symbol")]
     for feed, snake in SNAKE.items():
         cols.append(num(feed, types.get(feed) == "string").alias(snake))
     cols.append(_ts(run_ts).alias("processing_timestamp"))
-    return df.select(*cols)
+    parsed = df.select(*cols)
+    if parsed.isStreaming:
+        return parsed
+    return parsed.observe(observation or Observation(), F.count(F.lit(1)).alias("rows"))
 
 
 def valid_rows() -> Column:
@@ -60,19 +71,50 @@ def quality() -> Column:
 
 
 def final_rows() -> Column:
-    return (F.col("symbol").endswith("USDT")
-            & F.col("data_quality").isin(GOOD_QUALITY)
+    """USDT pair, quality HIGH or MEDIUM, volume above 10,000 USD.
+
+    HIGH's condition implies MEDIUM's, so "HIGH or MEDIUM" is exactly
+    MEDIUM's condition (a NULL measure falls to LOW in both forms). Gating
+    on it directly keeps the label CASE out of the pushed-down scan filter.
+    """
+    sp, vol = F.col("spread_percent"), F.col("volatility")
+    return (F.col("symbol").endswith("USDT") & (sp < 10.0) & (vol < 2.0)
             & (F.col("volume_usd") > 10000.0))
 
 
-def clean(df: DataFrame, run_ts=None) -> DataFrame:
-    """Cast -> validity filter -> derived columns -> quality gate."""
-    return enrich(cast_feed(df, run_ts).where(valid_rows())).where(final_rows())
+def clean(df: DataFrame, run_ts=None, observation: Observation | None = None,
+          final_observation: Observation | None = None) -> DataFrame:
+    """Cast -> validity filter -> derived columns -> quality gate.
+
+    The pair suffix needs no parsing, so it is applied first, where the
+    optimizer hands it to the scan (``StringEndsWith`` pushed filter). The
+    rows kept are counted too (the "cleaned" stage count), which again keeps
+    filters on later labels from being pushed into the cleaning stage.
+    """
+    pairs = df.where(F.col("symbol").endswith("USDT"))
+    kept = enrich(cast_feed(pairs, run_ts, observation).where(valid_rows())).where(final_rows())
+    if kept.isStreaming:
+        return kept
+    return kept.observe(final_observation or Observation(), F.count(F.lit(1)).alias("rows"))
+
+
+def scored_metrics() -> list[Column]:
+    return [F.count(F.lit(1)).alias("rows"),
+            F.count_if(F.col("critical_alert")).alias("critical")]
+
 
+def score_absolute(raw: DataFrame, run_ts=None,
+                   observation: Observation | None = None) -> DataFrame:
+    """Full profile A: clean, indicators, anomalies.
 
-def score_absolute(raw: DataFrame, run_ts=None) -> DataFrame:
-    """Full profile A: clean, indicators, anomalies."""
+    Scored rows and critical alerts are counted on the way out; filters on
+    the labels (alerts, detail views) then read the computed columns instead
+    of being pushed back into the scoring stage.
+    """
     from tickwise.operators.anomalies import add_anomalies
     from tickwise.operators.indicators import add_indicators
 
-    return raw.transform(clean, run_ts).transform(add_indicators).transform(add_anomalies)
+    scored = raw.transform(clean, run_ts).transform(add_indicators).transform(add_anomalies)
+    if scored.isStreaming:
+        return scored
+    return scored.observe(observation or Observation(), *scored_metrics())

@@ -16,12 +16,8 @@ def _ts(run_ts) -> Column:
 
 
 def alerts_a(df: DataFrame, run_ts=None) -> DataFrame:
-    """Alert rows of the critical profile A rows.
-
-    Give it a persisted, checkpointed or stored frame: filtering a freshly
-    scored frame lets the optimizer re-inline every label definition into
-    the scan predicate.
-    """
+    """Alert rows of the critical profile A rows (a scored frame: the
+    scoring's observed output keeps this filter on the computed flag)."""
     c = F.col
     return df.where(c("critical_alert")).select(
         "symbol",

@@ -6,10 +6,11 @@ Right-closed bins, last-match-wins signal and recommendation rules, feed
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tickwise.functions import ieee_div, ladder, num, population_median, right_closed_bins
+from tickwise.operators.cleaning import scored_metrics
 from tickwise.operators.indicators import BUY_SIGNALS, SELL_SIGNALS
 from tickwise.schema import ANOMALY_LABELS_B, NUMERIC_FEED, RISK_LABELS_B
 
@@ -32,7 +33,16 @@ def relative_filter_condition():
 
 
 def filter_relative(df: DataFrame) -> DataFrame:
-    return cast_relative(df).where(relative_filter_condition())
+    """USDT pairs with positive prices, volume above 10,000, ask above bid.
+
+    The suffix is tested before parsing (it reaches the scan); the parsed
+    rows are observed, which keeps the numeric predicates from re-inlining
+    the string parsing (see ``cast_feed``).
+    """
+    parsed = cast_relative(df.where(F.col("symbol").endswith("USDT")))
+    if not parsed.isStreaming:
+        parsed = parsed.observe(Observation(), F.count(F.lit(1)).alias("rows"))
+    return parsed.where(relative_filter_condition())
 
 
 def relative_indicators(df: DataFrame) -> DataFrame:
@@ -80,6 +90,12 @@ def relative_anomalies(df: DataFrame, exact_median: bool = True) -> DataFrame:
     })
 
 
-def score_relative(raw: DataFrame, exact_median: bool = True) -> DataFrame:
-    return (raw.transform(filter_relative).transform(relative_indicators)
-            .transform(relative_anomalies, exact_median))
+def score_relative(raw: DataFrame, exact_median: bool = True,
+                   observation: Observation | None = None) -> DataFrame:
+    """Full profile B; scored rows and critical alerts are counted on the way
+    out, so label filters downstream read the computed columns."""
+    scored = (raw.transform(filter_relative).transform(relative_indicators)
+              .transform(relative_anomalies, exact_median))
+    if scored.isStreaming:
+        return scored
+    return scored.observe(observation or Observation(), *scored_metrics())

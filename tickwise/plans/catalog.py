@@ -25,7 +25,7 @@ from tickwise.operators.relative import (cast_relative, filter_relative,
 from tickwise.plans import jobs, serving
 from tickwise.plans import oracle as O
 from tickwise.schema import RAW, SNAPSHOT_GLOB, SNAPSHOT_PREFIX
-from tickwise.session import new_scratch_dir, settle
+from tickwise.session import new_scratch_dir
 from tickwise.sources import sinks
 from tickwise.sources import snapshots as S
 from tickwise.sources.fixture import landed_fixture, ticker_snapshot
@@ -201,9 +201,9 @@ for _key, (_by, _k, _cols, _largest) in {
 
 # ------------------------------------------------------------- documents
 register("alerts_a", "SELECT * FROM a_alerts")(
-    lambda spark, sf: D.alerts_a(settle(a_rows(spark, sf))).drop("timestamp"))
+    lambda spark, sf: D.alerts_a(a_rows(spark, sf)).drop("timestamp"))
 register("alerts_b", "SELECT * FROM b_alerts")(
-    lambda spark, sf: D.alerts_b(settle(b_rows(spark, sf))).drop("timestamp"))
+    lambda spark, sf: D.alerts_b(b_rows(spark, sf)).drop("timestamp"))
 register("summary_a", O.summary_a())(
     lambda spark, sf: D.flatten_summary(D.summary_a(a_rows(spark, sf), RUN_TS)))
 register("summary_b", O.summary_b())(
@@ -310,7 +310,7 @@ def _snk_append(spark, sf):
 
 def _snk_alerts(spark, sf):
     t = new_scratch_dir(spark, "alerts")
-    sinks.write_alerts(D.alerts_a(settle(a_rows(spark, sf)), RUN_TS), t, "append")
+    sinks.write_alerts(D.alerts_a(a_rows(spark, sf), RUN_TS), t, "append")
     return _readback(spark, t).drop("timestamp")
 
 

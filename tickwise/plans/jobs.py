@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tickwise.operators import documents as D
-from tickwise.operators.cleaning import score_absolute
+from tickwise.operators.cleaning import score_absolute, scored_metrics
 from tickwise.operators.relative import (filter_relative, relative_anomalies,
                                           relative_indicators)
 from tickwise.schema import SNAPSHOT_GLOB
@@ -53,10 +53,8 @@ def run_absolute(spark: SparkSession, raw: DataFrame, output: str,
     run_ts = run_ts or _now()
     loaded = Observation("loaded")
     raw = raw.observe(loaded, F.count(F.lit(1)).alias("rows"))
-    scored = score_absolute(raw, run_ts)
     stats = Observation("scored")
-    scored = scored.observe(stats, F.count(F.lit(1)).alias("rows"),
-                            F.count_if("critical_alert").alias("critical"))
+    scored = score_absolute(raw, run_ts, stats)
     if persist:
         # three sinks read the scored frame; score it once
         scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
@@ -83,11 +81,9 @@ def run_relative(spark: SparkSession, raw: DataFrame, output: str,
     base = relative_indicators(filter_relative(raw))
     if persist:
         base = base.persist(StorageLevel.MEMORY_AND_DISK)
-    scored = relative_anomalies(base, exact_median).withColumn(
-        "processing_timestamp", F.lit(run_ts).cast("timestamp"))
     stats = Observation("relative")
-    scored = scored.observe(stats, F.count(F.lit(1)).alias("rows"),
-                            F.count_if("critical_alert").alias("critical"))
+    scored = relative_anomalies(base, exact_median).observe(stats, *scored_metrics()) \
+        .withColumn("processing_timestamp", F.lit(run_ts).cast("timestamp"))
     if persist:
         scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
     try:

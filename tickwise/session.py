@@ -61,14 +61,3 @@ def new_scratch_dir(spark: SparkSession, label: str) -> str:
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
-
-def settle(df):
-    """Materialise ``df`` in the shared checkpoint folder and cut its lineage.
-
-    Used before filtering on deeply derived labels: without it the optimizer
-    pushes the filter below the scoring projections and re-inlines every
-    label definition into one predicate, whose generated code outgrows the
-    JIT. Reliable checkpoint files survive the loss of an executor.
-    """
-    scratch_root(df.sparkSession)
-    return df.checkpoint(eager=True)
