@@ -96,3 +96,20 @@ def test_stream_takes_only_new_snapshots(spark):
     sinks.land_snapshot(rows, f"{d}/raw", "20240102_000000")
     assert stream_snapshots(spark, f"{d}/raw", f"{d}/sink", f"{d}/ck") == 1
     assert spark.read.parquet(f"{d}/sink").count() == 2 * first
+
+
+def test_latest_rows_span_runs(spark):
+    import datetime as dt
+
+    from tickwise.plans.serving import latest
+
+    t = new_scratch_dir(spark, "runs")
+    for run, size in ((1, 5), (2, 5), (3, 5)):
+        rows = [(f"S{run}{i}USDT", dt.datetime(2024, 1, run)) for i in range(size)]
+        spark.createDataFrame(rows, "symbol string, processing_timestamp timestamp") \
+            .write.mode("append").parquet(t)
+    df = spark.read.parquet(t)
+    got = [r.symbol for r in latest(df, "processing_timestamp", 7).collect()]
+    assert got == [f"S3{i}USDT" for i in range(5)] + ["S20USDT", "S21USDT"]
+    plan = latest(df, "processing_timestamp", 7)._jdf.queryExecution().executedPlan().toString()
+    assert "processing_timestamp" in plan and "Subquery" in plan

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickwise.operators.aggregates import label_counts
@@ -17,8 +17,20 @@ def read_collection(spark: SparkSession, output: str, name: str) -> DataFrame:
 
 
 def latest(df: DataFrame, ts: str, n: int, tie: str = "symbol") -> DataFrame:
-    """Newest n rows; rows of one run share a stamp, so ``tie`` orders them."""
-    return df.orderBy(F.desc(ts), F.asc(tie)).limit(n)
+    """Newest n rows; rows of one run share a stamp, so ``tie`` orders them.
+
+    A collection grows by whole runs, so the newest n rows come from the
+    last few stamps. The stamp column alone is counted per stamp (column
+    pruning: one narrow scan, one small row per run), the oldest stamp still
+    needed is found over those per-run counts, and only rows at or after it
+    are ranked - a filter Parquet answers from row-group statistics.
+    """
+    per_run = df.groupBy(ts).agg(F.count(F.lit(1)).alias("c"))
+    newer = Window.orderBy(F.desc(ts)).rowsBetween(Window.unboundedPreceding, -1)
+    cutoff = (per_run.withColumn("newer", F.coalesce(F.sum("c").over(newer), F.lit(0)))
+              .where(F.col("newer") < n).agg(F.min(ts).alias("cut")))
+    return (df.where(F.col(ts) >= cutoff.select("cut").scalar())
+            .orderBy(F.desc(ts), F.asc(tie)).limit(n))
 
 
 def latest_processed(spark, output, n: int = 1000) -> DataFrame:
