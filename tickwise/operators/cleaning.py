@@ -104,7 +104,9 @@ def scored_metrics() -> list[Column]:
 
 
 def score_absolute(raw: DataFrame, run_ts=None,
-                   observation: Observation | None = None) -> DataFrame:
+                   observation: Observation | None = None,
+                   parsed_observation: Observation | None = None,
+                   cleaned_observation: Observation | None = None) -> DataFrame:
     """Full profile A: clean, indicators, anomalies.
 
     Scored rows and critical alerts are counted on the way out; filters on
@@ -114,7 +116,8 @@ def score_absolute(raw: DataFrame, run_ts=None,
     from tickwise.operators.anomalies import add_anomalies
     from tickwise.operators.indicators import add_indicators
 
-    scored = raw.transform(clean, run_ts).transform(add_indicators).transform(add_anomalies)
+    scored = (clean(raw, run_ts, parsed_observation, cleaned_observation)
+              .transform(add_indicators).transform(add_anomalies))
     if scored.isStreaming:
         return scored
     return scored.observe(observation or Observation(), *scored_metrics())

@@ -53,15 +53,16 @@ def run_absolute(spark: SparkSession, raw: DataFrame, output: str,
     run_ts = run_ts or _now()
     loaded = Observation("loaded")
     raw = raw.observe(loaded, F.count(F.lit(1)).alias("rows"))
-    stats = Observation("scored")
-    scored = score_absolute(raw, run_ts, stats)
+    stats, parsed, cleaned = Observation("scored"), Observation("parsed"), Observation("cleaned")
+    scored = score_absolute(raw, run_ts, stats, parsed, cleaned)
     if persist:
         # three sinks read the scored frame; score it once
         scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         _write_all(scored, D.alerts_a(scored, run_ts), D.summary_a(scored, run_ts),
                    output, "append", batch_size)
-        result = {"loaded": loaded.get.get("rows", 0), **stats.get}
+        result = {"loaded": loaded.get.get("rows", 0), "parsed": parsed.get.get("rows", 0),
+                  "cleaned": cleaned.get.get("rows", 0), **stats.get}
     finally:
         if persist:
             scored.unpersist()
@@ -121,7 +122,8 @@ def main(argv: list[str] | None = None) -> int:
 
     from tickwise.session import build_session
 
-    spark = build_session()
+    active = SparkSession.getActiveSession()
+    spark = active or build_session()
     try:
         if args.mode == "latest":
             raw = read_latest_snapshot(spark, args.input, layout=args.layout)
@@ -139,7 +141,8 @@ def main(argv: list[str] | None = None) -> int:
         log.exception("job failed")
         return 1
     finally:
-        spark.stop()
+        if active is None:          # only stop a session this call started
+            spark.stop()
 
 
 if __name__ == "__main__":
