@@ -1,0 +1,34 @@
+"""Physical-plan properties of the registered queries."""
+
+import pytest
+
+import __spark_entry__ as entry
+from tickwise.sources.fixture import ticker_fixture
+
+from conftest import SF_SMALL
+
+PURE = [k for k in entry.queries()
+        if k.split("_")[0] in ("clean", "ind", "anom", "b", "agg", "top", "alerts", "summary")]
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("key", PURE)
+def test_no_udf_no_cartesian(spark, key):
+    plan = _plan(entry.queries()[key](spark, SF_SMALL))
+    for bad in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct",
+                "BroadcastNestedLoopJoin", "PythonUDF"):
+        assert bad not in plan, f"{key}: {bad}"
+
+
+def test_suffix_filter_reaches_json_scan(spark):
+    plan = _plan(entry.queries()["anom_all"](spark, SF_SMALL))
+    assert "StringEndsWith(symbol,USDT)" in plan
+
+
+def test_fixture_reads_only_needed_columns(spark):
+    plan = _plan(ticker_fixture(spark, SF_SMALL))
+    assert "ReadSchema: struct<l_partkey:bigint,l_quantity:double>" in plan
+    assert "ReadSchema: struct<p_partkey:bigint,p_size:int,p_retailprice:double>" in plan
