@@ -49,7 +49,10 @@ def scratch_root(spark: SparkSession) -> str:
     base = _checkpoint_base(spark)
     if not base:
         base = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-        spark.sparkContext.setCheckpointDir(base)
+        try:
+            spark.sparkContext.setCheckpointDir(base)
+        except Exception:  # no SparkContext (Spark Connect): folder only
+            pass
     return base.rstrip("/")
 
 

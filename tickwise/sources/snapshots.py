@@ -73,6 +73,12 @@ def read_with_path_fallback(spark: SparkSession, candidates: Sequence[str],
     raise err
 
 
+def read_with_local_fallback(spark: SparkSession, path: str,
+                             layout: str = "lines") -> DataFrame:
+    """The given location, else the same path relative to the working folder."""
+    return read_with_path_fallback(spark, [path, local_fallback(path)], layout)
+
+
 def snapshot_index(spark: SparkSession, directory: str,
                    pattern: str = SNAPSHOT_GLOB) -> DataFrame:
     """(snapshot, stamp) per snapshot; the file listing reads no content.
