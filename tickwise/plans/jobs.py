@@ -33,8 +33,10 @@ def _now() -> _dt.datetime:
     return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None, microsecond=0)
 
 
-def _write_all(processed: DataFrame, alerts: DataFrame, summary: DataFrame,
-               output: str, mode: str, batch_size: int | None) -> None:
+def write_results(processed: DataFrame, alerts: DataFrame, summary: DataFrame,
+                  output: str, mode: str = "append", batch_size: int | None = None) -> None:
+    """The three collections of a run under ``output``: processed_data,
+    critical_alerts, market_metrics (``append`` or ``replace``)."""
     sinks.write_processed(processed, f"{output}/processed_data", mode, batch_size)
     sinks.write_alerts(alerts, f"{output}/critical_alerts",
                        "append" if mode == "append" else "replace")
@@ -59,7 +61,7 @@ def run_absolute(spark: SparkSession, raw: DataFrame, output: str,
         # three sinks read the scored frame; score it once
         scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        _write_all(scored, D.alerts_a(scored, run_ts), D.summary_a(scored, run_ts),
+        write_results(scored, D.alerts_a(scored, run_ts), D.summary_a(scored, run_ts),
                    output, "append", batch_size)
         result = {"loaded": loaded.get.get("rows", 0), "parsed": parsed.get.get("rows", 0),
                   "cleaned": cleaned.get.get("rows", 0), **stats.get}
@@ -88,7 +90,7 @@ def run_relative(spark: SparkSession, raw: DataFrame, output: str,
     if persist:
         scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        _write_all(scored, D.alerts_b(scored, run_ts), D.summary_b(scored, run_ts),
+        write_results(scored, D.alerts_b(scored, run_ts), D.summary_b(scored, run_ts),
                    output, "replace", None)
         result = dict(stats.get)
     finally:
