@@ -1,9 +1,11 @@
 """End-to-end jobs: profile A ETL, profile B analysis, replay of the newest
 snapshot, plus a ``spark-submit`` entry point.
 
-Each job is one lazily composed plan (read -> score) that is persisted once
-and written three times (processed rows, alerts, summary); stage counts are
-collected with an ``Observation`` on the same jobs, not with extra actions.
+Each job scores its input in one pass and writes the processed rows; the
+alerts and the market summary are then derived from the rows just written
+(column-pruned Parquet reads selected by the run's stamp), so nothing large
+is cached in executors and a lost executor never loses intermediate state.
+Stage counts are collected with ``Observation``s on the same jobs.
 """
 
 from __future__ import annotations
@@ -30,7 +32,15 @@ log = logging.getLogger("tickwise")
 
 
 def _now() -> _dt.datetime:
-    return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None, microsecond=0)
+    """Run stamp (UTC, microseconds): it identifies a run's rows."""
+    return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+
+
+def _this_run(spark: SparkSession, output: str, run_ts: _dt.datetime) -> DataFrame:
+    """The processed rows written by the run stamped ``run_ts``; the stamp
+    filter is pushed to Parquet, so other runs' row groups are skipped."""
+    return (spark.read.parquet(f"{output}/processed_data")
+            .where(F.col("processing_timestamp") == F.lit(run_ts).cast("timestamp")))
 
 
 def write_results(processed: DataFrame, alerts: DataFrame, summary: DataFrame,
@@ -45,29 +55,24 @@ def write_results(processed: DataFrame, alerts: DataFrame, summary: DataFrame,
 
 
 def run_absolute(spark: SparkSession, raw: DataFrame, output: str,
-                 batch_size: int | None = None, run_ts: _dt.datetime | None = None,
-                 persist: bool = True) -> dict:
+                 batch_size: int | None = None, run_ts: _dt.datetime | None = None) -> dict:
     """Profile A: clean -> indicators -> anomalies -> three appends.
 
     ``batch_size`` bounds the rows per written file (the writer's unit of
-    work); by default Spark sizes files by partition.
+    work); by default Spark sizes files by partition. ``run_ts`` must be
+    unique per run: it selects the run's rows for alerts and summary.
     """
     run_ts = run_ts or _now()
     loaded = Observation("loaded")
     raw = raw.observe(loaded, F.count(F.lit(1)).alias("rows"))
     stats, parsed, cleaned = Observation("scored"), Observation("parsed"), Observation("cleaned")
     scored = score_absolute(raw, run_ts, stats, parsed, cleaned)
-    if persist:
-        # three sinks read the scored frame; score it once
-        scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        write_results(scored, D.alerts_a(scored, run_ts), D.summary_a(scored, run_ts),
-                   output, "append", batch_size)
-        result = {"loaded": loaded.get.get("rows", 0), "parsed": parsed.get.get("rows", 0),
-                  "cleaned": cleaned.get.get("rows", 0), **stats.get}
-    finally:
-        if persist:
-            scored.unpersist()
+    sinks.write_processed(scored, f"{output}/processed_data", "append", batch_size)
+    rows = _this_run(spark, output, run_ts)
+    sinks.write_alerts(D.alerts_a(rows, run_ts), f"{output}/critical_alerts", "append")
+    sinks.write_metrics(D.summary_a(rows, run_ts), f"{output}/market_metrics", "append")
+    result = {"loaded": loaded.get.get("rows", 0), "parsed": parsed.get.get("rows", 0),
+              "cleaned": cleaned.get.get("rows", 0), **stats.get}
     log.info("profile A: %s", result)
     return result
 
@@ -77,26 +82,26 @@ def run_relative(spark: SparkSession, raw: DataFrame, output: str,
                  persist: bool = True) -> dict:
     """Profile B: filter -> indicators -> median-relative anomalies -> replace.
 
-    The filtered population is persisted first: the median passes and the
-    final scoring then read it instead of re-scanning the snapshots.
+    The filtered population is persisted while the median passes and the
+    scoring read it (instead of re-scanning the snapshots); alerts and the
+    summary are derived from the processed rows as written.
     """
     run_ts = run_ts or _now()
     base = relative_indicators(filter_relative(raw))
     if persist:
         base = base.persist(StorageLevel.MEMORY_AND_DISK)
-    stats = Observation("relative")
-    scored = relative_anomalies(base, exact_median).observe(stats, *scored_metrics()) \
-        .withColumn("processing_timestamp", F.lit(run_ts).cast("timestamp"))
-    if persist:
-        scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        write_results(scored, D.alerts_b(scored, run_ts), D.summary_b(scored, run_ts),
-                   output, "replace", None)
-        result = dict(stats.get)
+        stats = Observation("relative")
+        scored = relative_anomalies(base, exact_median).observe(stats, *scored_metrics()) \
+            .withColumn("processing_timestamp", F.lit(run_ts).cast("timestamp"))
+        sinks.write_processed(scored, f"{output}/processed_data", "replace")
     finally:
         if persist:
-            scored.unpersist()
             base.unpersist()
+    rows = _this_run(spark, output, run_ts)
+    sinks.write_alerts(D.alerts_b(rows, run_ts), f"{output}/critical_alerts", "replace")
+    sinks.write_metrics(D.summary_b(rows, run_ts), f"{output}/market_metrics", "replace")
+    result = dict(stats.get)
     log.info("profile B: %s", result)
     return result
 
