@@ -21,7 +21,7 @@ def _array_file(d, name, rows):
 
 def test_array_layout_and_latest_by_parsed_stamp(spark):
     d = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    _array_file(d, "ticker_20240315_120000.json", [feed_row(symbol="OLD1USDT")])
+    _array_file(d, "ticker_20240315_120000.json", [feed_row(symbol="NEW1USDT")])
     _array_file(d, "ticker_2024-06-01_08-30-00.json",
                 [feed_row(symbol="NEW1USDT"), feed_row(symbol="NEW2USDT")])
     # by name the compact stamp sorts last, by time the dashed one is newer
@@ -30,6 +30,8 @@ def test_array_layout_and_latest_by_parsed_stamp(spark):
     assert sorted(r.symbol for r in latest.collect()) == ["NEW1USDT", "NEW2USDT"]
     everything = S.read_all_snapshots(spark, d, layout="array")
     assert everything.count() == 3          # no dedup across snapshots
+    assert everything.where("symbol = 'NEW1USDT'").count() == 2
+    assert latest.where("symbol = 'NEW1USDT'").count() == 1
 
 
 def test_single_file_failfast(spark):
