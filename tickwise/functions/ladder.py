@@ -35,3 +35,21 @@ def right_closed_bins(c: Column, edges: Sequence[float],
     rules = [((c > lo) & (c <= hi), lab)
              for lo, hi, lab in zip(bounds[:-1], bounds[1:], labels)]
     return ladder(rules, F.lit(None).cast("string"))
+
+
+def steps_above(c: Column, steps: Sequence[tuple[float, object]], floor: object) -> Column:
+    """First step whose threshold ``c`` exceeds (strictly) wins; else ``floor``."""
+    return ladder([(c > t, label) for t, label in steps], floor)
+
+
+def steps_below(c: Column, steps: Sequence[tuple[float, object]], ceiling: object) -> Column:
+    """First step whose threshold ``c`` is strictly below wins; else ``ceiling``."""
+    return ladder([(c < t, label) for t, label in steps], ceiling)
+
+
+def signal_rules(momentum: Column, risk: Column,
+                 rules: Sequence[tuple[str, float, float]]) -> list[tuple[Column, str]]:
+    """(label, momentum threshold, risk below) -> ladder rules; a positive
+    threshold asks for momentum above it, a negative one for momentum below."""
+    return [(((momentum > t) if t > 0 else (momentum < t)) & (risk < r_max), label)
+            for label, t, r_max in rules]

@@ -5,55 +5,53 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickwise.functions import ladder
-from tickwise.operators.indicators import BUY_SIGNALS, SELL_SIGNALS
+from tickwise import rules as R
+from tickwise.functions import ladder, steps_above
 
-CALM_LEVELS = ["NORMAL", "LOW"]
+CALM_LEVELS = R.CALM_LEVELS
 
 
 def add_anomalies(df: DataFrame) -> DataFrame:
     c = F.col
     am, vusd, sp = F.abs(c("momentum")), c("volume_usd"), c("spread_percent")
+    vol_low, vol_low_score = R.VOLUME_SCORE_LOW
+    sp_low, sp_low_score = R.SPREAD_SCORE_LOW
     df = df.withColumns({
-        "price_anomaly_score": ladder([(am > 0.2, 10.0), (am > 0.15, 8.0),
-                                       (am > 0.1, 6.0), (am > 0.05, 4.0)], 1.0),
-        "volume_anomaly_score": ladder([(vusd > 1e9, 9.0), (vusd > 5e8, 7.0),
-                                        (vusd > 1e8, 5.0), (vusd > 1e7, 3.0),
-                                        (vusd < 5e4, 6.0)], 1.0),
-        "spread_anomaly_score": ladder([(sp > 5.0, 8.0), (sp > 2.0, 6.0),
-                                        (sp > 1.0, 4.0), (sp < 0.01, 7.0)], 1.0),
-        "arbitrage_opportunity": ladder([(sp > 3.0, "EXCELLENT"), (sp > 1.5, "GOOD"),
-                                         (sp > 0.8, "FAIR"), (sp > 0.3, "POOR")],
-                                        "NONE"),
+        "price_anomaly_score": steps_above(am, R.PRICE_SCORE_STEPS, R.BASE_SCORE),
+        "volume_anomaly_score": ladder([(vusd > t, s) for t, s in R.VOLUME_SCORE_STEPS]
+                                       + [(vusd < vol_low, vol_low_score)], R.BASE_SCORE),
+        "spread_anomaly_score": ladder([(sp > t, s) for t, s in R.SPREAD_SCORE_STEPS]
+                                       + [(sp < sp_low, sp_low_score)], R.BASE_SCORE),
+        "arbitrage_opportunity": steps_above(sp, R.ARBITRAGE_STEPS, R.ARBITRAGE_FLOOR),
     })
     ps, vs = c("price_anomaly_score"), c("volume_anomaly_score")
+    w_p, w_v, w_s = R.OVERALL_WEIGHTS
     df = df.withColumns({
-        "overall_anomaly_score": (ps * 0.4 + vs * 0.35
-                                  + c("spread_anomaly_score") * 0.25),
-        "pump_dump_risk": ladder([((am > 0.2) & (vs > 5.0), "VERY_HIGH"),
-                                  ((am > 0.15) & (vs > 3.0), "HIGH"),
-                                  ((am > 0.1) & (vs > 2.0), "MEDIUM"),
-                                  (am > 0.05, "LOW")], "MINIMAL"),
-        "wash_trading_risk": ladder([((vs > 7.0) & (ps < 3.0), "HIGH"),
-                                     ((vs > 5.0) & (ps < 4.0), "MEDIUM"),
-                                     ((vs > 3.0) & (ps < 2.0), "LOW")], "MINIMAL"),
+        "overall_anomaly_score": ps * w_p + vs * w_v + c("spread_anomaly_score") * w_s,
+        "pump_dump_risk": ladder(
+            [(((am > m_min) & (vs > v_min)) if v_min is not None else (am > m_min), label)
+             for label, m_min, v_min in R.PUMP_RULES], R.PUMP_DEFAULT),
+        "wash_trading_risk": ladder(
+            [((vs > v_min) & (ps < p_max), label) for label, v_min, p_max in R.WASH_RULES],
+            R.WASH_DEFAULT),
     })
-    o = c("overall_anomaly_score")
-    df = df.withColumn("anomaly_level",
-                       ladder([(o > 8.0, "CRITICAL"), (o > 6.0, "HIGH"),
-                               (o > 4.0, "MODERATE"), (o > 2.0, "LOW")], "NORMAL"))
+    df = df.withColumn("anomaly_level", steps_above(c("overall_anomaly_score"),
+                                                    R.LEVEL_STEPS_A, R.LEVEL_FLOOR_A))
     lvl, pump, wash = c("anomaly_level"), c("pump_dump_risk"), c("wash_trading_risk")
     sig = c("trading_signal")
+    top_level = R.LEVEL_STEPS_A[0][1]
+    top_pump = R.PUMP_RULES[0][0]
+    top_wash = R.WASH_RULES[0][0]
     return df.withColumns({
         "recommendation": ladder([
-            (lvl == "CRITICAL", "AVOID"),
-            (pump.isin("VERY_HIGH", "HIGH"), "EXTREME_CAUTION"),
-            (wash == "HIGH", "INVESTIGATE"),
-            (sig.isin(*BUY_SIGNALS) & lvl.isin(*CALM_LEVELS), "BUY_RECOMMENDED"),
-            (sig.isin(*SELL_SIGNALS) & lvl.isin(*CALM_LEVELS), "SELL_RECOMMENDED"),
-            (c("arbitrage_opportunity").isin("EXCELLENT", "GOOD"), "ARBITRAGE_OPPORTUNITY"),
-            (lvl.isin("HIGH", "MODERATE"), "CAUTION"),
+            (lvl == top_level, "AVOID"),
+            (pump.isin(*R.PUMP_ALERT), "EXTREME_CAUTION"),
+            (wash == top_wash, "INVESTIGATE"),
+            (sig.isin(*R.BUY_SIGNALS) & lvl.isin(*R.CALM_LEVELS), "BUY_RECOMMENDED"),
+            (sig.isin(*R.SELL_SIGNALS) & lvl.isin(*R.CALM_LEVELS), "SELL_RECOMMENDED"),
+            (c("arbitrage_opportunity").isin(*R.GOOD_ARBITRAGE), "ARBITRAGE_OPPORTUNITY"),
+            (lvl.isin(*R.WATCH_LEVELS), "CAUTION"),
         ], "MONITOR"),
-        "critical_alert": F.coalesce((lvl == "CRITICAL") | (pump == "VERY_HIGH")
-                                     | (wash == "HIGH"), F.lit(False)),
+        "critical_alert": F.coalesce((lvl == top_level) | (pump == top_pump)
+                                     | (wash == top_wash), F.lit(False)),
     })

@@ -7,12 +7,10 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from tickwise import rules as R
 from tickwise.functions import ladder, num
 from tickwise.schema import SNAKE
 
-GOOD_QUALITY = ["HIGH", "MEDIUM"]
-
-
 def _ts(run_ts: _dt.datetime | Column | None) -> Column:
     if run_ts is None:
         return F.current_timestamp()
@@ -64,22 +62,28 @@ def enrich(df: DataFrame) -> DataFrame:
     return df.withColumn("data_quality", quality())
 
 
-def quality() -> Column:
+def _quality_conditions() -> list[tuple[Column, str]]:
     sp, vol = F.col("spread_percent"), F.col("volatility")
-    return ladder([((sp < 5.0) & (vol < 1.0), "HIGH"),
-                   ((sp < 10.0) & (vol < 2.0), "MEDIUM")], "LOW")
+    return [((sp < sp_max) & (vol < vol_max), label)
+            for label, sp_max, vol_max in R.QUALITY_RULES]
+
+
+def quality() -> Column:
+    return ladder(_quality_conditions(), R.QUALITY_DEFAULT)
 
 
 def final_rows() -> Column:
-    """USDT pair, quality HIGH or MEDIUM, volume above 10,000 USD.
+    """USDT pair, a quality better than the default, enough USD volume.
 
-    HIGH's condition implies MEDIUM's, so "HIGH or MEDIUM" is exactly
-    MEDIUM's condition (a NULL measure falls to LOW in both forms). Gating
-    on it directly keeps the label CASE out of the pushed-down scan filter.
+    "Some quality rule matched" is the same as "label is not the default"
+    (a NULL measure matches no rule either way). Gating on the rule
+    conditions keeps the label CASE out of the pushed-down scan filter.
     """
-    sp, vol = F.col("spread_percent"), F.col("volatility")
-    return (F.col("symbol").endswith("USDT") & (sp < 10.0) & (vol < 2.0)
-            & (F.col("volume_usd") > 10000.0))
+    graded = None
+    for cond, _ in _quality_conditions():
+        graded = cond if graded is None else graded | cond
+    return (F.col("symbol").endswith(R.PAIR_SUFFIX) & graded
+            & (F.col("volume_usd") > R.MIN_VOLUME_USD_A))
 
 
 def clean(df: DataFrame, run_ts=None, observation: Observation | None = None,
@@ -91,7 +95,7 @@ def clean(df: DataFrame, run_ts=None, observation: Observation | None = None,
     rows kept are counted too (the "cleaned" stage count), which again keeps
     filters on later labels from being pushed into the cleaning stage.
     """
-    pairs = df.where(F.col("symbol").endswith("USDT"))
+    pairs = df.where(F.col("symbol").endswith(R.PAIR_SUFFIX))
     kept = enrich(cast_feed(pairs, run_ts, observation).where(valid_rows())).where(final_rows())
     if kept.isStreaming:
         return kept

@@ -9,15 +9,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tickwise.functions import ieee_div, ladder, num, population_median, right_closed_bins
+from tickwise import rules as R
+from tickwise.functions import (ieee_div, ladder, num, population_median, right_closed_bins,
+                                signal_rules)
 from tickwise.operators.cleaning import scored_metrics
-from tickwise.operators.indicators import BUY_SIGNALS, SELL_SIGNALS
 from tickwise.schema import ANOMALY_LABELS_B, NUMERIC_FEED, RISK_LABELS_B
 
-# Right-closed bin edges of profile B.
-RISK_EDGES_B = [0.05, 0.15, 0.3]
-ANOMALY_EDGES_B = [2.0, 5.0, 8.0, 12.0]
-
 
 def cast_relative(df: DataFrame) -> DataFrame:
     """Coerce the nine numeric feed fields in place (bad -> NULL)."""
@@ -27,8 +24,8 @@ def cast_relative(df: DataFrame) -> DataFrame:
 
 def relative_filter_condition():
     c = F.col
-    return (c("symbol").endswith("USDT") & (c("lastPrice") > 0)
-            & (c("volume") > 10000.0) & (c("bidPrice") > 0)
+    return (c("symbol").endswith(R.PAIR_SUFFIX) & (c("lastPrice") > 0)
+            & (c("volume") > R.MIN_VOLUME_B) & (c("bidPrice") > 0)
             & (c("askPrice") > c("bidPrice")))
 
 
@@ -39,7 +36,7 @@ def filter_relative(df: DataFrame) -> DataFrame:
     rows are observed, which keeps the numeric predicates from re-inlining
     the string parsing (see ``cast_feed``).
     """
-    parsed = cast_relative(df.where(F.col("symbol").endswith("USDT")))
+    parsed = cast_relative(df.where(F.col("symbol").endswith(R.PAIR_SUFFIX)))
     if not parsed.isStreaming:
         parsed = parsed.observe(Observation(), F.count(F.lit(1)).alias("rows"))
     return parsed.where(relative_filter_condition())
@@ -51,20 +48,18 @@ def relative_indicators(df: DataFrame) -> DataFrame:
         "spread": c("askPrice") - c("bidPrice"),
         "volatility": ieee_div(c("highPrice") - c("lowPrice"), c("openPrice")),
         "volume_usd": c("volume") * c("lastPrice"),
-        "momentum": c("priceChangePercent") / 100.0,
+        "momentum": c("priceChangePercent") / R.MOMENTUM_DIVISOR,
     })
     df = df.withColumn("spread_percent", F.try_divide(c("spread"), c("lastPrice")) * 100.0)
     m = c("momentum")
-    df = df.withColumn("risk_score", c("volatility") * 0.4 + c("spread_percent") * 0.3
-                       + F.abs(m) * 0.3)
+    w_vol, w_sp, w_mom = R.RISK_WEIGHTS_B
+    df = df.withColumn("risk_score", c("volatility") * w_vol + c("spread_percent") * w_sp
+                       + F.abs(m) * w_mom)
     r = c("risk_score")
     return df.withColumns({
-        "risk_category": right_closed_bins(r, RISK_EDGES_B, RISK_LABELS_B),
-        "trading_signal": ladder([((m > 0.1) & (r < 0.2), "STRONG_BUY"),
-                                  ((m > 0.03) & (r < 0.15), "BUY"),
-                                  ((m < -0.1) & (r < 0.2), "STRONG_SELL"),
-                                  ((m < -0.03) & (r < 0.15), "SELL")],
-                                 "HOLD", last_wins=True),
+        "risk_category": right_closed_bins(r, R.RISK_EDGES_B, RISK_LABELS_B),
+        "trading_signal": ladder(signal_rules(m, r, R.SIGNAL_RULES_B), R.SIGNAL_DEFAULT,
+                                 last_wins=True),
     })
 
 
@@ -72,20 +67,22 @@ def relative_anomalies(df: DataFrame, exact_median: bool = True) -> DataFrame:
     """Anomaly score uses the median volume of the rows in ``df`` itself."""
     c = F.col
     med = population_median(df, "volume_usd", exact=exact_median)
+    w_mom, w_vol, w_sp = R.ANOMALY_WEIGHTS_B
     df = df.withColumn(
         "anomaly_score",
-        F.abs(c("momentum")) * 5.0 + ieee_div(c("volume_usd"), med) * 2.0
-        + c("spread_percent") * 3.0)
-    df = df.withColumn("anomaly_level",
-                       right_closed_bins(c("anomaly_score"), ANOMALY_EDGES_B, ANOMALY_LABELS_B))
+        F.abs(c("momentum")) * w_mom + ieee_div(c("volume_usd"), med) * w_vol
+        + c("spread_percent") * w_sp)
+    df = df.withColumn("anomaly_level", right_closed_bins(c("anomaly_score"), R.ANOMALY_EDGES_B,
+                                                          ANOMALY_LABELS_B))
     lvl, sig = c("anomaly_level"), c("trading_signal")
+    top = ANOMALY_LABELS_B[-1]
     return df.withColumns({
-        "critical_alert": F.coalesce(lvl.isin("HIGH", "CRITICAL"), F.lit(False)),
+        "critical_alert": F.coalesce(lvl.isin(*R.ALERT_LEVELS_B), F.lit(False)),
         "recommendation": ladder([
-            (lvl == "CRITICAL", "AVOID"),
-            (sig.isin(*BUY_SIGNALS) & lvl.isin("NORMAL", "LOW"), "BUY_RECOMMENDED"),
-            (sig.isin(*SELL_SIGNALS) & lvl.isin("NORMAL", "LOW"), "SELL_RECOMMENDED"),
-            (lvl.isin("HIGH", "MODERATE"), "CAUTION"),
+            (lvl == top, "AVOID"),
+            (sig.isin(*R.BUY_SIGNALS) & lvl.isin(*R.CALM_LEVELS), "BUY_RECOMMENDED"),
+            (sig.isin(*R.SELL_SIGNALS) & lvl.isin(*R.CALM_LEVELS), "SELL_RECOMMENDED"),
+            (lvl.isin(*R.WATCH_LEVELS), "CAUTION"),
         ], "MONITOR", last_wins=True),
     })
 
