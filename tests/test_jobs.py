@@ -4,7 +4,6 @@ import tempfile
 
 from tickwise.plans import jobs, serving
 from tickwise.session import new_scratch_dir
-from tickwise.sources import sinks
 from tickwise.sources.fixture import ticker_snapshot
 from tickwise.sources.snapshots import rows_frame
 

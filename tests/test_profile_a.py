@@ -1,7 +1,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from tickwise.operators.anomalies import add_anomalies
 from tickwise.operators.cleaning import clean, score_absolute

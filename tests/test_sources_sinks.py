@@ -50,6 +50,8 @@ def test_fallbacks_and_dispatch(spark):
     got = S.read_with_path_fallback(spark, [d + "/missing/x.json", d + "/ticker_*.json"])
     assert got.count() == 1
     assert S.local_fallback("hdfs://namenode:9000/feed/raw") == "./feed/raw"
+    assert S.local_fallback("data/raw") == "./data/raw"
+    assert S.read_with_local_fallback(spark, d + "/ticker_*.json").count() == 1
     with pytest.raises(ValueError):
         S.read_ticker(spark)
 
