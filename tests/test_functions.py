@@ -69,3 +69,14 @@ def test_exact_median_matches_numpy(spark, n, mode):
         expect = (s[(n - 1) // 2] + s[n // 2]) / 2
         assert got == expect
         assert got == pytest.approx(float(np.median(xs)))
+
+
+@pytest.mark.parametrize("xs", [[1.0, float("inf")], [float("-inf"), 2.0, 3.0],
+                                [float("-inf"), float("inf")], [5.0, float("inf"), float("inf")],
+                                [float("-inf")] * 3 + [1.0, 2.0]])
+def test_exact_median_with_infinities(spark, xs):
+    df = spark.createDataFrame([(x,) for x in xs], "v double")
+    got = exact_median(df, "v").collect()[0][0]
+    s = sorted(xs)
+    expect = (s[(len(xs) - 1) // 2] + s[len(xs) // 2]) / 2
+    assert (math.isnan(got) and math.isnan(expect)) or got == expect

@@ -35,18 +35,39 @@ def exact_median_value(df: DataFrame, col: str, buckets: int = 1024,
     v = F.col(col)
     vals = df.select(v.cast("double").alias("v")).where(
         F.col("v").isNotNull() & ~F.isnan("v"))
-    st = vals.agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"),
-                  F.max("v").alias("hi")).first()
-    n, lo, hi = st["n"], st["lo"], st["hi"]
+    x = F.col("v")
+    finite = (x != float("inf")) & (x != float("-inf"))
+    st = vals.agg(F.count(F.lit(1)).alias("n"),
+                  F.count_if(x == float("-inf")).alias("neg"),
+                  F.count_if(x == float("inf")).alias("pos"),
+                  F.min(F.when(finite, x)).alias("lo"),
+                  F.max(F.when(finite, x)).alias("hi")).first()
+    n = st["n"]
     if not n:
         return None
-    r_lo, r_hi = (n - 1) // 2, n // 2          # 0-based middle ranks
-    below = 0                                    # rows with v < lo
-    first = True
+    ranks = sorted({(n - 1) // 2, n // 2})       # 0-based middle rank(s)
+    found = {}
+    for r in ranks:                               # ranks among the infinities
+        if r < st["neg"]:
+            found[r] = float("-inf")
+        elif r >= n - st["pos"]:
+            found[r] = float("inf")
+    rest = [r for r in ranks if r not in found]
+    if rest:
+        found.update(_select_ranks(vals.where(finite), rest, st["lo"], st["hi"],
+                                   st["neg"], buckets, max_candidates))
+    return (found[ranks[0]] + found[ranks[-1]]) / 2
+
+
+def _select_ranks(vals: DataFrame, ranks: list[int], lo: float, hi: float, below: int,
+                  buckets: int, max_candidates: int) -> dict[int, float]:
+    """Values at one or two adjacent global ranks among finite ``vals``;
+    ``below`` rows precede ``lo``."""
     x = F.col("v")
+    first = True
     while True:
         if lo == hi:
-            return (lo + hi) / 2
+            return {r: lo for r in ranks}
         in_range = vals.where((x >= lo) & (x <= hi))
         key = (F.width_bucket(_monotone(x), F.lit(_mono(lo)), F.lit(_mono(hi)), F.lit(buckets))
                if first and _mono(lo) < _mono(hi)
@@ -58,18 +79,18 @@ def exact_median_value(df: DataFrame, col: str, buckets: int = 1024,
                      F.approx_count_distinct("v", 0.05).alias("d"))
                 .orderBy("b").collect())            # <= buckets + 2 rows
         cum, picked = below, {}
-        for r in rows:
-            for name, rank in (("lo", r_lo), ("hi", r_hi)):
-                if name not in picked and cum <= rank < cum + r["c"]:
-                    picked[name] = (r, cum)
-            cum += r["c"]
-        (blo, off_lo), (bhi, _) = picked["lo"], picked["hi"]
-        if blo["b"] != bhi["b"]:
+        for row in rows:
+            for rank in ranks:
+                if rank not in picked and cum <= rank < cum + row["c"]:
+                    picked[rank] = (row, cum)
+            cum += row["c"]
+        (b_first, off), (b_last, _) = picked[ranks[0]], picked[ranks[-1]]
+        if b_first["b"] != b_last["b"]:
             # adjacent ranks split across buckets: last of one, first of next
-            return (blo["hi"] + bhi["lo"]) / 2
-        lo, hi, below = blo["lo"], blo["hi"], off_lo
-        if lo != hi and blo["d"] <= max_candidates:
-            return _rank_candidates(vals, lo, hi, below, r_lo, r_hi)
+            return {ranks[0]: b_first["hi"], ranks[-1]: b_last["lo"]}
+        lo, hi, below = b_first["lo"], b_first["hi"], off
+        if lo != hi and b_first["d"] <= max_candidates:
+            return _rank_candidates(vals, lo, hi, below, ranks)
 
 
 def _mono(x: float) -> float:
@@ -79,17 +100,17 @@ def _mono(x: float) -> float:
 
 
 def _rank_candidates(vals: DataFrame, lo: float, hi: float, below: int,
-                     r_lo: int, r_hi: int) -> float:
+                     ranks: list[int]) -> dict[int, float]:
     x = F.col("v")
     cands = (vals.where((x >= lo) & (x <= hi)).groupBy("v")
              .agg(F.count(F.lit(1)).alias("c")).orderBy("v").collect())
     cum, out = below, {}
-    for r in cands:
-        for name, rank in (("lo", r_lo), ("hi", r_hi)):
-            if name not in out and cum <= rank < cum + r["c"]:
-                out[name] = r["v"]
-        cum += r["c"]
-    return (out["lo"] + out["hi"]) / 2
+    for row in cands:
+        for rank in ranks:
+            if rank not in out and cum <= rank < cum + row["c"]:
+                out[rank] = row["v"]
+        cum += row["c"]
+    return out
 
 
 def exact_median(df: DataFrame, col: str, buckets: int = 1024,
