@@ -53,7 +53,10 @@ def exact_median_value(df: DataFrame, col: str, buckets: int = 1024,
         elif r >= n - st["pos"]:
             found[r] = float("inf")
     rest = [r for r in ranks if r not in found]
-    if rest:
+    n_finite = n - st["neg"] - st["pos"]
+    if rest and n_finite <= max_candidates:       # small population: rank directly
+        found.update(_rank_candidates(vals.where(finite), st["lo"], st["hi"], st["neg"], rest))
+    elif rest:
         found.update(_select_ranks(vals.where(finite), rest, st["lo"], st["hi"],
                                    st["neg"], buckets, max_candidates))
     return (found[ranks[0]] + found[ranks[-1]]) / 2
