@@ -247,6 +247,14 @@ register("src_single_file", CAST_A)(
 register("src_dispatch", CAST_A)(
     lambda spark, sf: (lambda d: cast_rows(S.read_ticker(
         spark, file=f"{d}/{SNAPSHOT_GLOB}", directory=d)))(_two_snapshots(spark, sf, True)))
+def _src_rows(spark, sf):
+    """Records handed over in driver memory (a list of dicts), rebuilt as a
+    feed frame; the hand-off is bounded by the preview size (5 rows)."""
+    records = [r.asDict() for r in raw(spark, sf).orderBy("symbol").limit(5).collect()]
+    return cast_rows(S.rows_frame(spark, records))
+
+
+register("src_rows", f"{CAST_A} ORDER BY symbol LIMIT 5")(_src_rows)
 register("src_nonempty", "SELECT count(*) AS records FROM raw")(
     lambda spark, sf: S.ensure_nonempty(raw(spark, sf)).agg(F.count(F.lit(1)).alias("records")))
 register("src_preview",
