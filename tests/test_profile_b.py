@@ -67,3 +67,12 @@ def test_zero_filled_distribution_lists_unseen_labels(spark):
     assert got[("risk_category", "VERY_HIGH")] == 0
     assert ("trading_signal", "BUY") not in got
     assert sum(n for (d, _), n in got.items() if d == "trading_signal") == 4
+
+
+def test_approximate_median_path(spark):
+    rows = [feed_row(symbol=f"M{i}USDT", volume=v) for i, v in enumerate([20000, 30000, 40000])]
+    df = rows_frame(spark, rows)
+    exact = {r.symbol: r.anomaly_score for r in score_relative(df).collect()}
+    approx = {r.symbol: r.anomaly_score for r in score_relative(df, exact_median=False).collect()}
+    # odd population: the sketch returns the middle value exactly
+    assert approx == exact
