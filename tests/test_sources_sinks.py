@@ -72,6 +72,9 @@ def test_land_modes_and_listing(spark):
     sinks.land_snapshot(df.limit(1), d, "2024-02-01_00-00-00")
     listed = {r.snapshot: r.records for r in sinks.list_snapshots(spark, d).collect()}
     assert listed == {"ticker_20240101_000000.json": 2, "ticker_2024-02-01_00-00-00.json": 1}
+    cheap = {r.snapshot: (r.files, r.bytes) for r in
+             sinks.list_snapshots(spark, d, with_counts=False).collect()}
+    assert set(cheap) == set(listed) and all(f >= 1 and b > 0 for f, b in cheap.values())
 
 
 def test_raw_append_accepts_one_record_or_many(spark):

@@ -50,11 +50,24 @@ def write_metrics(summary: DataFrame, table: str, mode: str = "append") -> None:
 
 
 def list_snapshots(spark: SparkSession, raw_dir: str,
-                   pattern: str = SNAPSHOT_GLOB, layout: str = "lines") -> DataFrame:
-    """(snapshot, records) for every landed snapshot, one scan of the records."""
+                   pattern: str = SNAPSHOT_GLOB, layout: str = "lines",
+                   with_counts: bool = True) -> DataFrame:
+    """Landed snapshots.
+
+    ``with_counts``: (snapshot, records) from one scan of the records.
+    Without: (snapshot, files, bytes) from the file listing alone — the
+    ``binaryFile`` source prunes the content column, so no record is read.
+    """
     from tickwise.sources.snapshots import SNAPSHOT_NAME, read_snapshots
 
-    rows = read_snapshots(spark, f"{raw_dir.rstrip('/')}/{pattern}", layout)
+    path = f"{raw_dir.rstrip('/')}/{pattern}"
+    if not with_counts:
+        files = spark.read.format("binaryFile").load(path).select("path", "length")
+        return (files.select(F.regexp_extract("path", SNAPSHOT_NAME, 1).alias("snapshot"),
+                             "length")
+                .groupBy("snapshot").agg(F.count(F.lit(1)).alias("files"),
+                                         F.sum("length").alias("bytes")))
+    rows = read_snapshots(spark, path, layout)
     return (rows.select(F.regexp_extract(F.col("_metadata.file_path"), SNAPSHOT_NAME, 1)
                         .alias("snapshot"))
             .groupBy("snapshot").agg(F.count(F.lit(1)).alias("records")))
