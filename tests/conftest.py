@@ -18,6 +18,7 @@ def spark():
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.sql.session.timeZone", "UTC")
+         .config("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     yield s
