@@ -2,6 +2,8 @@ import json
 import os
 import tempfile
 
+import pytest
+
 from tickwise.plans import jobs, serving
 from tickwise.session import new_scratch_dir
 from tickwise.sources.fixture import ticker_snapshot
@@ -26,6 +28,14 @@ def test_run_absolute_counts_every_stage(spark):
     # a second run appends
     jobs.run_absolute(spark, ticker_snapshot(spark, SF_SMALL), out)
     assert serving.read_collection(spark, out, "market_metrics").count() == 2
+    # a reused stamp is refused before anything is written
+    import datetime as dt
+
+    stamp = dt.datetime(2030, 1, 1)
+    jobs.run_absolute(spark, ticker_snapshot(spark, SF_SMALL), out, run_ts=stamp)
+    with pytest.raises(ValueError):
+        jobs.run_absolute(spark, ticker_snapshot(spark, SF_SMALL), out, run_ts=stamp)
+    assert serving.read_collection(spark, out, "market_metrics").count() == 3
 
 
 def test_relative_replace_leaves_empty_alerts(spark):

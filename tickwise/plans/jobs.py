@@ -16,6 +16,7 @@ import logging
 import sys
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,6 +37,17 @@ def _now() -> _dt.datetime:
     return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
 
 
+def _claim_stamp(spark: SparkSession, output: str, run_ts: _dt.datetime) -> None:
+    """Refuse a stamp already present in the processed collection: alerts and
+    the summary select the run's rows by it."""
+    try:
+        taken = not _this_run(spark, output, run_ts).isEmpty()
+    except AnalysisException:       # no collection yet
+        return
+    if taken:
+        raise ValueError(f"run stamp {run_ts} already used under {output}")
+
+
 def _this_run(spark: SparkSession, output: str, run_ts: _dt.datetime) -> DataFrame:
     """The processed rows written by the run stamped ``run_ts``; the stamp
     filter is pushed to Parquet, so other runs' row groups are skipped."""
@@ -63,6 +75,7 @@ def run_absolute(spark: SparkSession, raw: DataFrame, output: str,
     unique per run: it selects the run's rows for alerts and summary.
     """
     run_ts = run_ts or _now()
+    _claim_stamp(spark, output, run_ts)
     loaded = Observation("loaded")
     raw = raw.observe(loaded, F.count(F.lit(1)).alias("rows"))
     stats, parsed, cleaned = Observation("scored"), Observation("parsed"), Observation("cleaned")
