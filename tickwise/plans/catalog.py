@@ -24,7 +24,7 @@ from tickwise.operators.relative import (cast_relative, filter_relative,
                                          relative_indicators, score_relative)
 from tickwise.plans import jobs, serving
 from tickwise.plans import oracle as O
-from tickwise.schema import RAW, SNAPSHOT_GLOB, SNAPSHOT_PREFIX
+from tickwise.schema import LABELS_A, RAW, SNAPSHOT_GLOB, SNAPSHOT_PREFIX
 from tickwise.session import new_scratch_dir
 from tickwise.sources import sinks
 from tickwise.sources import snapshots as S
@@ -144,8 +144,8 @@ register("agg_stage_counts",
     lambda spark, sf: A.stage_counts(raw(spark, sf)))
 register("agg_group_counts",
          O.label_counts("a_all", ["risk_category", "trading_signal", "anomaly_level"]))(
-    lambda spark, sf: A.label_counts(a_rows(spark, sf),
-                                     ["risk_category", "trading_signal", "anomaly_level"]))
+    lambda spark, sf: A.domain_counts(a_rows(spark, sf), {
+        d: LABELS_A[d] for d in ("risk_category", "trading_signal", "anomaly_level")}))
 register("agg_totals",
          "SELECT count(*) AS total_symbols, round(sum(volume_usd), 0) AS total_volume_usd, "
          "round(avg(price_change_percent), 6) AS average_price_change FROM a_all")(
