@@ -120,3 +120,15 @@ def test_latest_rows_span_runs(spark):
     assert got == [f"S3{i}USDT" for i in range(5)] + ["S20USDT", "S21USDT"]
     plan = latest(df, "processing_timestamp", 7)._jdf.queryExecution().executedPlan().toString()
     assert "processing_timestamp" in plan and "Subquery" in plan
+
+
+def test_stream_bounds_files_per_batch(spark):
+    d = new_scratch_dir(spark, "s")
+    rows = ticker_snapshot(spark, SF_SMALL).coalesce(1)
+    sinks.land_snapshot(rows, f"{d}/raw", "20240101_000000")
+    sinks.land_snapshot(rows, f"{d}/raw", "20240102_000000")
+    n = stream_snapshots(spark, f"{d}/raw", f"{d}/sink", f"{d}/ck", max_files_per_trigger=1)
+    assert n == 2
+    got = spark.read.parquet(f"{d}/sink")
+    assert got.select("batch_id").distinct().count() == 2
+    assert got.count() == 2 * spark.read.parquet(f"{d}/sink").where("batch_id = 0").count()
