@@ -9,7 +9,8 @@ from tickwise.functions import exact_median, ieee_div, ladder, num, right_closed
 
 
 def test_num_parsing(spark):
-    vals = ["12.5", "n/a", "", " 1.5 ", "1d", "2.5F", "NaN", "inf", None, "-3e2"]
+    vals = ["12.5", "n/a", "", " 1.5 ", "1d", "2.5F", "NaN", "inf", None, "-3e2", "0x1p3",
+            " -0X10"]
     df = spark.createDataFrame([(v,) for v in vals], "s string")
     got = [r[0] for r in df.select(num("s")).collect()]
     assert got[0] == 12.5
@@ -19,6 +20,7 @@ def test_num_parsing(spark):
     assert got[7] == math.inf
     assert got[8] is None
     assert got[9] == -300.0
+    assert got[10] is None and got[11] is None
 
 
 def test_ieee_div(spark):

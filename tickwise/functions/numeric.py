@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 def _null_d() -> Column:
     return F.lit(None).cast("double")
 
-# Java's parser accepts a trailing type suffix ("1d", "2.5f"); the feed's
-# other consumers treat such strings as missing, so they are mapped to NULL.
-# The leading class keeps "inf"/"Infinity" out of the rule.
-_SUFFIX = r"[0-9.][dDfF]\s*$"
+# Java's parser accepts a trailing type suffix ("1d", "2.5f") and hexadecimal
+# floats ("0x1p3"); the feed's other consumers treat such strings as missing,
+# so they are mapped to NULL. The leading class of the suffix rule keeps
+# "inf"/"Infinity" out of it.
+_SUFFIX = r"[0-9.][dDfF]\s*$|^\s*[+-]?0[xX]"
 
 
 def num(c: str | Column, from_string: bool = True) -> Column:

@@ -21,7 +21,7 @@ def _lookup(key: str, values: list[float]) -> str:
 
 
 def _num(x: str) -> str:
-    return (f"CASE WHEN regexp_matches({x}, '[0-9.][dDfF]\\s*$') "
+    return (f"CASE WHEN regexp_matches({x}, '[0-9.][dDfF]\\s*$|^\\s*[+-]?0[xX]') "
             f"OR isnan(TRY_CAST({x} AS DOUBLE)) THEN NULL "
             f"ELSE TRY_CAST({x} AS DOUBLE) END")
 
