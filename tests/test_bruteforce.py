@@ -16,10 +16,10 @@ EDGE_PCT = [15, 5, 1, -1, -5, -15, 10, -10, 3, -3, 20, -20, 0]
 
 
 def _num(s):
-    if s is None:
+    if s is None or s.strip().lower().lstrip("+-").startswith("0x"):
         return None
     try:
-        x = float(s)
+        x = float(s)                  # rejects "1d"; accepts blanks, "Infinity"
     except ValueError:
         return None
     return None if math.isnan(x) else x
@@ -35,7 +35,8 @@ def _gen(rng, i):
     v = rng.choice([0.0, 0.5, 1.5, 3.0, rng.uniform(0, 2)])
     vol = rng.choice([0.0, 5.0, 200.0, 20000.0, 1e6, rng.uniform(0, 1e7)])
     row = dict(symbol=f"R{i}" + rng.choice(["USDT", "USDT", "BTC"]),
-               lastPrice=rng.choice([repr(last)] * 8 + ["n/a", "", "0"]),
+               lastPrice=rng.choice([repr(last)] * 8 + ["n/a", "", "0", f" {last!r} ",
+                                                        f"{last!r}d", "0x1p6", "Infinity"]),
                priceChangePercent=None if pct is None else str(pct),
                volume=repr(vol), bidPrice=repr(bid),
                askPrice=rng.choice([repr(ask)] * 9 + [repr(bid)]),
