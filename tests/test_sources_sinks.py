@@ -132,3 +132,17 @@ def test_stream_bounds_files_per_batch(spark):
     got = spark.read.parquet(f"{d}/sink")
     assert got.select("batch_id").distinct().count() == 2
     assert got.count() == 2 * spark.read.parquet(f"{d}/sink").where("batch_id = 0").count()
+
+
+def test_stream_profile_b_matches_batch(spark):
+    from tickwise.operators.relative import score_relative
+
+    d = new_scratch_dir(spark, "s")
+    rows = ticker_snapshot(spark, SF_SMALL)
+    sinks.land_snapshot(rows, f"{d}/raw", "20240101_000000")
+    assert stream_snapshots(spark, f"{d}/raw", f"{d}/sink", f"{d}/ck", profile="b") == 1
+    got = spark.read.parquet(f"{d}/sink").drop("batch_id", "processing_timestamp")
+    want = score_relative(rows)
+    cols = sorted(want.columns)
+    assert sorted(map(tuple, got.select(cols).collect()), key=str) == \
+        sorted(map(tuple, want.select(cols).collect()), key=str)

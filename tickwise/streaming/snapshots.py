@@ -2,7 +2,8 @@
 
 Snapshots keep landing; a file-source stream with a checkpoint remembers
 which files were processed, so each run scores only new snapshots. Profile A
-is stateless per row, so a stream gives the same rows as the batch job; each
+is stateless per row, so a stream gives the same rows as the batch job;
+profile B scores each micro-batch against that batch's own median. Each
 micro-batch is written by ``foreachBatch`` with the batch id, which makes a
 replayed batch after a failure idempotent (``replaceWhere``-style overwrite
 of that batch's partition).
@@ -16,15 +17,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickwise.operators.cleaning import score_absolute
+from tickwise.operators.relative import score_relative
 from tickwise.schema import RAW
 
 
 def stream_snapshots(spark: SparkSession, raw_dir: str, sink: str, checkpoint: str,
                      layout: str = "lines", run_ts: _dt.datetime | None = None,
-                     max_files_per_trigger: int | None = None) -> int:
+                     max_files_per_trigger: int | None = None, profile: str = "a") -> int:
     """Score every not yet processed snapshot under ``raw_dir``; returns
     the number of micro-batches run. ``availableNow`` drains what is there
     and stops, so the job can be scheduled like a batch job."""
+    if profile not in ("a", "b"):
+        raise ValueError("profile is 'a' or 'b'")
     reader = (spark.readStream.schema(RAW)
               .option("multiLine", layout == "array")
               .option("pathGlobFilter", "*.json")
@@ -35,7 +39,12 @@ def stream_snapshots(spark: SparkSession, raw_dir: str, sink: str, checkpoint: s
     batches: list[int] = []
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        scored = score_absolute(batch, run_ts).withColumn("batch_id", F.lit(batch_id))
+        if profile == "a":
+            scored = score_absolute(batch, run_ts)
+        else:
+            stamp = F.current_timestamp() if run_ts is None else F.lit(run_ts).cast("timestamp")
+            scored = score_relative(batch).withColumn("processing_timestamp", stamp)
+        scored = scored.withColumn("batch_id", F.lit(batch_id))
         (scored.write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id").parquet(sink))
