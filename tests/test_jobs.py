@@ -62,3 +62,19 @@ def test_cli_latest_array_snapshot(spark):
                       "--layout", "array", "--output", out])
     assert code == 0
     assert spark.read.parquet(f"{out}/processed_data").count() > 10
+
+
+def test_cli_new_snapshots_only(spark):
+    from tickwise.sources import sinks
+
+    d = new_scratch_dir(spark, "raw")
+    out = new_scratch_dir(spark, "cli")
+    rows = ticker_snapshot(spark, SF_SMALL)
+    sinks.land_snapshot(rows, d, "20240101_000000")
+    args = ["--profile", "a", "--input", d, "--mode", "new", "--layout", "lines",
+            "--output", out]
+    assert jobs.main(args) == 0
+    first = spark.read.parquet(f"{out}/processed_data").count()
+    sinks.land_snapshot(rows, d, "20240102_000000")
+    assert jobs.main(args) == 0
+    assert spark.read.parquet(f"{out}/processed_data").count() == 2 * first

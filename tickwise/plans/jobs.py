@@ -132,7 +132,9 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--profile", choices=["a", "b"], default="a")
     p.add_argument("--input", required=True,
                    help="snapshot directory, or one snapshot file / glob")
-    p.add_argument("--mode", choices=["all", "latest"], default="all")
+    p.add_argument("--mode", choices=["all", "latest", "new"], default="all",
+                   help="all snapshots, the newest one, or only those not yet "
+                        "processed (stream with a checkpoint under --output)")
     p.add_argument("--layout", choices=["lines", "array"], default="array")
     p.add_argument("--output", required=True)
     p.add_argument("--batch-size", type=int, default=1_000_000,
@@ -145,6 +147,14 @@ def main(argv: list[str] | None = None) -> int:
     active = SparkSession.getActiveSession()
     spark = active or build_session()
     try:
+        if args.mode == "new":
+            from tickwise.streaming.snapshots import stream_snapshots
+
+            n = stream_snapshots(spark, args.input, f"{args.output}/processed_data",
+                                 f"{args.output}/_checkpoint", args.layout,
+                                 profile=args.profile)
+            log.info("processed %d new micro-batch(es)", n)
+            return 0
         if args.mode == "latest":
             raw = read_latest_snapshot(spark, args.input, layout=args.layout)
         elif args.input.endswith(".json") or "*" in args.input:
