@@ -120,3 +120,38 @@ def test_no_python_udf_in_plan(spark):
     df = score_absolute(rows_frame(spark, [feed_row()]), TS)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+@pytest.mark.parametrize("sp,score,arb", [
+    (5.0, 6.0, "EXCELLENT"), (5.0000001, 8.0, "EXCELLENT"), (3.0, 6.0, "GOOD"),
+    (2.0, 4.0, "GOOD"), (1.5, 4.0, "FAIR"), (1.0, 1.0, "FAIR"), (0.8, 1.0, "POOR"),
+    (0.3, 1.0, "NONE"), (0.01, 1.0, "NONE"), (0.0099, 7.0, "NONE")])
+def test_spread_thresholds_exactly(spark, sp, score, arb):
+    df = spark.createDataFrame([("X", 0.0, 1e6, sp, "HOLD")],
+                               "symbol string, momentum double, volume_usd double, "
+                               "spread_percent double, trading_signal string")
+    r = add_anomalies(df).collect()[0]
+    assert (r.spread_anomaly_score, r.arbitrage_opportunity) == (score, arb)
+
+
+@pytest.mark.parametrize("overall_parts", [
+    # (price, volume, spread) scores; overall = p*0.4 + v*0.35 + s*0.25
+    (10.0, 9.0, 8.0),       # 9.15 -> CRITICAL
+    (4.0, 6.0, 1.0),        # 3.95 -> LOW
+    (1.0, 1.0, 1.0),        # 1.0  -> NORMAL
+])
+def test_anomaly_level_from_scores(spark, overall_parts):
+    p, v, s = overall_parts
+    mom = {10.0: 0.25, 4.0: 0.06, 1.0: 0.0}[p]
+    vusd = {9.0: 2e9, 6.0: 1e4, 1.0: 1e6}[v]
+    sp = {8.0: 6.0, 1.0: 0.5}[s]
+    df = spark.createDataFrame([("X", mom, vusd, sp, "HOLD")],
+                               "symbol string, momentum double, volume_usd double, "
+                               "spread_percent double, trading_signal string")
+    r = add_anomalies(df).collect()[0]
+    assert (r.price_anomaly_score, r.volume_anomaly_score, r.spread_anomaly_score) == (p, v, s)
+    expect = p * 0.4 + v * 0.35 + s * 0.25
+    assert r.overall_anomaly_score == expect
+    want = ("CRITICAL" if expect > 8 else "HIGH" if expect > 6 else "MODERATE" if expect > 4
+            else "LOW" if expect > 2 else "NORMAL")
+    assert r.anomaly_level == want
