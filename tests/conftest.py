@@ -19,6 +19,7 @@ def spark():
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
+         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     yield s

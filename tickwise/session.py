@@ -29,6 +29,9 @@ def build_session(master: str | None = None, app: str = "tickwise",
         # INT96 timestamps carry no usable Parquet statistics; micros let the
         # run-stamp filters of the serving reads skip row groups
         .config("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
+        # PySpark records a Python call stack for every Column operation (for
+        # error messages); the scoring plans build ~1,000 of them (~1 s/plan)
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
