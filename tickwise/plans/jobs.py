@@ -128,7 +128,7 @@ def replay_latest(spark: SparkSession, raw_dir: str, output: str,
 
 
 def main(argv: list[str] | None = None) -> int:
-    p = argparse.ArgumentParser(description="Ticker snapshot analytics on Spark")
+    p = argparse.ArgumentParser(prog="tickwise", description="Ticker snapshot analytics on Spark")
     p.add_argument("--profile", choices=["a", "b"], default="a")
     p.add_argument("--input", required=True,
                    help="snapshot directory, or one snapshot file / glob")
