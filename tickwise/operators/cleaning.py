@@ -113,15 +113,15 @@ def score_absolute(raw: DataFrame, run_ts=None,
                    cleaned_observation: Observation | None = None) -> DataFrame:
     """Full profile A: clean, indicators, anomalies.
 
-    Scored rows and critical alerts are counted on the way out; filters on
-    the labels (alerts, detail views) then read the computed columns instead
-    of being pushed back into the scoring stage.
+    With an ``observation`` the scored rows and critical alerts are counted
+    on the way out (the job's stage counts). Without one no node is added,
+    so a query that needs a few columns prunes the ladders it does not use.
     """
     from tickwise.operators.anomalies import add_anomalies
     from tickwise.operators.indicators import add_indicators
 
     scored = (clean(raw, run_ts, parsed_observation, cleaned_observation)
               .transform(add_indicators).transform(add_anomalies))
-    if scored.isStreaming:
+    if observation is None or scored.isStreaming:
         return scored
-    return scored.observe(observation or Observation(), *scored_metrics())
+    return scored.observe(observation, *scored_metrics())

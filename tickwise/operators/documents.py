@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tickwise.operators.aggregates import domain_count_maps, top_k
@@ -15,11 +15,19 @@ def _ts(run_ts) -> Column:
     return run_ts if isinstance(run_ts, Column) else F.lit(run_ts).cast("timestamp")
 
 
+def _examined(df: DataFrame) -> DataFrame:
+    """Count the rows examined for alerts. The observed node also keeps the
+    optimizer from pushing the alert filter into the scoring stage, where it
+    would re-inline every label definition into one scan predicate."""
+    if df.isStreaming:
+        return df
+    return df.observe(Observation(), F.count(F.lit(1)).alias("examined"))
+
+
 def alerts_a(df: DataFrame, run_ts=None) -> DataFrame:
-    """Alert rows of the critical profile A rows (a scored frame: the
-    scoring's observed output keeps this filter on the computed flag)."""
+    """Alert rows of the critical profile A rows."""
     c = F.col
-    return df.where(c("critical_alert")).select(
+    return _examined(df).where(c("critical_alert")).select(
         "symbol",
         F.concat(c("anomaly_level"), F.lit("_ANOMALY")).alias("alert_type"),
         F.concat(c("symbol"), F.lit(": "), c("recommendation"), F.lit(" - "),
@@ -33,7 +41,7 @@ def alerts_a(df: DataFrame, run_ts=None) -> DataFrame:
 
 def alerts_b(df: DataFrame, run_ts=None) -> DataFrame:
     c = F.col
-    return df.where(c("critical_alert")).select(
+    return _examined(df).where(c("critical_alert")).select(
         "symbol",
         F.concat(c("anomaly_level"), F.lit("_ANOMALY")).alias("alert_type"),
         F.concat(c("symbol"), F.lit(": "), c("recommendation"), F.lit(" - "),

@@ -94,10 +94,10 @@ def relative_anomalies(df: DataFrame, exact_median: bool = True) -> DataFrame:
 
 def score_relative(raw: DataFrame, exact_median: bool = True,
                    observation: Observation | None = None) -> DataFrame:
-    """Full profile B; scored rows and critical alerts are counted on the way
-    out, so label filters downstream read the computed columns."""
+    """Full profile B; with an ``observation`` the scored rows and critical
+    alerts are counted on the way out."""
     scored = (raw.transform(filter_relative).transform(relative_indicators)
               .transform(relative_anomalies, exact_median))
-    if scored.isStreaming:
+    if observation is None or scored.isStreaming:
         return scored
-    return scored.observe(observation or Observation(), *scored_metrics())
+    return scored.observe(observation, *scored_metrics())
