@@ -1,0 +1,41 @@
+from pyspark.sql import functions as F
+
+from tickwise.plans import jobs, serving
+from tickwise.session import new_scratch_dir
+from tickwise.sources.fixture import ticker_snapshot
+
+from conftest import SF_SMALL
+
+
+def test_detail_table_tolerates_profile_b_columns(spark):
+    out = new_scratch_dir(spark, "b")
+    jobs.run_relative(spark, ticker_snapshot(spark, SF_SMALL), out)
+    rows = serving.latest_processed(spark, out)
+    table = serving.detail_table(rows)                       # every filter "all"
+    # B rows carry feed (camelCase) names: only the shared display columns remain
+    assert table.columns == ["symbol", "volume_usd", "risk_category", "trading_signal",
+                             "anomaly_level", "recommendation"]
+    assert table.count() == min(100, rows.count())
+    only = serving.detail_table(rows, anomaly="CRITICAL", n=1000)
+    assert only.count() == rows.where(F.col("anomaly_level") == "CRITICAL").count()
+
+
+def test_overview_without_change_column_reports_zero(spark):
+    out = new_scratch_dir(spark, "b")
+    jobs.run_relative(spark, ticker_snapshot(spark, SF_SMALL), out)
+    rows = serving.latest_processed(spark, out)
+    alerts = serving.latest_alerts(spark, out)
+    o = serving.overview(rows, alerts).collect()[0]
+    assert o.average_change == 0.0
+    assert o.total_rows == rows.count() and o.alert_count == alerts.count()
+
+
+def test_cli_approx_median(spark):
+    src = new_scratch_dir(spark, "raw")
+    from tickwise.sources import sinks
+
+    sinks.land_snapshot(ticker_snapshot(spark, SF_SMALL), src, "20240101_000000")
+    out = new_scratch_dir(spark, "cli")
+    assert jobs.main(["--profile", "b", "--input", src, "--layout", "lines",
+                      "--output", out, "--approx-median"]) == 0
+    assert spark.read.parquet(f"{out}/processed_data").count() > 0
