@@ -146,3 +146,18 @@ def test_stream_profile_b_matches_batch(spark):
     cols = sorted(want.columns)
     assert sorted(map(tuple, got.select(cols).collect()), key=str) == \
         sorted(map(tuple, want.select(cols).collect()), key=str)
+
+
+def test_stream_reads_feed_array_files(spark):
+    d = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    raw_dir = os.path.join(d, "raw")
+    os.makedirs(raw_dir)
+    rows = [r.asDict() for r in ticker_snapshot(spark, SF_SMALL).collect()]
+    _array_file(raw_dir, "ticker_20240101_000000.json", rows)
+    ck = new_scratch_dir(spark, "ck")
+    sink = new_scratch_dir(spark, "sink")
+    assert stream_snapshots(spark, raw_dir, sink, ck, layout="array") == 1
+    lines = ticker_snapshot(spark, SF_SMALL)
+    from tickwise.operators.cleaning import score_absolute
+
+    assert spark.read.parquet(sink).count() == score_absolute(lines).count()
