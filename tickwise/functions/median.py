@@ -22,6 +22,7 @@ deterministic job, so a lost executor just re-runs its tasks.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,8 +34,17 @@ def _monotone(c: Column) -> Column:
 def exact_median_value(df: DataFrame, col: str, buckets: int = 1024,
                        max_candidates: int = 100_000) -> float | None:
     v = F.col(col)
+    # The passes below read only this one double column: keep it (8 bytes a
+    # row, memory then disk) so the input is computed once, not once a pass.
     vals = df.select(v.cast("double").alias("v")).where(
-        F.col("v").isNotNull() & ~F.isnan("v"))
+        F.col("v").isNotNull() & ~F.isnan("v")).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _median_of(vals, buckets, max_candidates)
+    finally:
+        vals.unpersist()
+
+
+def _median_of(vals: DataFrame, buckets: int, max_candidates: int) -> float | None:
     x = F.col("v")
     finite = (x != float("inf")) & (x != float("-inf"))
     st = vals.agg(F.count(F.lit(1)).alias("n"),

@@ -66,9 +66,10 @@ def relative_indicators(df: DataFrame) -> DataFrame:
 def relative_anomalies(df: DataFrame, exact_median: bool = True) -> DataFrame:
     """Anomaly score uses the median volume of the rows in ``df`` itself.
 
-    The exact median runs its own passes over ``df`` (typically 2-4 narrow
-    scans), so persist ``df`` when it is expensive to recompute, as
-    ``run_relative`` does; ``exact_median=False`` uses one sketch aggregate.
+    The exact median computes ``df`` once and keeps only its volume column
+    across its passes; the scoring then reads ``df`` again, so persist ``df``
+    when it is expensive to recompute, as ``run_relative`` does.
+    ``exact_median=False`` uses one sketch aggregate instead.
     """
     c = F.col
     med = population_median(df, "volume_usd", exact=exact_median)
