@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tickwise.llm.common import table
+from tickwise.llm.huffman import read_tokens, write_tokens
 from tickwise.llm.packing import pack
 from tickwise.llm.sharding import shard_rows
+from tickwise.session import new_scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,8 +23,15 @@ def op8_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_rows(table(spark, sf_dir, "documents"), shards=24)
 
 
+def op10_huffman_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_scratch_dir(spark, "tokens")
+    write_tokens(table(spark, sf_dir, "documents"), path)
+    return read_tokens(spark, path, ids=False)
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op4_best_fit_packing, op8_jump_sharding)}
+    return {f.__name__: f for f in (
+        op4_best_fit_packing, op8_jump_sharding, op10_huffman_token_files)}
 
 
 def oracle_sql() -> dict[str, str]:
