@@ -1,0 +1,37 @@
+"""Word-by-word ids equal the library's ids of the whole text."""
+
+import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tickwise.llm.tokens import vocabulary, word_ids
+
+PIECES = st.sampled_from(["the", "Thwh", "é", "É", "ß", "n't", "'s", "###", "\"###", "&&&", "9", "½",
+                          "́", " ", "\x1c", "\x85", "<|endoftext|>", "<|ENDOFTEXT|>",
+                          "<", ">", "|", "%", ".", ",", "中文", "Σ", " ", "a@b.c"])
+GAPS = st.sampled_from([" ", "", "\n", "\t ", "\x0b", "\x0c", "\r\n"])
+
+
+def whole(text):
+    return np.array(word_ids(vocabulary()).library.encode(
+        text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.tuples(PIECES, GAPS), max_size=12))
+def test_pieces(parts):
+    text = "".join(a + b for a, b in parts)
+    assert word_ids(vocabulary()).ids(text.encode()) == whole(text)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(max_size=60))
+def test_any_text(text):
+    assert word_ids(vocabulary()).ids(text.encode()) == whole(text)
+
+
+def test_more_words_than_remembered(monkeypatch):
+    monkeypatch.setattr("tickwise.llm.tokens.KEEP_WORDS", 3)
+    text = "one two three four five six. seven! one two three"
+    for _ in range(3):
+        assert word_ids(vocabulary()).ids(text.encode()) == whole(text)

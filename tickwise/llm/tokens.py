@@ -61,7 +61,9 @@ class WordIds:
             if b"<|" in w:                       # may hold an added token
                 known[w] = self._encode(w)
                 continue
-            stem = w.rstrip(_TAIL) or w          # "the," is "the" and ","
+            stem = w.rstrip(_TAIL)               # "the," is "the" and ","
+            if not stem.decode()[-1:].isalpha():  # but '",' is one pre-token
+                stem = w
             low = stem.lower()                   # the normalizer lower-cases
             tail = w[len(stem):]
             parts.append((w, low, tail))
