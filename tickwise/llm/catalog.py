@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tickwise.llm.common import table
 from tickwise.llm.huffman import read_tokens, write_tokens
+from tickwise.llm.neardup import near_duplicates
 from tickwise.llm.packing import pack
 from tickwise.llm.sharding import shard_rows
 from tickwise.session import new_scratch_dir
@@ -23,6 +24,10 @@ def op8_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_rows(table(spark, sf_dir, "documents"), shards=24)
 
 
+def op9_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+
+
 def op10_huffman_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_scratch_dir(spark, "tokens")
     write_tokens(table(spark, sf_dir, "documents"), path)
@@ -31,7 +36,8 @@ def op10_huffman_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
-        op4_best_fit_packing, op8_jump_sharding, op10_huffman_token_files)}
+        op4_best_fit_packing, op8_jump_sharding,
+        op9_minhash_near_duplicates, op10_huffman_token_files)}
 
 
 def oracle_sql() -> dict[str, str]:
