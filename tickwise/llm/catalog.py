@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tickwise.llm.common import table
+from tickwise.llm.decontam import leaky_documents
 from tickwise.llm.huffman import read_tokens, write_tokens
 from tickwise.llm.neardup import near_duplicates
 from tickwise.llm.packing import pack
@@ -20,6 +21,11 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaky_documents(table(spark, sf_dir, "documents"),
+                           table(spark, sf_dir, "benchmark"))
+
+
 def op8_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_rows(table(spark, sf_dir, "documents"), shards=24)
 
@@ -36,7 +42,7 @@ def op10_huffman_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
-        op4_best_fit_packing, op8_jump_sharding,
+        op4_best_fit_packing, op7_benchmark_decontamination, op8_jump_sharding,
         op9_minhash_near_duplicates, op10_huffman_token_files)}
 
 
