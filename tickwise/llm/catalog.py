@@ -11,6 +11,7 @@ from tickwise.llm.decontam import leaky_documents
 from tickwise.llm.huffman import read_tokens, write_tokens
 from tickwise.llm.neardup import near_duplicates
 from tickwise.llm.packing import pack
+from tickwise.llm.pii import personal_data
 from tickwise.llm.sharding import shard_rows
 from tickwise.session import new_scratch_dir
 
@@ -21,6 +22,10 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(table(spark, sf_dir, "documents"))
+
+
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaky_documents(table(spark, sf_dir, "documents"),
                            table(spark, sf_dir, "benchmark"))
@@ -42,7 +47,7 @@ def op10_huffman_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
-        op4_best_fit_packing, op7_benchmark_decontamination, op8_jump_sharding,
+        op4_best_fit_packing, op6_personal_data, op7_benchmark_decontamination, op8_jump_sharding,
         op9_minhash_near_duplicates, op10_huffman_token_files)}
 
 
