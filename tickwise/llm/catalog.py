@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tickwise.llm.common import table
 from tickwise.llm.decontam import leaky_documents
 from tickwise.llm.huffman import read_tokens, write_tokens
+from tickwise.llm.langid import identified
 from tickwise.llm.neardup import near_duplicates
 from tickwise.llm.packing import pack
 from tickwise.llm.pii import personal_data
@@ -18,6 +19,10 @@ from tickwise.session import new_scratch_dir
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identified(table(spark, sf_dir, "documents"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
@@ -45,10 +50,17 @@ def op10_huffman_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(spark, path, ids=False)
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
-        op4_best_fit_packing, op6_personal_data, op7_benchmark_decontamination, op8_jump_sharding,
-        op9_minhash_near_duplicates, op10_huffman_token_files)}
+        op2_language_id, op4_best_fit_packing, op6_personal_data,
+        op7_benchmark_decontamination, op8_jump_sharding, op9_minhash_near_duplicates,
+        op10_huffman_token_files, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickwise.llm.common import mix31, ship, stored, texts_of
@@ -272,3 +272,21 @@ def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int64()),
                                        pa.array([x[1] for x in found], pa.int64())],
                                       names=["a", "b"])
+
+
+def without_near_duplicates(docs: DataFrame, **settings) -> DataFrame:
+    """One document of each component, with all its columns: the one with the
+    smallest doc_id. Of rows that repeat the kept id, one stays, with the
+    smallest text; a row without id stays."""
+    found = near_duplicates(docs, **settings)
+    # an id has one component; an id on several rows needs a choice among them
+    by_id = (found.where("doc_id is not null").groupBy(F.col("doc_id").alias("_id"))
+             .agg(F.count(F.lit(1)).alias("_rows"), F.max("kept").alias("_kept")))
+    gone = by_id.where("not _kept or _rows > 1").select("_id")
+    same = docs["doc_id"].cast("long") == F.col("_id")
+    once = docs.join(gone, same, "left_anti")
+    several = by_id.where("_kept and _rows > 1").select("_id")
+    order = Window.partitionBy("_id").orderBy(F.col("text").asc_nulls_first())
+    chosen = (docs.join(several, same).withColumn("_place", F.row_number().over(order))
+              .where("_place = 1").select(*[F.col(f"`{c}`") for c in docs.columns]))
+    return once.union(chosen)
