@@ -43,11 +43,11 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(app)
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """The rows, written to the shared scratch folder and read back: cuts the
     lineage in a way that survives lost executors."""
     path = new_scratch_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -28,13 +28,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tickwise.llm.common import arrow_rows, ship, texts_of
+from tickwise.llm.common import arrow_rows, ship, stored, texts_of
 from tickwise.llm.tokens import vocabulary, word_ids
 
 MAGIC = b"TWH1"
 END_ID = 1
 MAX_BITS = 18
-BLOCK_TOKENS = 1 << 18
+BLOCK_TOKENS = 1 << 17
 CHECKPOINT = 256
 
 _BLOCKS = "part int, block int, start long, n_docs int, n_tokens long, data binary"
@@ -145,27 +145,67 @@ class Decoder:
         return [None if n else k for k, n in zip(known, null)], sizes, ids
 
 
-def id_counts(docs: DataFrame, end_id: int, vocab: str) -> np.ndarray:
-    """How often each id occurs in all documents. Tasks send one row for each
-    id they met; the driver gets one row for each id of the vocabulary."""
+_RAW = ("part int, block int, start long, n_tokens long, doc_ids array<long>, "
+        "sizes array<int>, ids binary")
+
+
+def raw_blocks(docs: DataFrame, end_id: int, vocab: str, block_tokens: int) -> DataFrame:
+    """Ids of all documents in ascending doc_id order, in uncoded blocks."""
+    schema = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("start", pa.int64()),
+                        ("n_tokens", pa.int64()), ("doc_ids", pa.list_(pa.int64())),
+                        ("sizes", pa.list_(pa.int32())), ("ids", pa.binary())])
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        coder, part = word_ids(vocab), TaskContext.get().partitionId()
+        end = int(end_id).to_bytes(4, "little")
+        names, held, size, block, start = [], [], 0, 0, 0
+
+        def flush() -> pa.RecordBatch:
+            ids = np.frombuffer(b"".join(held), "<u4").astype(_dtype(coder.size, end_id))
+            return pa.RecordBatch.from_arrays([pa.array([v], t.type) for v, t in zip(
+                (part, block, start, size, names, [len(x) // 4 for x in held], ids.tobytes()),
+                schema)], schema=schema)
+
+        for batch in batches:
+            for name, text in zip(batch.column(0).to_pylist(), texts_of(batch.column(1))):
+                ids = coder.ids(text) + end
+                names.append(name)
+                held.append(ids)
+                size += len(ids) // 4
+                if size >= block_tokens:
+                    yield flush()
+                    block, start = block + 1, start + size
+                    names, held, size = [], [], 0
+        if names:
+            yield flush()
+
     ship(docs.sparkSession)
+    return (docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+            .repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+            .mapInArrow(cut, _RAW))
 
+
+def _dtype(vocab_size: int, end_id: int) -> str:
+    return "<u2" if max(vocab_size - 1, end_id) < 1 << 16 else "<u4"
+
+
+def id_counts(raw: DataFrame, dtype: str) -> np.ndarray:
+    """How often each id occurs in all blocks. Tasks send one row for each id
+    they met; the driver gets one row for each id of the vocabulary."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = word_ids(vocab)
-        seen = np.zeros(max(coder.size, end_id + 1), np.int64)
+        seen = np.zeros(0, np.int64)
         for batch in batches:
-            for text in texts_of(batch.column(0)):
-                ids = np.frombuffer(coder.ids(text), "<u4")
-                if len(ids) > 4096:
-                    seen += np.bincount(ids, minlength=len(seen))
-                else:
-                    np.add.at(seen, ids, 1)
-                seen[end_id] += 1
+            for data in batch.column(0):
+                own = np.bincount(np.frombuffer(data.as_py(), dtype), minlength=len(seen))
+                own[:len(seen)] += seen
+                seen = own
         found = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays(
             [pa.array(found.astype(np.int32)), pa.array(seen[found])], names=["id", "n"])
 
-    rows = (docs.select(F.col("text").cast("string")).mapInArrow(count, "id int, n long")
+    rows = (raw.select("ids").mapInArrow(count, "id int, n long")
             .groupBy("id").agg(F.sum("n").alias("n")).collect())
     counts = np.zeros(max([r["id"] for r in rows], default=0) + 1, np.int64)
     for r in rows:
@@ -178,48 +218,30 @@ def write_tokens(docs: DataFrame, path: str, end_id: int = END_ID, vocab: str |
     """Writes the ids of every document's whole text and ``end_id`` to ``path``,
     in ascending doc_id order (nulls first).
 
-    Null or empty text is the end id alone; repeated rows are kept; extra
-    columns are ignored; an empty input gives a file set without blocks.
+    Texts are tokenized once; their uncoded blocks wait in the shared scratch
+    folder for the global counts. Null or empty text is the end id alone;
+    repeated rows are kept; extra columns are ignored; an empty input gives a
+    file set without blocks.
     """
     spark, vocab = docs.sparkSession, vocab or vocabulary()
-    lengths = code_lengths(id_counts(docs, end_id, vocab), max_bits)
+    raw = stored(raw_blocks(docs, end_id, vocab, block_tokens), "ids", "zstd")
+    dtype = _dtype(word_ids(vocab).size, end_id)
+    lengths = code_lengths(id_counts(raw, dtype), max_bits)
     used = np.flatnonzero(lengths)
     spark.createDataFrame([(int(i), int(lengths[i])) for i in used], "id int, length int") \
         .coalesce(1).write.parquet(f"{path}/codebook")
     codes, _ = canonical(lengths)
-    schema = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("start", pa.int64()),
-                        ("n_docs", pa.int32()), ("n_tokens", pa.int64()), ("data", pa.binary())])
 
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        coder, part = word_ids(vocab), TaskContext.get().partitionId()
-        end = int(end_id).to_bytes(4, "little")
-        names, held, size, block, start = [], [], 0, 0, 0
-
-        def flush() -> pa.RecordBatch:
-            sizes = np.array([len(x) // 4 for x in held], np.int64)
-            data = encode_block(np.frombuffer(b"".join(held), "<u4"), names, sizes,
+    def encode(batch: pa.RecordBatch) -> Iterator[dict]:
+        for row in range(batch.num_rows):
+            got = {n: batch.column(i)[row].as_py() for i, n in enumerate(batch.schema.names)}
+            ids = np.frombuffer(got["ids"], dtype)
+            data = encode_block(ids, got["doc_ids"], np.array(got["sizes"], np.int64),
                                 codes, lengths)
-            return pa.RecordBatch.from_arrays([pa.array([v], t.type) for v, t in zip(
-                (part, block, start, len(names), size, data), schema)], schema=schema)
-
-        for batch in batches:
-            for name, text in zip(batch.column(0).to_pylist(), texts_of(batch.column(1))):
-                ids = coder.ids(text) + end
-                names.append(name)
-                held.append(ids)
-                size += len(ids) // 4
-                if size >= block_tokens:
-                    yield flush()
-                    block, start = block + 1, start + size
-                    names, held, size = [], [], 0
-        if names:
-            yield flush()
+            yield {**{k: [got[k]] for k in ("part", "block", "start", "n_tokens")},
+                   "n_docs": [len(got["doc_ids"])], "data": [data]}
 
-    (docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-     .repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-     .mapInArrow(encode, _BLOCKS).write.parquet(f"{path}/blocks"))
+    arrow_rows(raw, encode, _BLOCKS).write.parquet(f"{path}/blocks")
 
 
 def read_tokens(spark: SparkSession, path: str, ids: bool = True) -> DataFrame:
