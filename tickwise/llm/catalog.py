@@ -10,6 +10,7 @@ from tickwise.llm.common import table
 from tickwise.llm.decontam import leaky_documents
 from tickwise.llm.huffman import read_tokens, write_tokens
 from tickwise.llm.langid import identified
+from tickwise.llm.licenses import find_licenses
 from tickwise.llm.neardup import near_duplicates
 from tickwise.llm.packing import pack
 from tickwise.llm.pii import personal_data
@@ -23,6 +24,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identified(table(spark, sf_dir, "documents"))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_licenses(table(spark, sf_dir, "documents"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
@@ -58,7 +63,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
-        op2_language_id, op4_best_fit_packing, op6_personal_data,
+        op2_language_id, op3_license_scan, op4_best_fit_packing, op6_personal_data,
         op7_benchmark_decontamination, op8_jump_sharding, op9_minhash_near_duplicates,
         op10_huffman_token_files, pipeline)}
 
