@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tickwise.llm.ann import search
 from tickwise.llm.common import table
 from tickwise.llm.decontam import leaky_documents
 from tickwise.llm.huffman import read_tokens, write_tokens
@@ -32,6 +33,10 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op5_posting_list_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "embeddings"), every=20, k=20)
+
+
 def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(table(spark, sf_dir, "documents"))
 
@@ -63,7 +68,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
-        op2_language_id, op3_license_scan, op4_best_fit_packing, op6_personal_data,
+        op2_language_id, op3_license_scan, op4_best_fit_packing,
+        op5_posting_list_search, op6_personal_data,
         op7_benchmark_decontamination, op8_jump_sharding, op9_minhash_near_duplicates,
         op10_huffman_token_files, pipeline)}
 
