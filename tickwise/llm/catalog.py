@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tickwise.llm.ann import search
 from tickwise.llm.common import table
 from tickwise.llm.decontam import leaky_documents
+from tickwise.llm.html import extract
 from tickwise.llm.huffman import read_tokens, write_tokens
 from tickwise.llm.langid import identified
 from tickwise.llm.licenses import find_licenses
@@ -21,6 +22,10 @@ from tickwise.session import new_scratch_dir
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identified(table(spark, sf_dir, "documents"))
 
@@ -68,7 +73,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
-        op2_language_id, op3_license_scan, op4_best_fit_packing,
+        op1_html_main_text, op2_language_id, op3_license_scan, op4_best_fit_packing,
         op5_posting_list_search, op6_personal_data,
         op7_benchmark_decontamination, op8_jump_sharding, op9_minhash_near_duplicates,
         op10_huffman_token_files, pipeline)}
