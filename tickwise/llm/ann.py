@@ -30,8 +30,9 @@ CENTROIDS = 256          # at most; fewer for small samples
 SPLIT = 2.0              # a list over this share of the mean is split
 REPLICAS = 4             # lists a boundary vector is posted to, at most
 BOUNDARY = 1.15          # ratio of distances within which it is posted
-PROBES = 48              # lists a query searches, at most
-RATIO = 1.6              # ratio of distances within which a list is searched
+PROBES = 64              # lists a query searches, at most
+LEAST = 32               # lists it searches in any case: next to a centroid, the
+RATIO = 1.6              # ratio of distances alone would leave only that one
 DEGREE, BEAM = 24, 96    # of the centroid graph and of its search
 BLOCK = 2048             # vectors, and queries, that meet in one task at a time
 
@@ -77,9 +78,13 @@ def balanced_centroids(x: np.ndarray, k: int, seed: int = 1) -> np.ndarray:
 
 
 class Centroids:
-    """Centroids with a neighbour graph, searched by a beam from an entry."""
+    """Centroids with a neighbour graph, searched by a beam from an entry. They
+    lie on the sphere of the vectors: else the shorter mean of a loose cluster
+    would be near to every query."""
 
     def __init__(self, points: np.ndarray, radius2: float):
+        length = np.linalg.norm(points, axis=1, keepdims=True)
+        points = points / np.where(length > 0, length, 1) * np.sqrt(radius2)
         self.points, self.radius2 = points.astype(np.float32), radius2
         d = _distances(self.points, self.points)
         near = np.argsort(d, axis=1, kind="stable")[:, :DEGREE + 1]
@@ -191,6 +196,7 @@ def _search(rows: DataFrame, every: int, k: int, sample: int, probes: int) -> Da
                                         .astype(np.float32))
                     if queries:
                         take = far <= far[:, :1] * RATIO ** 2 + 1e-12
+                        take[:, :LEAST] = True
                         take[:, probes:] = False
                     else:
                         take = far <= far[:, :1] * BOUNDARY ** 2 + 1e-12
