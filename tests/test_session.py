@@ -1,14 +1,16 @@
 import os
 
+import pytest
+
 from tickwise import session
 
 
 class _Conf:
-    def __init__(self, value):
-        self.value = value
+    def __init__(self, value, master="local[4]"):
+        self.value, self.master = value, master
 
     def get(self, key, default=None):
-        return self.value if key == "spark.checkpoint.dir" else default
+        return {"spark.checkpoint.dir": self.value, "spark.master": self.master}.get(key) or default
 
 
 class _Ctx:
@@ -23,8 +25,8 @@ class _Ctx:
 
 
 class _Spark:
-    def __init__(self, conf_value=None, ctx_base=None):
-        self.conf = _Conf(conf_value)
+    def __init__(self, conf_value=None, ctx_base=None, master="local[4]"):
+        self.conf = _Conf(conf_value, master)
         self.sparkContext = _Ctx(ctx_base)
 
 
@@ -47,3 +49,12 @@ def test_scratch_dirs_are_fresh():
     s = _Spark(conf_value="/shared/ckpt")
     a, b = session.new_scratch_dir(s, "x"), session.new_scratch_dir(s, "x")
     assert a != b and a.startswith("/shared/ckpt/tickwise-x-")
+
+
+def test_no_scratch_on_a_cluster_without_a_shared_folder():
+    for master in ("spark://host:7077", "yarn", "local-cluster[3,2,1024]"):
+        s = _Spark(master=master)
+        with pytest.raises(RuntimeError):
+            session.scratch_root(s)
+        assert s.sparkContext.set_to is None
+        assert session.scratch_root(_Spark(conf_value="/shared", master=master)) == "/shared"

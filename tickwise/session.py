@@ -2,8 +2,9 @@
 
 Scratch output (landed snapshots, sink tables, stream checkpoints) lives
 under the folder the cluster names in ``spark.checkpoint.dir`` so that every
-executor sees it. Only when that setting is absent (local tests) do we
-create a folder of our own and register it as the checkpoint directory.
+executor sees it. Where that setting is absent, a local master (tests) gets a
+folder of its own, registered as the checkpoint directory; any other master
+stops with an error, since a folder of the driver's machine is not shared.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str | None = None, app: str = "tickwise",
@@ -50,10 +51,19 @@ def _checkpoint_base(spark: SparkSession) -> str | None:
         return None
 
 
+def _is_local(spark: SparkSession) -> bool:
+    """One process: a folder of this machine is shared by all of it."""
+    master = spark.conf.get("spark.master", None) or ""
+    return master == "local" or master.startswith("local[")
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables; set up only when unset."""
     base = _checkpoint_base(spark)
     if not base:
+        if not _is_local(spark):
+            raise RuntimeError("spark.checkpoint.dir is not set: intermediate tables need a "
+                               "folder that all executors share")
         base = tempfile.mkdtemp(prefix="run-", dir="/tmp")
         try:
             spark.sparkContext.setCheckpointDir(base)
@@ -67,6 +77,14 @@ def new_scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/tickwise-{label}-{uuid.uuid4().hex[:12]}"
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The rows, written once to the scratch folder and read back: later passes
+    read only the columns they need, and a lost executor loses nothing."""
+    path = new_scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
