@@ -18,10 +18,41 @@ def test_ranked_lists_ties_missing_and_k(spark):
     assert not any(math.isnan(r.x) for r in out.hi_x)
 
 
-def test_summary_top_lists_plan_bounded(spark):
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_summary_top_lists_from_one_bounded_read(spark):
     df = spark.createDataFrame([("A", 1.0, 2.0)], "symbol string, x double, y double")
     lists = D._ranked_lists(df, {"a": ("x", 5, ["symbol", "x"], True),
                                  "b": ("y", 5, ["symbol", "y"], False)})
-    plan = lists._jdf.queryExecution().executedPlan().toString()
-    # one bounded top-k per list: k rows per task, never a full sort or shuffle
-    assert plan.count("TakeOrderedAndProject") == 2
+    plan = _plan(lists)
+    # k rows per task and list before the shuffle, from one read
+    assert "WindowGroupLimit" in plan and plan.count("Scan ExistingRDD") == 1
+
+
+def test_summaries_read_their_rows_at_most_twice(spark):
+    from tickwise.plans import jobs, serving
+    from tickwise.session import new_scratch_dir
+    from tickwise.sources.fixture import ticker_snapshot
+
+    from conftest import SF_SMALL
+
+    for run, summary in ((jobs.run_absolute, D.summary_a), (jobs.run_relative, D.summary_b)):
+        out = new_scratch_dir(spark, "sum")
+        run(spark, ticker_snapshot(spark, SF_SMALL), out)
+        rows = serving.read_collection(spark, out, "processed_data")
+        assert _plan(summary(rows)).count("FileScan parquet") <= 2
+
+
+def test_top_lists_put_missing_values_last(spark):
+    from tickwise.operators.aggregates import top_k
+
+    df = spark.createDataFrame([("C", None), ("A", 1.0), ("B", float("nan")), ("D", 1.0)],
+                               "symbol string, x double")
+    for largest in (True, False):
+        got = [r.symbol for r in top_k(df, "x", 5, ["symbol"], largest).collect()]
+        assert got == ["A", "D", "B", "C"]
+        lists = D._ranked_lists(df, {"a": ("x", 5, ["symbol", "x"], largest)}).first().a
+        assert [r.symbol for r in lists] == got
+    assert [r.symbol for r in top_k(df, "x", 1, ["symbol"]).collect()] == ["A"]

@@ -13,8 +13,9 @@ runs its own small jobs and returns a Python value):
    spread evenly, later passes are linear. Every pass strictly shrinks the
    range, and a value holding a third of all rows is just one bucket count;
 3. once the range holds at most ``max_candidates`` distinct values (judged
-   by ``approx_count_distinct``), those distinct values with their
-   multiplicities are ranked exactly.
+   by ``approx_count_distinct``, or by the number of rows), those distinct
+   values with their multiplicities are ranked exactly. This only ends the
+   passes sooner: the result is the same from either way.
 
 Only bounded scalars and bucket summaries reach the driver; every pass is a
 deterministic job, so a lost executor just re-runs its tasks.
@@ -22,7 +23,8 @@ deterministic job, so a lost executor just re-runs its tasks.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,15 +35,14 @@ def _monotone(c: Column) -> Column:
 
 def exact_median_value(df: DataFrame, col: str, buckets: int = 1024,
                        max_candidates: int = 100_000) -> float | None:
-    v = F.col(col)
-    # The passes below read only this one double column: keep it (8 bytes a
-    # row, memory then disk) so the input is computed once, not once a pass.
-    vals = df.select(v.cast("double").alias("v")).where(
-        F.col("v").isNotNull() & ~F.isnan("v")).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return _median_of(vals, buckets, max_candidates)
-    finally:
-        vals.unpersist()
+    """The exact median of the column's values, None without any.
+
+    Every pass reads this one column of ``df``: give rows read from a table
+    (``session.stored``), or the input is computed again for each pass.
+    """
+    vals = df.select(F.col(col).cast("double").alias("v")).where(
+        F.col("v").isNotNull() & ~F.isnan("v"))
+    return _median_of(vals, buckets, max_candidates)
 
 
 def _median_of(vals: DataFrame, buckets: int, max_candidates: int) -> float | None:
@@ -69,7 +70,11 @@ def _median_of(vals: DataFrame, buckets: int, max_candidates: int) -> float | No
     elif rest:
         found.update(_select_ranks(vals.where(finite), rest, st["lo"], st["hi"],
                                    st["neg"], buckets, max_candidates))
-    return (found[ranks[0]] + found[ranks[-1]]) / 2
+    a, b = found[ranks[0]], found[ranks[-1]]
+    middle = (a + b) / 2
+    # the sum of two large values can overflow where their middle does not
+    return a / 2 + b / 2 if math.isinf(middle) and math.isfinite(a) and math.isfinite(b) \
+        else middle
 
 
 def _select_ranks(vals: DataFrame, ranks: list[int], lo: float, hi: float, below: int,
@@ -107,8 +112,6 @@ def _select_ranks(vals: DataFrame, ranks: list[int], lo: float, hi: float, below
 
 
 def _mono(x: float) -> float:
-    import math
-
     return math.copysign(math.log1p(abs(x)), x) if x else 0.0
 
 

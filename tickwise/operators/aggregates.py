@@ -121,8 +121,16 @@ def top_k(df: DataFrame, by: str, k: int, columns: Sequence[str | Column],
           largest: bool = True, tie: str = "symbol") -> DataFrame:
     """k rows with the largest (or smallest) ``by``; ties broken by ``tie``.
 
-    Rows with a missing ``by`` never rank, as with nlargest/nsmallest.
+    Rows with a missing ``by`` come after all others.
     """
-    order = F.desc(by) if largest else F.asc(by)
-    return (df.where(F.col(by).isNotNull() & ~F.isnan(by))
-            .orderBy(order, F.asc(tie)).limit(k).select(*columns))
+    key = missing_last(df, by)
+    order = key.desc_nulls_last() if largest else key.asc_nulls_last()
+    return df.orderBy(order, F.asc(tie)).limit(k).select(*columns)
+
+
+def missing_last(df: DataFrame, by: str) -> Column:
+    """``by`` with NaN as NULL, to be ordered with NULLs last."""
+    value = F.col(by)
+    if df.schema[by].dataType.typeName() in ("double", "float"):
+        return F.when(~F.isnan(value), value)
+    return value

@@ -2,22 +2,14 @@
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tickwise import rules as R
 from tickwise.functions import ladder, num
+from tickwise.functions.stamps import stamp
 from tickwise.schema import SNAKE
 
-def _ts(run_ts: _dt.datetime | Column | None) -> Column:
-    if run_ts is None:
-        return F.current_timestamp()
-    if isinstance(run_ts, Column):
-        return run_ts
-    return F.lit(run_ts).cast("timestamp")
-
 
 def cast_feed(df: DataFrame, run_ts=None, observation: Observation | None = None) -> DataFrame:
     """Feed fields -> snake_case doubles plus the processing timestamp.
@@ -33,7 +25,7 @@ def cast_feed(df: DataFrame, run_ts=None, observation: Observation | None = None
     cols = [F.col("symbol")]
     for feed, snake in SNAKE.items():
         cols.append(num(feed, types.get(feed) == "string").alias(snake))
-    cols.append(_ts(run_ts).alias("processing_timestamp"))
+    cols.append(stamp(run_ts).alias("processing_timestamp"))
     parsed = df.select(*cols)
     if parsed.isStreaming:
         return parsed

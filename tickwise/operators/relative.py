@@ -14,6 +14,7 @@ from tickwise.functions import (ieee_div, ladder, num, population_median, right_
                                 signal_rules)
 from tickwise.operators.cleaning import scored_metrics
 from tickwise.schema import ANOMALY_LABELS_B, NUMERIC_FEED, RISK_LABELS_B
+from tickwise.session import stored
 
 
 def cast_relative(df: DataFrame) -> DataFrame:
@@ -66,10 +67,10 @@ def relative_indicators(df: DataFrame) -> DataFrame:
 def relative_anomalies(df: DataFrame, exact_median: bool = True) -> DataFrame:
     """Anomaly score uses the median volume of the rows in ``df`` itself.
 
-    The exact median computes ``df`` once and keeps only its volume column
-    across its passes; the scoring then reads ``df`` again, so persist ``df``
-    when it is expensive to recompute, as ``run_relative`` does.
-    ``exact_median=False`` uses one sketch aggregate instead.
+    The exact median reads its one column of ``df`` in several passes and the
+    scoring reads ``df`` once more, so ``df`` should come from a table, as
+    ``score_relative`` provides. ``exact_median=False`` uses one sketch
+    aggregate instead.
     """
     c = F.col
     med = population_median(df, "volume_usd", exact=exact_median)
@@ -97,8 +98,11 @@ def score_relative(raw: DataFrame, exact_median: bool = True,
                    observation: Observation | None = None) -> DataFrame:
     """Full profile B; with an ``observation`` the scored rows and critical
     alerts are counted on the way out."""
-    scored = (raw.transform(filter_relative).transform(relative_indicators)
-              .transform(relative_anomalies, exact_median))
+    base = relative_indicators(filter_relative(raw))
+    if exact_median and not raw.isStreaming:
+        # one reading of the input: the passes and the scoring use the written rows
+        base = stored(base, "relative")
+    scored = relative_anomalies(base, exact_median)
     if observation is None or scored.isStreaming:
         return scored
     return scored.observe(observation, *scored_metrics())
