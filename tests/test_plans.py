@@ -3,11 +3,12 @@
 import pytest
 
 import __spark_entry__ as entry
+from tickwise.plans import catalog
 from tickwise.sources.fixture import ticker_fixture
 
 from conftest import SF_SMALL
 
-PURE = [k for k in entry.queries()
+PURE = [k for k in catalog.queries()
         if k.split("_")[0] in ("clean", "ind", "anom", "b", "agg", "top", "alerts", "summary")]
 
 

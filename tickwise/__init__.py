@@ -11,8 +11,7 @@ from tickwise.operators.documents import alerts_a, alerts_b, summary_a, summary_
 from tickwise.operators.indicators import add_indicators
 from tickwise.operators.relative import (filter_relative, relative_anomalies,
                                          relative_indicators, score_relative)
-from tickwise.plans.jobs import (replay_latest, run_absolute, run_relative,
-                                 write_results)
+from tickwise.plans.jobs import (replay_latest, run_absolute, run_relative)
 from tickwise.sources.sinks import append_raw, land_snapshot, list_snapshots
 from tickwise.sources.snapshots import read_latest_snapshot, read_ticker
 
@@ -23,5 +22,5 @@ __all__ = [
     "cast_feed", "clean", "filter_relative", "land_snapshot", "list_snapshots",
     "read_latest_snapshot", "read_ticker", "relative_anomalies",
     "relative_indicators", "replay_latest", "run_absolute", "run_relative",
-    "score_absolute", "score_relative", "summary_a", "summary_b", "write_results",
+    "score_absolute", "score_relative", "summary_a", "summary_b",
 ]

@@ -25,14 +25,17 @@ from tickwise.operators.relative import (cast_relative, filter_relative,
 from tickwise.plans import jobs, serving
 from tickwise.plans import oracle as O
 from tickwise.schema import LABELS_A, RAW, SNAPSHOT_GLOB, SNAPSHOT_PREFIX
-from tickwise.session import new_scratch_dir
+from tickwise.session import new_scratch_dir, stored
 from tickwise.sources import sinks
 from tickwise.sources import snapshots as S
-from tickwise.sources.fixture import landed_fixture, ticker_snapshot
+from tickwise.sources.fixture import app_id, landed_fixture, ticker_snapshot
 from tickwise.streaming.snapshots import stream_snapshots
 
 TS = "processing_timestamp"
-RUN_TS = _dt.datetime(2024, 6, 1, 8, 30, 0)
+RUN_TS = _dt.datetime(2024, 6, 1, 8, 30, 0, tzinfo=_dt.timezone.utc)
+RUN_TEXT = "2024-06-01 08:30:00"
+LATER_TS = RUN_TS + _dt.timedelta(minutes=5)
+LATER_TEXT = "2024-06-01 08:35:00"
 OLDER_STAMP = "20240315_120000"        # compact stamp, ranks above by name
 NEWER_STAMP = "2024-06-01_08-30-00"    # dashed stamp, newer by time
 
@@ -64,6 +67,11 @@ def cast_rows(df: DataFrame) -> DataFrame:
     return cast_feed(df).drop(TS)
 
 
+def with_stamp_text(df: DataFrame, ts: str = TS) -> DataFrame:
+    """The stored stamp as text, to the second, for the comparison."""
+    return df.withColumn(ts, F.date_format(ts, "yyyy-MM-dd HH:mm:ss"))
+
+
 def _sel(spark_fn, *cols):
     return lambda spark, sf: spark_fn(spark, sf).select(*cols)
 
@@ -151,8 +159,9 @@ register("agg_totals",
          "round(avg(price_change_percent), 6) AS average_price_change FROM a_all")(
     lambda spark, sf: A.totals(a_rows(spark, sf)))
 register("agg_median_volume", "SELECT median(volume_usd) AS median_volume_usd FROM b_ind")(
-    lambda spark, sf: exact_median(
-        relative_indicators(filter_relative(raw(spark, sf))), "volume_usd")
+    lambda spark, sf: exact_median(stored(
+        relative_indicators(filter_relative(raw(spark, sf))).select("volume_usd"), "volume"),
+        "volume_usd")
     .withColumnRenamed("median", "median_volume_usd"))
 register("agg_distributions_a", O.label_counts("a_all", A.DIMENSIONS_A))(
     lambda spark, sf: A.distributions_a(a_rows(spark, sf)))
@@ -180,8 +189,8 @@ register("serve_filter_options",
 # ----------------------------------------------------------------- top-k
 def _top_sql(src, by, k, cols, largest=True):
     d = "DESC" if largest else "ASC"
-    return (f"SELECT {', '.join(cols)} FROM {src} WHERE {by} IS NOT NULL "
-            f"ORDER BY {by} {d}, symbol LIMIT {k}")
+    return (f"SELECT {', '.join(cols)} FROM {src} "
+            f"ORDER BY {by} {d} NULLS LAST, symbol LIMIT {k}")
 
 
 for _key, (_by, _k, _cols, _largest) in {
@@ -247,14 +256,6 @@ register("src_single_file", CAST_A)(
 register("src_dispatch", CAST_A)(
     lambda spark, sf: (lambda d: cast_rows(S.read_ticker(
         spark, file=f"{d}/{SNAPSHOT_GLOB}", directory=d)))(_two_snapshots(spark, sf, True)))
-def _src_rows(spark, sf):
-    """Records handed over in driver memory (a list of dicts), rebuilt as a
-    feed frame; the hand-off is bounded by the preview size (5 rows)."""
-    records = [r.asDict() for r in raw(spark, sf).orderBy("symbol").limit(5).collect()]
-    return cast_rows(S.rows_frame(spark, records))
-
-
-register("src_rows", f"{CAST_A} ORDER BY symbol LIMIT 5")(_src_rows)
 register("src_nonempty", "SELECT count(*) AS records FROM raw")(
     lambda spark, sf: S.ensure_nonempty(raw(spark, sf)).agg(F.count(F.lit(1)).alias("records")))
 register("src_preview",
@@ -266,20 +267,35 @@ register("src_preview",
     .select("symbol", "last_price", "price_change_percent", "volume"))
 
 
-def _stream(spark, sf):
+def _streamed(spark, sf) -> str:
+    """Output folder of two incremental runs, of one snapshot each."""
     d = new_scratch_dir(spark, "stream")
     rows = raw(spark, sf)
-    raw_dir, sink, ckpt = f"{d}/raw", f"{d}/sink", f"{d}/checkpoint"
+    raw_dir, out = f"{d}/raw", f"{d}/out"
     sinks.land_snapshot(rows, raw_dir, OLDER_STAMP)
-    first = stream_snapshots(spark, raw_dir, sink, ckpt, run_ts=RUN_TS)
+    first = stream_snapshots(spark, raw_dir, out, run_ts=RUN_TS)
     sinks.land_snapshot(rows, raw_dir, NEWER_STAMP)
-    second = stream_snapshots(spark, raw_dir, sink, ckpt, run_ts=RUN_TS)
+    second = stream_snapshots(spark, raw_dir, out, run_ts=LATER_TS)
     if (first, second) != (1, 1):
         raise RuntimeError(f"expected one new batch per run, got {first}, {second}")
-    return spark.read.parquet(sink).drop(TS, "batch_id")
+    return out
+
 
+def _twice(tail: str, ts: str = TS) -> str:
+    return " UNION ALL ".join(f"SELECT *, '{t}' AS {ts} FROM {tail}"
+                              for t in (RUN_TEXT, LATER_TEXT))
 
-register("stream_snapshots", "SELECT * FROM a_all UNION ALL SELECT * FROM a_all")(_stream)
+
+register("stream_snapshots", _twice("a_all"))(
+    lambda spark, sf: with_stamp_text(
+        serving.read_collection(spark, _streamed(spark, sf), "processed_data")))
+register("stream_alerts", _twice("a_alerts", "timestamp"))(
+    lambda spark, sf: with_stamp_text(
+        serving.read_collection(spark, _streamed(spark, sf), "critical_alerts"), "timestamp"))
+register("stream_summary", f"SELECT * FROM ({O.summary_a()}) UNION ALL "
+                           f"SELECT * FROM ({O.summary_a()})")(
+    lambda spark, sf: D.flatten_summary(
+        serving.read_collection(spark, _streamed(spark, sf), "market_metrics")))
 
 
 # ----------------------------------------------------------------- sinks
@@ -342,37 +358,81 @@ register("snk_list_snapshots",
 
 
 # ------------------------------------------------------------------ jobs
-def _pipeline_a(spark, sf):
+def _job_a(spark, sf) -> str:
+    """Output of profile A after a batch run and an incremental one."""
     out = new_scratch_dir(spark, "etl")
     jobs.run_absolute(spark, raw(spark, sf), out, run_ts=RUN_TS)
-    return serving.read_collection(spark, out, "processed_data").drop(TS)
+    stream_snapshots(spark, _landed_dir(spark, sf), out, run_ts=LATER_TS)
+    return out
 
 
-def _pipeline_b(spark, sf):
+def _job_b(spark, sf) -> str:
+    """Output of profile B after a run that a second one replaced."""
     out = new_scratch_dir(spark, "analytics")
-    jobs.run_relative(spark, raw(spark, sf), out, run_ts=RUN_TS)
-    return serving.read_collection(spark, out, "processed_data").drop(TS)
+    jobs.run_relative(spark, raw(spark, sf).where("symbol LIKE '%7USDT'"), out, run_ts=RUN_TS)
+    jobs.run_relative(spark, raw(spark, sf), out, run_ts=LATER_TS)
+    return out
+
+
+def _calm_b(spark, sf) -> str:
+    """Profile B, then a run without alerts: prices that do not move."""
+    out = new_scratch_dir(spark, "calm")
+    rows = raw(spark, sf)
+    jobs.run_relative(spark, rows, out, run_ts=RUN_TS)
+    still = rows.where("symbol LIKE '%USDT'").withColumns({
+        "priceChangePercent": F.lit("0"), "volume": F.lit("20000"), "lastPrice": F.lit("100"),
+        "bidPrice": F.lit("99.99"), "askPrice": F.lit("100.01")})
+    jobs.run_relative(spark, still, out, run_ts=LATER_TS)
+    return out
+
+
+def _stored_rows(make, name: str, ts: str):
+    return lambda spark, sf: with_stamp_text(
+        serving.read_collection(spark, make(spark, sf), name), ts)
+
+
+def _stored_summary(make):
+    return lambda spark, sf: D.flatten_summary(
+        serving.read_collection(spark, make(spark, sf), "market_metrics"))
 
 
 def _replay(spark, sf):
     out = new_scratch_dir(spark, "replay")
     jobs.replay_latest(spark, _two_snapshots(spark, sf, older_subset=True), out,
                        run_ts=RUN_TS)
-    return serving.read_collection(spark, out, "processed_data").drop(TS)
+    return out
+
+
+def _at(tail: str, text: str, ts: str = TS) -> str:
+    return f"SELECT *, '{text}' AS {ts} FROM {tail}"
 
 
-register("pipeline_a", "SELECT * FROM a_all")(_pipeline_a)
-register("pipeline_b", "SELECT * FROM b_all")(_pipeline_b)
-register("replay_latest", "SELECT * FROM b_all")(_replay)
+register("pipeline_a", _twice("a_all"))(_stored_rows(_job_a, "processed_data", TS))
+register("pipeline_a_alerts", _twice("a_alerts", "timestamp"))(
+    _stored_rows(_job_a, "critical_alerts", "timestamp"))
+register("pipeline_a_summary", f"SELECT * FROM ({O.summary_a()}) UNION ALL "
+                               f"SELECT * FROM ({O.summary_a()})")(_stored_summary(_job_a))
+register("pipeline_b", _at("b_all", LATER_TEXT))(_stored_rows(_job_b, "processed_data", TS))
+register("pipeline_b_alerts", _at("b_alerts", LATER_TEXT, "timestamp"))(
+    _stored_rows(_job_b, "critical_alerts", "timestamp"))
+register("pipeline_b_summary", O.summary_b())(_stored_summary(_job_b))
+register("pipeline_b_no_alerts",
+         "SELECT count(*) AS total_symbols, 0::BIGINT AS critical_alerts, 0::BIGINT AS alert_rows "
+         "FROM raw WHERE symbol LIKE '%USDT'")(
+    lambda spark, sf: (lambda out: serving.read_collection(spark, out, "market_metrics")
+                       .select("total_symbols", "critical_alerts").withColumn(
+        "alert_rows", serving.read_collection(spark, out, "critical_alerts")
+        .agg(F.count(F.lit(1)).alias("n")).select("n").scalar()))(_calm_b(spark, sf)))
+register("replay_latest", _at("b_all", RUN_TEXT))(_stored_rows(_replay, "processed_data", TS))
 
 
 # --------------------------------------------------------------- serving
-_STORED: dict[tuple[int, str], str] = {}
+_STORED: dict[tuple[str, str], str] = {}
 
 
 def stored_run(spark, sf) -> str:
     """Output folder of one profile A run (shared by the serving queries)."""
-    key = (id(spark), sf)
+    key = (app_id(spark), sf)
     if key not in _STORED:
         out = new_scratch_dir(spark, "store")
         jobs.run_absolute(spark, raw(spark, sf), out, run_ts=RUN_TS)
@@ -380,11 +440,27 @@ def stored_run(spark, sf) -> str:
     return _STORED[key]
 
 
+def _several_runs(spark, sf) -> str:
+    """A whole run, then a later one over a part of the symbols."""
+    out = new_scratch_dir(spark, "runs")
+    rows = raw(spark, sf)
+    jobs.run_absolute(spark, rows, out, run_ts=RUN_TS)
+    jobs.run_absolute(spark, rows.where("symbol LIKE '%7USDT'"), out, run_ts=LATER_TS)
+    return out
+
+
+# the lists of newest rows are limited; totals and tables are over whole runs
 LATEST_A = "(SELECT * FROM a_all ORDER BY symbol LIMIT 1000)"
 LATEST_ALERTS = "(SELECT * FROM a_alerts ORDER BY symbol LIMIT 100)"
 DISPLAY = ("symbol, last_price, price_change_percent, volume_usd, risk_category, "
            "trading_signal, anomaly_level, recommendation")
 
+register("serve_latest_over_runs",
+         f"SELECT * FROM (SELECT *, '{RUN_TEXT}' AS {TS} FROM a_all UNION ALL "
+         f"SELECT *, '{LATER_TEXT}' FROM a_all WHERE symbol LIKE '%7USDT') "
+         f"ORDER BY {TS} DESC, symbol LIMIT 700")(
+    lambda spark, sf: with_stamp_text(
+        serving.latest_processed(spark, _several_runs(spark, sf), n=700)))
 register("serve_latest_processed", f"SELECT * FROM {LATEST_A}")(
     lambda spark, sf: serving.latest_processed(spark, stored_run(spark, sf)).drop(TS))
 register("serve_latest_alerts", f"SELECT * FROM {LATEST_ALERTS}")(
@@ -398,28 +474,27 @@ register("serve_recent_alerts",
 register("serve_overview",
          f"SELECT count(*) AS total_rows, round(sum(volume_usd), 0) AS total_volume_usd, "
          f"round(COALESCE(avg(price_change_percent), 0e0), 6) AS average_change, "
-         f"(SELECT count(*) FROM {LATEST_ALERTS}) AS alert_count FROM {LATEST_A}")(
-    lambda spark, sf: serving.overview(serving.latest_processed(spark, stored_run(spark, sf)),
-                                       serving.latest_alerts(spark, stored_run(spark, sf))))
+         f"(SELECT count(*) FROM a_alerts) AS alert_count FROM a_all")(
+    lambda spark, sf: serving.overview(
+        serving.newest_run(spark, stored_run(spark, sf), "processed_data"),
+        serving.newest_run(spark, stored_run(spark, sf), "critical_alerts")))
 register("serve_distributions",
-         O.label_counts(LATEST_A + " t", ["risk_category", "trading_signal",
-                                          "recommendation", "anomaly_level"]))(
+         O.label_counts("a_all", ["risk_category", "trading_signal",
+                                  "recommendation", "anomaly_level"]))(
     lambda spark, sf: serving.distributions(
-        serving.latest_processed(spark, stored_run(spark, sf))))
+        serving.newest_run(spark, stored_run(spark, sf), "processed_data")))
 register("serve_table",
-         f"SELECT {DISPLAY} FROM {LATEST_A} WHERE risk_category = 'MEDIUM' "
+         f"SELECT {DISPLAY} FROM a_all WHERE risk_category = 'MEDIUM' "
          f"AND anomaly_level = 'MODERATE' ORDER BY symbol LIMIT 100")(
     lambda spark, sf: serving.detail_table(
-        serving.latest_processed(spark, stored_run(spark, sf)),
-        risk="MEDIUM", anomaly="MODERATE", order=[F.desc(TS), F.asc("symbol")]))
+        serving.newest_run(spark, stored_run(spark, sf), "processed_data"),
+        risk="MEDIUM", anomaly="MODERATE"))
 
 
 def _mixed(spark, sf):
     out = new_scratch_dir(spark, "mixed")
-    sinks.write_processed(score_absolute(raw(spark, sf), RUN_TS),
-                          f"{out}/processed_data", "append")
-    sinks.write_processed(b_rows(spark, sf).withColumn(TS, F.lit(RUN_TS)),
-                          f"{out}/processed_data", "append")
+    jobs.run_absolute(spark, raw(spark, sf), out, run_ts=RUN_TS)
+    jobs.run_relative(spark, raw(spark, sf), out, run_ts=LATER_TS, replace=False)
     both = serving.read_collection(spark, out, "processed_data")
     return both.select("symbol", "risk_category", "trading_signal", "anomaly_level",
                        "recommendation", "volume_usd", "price_change_percent",

@@ -1,10 +1,12 @@
 """End-to-end jobs: profile A ETL, profile B analysis, replay of the newest
 snapshot, plus a ``spark-submit`` entry point.
 
-Each job scores its input in one pass and writes the processed rows; the
-alerts and the market summary are then derived from the rows just written
-(column-pruned Parquet reads selected by the run's stamp), so nothing large
-is cached in executors and a lost executor never loses intermediate state.
+Each job reads and parses its input once and writes the processed rows to its
+own partition (``run_id``) of the collection; the alerts and the market summary
+are then derived from those written rows (column-pruned Parquet reads), so
+nothing is cached in executors and a lost executor never loses intermediate
+state. A run that is tried again with its id replaces its own partitions; the
+summary comes last and makes the run count.
 Stage counts are collected with ``Observation``s on the same jobs.
 """
 
@@ -15,75 +17,53 @@ import datetime as _dt
 import logging
 import sys
 
-from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tickwise.functions.stamps import as_utc, stamp, utc_now
 from tickwise.operators import documents as D
 from tickwise.operators.cleaning import score_absolute, scored_metrics
 from tickwise.operators.relative import (filter_relative, relative_anomalies,
                                           relative_indicators)
 from tickwise.schema import SNAPSHOT_GLOB
+from tickwise.session import stored
 from tickwise.sources import sinks
-from tickwise.sources.snapshots import (ensure_nonempty, read_all_snapshots,
+from tickwise.sources.snapshots import (ensure_nonempty, load_directory, preview,
                                         read_latest_snapshot, read_ticker)
 
 log = logging.getLogger("tickwise")
 
 
-def _now() -> _dt.datetime:
-    """Run stamp (UTC, microseconds): it identifies a run's rows."""
-    return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+def new_run_id(run_ts: _dt.datetime) -> str:
+    """The run's stamp in UTC, to the microsecond; ids sort like stamps."""
+    return as_utc(run_ts).strftime("%Y%m%dT%H%M%S%f")
 
 
-def _claim_stamp(spark: SparkSession, output: str, run_ts: _dt.datetime) -> None:
-    """Refuse a stamp already present in the processed collection: alerts and
-    the summary select the run's rows by it."""
-    try:
-        taken = not _this_run(spark, output, run_ts).isEmpty()
-    except AnalysisException:       # no collection yet
-        return
-    if taken:
-        raise ValueError(f"run stamp {run_ts} already used under {output}")
-
-
-def _this_run(spark: SparkSession, output: str, run_ts: _dt.datetime) -> DataFrame:
-    """The processed rows written by the run stamped ``run_ts``; the stamp
-    filter is pushed to Parquet, so other runs' row groups are skipped."""
-    return (spark.read.parquet(f"{output}/processed_data")
-            .where(F.col("processing_timestamp") == F.lit(run_ts).cast("timestamp")))
-
-
-def write_results(processed: DataFrame, alerts: DataFrame, summary: DataFrame,
-                  output: str, mode: str = "append", batch_size: int | None = None) -> None:
-    """The three collections of a run under ``output``: processed_data,
-    critical_alerts, market_metrics (``append`` or ``replace``)."""
-    sinks.write_processed(processed, f"{output}/processed_data", mode, batch_size)
-    sinks.write_alerts(alerts, f"{output}/critical_alerts",
-                       "append" if mode == "append" else "replace")
-    sinks.write_metrics(summary, f"{output}/market_metrics",
-                        "append" if mode == "append" else "replace")
+def _finish(rows: DataFrame, alerts: DataFrame, summary: DataFrame, output: str,
+            run_id: str, replace: bool) -> None:
+    sinks.write_run(alerts, output, "critical_alerts", run_id)
+    sinks.write_run(summary, output, "market_metrics", run_id)
+    if replace:
+        sinks.drop_other_runs(rows.sparkSession, output, run_id)
 
 
 def run_absolute(spark: SparkSession, raw: DataFrame, output: str,
-                 batch_size: int | None = None, run_ts: _dt.datetime | None = None) -> dict:
-    """Profile A: clean -> indicators -> anomalies -> three appends.
+                 batch_size: int | None = None, run_ts: _dt.datetime | None = None,
+                 run_id: str | None = None, replace: bool = False) -> dict:
+    """Profile A: clean -> indicators -> anomalies -> the run's three partitions.
 
     ``batch_size`` bounds the rows per written file (the writer's unit of
-    work); by default Spark sizes files by partition. ``run_ts`` must be
-    unique per run: it selects the run's rows for alerts and summary.
+    work); by default Spark sizes files by partition. Repeating a run with its
+    ``run_id`` (by default its stamp) replaces that run only.
     """
-    run_ts = run_ts or _now()
-    _claim_stamp(spark, output, run_ts)
+    run_ts = run_ts or utc_now()
+    run_id = run_id or new_run_id(run_ts)
     loaded = Observation("loaded")
     raw = raw.observe(loaded, F.count(F.lit(1)).alias("rows"))
     stats, parsed, cleaned = Observation("scored"), Observation("parsed"), Observation("cleaned")
     scored = score_absolute(raw, run_ts, stats, parsed, cleaned)
-    sinks.write_processed(scored, f"{output}/processed_data", "append", batch_size)
-    rows = _this_run(spark, output, run_ts)
-    sinks.write_alerts(D.alerts_a(rows, run_ts), f"{output}/critical_alerts", "append")
-    sinks.write_metrics(D.summary_a(rows, run_ts), f"{output}/market_metrics", "append")
+    rows = sinks.write_run(scored, output, "processed_data", run_id, batch_size)
+    _finish(rows, D.alerts_a(rows, run_ts), D.summary_a(rows, run_ts), output, run_id, replace)
     result = {"loaded": loaded.get.get("rows", 0), "parsed": parsed.get.get("rows", 0),
               "cleaned": cleaned.get.get("rows", 0), **stats.get}
     log.info("profile A: %s", result)
@@ -92,35 +72,31 @@ def run_absolute(spark: SparkSession, raw: DataFrame, output: str,
 
 def run_relative(spark: SparkSession, raw: DataFrame, output: str,
                  run_ts: _dt.datetime | None = None, exact_median: bool = True,
-                 persist: bool = True) -> dict:
-    """Profile B: filter -> indicators -> median-relative anomalies -> replace.
+                 run_id: str | None = None, replace: bool = True) -> dict:
+    """Profile B: filter -> indicators -> median-relative anomalies; with
+    ``replace`` this run's rows become the only ones, once all are written.
 
-    The filtered population is persisted while the median passes and the
-    scoring read it (instead of re-scanning the snapshots); alerts and the
-    summary are derived from the processed rows as written.
+    The filtered rows are written once to the scratch folder; the median passes
+    read their one column and the scoring reads them again.
     """
-    run_ts = run_ts or _now()
-    base = relative_indicators(filter_relative(raw))
-    if persist:
-        base = base.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        stats = Observation("relative")
-        scored = relative_anomalies(base, exact_median).observe(stats, *scored_metrics()) \
-            .withColumn("processing_timestamp", F.lit(run_ts).cast("timestamp"))
-        sinks.write_processed(scored, f"{output}/processed_data", "replace")
-    finally:
-        if persist:
-            base.unpersist()
-    rows = _this_run(spark, output, run_ts)
-    sinks.write_alerts(D.alerts_b(rows, run_ts), f"{output}/critical_alerts", "replace")
-    sinks.write_metrics(D.summary_b(rows, run_ts), f"{output}/market_metrics", "replace")
-    result = dict(stats.get)
+    run_ts = run_ts or utc_now()
+    run_id = run_id or new_run_id(run_ts)
+    loaded, kept, stats = Observation("loaded"), Observation("kept"), Observation("relative")
+    raw = raw.observe(loaded, F.count(F.lit(1)).alias("rows"))
+    base = stored(relative_indicators(filter_relative(raw))
+                  .observe(kept, F.count(F.lit(1)).alias("rows")), "relative")
+    scored = (relative_anomalies(base, exact_median).observe(stats, *scored_metrics())
+              .withColumn("processing_timestamp", stamp(run_ts)))
+    rows = sinks.write_run(scored, output, "processed_data", run_id)
+    _finish(rows, D.alerts_b(rows, run_ts), D.summary_b(rows, run_ts), output, run_id, replace)
+    result = {"loaded": loaded.get.get("rows", 0), "filtered": kept.get.get("rows", 0),
+              **stats.get}
     log.info("profile B: %s", result)
     return result
 
 
 def replay_latest(spark: SparkSession, raw_dir: str, output: str,
-                  pattern: str = SNAPSHOT_GLOB, layout: str = "lines",
+                  pattern: str = SNAPSHOT_GLOB, layout: str = "auto",
                   run_ts: _dt.datetime | None = None) -> dict:
     """Newest landed snapshot through profile B, in the same session."""
     raw = read_latest_snapshot(spark, raw_dir, pattern, layout)
@@ -135,7 +111,11 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--mode", choices=["all", "latest", "new"], default="all",
                    help="all snapshots, the newest one, or only those not yet "
                         "processed (stream with a checkpoint under --output)")
-    p.add_argument("--layout", choices=["lines", "array"], default="array")
+    p.add_argument("--layout", choices=["auto", "lines", "array"], default="auto")
+    p.add_argument("--pattern", default=SNAPSHOT_GLOB,
+                   help="names of the snapshots among which --mode latest chooses")
+    p.add_argument("--preview", type=int, default=5, metavar="N",
+                   help="records to show before processing (0: none)")
     p.add_argument("--output", required=True)
     p.add_argument("--batch-size", type=int, default=1_000_000,
                    help="rows per written file of processed rows")
@@ -150,18 +130,20 @@ def main(argv: list[str] | None = None) -> int:
         if args.mode == "new":
             from tickwise.streaming.snapshots import stream_snapshots
 
-            n = stream_snapshots(spark, args.input, f"{args.output}/processed_data",
-                                 f"{args.output}/_checkpoint", args.layout,
+            n = stream_snapshots(spark, args.input, args.output, layout=args.layout,
                                  profile=args.profile)
             log.info("processed %d new micro-batch(es)", n)
             return 0
         if args.mode == "latest":
-            raw = read_latest_snapshot(spark, args.input, layout=args.layout)
+            raw = read_latest_snapshot(spark, args.input, args.pattern, args.layout)
         elif args.input.endswith(".json") or "*" in args.input:
             raw = read_ticker(spark, file=args.input, layout=args.layout)
         else:
-            raw = read_all_snapshots(spark, args.input, args.layout)
+            raw = load_directory(spark, args.input, args.layout)
         raw = ensure_nonempty(raw)
+        if args.preview:
+            for row in preview(raw, args.preview).collect():
+                log.info("record %s", row.asDict())
         if args.profile == "a":
             run_absolute(spark, raw, args.output, args.batch_size)
         else:

@@ -4,6 +4,9 @@ One shared CTE chain rebuilds the ticker from ``part`` + ``lineitem`` and runs
 both scoring profiles with the same evaluation order as the DataFrame code;
 each query key adds a tail. Literals are written as doubles (``0.4e0``)
 because a bare ``0.4`` is DECIMAL in SQL and would change the arithmetic.
+
+Fixed values: the thresholds, weights, labels and message texts below are those
+of ``rules.py`` and ``schema.py`` and must equal them.
 """
 
 from __future__ import annotations
@@ -207,9 +210,9 @@ def dist_filled(src: str, col: str, labels: list[str], name: str) -> str:
 
 def top_syms(src: str, col: str, k: int, name: str, largest: bool = True) -> str:
     d = "DESC" if largest else "ASC"
-    return (f"(SELECT string_agg(symbol, ',' ORDER BY {col} {d}, symbol) FROM "
-            f"(SELECT symbol, {col} FROM {src} WHERE {col} IS NOT NULL "
-            f"ORDER BY {col} {d}, symbol LIMIT {k})) AS {name}")
+    return (f"(SELECT string_agg(symbol, ',' ORDER BY {col} {d} NULLS LAST, symbol) FROM "
+            f"(SELECT symbol, {col} FROM {src} "
+            f"ORDER BY {col} {d} NULLS LAST, symbol LIMIT {k})) AS {name}")
 
 
 def label_counts(src: str, cols: list[str]) -> str:

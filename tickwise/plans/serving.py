@@ -1,50 +1,96 @@
-"""Read-side queries over the stored collections (dashboard data)."""
+"""Read-side queries over the stored collections (dashboard data).
+
+Totals, distributions and the detail table are over whole runs; only the lists
+of newest rows and messages are limited.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickwise.operators.aggregates import label_counts
 from tickwise.schema import DISPLAY_COLUMNS
+from tickwise.sources.sinks import run_ids
+
+
+def _empty(spark: SparkSession, name: str) -> DataFrame:
+    """A collection without rows, for output that holds no run yet."""
+    schemas = {"processed_data": "symbol string, processing_timestamp timestamp",
+               "critical_alerts": "symbol string, alert_message string, timestamp timestamp",
+               "market_metrics": "timestamp timestamp, data_source string, "
+                                 "total_symbols bigint, critical_alerts bigint"}
+    return spark.createDataFrame([], schemas[name])
+
+
+def read_runs(spark: SparkSession, output: str, name: str, ids: Sequence[str]) -> DataFrame:
+    """The rows of the given runs; only their files are opened. Runs of both
+    profiles may be among them: their schemas are merged."""
+    if not ids:
+        return _empty(spark, name)
+    base = f"{output.rstrip('/')}/{name}"
+    return (spark.read.option("mergeSchema", "true").option("basePath", base)
+            .parquet(*[f"{base}/run_id={i}" for i in ids]).drop("run_id"))
+
+
+def run_log(spark: SparkSession, output: str) -> list:
+    """(run_id, timestamp, rows, alerts) of the complete runs, newest first: the
+    summaries hold one row for each run."""
+    ids = run_ids(spark, output, "market_metrics")
+    if not ids:
+        return []
+    base = f"{output.rstrip('/')}/market_metrics"
+    # run ids are text even where they look like numbers
+    schema = ("timestamp timestamp, total_symbols bigint, critical_alerts bigint, "
+              "run_id string")
+    return (spark.read.schema(schema).parquet(base)
+            .select("run_id", "timestamp", F.col("total_symbols").alias("rows"),
+                    F.col("critical_alerts").alias("alerts"))
+            .orderBy(F.desc("timestamp"), F.desc("run_id")).collect())
 
 
 def read_collection(spark: SparkSession, output: str, name: str) -> DataFrame:
-    """A collection may hold rows of both profiles: merge their schemas."""
-    return spark.read.option("mergeSchema", "true").parquet(f"{output}/{name}")
+    """All complete runs of a collection."""
+    return read_runs(spark, output, name, [r["run_id"] for r in run_log(spark, output)])
+
+
+def newest_run(spark: SparkSession, output: str, name: str) -> DataFrame:
+    """The whole newest run of a collection."""
+    return read_runs(spark, output, name, [r["run_id"] for r in run_log(spark, output)[:1]])
 
 
 def latest(df: DataFrame, ts: str, n: int, tie: str = "symbol") -> DataFrame:
-    """Newest n rows; rows of one run share a stamp, so ``tie`` orders them.
-
-    A collection grows by whole runs, so the newest n rows come from the
-    last few stamps. The stamp column alone is counted per stamp (column
-    pruning: one narrow scan, one small row per run), the oldest stamp still
-    needed is found over those per-run counts, and only rows at or after it
-    are ranked - a filter Parquet answers from row-group statistics.
-    """
-    per_run = df.groupBy(ts).agg(F.count(F.lit(1)).alias("c"))
-    newer = Window.orderBy(F.desc(ts)).rowsBetween(Window.unboundedPreceding, -1)
-    cutoff = (per_run.withColumn("newer", F.coalesce(F.sum("c").over(newer), F.lit(0)))
-              .where(F.col("newer") < n).agg(F.min(ts).alias("cut")))
-    return (df.where(F.col(ts) >= cutoff.select("cut").scalar())
-            .orderBy(F.desc(ts), F.asc(tie)).limit(n))
+    """Newest n rows; rows of one run share a stamp, so ``tie`` orders them."""
+    return df.orderBy(F.desc(ts), F.asc(tie)).limit(n)
+
+
+def _latest_of_runs(spark: SparkSession, output: str, name: str, ts: str, n: int,
+                    size: str, tie: str = "symbol") -> DataFrame:
+    """Newest n rows from the fewest newest runs that hold n: the log says how
+    many rows each run has, so older runs are not opened."""
+    ids, rows, last = [], 0, None
+    for run in run_log(spark, output):
+        if rows >= n and run["timestamp"] != last:
+            break
+        ids.append(run["run_id"])
+        rows += 1 if size == "one" else run[size]
+        last = run["timestamp"]
+    return latest(read_runs(spark, output, name, ids), ts, n, tie)
 
 
 def latest_processed(spark, output, n: int = 1000) -> DataFrame:
-    return latest(read_collection(spark, output, "processed_data"),
-                  "processing_timestamp", n)
+    return _latest_of_runs(spark, output, "processed_data", "processing_timestamp", n, "rows")
 
 
 def latest_alerts(spark, output, n: int = 100) -> DataFrame:
-    return latest(read_collection(spark, output, "critical_alerts"), "timestamp", n)
+    return _latest_of_runs(spark, output, "critical_alerts", "timestamp", n, "alerts")
 
 
 def latest_metrics(spark, output, n: int = 10) -> DataFrame:
-    return latest(read_collection(spark, output, "market_metrics"), "timestamp", n,
-                  tie="data_source")
+    return _latest_of_runs(spark, output, "market_metrics", "timestamp", n, "one",
+                           tie="data_source")
 
 
 def overview(processed: DataFrame, alerts: DataFrame) -> DataFrame:
@@ -71,14 +117,17 @@ def detail_table(processed: DataFrame, risk: str = "all", signal: str = "all",
                  anomaly: str = "all", n: int = 100,
                  columns: Sequence[str] = DISPLAY_COLUMNS,
                  order: Sequence = ()) -> DataFrame:
-    """Optional equality filters ("all" = none), present columns, first n."""
+    """Optional equality filters ("all" = none), then the first n rows in order
+    (newest first, then by symbol, if none is given), present columns only."""
     df = processed
     for col, val in (("risk_category", risk), ("trading_signal", signal),
                      ("anomaly_level", anomaly)):
         if val != "all" and col in df.columns:
             df = df.where(F.col(col) == val)
-    if order:
-        df = df.orderBy(*order)
+    if not order:
+        stamp = "processing_timestamp"
+        order = [F.desc(stamp)] * (stamp in df.columns) + [F.asc("symbol")]
+    df = df.orderBy(*order)
     return df.select(*[c for c in columns if c in df.columns]).limit(n)
 
 

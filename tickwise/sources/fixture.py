@@ -86,7 +86,7 @@ _LANDED: dict[tuple[str, str], str] = {}
 FIXTURE_STAMP = "2024-06-01_08-30-00"
 
 
-def _app_id(spark: SparkSession) -> str:
+def app_id(spark: SparkSession) -> str:
     try:
         return spark.sparkContext.applicationId
     except Exception:
@@ -103,7 +103,7 @@ def landed_fixture(spark: SparkSession, sf_dir: str) -> str:
     from tickwise.session import new_scratch_dir
     from tickwise.sources.sinks import land_snapshot
 
-    key = (_app_id(spark), os.path.abspath(sf_dir))
+    key = (app_id(spark), os.path.abspath(sf_dir))
     path = _LANDED.get(key)
     if path is None:
         raw_dir = new_scratch_dir(spark, "feed")

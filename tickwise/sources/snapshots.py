@@ -3,12 +3,17 @@
 Two on-disk layouts exist: the feed's own files hold one JSON array each
 (``layout="array"``, read with ``multiLine`` - one task per file), while
 snapshots landed by Spark are JSON lines (``layout="lines"``, splittable).
-A snapshot is addressed as ``<prefix><stamp>.json`` whether that name is a
-single file or a directory of part files written by Spark.
+``layout="auto"``, the default of every reader and job, looks at the start of
+one file. A snapshot is addressed as ``<prefix><stamp>.json`` whether that name
+is a single file or a directory of part files written by Spark.
+
+Reads are strict: a malformed document, or files of another layout than the
+one given, fail the job instead of yielding empty or missing rows.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -20,29 +25,48 @@ from tickwise.schema import RAW, SNAPSHOT_GLOB
 # the path component naming a snapshot (a file, or the folder of its parts)
 SNAPSHOT_NAME = r"([A-Za-z][A-Za-z0-9]*_[0-9][0-9_-]*\.json)"
 
+LAYOUTS = ("auto", "array", "lines")
 
-def _reader(spark: SparkSession, layout: str, mode: str = "PERMISSIVE"):
-    if layout not in ("array", "lines"):
-        raise ValueError(f"unknown layout {layout!r}")
-    return (spark.read.schema(RAW).option("mode", mode)
-            .option("multiLine", layout == "array"))
+
+def detect_layout(spark: SparkSession, paths: Sequence[str]) -> str:
+    """"array" if the first line that is not blank opens one, else "lines"."""
+    first = (spark.read.text(list(paths)).where(F.length(F.trim("value")) > 0)
+             .select(F.trim("value")).head())
+    return "array" if first is not None and first[0].startswith("[") else "lines"
+
+
+def _refuse_other_layout(spark: SparkSession, paths: Sequence[str]) -> None:
+    """Files that do not open an array would give one record each, silently."""
+    begins = F.substring(F.ltrim(F.regexp_replace("value", r"\s", " ")), 1, 1)
+    other = (spark.read.text(list(paths), wholetext=True)
+             .where((F.length(F.trim("value")) > 0) & (begins != "[")))
+    if not other.isEmpty():
+        raise ValueError(f"not every file of {list(paths)} is a JSON array; "
+                         "read JSON lines with layout='lines'")
 
 
 def read_snapshots(spark: SparkSession, path: str | Sequence[str],
-                   layout: str = "lines") -> DataFrame:
+                   layout: str = "auto") -> DataFrame:
     """Every record of every snapshot matched by ``path`` (no dedup)."""
+    if layout not in LAYOUTS:
+        raise ValueError(f"unknown layout {layout!r}")
     paths = [path] if isinstance(path, str) else list(path)
-    return _reader(spark, layout).json(paths)
+    if layout == "auto":
+        layout = detect_layout(spark, paths)
+    if layout == "array":
+        _refuse_other_layout(spark, paths)
+    return (spark.read.schema(RAW).option("mode", "FAILFAST")
+            .option("multiLine", layout == "array").json(paths))
 
 
 def read_all_snapshots(spark: SparkSession, directory: str,
-                       layout: str = "lines") -> DataFrame:
+                       layout: str = "auto") -> DataFrame:
     return read_snapshots(spark, f"{directory.rstrip('/')}/*.json", layout)
 
 
 def read_with_glob_fallback(spark: SparkSession, directory: str,
                             patterns: Sequence[str] = ("*.json", SNAPSHOT_GLOB),
-                            layout: str = "lines") -> DataFrame:
+                            layout: str = "auto") -> DataFrame:
     """First pattern whose read resolves; the last failure is re-raised."""
     err = None
     for pat in patterns:
@@ -55,14 +79,12 @@ def read_with_glob_fallback(spark: SparkSession, directory: str,
 
 def local_fallback(uri: str) -> str:
     """Strip a ``scheme://authority`` prefix and make the rest relative."""
-    import re
-
     rest = re.sub(r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/]*", "", uri)
     return rest if rest.startswith("./") else "./" + rest.lstrip("/")
 
 
 def read_with_path_fallback(spark: SparkSession, candidates: Sequence[str],
-                            layout: str = "lines") -> DataFrame:
+                            layout: str = "auto") -> DataFrame:
     """Read the first candidate location that resolves; re-raise otherwise."""
     err = None
     for path in candidates:
@@ -74,7 +96,7 @@ def read_with_path_fallback(spark: SparkSession, candidates: Sequence[str],
 
 
 def read_with_local_fallback(spark: SparkSession, path: str,
-                             layout: str = "lines") -> DataFrame:
+                             layout: str = "auto") -> DataFrame:
     """The given location, else the same path relative to the working folder."""
     return read_with_path_fallback(spark, [path, local_fallback(path)], layout)
 
@@ -107,15 +129,15 @@ def latest_snapshot_name(spark: SparkSession, directory: str,
 
 def read_latest_snapshot(spark: SparkSession, directory: str,
                          pattern: str = SNAPSHOT_GLOB,
-                         layout: str = "lines") -> DataFrame:
+                         layout: str = "auto") -> DataFrame:
     """Only the newest snapshot is scanned (one path string reaches the driver)."""
     name = latest_snapshot_name(spark, directory, pattern)
     return read_snapshots(spark, f"{directory.rstrip('/')}/{name}", layout)
 
 
-def read_single_file(spark: SparkSession, path: str, layout: str = "array") -> DataFrame:
+def read_single_file(spark: SparkSession, path: str, layout: str = "auto") -> DataFrame:
     """A malformed document fails the job instead of yielding corrupt rows."""
-    return _reader(spark, layout, mode="FAILFAST").json(path)
+    return read_snapshots(spark, path, layout)
 
 
 def rows_frame(spark: SparkSession, rows) -> DataFrame:
@@ -129,7 +151,7 @@ def rows_frame(spark: SparkSession, rows) -> DataFrame:
 
 def read_ticker(spark: SparkSession, *, file: str | None = None,
                 directory: str | None = None, table: str | None = None,
-                layout: str = "lines") -> DataFrame:
+                layout: str = "auto") -> DataFrame:
     """Source precedence: one snapshot file > snapshot directory > raw table."""
     if file:
         if any(ch in file for ch in "*?["):
@@ -144,12 +166,25 @@ def read_ticker(spark: SparkSession, *, file: str | None = None,
 
 
 def ensure_nonempty(df: DataFrame) -> DataFrame:
-    """Stop before processing when the input holds no record."""
-    if df.isEmpty():
+    """Stop before processing when the input holds no usable record."""
+    if df.where(F.col("symbol").isNotNull()).isEmpty():
         raise ValueError("no ticker records loaded")
     return df
 
 
+def load_directory(spark: SparkSession, directory: str, layout: str = "auto",
+                   patterns: Sequence[str] = ("*.json", SNAPSHOT_GLOB)) -> DataFrame:
+    """The job's read of a folder: the first pattern that resolves there, else
+    the same folder relative to the working folder."""
+    try:
+        return read_with_glob_fallback(spark, directory, patterns, layout)
+    except AnalysisException as err:
+        try:
+            return read_with_glob_fallback(spark, local_fallback(directory), patterns, layout)
+        except AnalysisException:
+            raise err from None
+
+
 def preview(df: DataFrame, n: int = 5) -> DataFrame:
     return (df.select("symbol", "lastPrice", "priceChangePercent", "volume")
             .orderBy("symbol").limit(n))

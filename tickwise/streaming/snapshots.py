@@ -1,35 +1,53 @@
 """Incremental processing of newly landed snapshots (Structured Streaming).
 
 Snapshots keep landing; a file-source stream with a checkpoint remembers
-which files were processed, so each run scores only new snapshots. Profile A
-is stateless per row, so a stream gives the same rows as the batch job;
-profile B scores each micro-batch against that batch's own median. Each
-micro-batch is written by ``foreachBatch`` with the batch id, which makes a
-replayed batch after a failure idempotent (``replaceWhere``-style overwrite
-of that batch's partition).
+which files were processed, so each run scores only new snapshots. A
+micro-batch is a run like any other: it writes its own partition of the three
+collections, named by profile and batch, so a batch that is replayed after a
+failure replaces what its first try left.
+
+Profile A is stateless per row, so a stream gives the same rows as the batch
+job. Profile B scores rows against the median of all snapshots that are new at
+the time; that population must not depend on how files are dealt to batches,
+so it refuses a bound on the files per trigger.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tickwise.operators.cleaning import score_absolute
-from tickwise.operators.relative import score_relative
+from tickwise.plans.jobs import run_absolute, run_relative
 from tickwise.schema import RAW
+from tickwise.sources.snapshots import LAYOUTS, detect_layout
 
 
-def stream_snapshots(spark: SparkSession, raw_dir: str, sink: str, checkpoint: str,
-                     layout: str = "lines", run_ts: _dt.datetime | None = None,
+def stream_snapshots(spark: SparkSession, raw_dir: str, output: str,
+                     checkpoint: str | None = None, layout: str = "auto",
+                     run_ts: _dt.datetime | None = None,
                      max_files_per_trigger: int | None = None, profile: str = "a") -> int:
-    """Score every not yet processed snapshot under ``raw_dir``; returns
-    the number of micro-batches run. ``availableNow`` drains what is there
-    and stops, so the job can be scheduled like a batch job."""
+    """Score every not yet processed snapshot under ``raw_dir`` into the three
+    collections under ``output``; returns the number of micro-batches run.
+
+    ``availableNow`` drains what is there and stops, so the job can be scheduled
+    like a batch job. Each profile has a checkpoint of its own.
+    """
     if profile not in ("a", "b"):
         raise ValueError("profile is 'a' or 'b'")
+    if layout not in LAYOUTS:
+        raise ValueError(f"unknown layout {layout!r}")
+    if profile == "b" and max_files_per_trigger:
+        raise ValueError("profile b scores all new snapshots against one median; "
+                         "a bound on the files per trigger would change it")
+    if layout == "auto":
+        try:
+            layout = detect_layout(spark, [f"{raw_dir.rstrip('/')}/*.json"])
+        except AnalysisException:          # nothing landed yet
+            layout = "lines"
     reader = (spark.readStream.schema(RAW)
+              .option("mode", "FAILFAST")
               .option("multiLine", layout == "array")
               .option("pathGlobFilter", "*.json")
               .option("recursiveFileLookup", "true"))
@@ -39,19 +57,13 @@ def stream_snapshots(spark: SparkSession, raw_dir: str, sink: str, checkpoint: s
     batches: list[int] = []
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        if profile == "a":
-            scored = score_absolute(batch, run_ts)
-        else:
-            stamp = F.current_timestamp() if run_ts is None else F.lit(run_ts).cast("timestamp")
-            scored = score_relative(batch).withColumn("processing_timestamp", stamp)
-        scored = scored.withColumn("batch_id", F.lit(batch_id))
-        (scored.write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(sink))
+        run = run_absolute if profile == "a" else run_relative
+        run(batch.sparkSession, batch, output, run_ts=run_ts,
+            run_id=f"new_{profile}_{batch_id:012d}", replace=False)
         batches.append(batch_id)
 
     q = (stream.writeStream.foreachBatch(write_batch)
-         .option("checkpointLocation", checkpoint)
+         .option("checkpointLocation", checkpoint or f"{output.rstrip('/')}/_checkpoint_{profile}")
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return len(batches)
