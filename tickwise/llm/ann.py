@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickwise.llm.common import mix31, ship, stored
+from tickwise.llm.common import hashed_sample, mix31, ship, stored
 
 SAMPLE = 20_000          # vectors that the centroids are fitted on
 CENTROIDS = 256          # at most; fewer for small samples
@@ -176,7 +176,7 @@ def _search(rows: DataFrame, every: int, k: int, sample: int, probes: int) -> Da
     longest = F.aggregate("embedding", F.lit(0.0), lambda acc, v: acc + v * v)
     total, radius2 = rows.agg(F.count(F.lit(1)), F.max(longest)).first()
     # the sample: rows with the smallest hashes, for any size of the table
-    chosen = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample)
+    chosen = hashed_sample(rows, "vec_id", sample, total)
     x = np.array([r["embedding"] for r in chosen.select("embedding").collect()], np.float64)
     x = np.concatenate([x, np.sqrt(np.maximum(radius2 - (x * x).sum(1), 0))[:, None]], 1)
     centroids = Centroids(balanced_centroids(

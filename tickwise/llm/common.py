@@ -84,6 +84,17 @@ def gapless_rank(df: DataFrame, keys: list[str], order: list[str], spread: Colum
             .drop("_local", "_shift", "_bucket"))
 
 
+def hashed_sample(df: DataFrame, key: str, n: int, total: int) -> DataFrame:
+    """At most ``n`` rows, those with the smallest hashes of ``key``; ``total``
+    is about the number of rows. Rows beyond a multiple of the share needed are
+    left in the scan, so that not every task offers ``n`` rows."""
+    spread = 1 << 40
+    place = F.pmod(F.xxhash64(F.lit("sample"), F.col(key)), F.lit(spread))
+    if total > 8 * n:
+        df = df.where(place < int(8 * n / total * spread))
+    return df.orderBy(place, key).limit(n)
+
+
 def texts_of(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string column; null counts as empty."""
     return [x or b"" for x in pc.cast(column, pa.binary()).to_pylist()]

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickwise.llm.common import ship, texts_of
+from tickwise.llm.common import hashed_sample, ship, texts_of
 
 TRAIN_PAGES = 300
 #: Longer pages are not trained on (they are extracted like all others).
@@ -321,12 +321,20 @@ def layout(main: list[tuple[str, tuple, int]], other: list[tuple[str, tuple, int
     for kind in ("notice", "header", "nav", "ad", "aside"):
         if r.random() < 0.55:
             part(kind, root)
-    mid = r.randint(1, len(main)) if main else 0
-    for i, (text, ancestors, linked) in enumerate(main):
+    story = main[:1] if r.random() < 0.1 else main
+    mid = r.randint(1, len(story)) if story else 0
+    for i, (text, ancestors, linked) in enumerate(story):
         own = [ancestors[-1]] if ancestors and ancestors[-1][0] not in ("article", "main", "div") \
             else [("p", ())]
         if r.random() < 0.05:
             own = [("ul", ()), ("li", ())] if r.random() < 0.5 else [("blockquote", ()), ("p", ())]
+        if r.random() < 0.15:                  # a heading before it
+            cut = " ".join(text.split()[:r.randint(1, 8)]).rstrip(".,")
+            page.append((cut, tuple(root + place + [(r.choice(["h1", "h2", "h3"]), ())]), 0))
+            labels.append(1)
+        if r.random() < 0.1:                   # short, long, or without a full stop
+            text = r.choice([" ".join(text.split()[:r.randint(1, 9)]), " ".join([text] * 40),
+                             text.rstrip(".")]) or text
         page.append((text, tuple(root + place + own), linked))
         labels.append(1)
         if i + 1 == mid and r.random() < 0.5:
@@ -341,10 +349,11 @@ def layout(main: list[tuple[str, tuple, int]], other: list[tuple[str, tuple, int
 
 
 def train(pages: DataFrame, train_pages: int = TRAIN_PAGES, seed: int = 11) -> Field:
-    """The field, from the ``train_pages`` pages with the smallest hashes."""
-    sample = [r["html"] for r in pages.select(F.col("html").cast("string").alias("html"))
-              .where(F.length("html").between(1, TRAIN_CHARS)).distinct()
-              .orderBy(F.xxhash64("html"), "html").limit(train_pages).collect()]
+    """The field, from the ``train_pages`` pages with the smallest hashes of their ids."""
+    usable = pages.select("page_id", F.col("html").cast("string").alias("html")).where(
+        F.length("html").between(1, TRAIN_CHARS))
+    sample = [r["html"] for r in
+              hashed_sample(usable, "page_id", train_pages, pages.count()).collect()]
     return Field().fit(labelled(sample, seed))
 
 

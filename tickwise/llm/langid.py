@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickwise.llm.common import ship, stored, texts_of
+from tickwise.llm.common import hashed_sample, ship, stored, texts_of
 
 BUCKETS = 1 << 16
 TRAIN_ROWS = 4000
@@ -104,12 +104,13 @@ class TextModel:
 
 
 def fit(rows: DataFrame, train_rows: int = TRAIN_ROWS) -> TextModel:
-    """The text model from the ``train_rows`` labelled rows (``_text``,
-    ``_declared``) with the smallest hashes."""
+    """The text model from the ``train_rows`` labelled rows (``doc_id``,
+    ``_text``, ``_declared``) with the smallest hashes of their ids."""
     ship(rows.sparkSession)
-    sample = (rows.where("_declared is not null and length(_text) > 0")
-              .select("_text", "_declared", F.xxhash64("_text", "_declared").alias("h"))
-              .orderBy("h").limit(train_rows).select("_text", "_declared"))
+    usable = rows.where("_declared is not null and length(_text) > 0").select(
+        "doc_id", "_text", "_declared")
+    sample = hashed_sample(usable, "doc_id", train_rows, rows.count()).select(
+        "_text", "_declared")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, np.ndarray] = {}
