@@ -201,7 +201,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85, bands: int = BANDS, rows
           .select("class", F.coalesce("component", "rep").alias("_component")))
     return (rows_.join(of, "class", "left")
             .select("doc_id", "n_shingles",
-                    F.coalesce("_component", "doc_id").alias("component_id"))
+                    F.when(F.col("doc_id").isNotNull(), F.coalesce("_component", "doc_id"))
+                    .alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"),
                                            F.lit(True))))
 
