@@ -138,7 +138,7 @@ def leaf_blocks(html: str) -> list[tuple[str, tuple, int]]:
 
 
 def _bin(n: int) -> int:
-    return min(n.bit_length(), 12)
+    return min(n.bit_length(), 8)
 
 
 def features(blocks: list[tuple[str, tuple, int]]) -> list[list[int]]:
@@ -318,8 +318,9 @@ def layout(main: list[tuple[str, tuple, int]], other: list[tuple[str, tuple, int
                                      + ([("a", ())] if link else [])), len(text) * link))
             labels.append(0)
 
+    bare = r.random() < 0.1                    # a page of main text only
     for kind in ("notice", "header", "nav", "ad", "aside"):
-        if r.random() < 0.55:
+        if not bare and r.random() < 0.55:
             part(kind, root)
     story = main[:1] if r.random() < 0.1 else main
     mid = r.randint(1, len(story)) if story else 0
@@ -337,13 +338,13 @@ def layout(main: list[tuple[str, tuple, int]], other: list[tuple[str, tuple, int
                              text.rstrip(".")]) or text
         page.append((text, tuple(root + place + own), linked))
         labels.append(1)
-        if i + 1 == mid and r.random() < 0.5:
+        if not bare and i + 1 == mid and r.random() < 0.5:
             part(r.choice(["ad", "share", "form", "notice", "aside"]), root + place)
     for kind in ("share", "comment"):
-        if r.random() < 0.4:
+        if not bare and r.random() < 0.4:
             part(kind, root + place if r.random() < 0.5 else root)
     for kind in ("aside", "ad", "form", "comment", "footer", "notice"):
-        if r.random() < 0.45:
+        if not bare and r.random() < 0.45:
             part(kind, root)
     return page, labels
 
