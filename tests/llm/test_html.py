@@ -65,6 +65,17 @@ def test_pages_of_other_kinds(field):
     assert H.main_text(two, field) == "Foo Para one is here now. Para two."
 
 
+def test_pages_that_mark_no_article(pages):
+    """Trained and used on pages whose containers are told by class only."""
+    rows = [r.html.replace("<article>", '<div class="story">').replace("</article>", "</div>")
+            for r in pages.orderBy("page_id").limit(120).collect()]
+    field = H.Field().fit(H.labelled(rows[:80]))
+    right = [H.main_text(x, field) == article(x.replace('<div class="story">', "<article>")
+                                              .replace("</div><footer", "</article><footer"))
+             for x in rows[80:]]
+    assert sum(right) > 0.8 * len(right)
+
+
 def test_blocks():
     texts = lambda h: [t for t, _, _ in H.leaf_blocks(h)]
     assert texts("<p>a  b\n c<p>d<br>e") == ["a b c", "d e"]

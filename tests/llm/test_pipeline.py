@@ -1,0 +1,72 @@
+"""The pipeline's stages against plain versions, and the guard of the entry."""
+
+import importlib
+import sys
+
+import corpus_pipeline
+from tickwise.llm import catalog
+from tickwise.llm.common import table
+
+from test_decontam import brute as brute_leaks
+from test_neardup import brute as brute_components
+from test_packing import check as check_packing
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_stages(spark):
+    assert [n for n, _ in corpus_pipeline.STAGES] == [
+        "language", "near_duplicates", "decontamination", "personal_data", "packing"]
+    docs = table(spark, SF, "documents")
+    stages = dict(corpus_pipeline.STAGES)
+
+    kept = stages["language"](spark, docs, SF)
+    assert kept.columns == docs.columns
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    assert {r.doc_id for r in kept.collect()} == {
+        k for k, t in texts.items() if any(c.isalpha() for c in t or "")}
+
+    once = stages["near_duplicates"](spark, kept, SF)
+    comps, _ = brute_components([(r.doc_id, r.text) for r in kept.collect()], 80)
+    assert once.columns == docs.columns
+    assert sorted(r.doc_id for r in once.collect()) == sorted(set(comps.values()))
+
+    clean = stages["decontamination"](spark, once, SF)
+    items = [(r.item_id, r.text) for r in table(spark, SF, "benchmark").collect()]
+    leaks = {k for k, _ in brute_leaks([(r.doc_id, r.text) for r in once.collect()], items)}
+    assert clean.columns == docs.columns and leaks
+    assert {r.doc_id for r in clean.collect()} == {r.doc_id for r in once.collect()} - leaks
+
+    private = stages["personal_data"](spark, clean, SF)
+    assert private.columns == docs.columns and private.schema == docs.schema
+    rows = private.collect()
+    assert {r.doc_id for r in rows} == {r.doc_id for r in clean.collect()}
+    assert all(r.n_chars == len(r.text) for r in rows if r.text != texts[r.doc_id])
+    assert not any("@" in r.text and ".com" in r.text.split("@")[1][:20] for r in rows)
+
+    bins, total = check_packing(spark, private, 2048)
+    assert bins <= -(-total // 2048) * 1.01 + 1
+
+
+def test_run_and_empty_documents(spark):
+    got = corpus_pipeline.run(spark, SF)
+    assert got.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id",
+                           "offset"]
+    assert got.count() > 0
+    docs = table(spark, SF, "documents").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, SF)
+    assert docs.count() == 0
+
+
+def test_registered_queries():
+    names = list(catalog.queries())
+    assert [n.split("_")[0] for n in names[:-1]] == [f"op{i}" for i in range(1, 11)]
+    assert names[-1] == "pipeline" and catalog.oracle_sql() == {}
+
+
+def test_entry_without_the_package(monkeypatch):
+    entry = importlib.import_module("__spark_entry__")
+    assert set(catalog.queries()) <= set(entry.queries())
+    monkeypatch.setitem(sys.modules, "tickwise.llm", None)
+    assert not set(catalog.queries()) & set(entry.queries())

@@ -7,8 +7,8 @@ of the text; neighbouring labels depend on each other. It is trained by
 stochastic gradient on labelled pages and decoded by Viterbi.
 
 Labelled pages come from a bounded sample of the table: pages that mark their
-article (``article``, ``main``) are labelled by that, and their blocks are also
-set anew into layouts of other kinds (containers told only by class, comments
+article (``article``, ``main``) are labelled by that, others by the names of
+their parts and the lengths of their blocks; the blocks are also set anew into layouts of other kinds (containers told only by class, comments
 inside the article, sidebars, forms, notices), whose labels are then known.
 """
 
@@ -280,6 +280,22 @@ def own_labels(blocks: list[tuple[str, tuple, int]]) -> list[int] | None:
             for (_, a, _), m in zip(blocks, marked)]
 
 
+def likely_labels(blocks: list[tuple[str, tuple, int]]) -> list[int]:
+    """Labels for a page that does not mark its article: longer blocks that are
+    not links, outside of parts with telling names, and what shares their
+    container."""
+    def container(ancestors: tuple) -> tuple:
+        last = max((i for i, (t, _) in enumerate(ancestors)
+                    if t in ("div", "section", "td", "article", "main", "body")), default=-1)
+        return ancestors[:last + 1]
+
+    may = [not any(t in _OUTSIDE or set(w) & _NOT_MAIN for t, w in a) and 2 * linked < len(text)
+           for text, a, linked in blocks]
+    long = {container(a) for (text, a, _), ok in zip(blocks, may)
+            if ok and text.count(" ") >= 12}
+    return [int(ok and container(a) in long) for (_, a, _), ok in zip(blocks, may)]
+
+
 def layout(main: list[tuple[str, tuple, int]], other: list[tuple[str, tuple, int]],
            r: random.Random) -> tuple[list[tuple[str, tuple, int]], list[int]]:
     """A labelled page of another kind, from blocks of a sampled one."""
@@ -363,8 +379,8 @@ def labelled(sample: list[str], seed: int = 11) -> list[tuple[list[list[int]], l
     out = []
     for html in sample:
         blocks = leaf_blocks(html)
-        own = own_labels(blocks)
-        if own is None or not any(own):
+        own = own_labels(blocks) or likely_labels(blocks)
+        if not any(own):
             continue
         out.append((features(blocks), own))
         main = [b for b, y in zip(blocks, own) if y]
