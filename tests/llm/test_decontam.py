@@ -54,6 +54,8 @@ def brute(docs, items, least=0.8):
             width = min(5, len(v))
             grams = lambda x: [tuple(x[i:i + width]) for i in range(len(x) - width + 1)]
             own = grams(v)
+            if not set(own) & set(grams(w)):
+                continue
             for s in range(max(1, len(w) - len(v) + 1)):
                 found = grams(w[s:s + len(v)]) or ([tuple(w)] if w and width == 5 else [])
                 both = sum(min(own.count(g), found.count(g)) for g in set(own))
