@@ -8,9 +8,10 @@ sets. With 36 bands of 7, a pair at similarity 0.85 shares no band with
 probability (1 - 0.85^7)^36 = 9e-7, and at 0.8 with 2e-4.
 
 Texts with equal shingle sets are one class, with the smallest doc_id as its
-representative, before any pairing. A bucket is verified in blocks of members,
-so that no task gets a whole one; a task sends only links that join texts it
-has not joined yet, never all pairs.
+representative, before any pairing. Then all members of a bucket are compared
+with its first, and only buckets whose members are not joined by that with each
+other, in blocks, so that no task gets a whole bucket; a task sends only links
+that join texts it has not joined yet, never all pairs.
 """
 
 from __future__ import annotations
@@ -22,14 +23,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickwise.llm.common import mix31, ship, stored, texts_of
+from tickwise.llm.common import if_small, mix31, ship, stored, texts_of
 from tickwise.llm.components import components
 from tickwise.llm.shingles import WIDTH, mix64, shingle_sets
 
 BANDS = 36
 ROWS = 7
 #: Members of a block; a task verifies the pairs of two blocks at a time.
-BLOCK = 128
+BLOCK = 512
 
 
 def signatures(sets: list[np.ndarray], size: int) -> np.ndarray:
@@ -140,13 +141,7 @@ def links_within(names: list[int], sets: list[np.ndarray], percent: int) -> list
     if len(sets) <= 12:
         for i in range(len(sets)):
             for j in range(i):
-                small, large = (i, j) if sizes[i] < sizes[j] else (j, i)
-                if 100 * sizes[small] < percent * sizes[large] or find(i) == find(j):
-                    continue
-                at = np.searchsorted(sets[large], sets[small])
-                at[at == sizes[large]] = 0
-                both = int((sets[large][at] == sets[small]).sum())
-                if 100 * both >= percent * (sizes[i] + sizes[j] - both):
+                if find(i) != find(j) and _similar(sets[i], sets[j], percent):
                     join(i, j)
         return made
     # counts of shared shingles for all pairs, some shingles at a time
@@ -209,64 +204,127 @@ def near_duplicates(docs: DataFrame, percent: int = 85, bands: int = BANDS, rows
 
 def _links(docs: DataFrame, classes: DataFrame, percent: int, width: int,
            block: int) -> DataFrame:
-    """(a, b) verified links between representatives that connect all linked ones."""
+    """(a, b) verified links between representatives that connect all linked ones.
+
+    First every member of a bucket is compared with the bucket's smallest one,
+    which joins a dense group in time linear in its size. Then, in buckets that
+    still hold several components, the members are compared with each other,
+    without that smallest one.
+    """
     member = classes.select(F.explode("bands").alias("key"), "rep", "n")
-    bucket = member.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    bucket = (member.groupBy("key").agg(F.count(F.lit(1)).alias("m"),
+                                        F.min(F.struct("rep", "n")).alias("lead"))
+              .where("m > 1").select("key", "lead"))
+    inside = stored(member.join(bucket, "key").where("rep <> lead.rep"), "buckets")
+    near = (100 * F.least("n", "lead.n") >= percent * F.greatest("n", "lead.n"))
+    star = stored(inside.where(near).select(F.col("lead.rep").alias("lead"), "rep").distinct(),
+                  "stars")
+    active = stored(inside.select("rep").union(star.select("lead")).distinct()
+                    .join(classes.select("rep", "class"), "rep"), "active")
+    sets = stored(_full_sets(docs, if_small(active), width), "sets")
+
+    size = star.groupBy("lead").agg(F.ceil(F.count(F.lit(1)) / F.lit(2 * block)).cast("int")
+                                    .alias("parts"))
+    part = F.pmod(mix31(F.col("rep") + F.lit(17)), F.col("parts")).cast("int")
+    spokes = star.join(size, "lead").select(
+        F.xxhash64("lead", part).alias("group"), "rep", F.lit(1).alias("place"))
+    hubs = (size.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+            .select(F.xxhash64("lead", "part").alias("group"), F.col("lead").alias("rep"),
+                    F.lit(0).alias("place")))
+    first = stored(_verified(spokes.union(hubs), sets, percent, _links_to_first), "first")
+
+    named = components(first)
+    rest = (inside.join(named.withColumnRenamed("node", "rep"), "rep", "left")
+            .select("key", "rep", "n", F.coalesce("component", "rep").alias("own")))
     crowd = F.ceil(F.col("m") / F.lit(block)).cast("int")
-    placed = (member.join(bucket, "key").withColumn("blocks", crowd)
-              .withColumn("own", F.pmod(mix31(F.col("rep") + F.lit(17)),
-                                        F.col("blocks")).cast("int"))
+    several = (rest.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("own").alias("c"),
+                                       F.max("own").alias("d"))
+               .where("c <> d").select("key", crowd.alias("blocks")))
+    placed = (rest.join(several, "key")
+              .withColumn("mine", F.pmod(mix31(F.col("rep") + F.lit(17)),
+                                         F.col("blocks")).cast("int"))
               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-              .select("key", F.least("own", "other").alias("x"),
-                      F.greatest("own", "other").alias("y"), "rep", "n"))
+              .select("key", F.least("mine", "other").alias("x"),
+                      F.greatest("mine", "other").alias("y"), "rep", "n", "own"))
     lists = placed.groupBy("key", "x", "y").agg(
-        F.collect_list("rep").alias("reps"), F.collect_list("n").alias("sizes"))
+        F.collect_list("rep").alias("reps"), F.collect_list("n").alias("sizes"),
+        F.collect_list("own").alias("owns"))
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [run for reps, sizes in zip(batch.column(0), batch.column(1))
-                   for run in _runs(reps.values.to_numpy(), sizes.values.to_numpy(), percent)]
+            out = []
+            for reps, sizes, owns in zip(*batch.columns):
+                reps, owns = reps.values.to_numpy(), owns.values.to_numpy()
+                of = dict(zip(reps.tolist(), owns.tolist()))
+                out += [run for run in _runs(reps, sizes.values.to_numpy(), percent)
+                        if len({of[x] for x in run.tolist()}) > 1]
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.list_(pa.int64()))],
                                              names=["reps"])
 
     # most buckets of a text hold the same texts: each list is verified once
-    groups = stored(lists.select("reps", "sizes").mapInArrow(split, "reps array<long>")
+    groups = stored(lists.select("reps", "sizes", "owns").mapInArrow(split, "reps array<long>")
                     .distinct().select(F.xxhash64("reps").alias("group"),
-                                       F.explode("reps").alias("rep")), "groups")
-    active = groups.select("rep").distinct().join(classes.select("rep", "class"), "rep")
+                                       F.explode("reps").alias("rep"),
+                                       F.lit(0).alias("place")), "groups")
+    return first.union(_verified(groups, sets, percent, links_within))
+
+
+def _full_sets(docs: DataFrame, active: DataFrame, width: int) -> DataFrame:
+    """rep, shingles: the whole sets of the active representatives."""
     texts = (docs.select(F.col("doc_id").cast("long").alias("rep"),
                          F.col("text").cast("string").alias("text")).join(active, "rep"))
 
-    def full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts_ = texts_of(batch.column("text"))
             for a in range(0, len(texts_), 256):
-                sets = shingle_sets(texts_[a:a + 256], width)
-                hit = [(i, s) for i, s in enumerate(sets)
+                # an id may stand on several rows: the one of this class counts
+                hit = [(i, s) for i, s in enumerate(shingle_sets(texts_[a:a + 256], width))
                        if _fingerprint(s) == batch.column("class")[a + i].as_py()]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([batch.column("rep")[a + i].as_py() for i, _ in hit], pa.int64()),
                      pa.array([s.tobytes() for _, s in hit], pa.binary())],
                     names=["rep", "shingles"])
 
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, names, sets = None, [], []
+    return texts.select("rep", "class", "text").mapInArrow(run, "rep long, shingles binary")
+
+
+def _verified(groups: DataFrame, sets: DataFrame, percent: int, links) -> DataFrame:
+    """Links found by ``links`` within each group (group, rep, place)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, names, held = None, [], []
         for batch in batches:
             out = []
             for g, name, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
                                     batch.column(2)):
                 if g != group:
-                    out += links_within(names, sets, percent)
-                    group, names, sets = g, [], []
+                    out += links(names, held, percent)
+                    group, names, held = g, [], []
                 names.append(name)
-                sets.append(np.frombuffer(raw.as_py(), np.uint64))
+                held.append(np.frombuffer(raw.as_py(), np.uint64))
             yield _pairs(out)
-        yield _pairs(links_within(names, sets, percent))
+        yield _pairs(links(names, held, percent))
+
+    return (groups.join(sets, "rep").select("group", "rep", "shingles", "place")
+            .repartition("group").sortWithinPartitions("group", "place")
+            .select("group", "rep", "shingles").mapInArrow(run, "a long, b long").distinct())
+
+
+def _links_to_first(names: list[int], sets: list[np.ndarray], percent: int) \
+        -> list[tuple[int, int]]:
+    """The first set's links to the others."""
+    return [(names[0], name) for name, s in zip(names[1:], sets[1:])
+            if name != names[0] and _similar(sets[0], s, percent)]
+
 
-    sets = texts.select("rep", "class", "text").mapInArrow(full_sets, "rep long, shingles binary")
-    return (groups.join(sets, "rep").select("group", "rep", "shingles")
-            .repartition("group").sortWithinPartitions("group")
-            .mapInArrow(verify, "a long, b long").distinct())
+def _similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    small, large = (a, b) if len(a) < len(b) else (b, a)
+    if 100 * len(small) < percent * len(large):
+        return False
+    at = np.searchsorted(large, small)
+    at[at == len(large)] = 0
+    both = int((large[at] == small).sum())
+    return 100 * both >= percent * (len(a) + len(b) - both)
 
 
 def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
@@ -279,14 +337,14 @@ def without_near_duplicates(docs: DataFrame, **settings) -> DataFrame:
     """One document of each component, with all its columns: the one with the
     smallest doc_id. Of rows that repeat the kept id, one stays, with the
     smallest text; a row without id stays."""
-    found = near_duplicates(docs, **settings)
+    found = stored(near_duplicates(docs, **settings), "near")
     # an id has one component; an id on several rows needs a choice among them
     by_id = (found.where("doc_id is not null").groupBy(F.col("doc_id").alias("_id"))
              .agg(F.count(F.lit(1)).alias("_rows"), F.max("kept").alias("_kept")))
-    gone = by_id.where("not _kept or _rows > 1").select("_id")
+    gone = if_small(stored(by_id.where("not _kept or _rows > 1").select("_id"), "gone"))
     same = docs["doc_id"].cast("long") == F.col("_id")
     once = docs.join(gone, same, "left_anti")
-    several = by_id.where("_kept and _rows > 1").select("_id")
+    several = if_small(stored(by_id.where("_kept and _rows > 1").select("_id"), "several"))
     order = Window.partitionBy("_id").orderBy(F.col("text").asc_nulls_first())
     chosen = (docs.join(several, same).withColumn("_place", F.row_number().over(order))
               .where("_place = 1").select(*[F.col(f"`{c}`") for c in docs.columns]))
