@@ -84,6 +84,16 @@ def gapless_rank(df: DataFrame, keys: list[str], order: list[str], spread: Colum
             .drop("_local", "_shift", "_bucket"))
 
 
+#: Rows of a few numbers that a join may send to every executor (a few MB).
+SMALL_ROWS = 200_000
+
+
+def if_small(df: DataFrame) -> DataFrame:
+    """Stored rows, to be broadcast if they have been counted to be few; beyond
+    that, a join shuffles both sides as usual."""
+    return F.broadcast(df) if df.count() <= SMALL_ROWS else df
+
+
 def hashed_sample(df: DataFrame, key: str, n: int, total: int) -> DataFrame:
     """At most ``n`` rows, those with the smallest hashes of ``key``; ``total``
     is about the number of rows. Rows beyond a multiple of the share needed are

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickwise.llm.common import hashed_sample, ship, stored, texts_of
+from tickwise.llm.common import hashed_sample, if_small, ship, stored, texts_of
 
 BUCKETS = 1 << 16
 TRAIN_ROWS = 4000
@@ -245,8 +245,9 @@ def identified(docs: DataFrame, **columns) -> DataFrame:
 def with_language(docs: DataFrame, **columns) -> DataFrame:
     """The documents whose language is accepted, with all their columns. Only
     the rejected ones' keys are joined, so texts move only if those are many."""
-    rejected = (identify(docs, **columns).where("not accepted")
-                .select(F.col("doc_id").alias("_id"), "_key").distinct())
+    rejected = if_small(stored(
+        identify(docs, **columns).where("not accepted")
+        .select(F.col("doc_id").alias("_id"), "_key").distinct(), "rejected"))
     text = F.col(f"`{columns.get('text', 'text')}`").cast("string")
     key = F.xxhash64(F.coalesce(text, F.lit("")))
     return docs.join(rejected, F.col("doc_id").cast("long").eqNullSafe(F.col("_id"))
