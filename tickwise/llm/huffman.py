@@ -36,6 +36,9 @@ END_ID = 1
 MAX_BITS = 18
 BLOCK_TOKENS = 1 << 17
 CHECKPOINT = 256
+#: Words that a worker remembers here: nearly all the work is tokenizing, with
+#: little else in memory.
+KEEP_WORDS = 1_600_000
 
 _BLOCKS = "part int, block int, start long, n_docs int, n_tokens long, data binary"
 
@@ -158,7 +161,7 @@ def raw_blocks(docs: DataFrame, end_id: int, vocab: str, block_tokens: int) -> D
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        coder, part = word_ids(vocab), TaskContext.get().partitionId()
+        coder, part = word_ids(vocab, KEEP_WORDS), TaskContext.get().partitionId()
         end = int(end_id).to_bytes(4, "little")
         names, held, size, block, start = [], [], 0, 0, 0
 

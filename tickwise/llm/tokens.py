@@ -12,8 +12,9 @@ from functools import lru_cache
 
 import numpy as np
 
-#: Words a worker remembers; past it, it starts anew (bounds memory, not results).
-KEEP_WORDS = 800_000
+#: Words a worker remembers: half of them new ones, half those met before (bounds
+#: memory, not results).
+KEEP_WORDS = 600_000
 #: Punctuation that never joins the letters before it to one pre-token.
 _TAIL = b".,;:!?#$%&*"
 
@@ -25,10 +26,22 @@ def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+class _Known(dict):
+    """Words' ids; notes the words it is asked for and does not know."""
+
+    def __init__(self):
+        super().__init__()
+        self.missed: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> None:
+        self.missed.append(word)
+
+
 class WordIds:
     """Ids of texts as little-endian unsigned 32-bit integers."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, keep: int | None = None):
+        self.keep = keep
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -37,54 +50,68 @@ class WordIds:
         self.size = max(vocab.values()) + 1
         self.ends = np.zeros(self.size, bool)
         self.ends[[i for w, i in vocab.items() if w.endswith("</w>")]] = True
-        self.known: dict[bytes, bytes] = {}
+        self.known = _Known()
+        self.before: dict[bytes, bytes] = {}
 
     def ids(self, text: bytes) -> bytes:
+        known = self.known
+        if len(known) > (self.keep or KEEP_WORDS) // 2:
+            self.before, known = known, _Known()
+            self.known = known
         words = text.split()
-        got = list(map(self.known.get, words))
-        if None in got:
-            if len(self.known) > KEEP_WORDS:
-                self.known.clear()
-                self._learn(set(words))
-            else:
-                self._learn({w for w, g in zip(words, got) if g is None})
-            got = list(map(self.known.get, words))
+        got = list(map(known.__getitem__, words))
+        if known.missed:
+            missed, known.missed = known.missed, []
+            self._learn(set(missed))
+            at = -1
+            for w in missed:
+                at = got.index(None, at + 1)
+                got[at] = known[w]
         return b"".join(got)
 
     def _encode(self, word: bytes) -> bytes:
-        found = self.library.encode(word.decode(), add_special_tokens=False).ids
-        return np.array(found, "<u4").tobytes()
+        return np.array(self._library_ids(word.decode()), "<u4").tobytes()
+
+    def _library_ids(self, text: str) -> list[int]:
+        # the batch call that leaves out offsets, which nothing here needs
+        return self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
     def _learn(self, missing: set[bytes]) -> None:
-        known, letters, parts = self.known, set(), []
+        known, before, letters, parts = self.known, self.before, set(), []
         for w in missing:
+            if w in before:
+                known[w] = before[w]
+                continue
+            if w.isalpha():                      # ASCII letters
+                letters.add(w)
+                continue
             if b"<|" in w:                       # may hold an added token
                 known[w] = self._encode(w)
                 continue
             stem = w.rstrip(_TAIL)               # "the," is "the" and ","
             if not stem.decode()[-1:].isalpha():  # but '",' is one pre-token
                 stem = w
-            low = stem.lower()                   # the normalizer lower-cases
             tail = w[len(stem):]
-            parts.append((w, low, tail))
-            for x in (low, tail):
-                if x and x not in known:
-                    if len(x) < 200 and x.decode().isalpha():
+            parts.append((w, stem, tail))
+            for x in (stem, tail):
+                if x and x not in known and x not in letters:
+                    if x in before:
+                        known[x] = before[x]
+                    elif len(x) < 200 and x.decode().isalpha():
                         letters.add(x)
                     else:
                         known[x] = self._encode(x)
         self._learn_letters(list(letters))
-        for w, low, tail in parts:
-            if w != low:
-                known[w] = known[low] + known[tail] if tail else known[low]
+        for w, stem, tail in parts:
+            if tail:
+                known[w] = known[stem] + known[tail]
 
     def _learn_letters(self, words: list[bytes]) -> None:
         """Words of letters only are one pre-token each, and the last token of
         a pre-token is marked: one call encodes many words."""
         for at in range(0, len(words), 2000):
             some = words[at:at + 2000]
-            found = np.array(self.library.encode(
-                b" ".join(some).decode(), add_special_tokens=False).ids, "<u4")
+            found = np.array(self._library_ids(b" ".join(some).decode()), "<u4")
             stops = np.flatnonzero(self.ends[found]) + 1
             if len(stops) != len(some) or stops[-1] != len(found):
                 self.known.update((w, self._encode(w)) for w in some)
@@ -96,6 +123,6 @@ class WordIds:
 
 
 @lru_cache(maxsize=2)
-def word_ids(path: str) -> WordIds:
+def word_ids(path: str, keep: int | None = None) -> WordIds:
     """This worker's tokenizer with its remembered words."""
-    return WordIds(path)
+    return WordIds(path, keep)
