@@ -126,3 +126,10 @@ def test_odd_rows(spark, field):
     assert [r.n_chars for r in got if r.page_id == 4] == [499999]
     assert H.extract(df.limit(0)).count() == 0
     assert H.extract(df.where("page_id < 3")).count() == 2       # nothing to train on
+
+
+def test_few_usable_pages_are_all_used(spark, pages):
+    some = pages.orderBy("page_id").limit(40).select("page_id", "html")
+    bare = spark.range(10_000, 13_960).selectExpr("id", "cast(null as string)")
+    whole, alone = H.train(some.union(bare), 60), H.train(some, 60)
+    assert alone.state.any() and (whole.state == alone.state).all()

@@ -85,3 +85,16 @@ def test_pages(spark):
     rows = L.identified(pages, declared="markup", host="host").alias("r").join(
         pages.select("doc_id", "truth"), "doc_id").collect()
     assert sum(r.lang == r.truth for r in rows) > 0.98 * len(rows)
+
+
+def test_few_labelled_rows_are_all_used(spark):
+    """A table of more than 8 * n rows with 1 % labelled gives the model of its
+    labelled rows alone."""
+    rows = corpus()[:100]
+    some = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    bare = spark.range(1000, 10900).selectExpr("id", "'the thing'", "cast(null as string)", "'x'")
+    named = ["doc_id", "_text", "_declared"]
+    whole = L.fit(some.union(bare).select("doc_id", "text", "lang").toDF(*named), 200)
+    alone = L.fit(some.select("doc_id", "text", "lang").toDF(*named), 200)
+    assert whole.languages == alone.languages == ["de", "en"]
+    assert (whole.log == alone.log).all()

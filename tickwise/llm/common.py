@@ -96,7 +96,7 @@ def if_small(df: DataFrame) -> DataFrame:
 
 def hashed_sample(df: DataFrame, key: str, n: int, total: int) -> DataFrame:
     """At most ``n`` rows, those with the smallest hashes of ``key``; ``total``
-    is about the number of rows. Rows beyond a multiple of the share needed are
+    is the number of rows of ``df``. Rows beyond a multiple of the share needed are
     left in the scan, so that not every task offers ``n`` rows."""
     spread = 1 << 40
     place = F.pmod(F.xxhash64(F.lit("sample"), F.col(key)), F.lit(spread))

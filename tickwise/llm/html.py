@@ -370,7 +370,7 @@ def train(pages: DataFrame, train_pages: int = TRAIN_PAGES, seed: int = 11) -> F
     usable = pages.select("page_id", F.col("html").cast("string").alias("html")).where(
         F.length("html").between(1, TRAIN_CHARS))
     sample = [r["html"] for r in
-              hashed_sample(usable, "page_id", train_pages, pages.count()).collect()]
+              hashed_sample(usable, "page_id", train_pages, usable.count()).collect()]
     return Field().fit(labelled(sample, seed))
 
 

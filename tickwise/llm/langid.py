@@ -109,7 +109,7 @@ def fit(rows: DataFrame, train_rows: int = TRAIN_ROWS) -> TextModel:
     ship(rows.sparkSession)
     usable = rows.where("_declared is not null and length(_text) > 0").select(
         "doc_id", "_text", "_declared")
-    sample = hashed_sample(usable, "doc_id", train_rows, rows.count()).select(
+    sample = hashed_sample(usable, "doc_id", train_rows, usable.count()).select(
         "_text", "_declared")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
