@@ -98,3 +98,27 @@ def test_few_labelled_rows_are_all_used(spark):
     alone = L.fit(some.select("doc_id", "text", "lang").toDF(*named), 200)
     assert whole.languages == alone.languages == ["de", "en"]
     assert (whole.log == alone.log).all()
+
+
+def test_rare_languages_are_kept(spark):
+    """A language of 30 in 30,000 rows, also where all its rows share an id."""
+    r = random.Random(3)
+    greek, thai = ["και", "είναι", "δεν", "από", "για"], ["และ", "ไม่", "เป็น", "ของ", "ที่"]
+    rare = [(50_000 + i, " ".join(r.choice(greek) for _ in range(30)), "el", None)
+            for i in range(30)]
+    rare += [(None, " ".join(r.choice(thai) for _ in range(30)), "th", None) for i in range(30)]
+    some = "doc_id long, text string, lang string, source string"
+    many = spark.createDataFrame(corpus(), some).crossJoin(spark.range(150)).selectExpr(
+        "doc_id + 200 * id AS doc_id", "text", "lang", "source")
+    docs = many.union(spark.createDataFrame(rare, some))
+    got = L.identified(docs, train_rows=60).where("declared in ('el', 'th')").collect()
+    assert len(got) == 60 and all(x.accepted and x.lang == x.declared for x in got)
+    assert L.with_language(docs, train_rows=60).where("lang in ('el', 'th')").count() == 60
+
+
+def test_a_language_of_one_repeated_id(spark):
+    """All ids of a language have one hash, which its part may leave out."""
+    for k in range(4):
+        rows = spark.range(4000).selectExpr("%d as doc_id" % k, "'the thing with' as _text",
+                                            "'en' as _declared")
+        assert L.fit(rows, 10).languages == ["en"]

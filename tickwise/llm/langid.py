@@ -1,7 +1,8 @@
 """Language identification by fusing evidence in one Bayesian posterior.
 
 * Text: byte trigrams around letters, hashed to ``BUCKETS``, under one
-  multinomial for each language, fitted on at most ``TRAIN_ROWS`` labelled rows.
+  multinomial for each language, fitted on an equal part of ``TRAIN_ROWS``
+  labelled rows.
   Trigrams of a text are far from independent, so their log-likelihood is
   tempered. A uniform distribution over the buckets stands for "none of these".
 * Markup: the declared language, through the table of how often each language
@@ -10,7 +11,8 @@
   smoothed towards all rows: grouped counts over all rows, of which a row's own
   vote is left out.
 
-The languages are those declared for at least ``MIN_ROWS`` of the labelled rows.
+The languages are those declared for at least ``MIN_ROWS`` of all labelled rows,
+counted over the whole table ("und" is none).
 """
 
 from __future__ import annotations
@@ -20,10 +22,10 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickwise.llm.common import hashed_sample, if_small, ship, stored, texts_of
+from tickwise.llm.common import if_small, ship, stored, texts_of
 
 BUCKETS = 1 << 16
 TRAIN_ROWS = 4000
@@ -103,14 +105,35 @@ class TextModel:
         return total * weight[:, None], n
 
 
+def _sampled(usable: DataFrame, counts: dict[str, int], quota: int) -> DataFrame:
+    """_text and _declared of at most ``quota`` rows of each language in
+    ``counts``, those with the smallest hashes of their ids. Rows beyond a
+    multiple of a language's share are left in the scan."""
+    spread = 1 << 40
+    place = F.pmod(F.xxhash64(F.lit("sample"), F.col("doc_id")), F.lit(spread))
+    bar = F.lit(0).cast("long")
+    for name, n in sorted(counts.items()):
+        bar = F.when(F.col("_declared") == name, F.lit(
+            spread if n <= 8 * quota else int(8 * quota / n * spread))).otherwise(bar)
+    order = Window.partitionBy("_declared").orderBy("_place", "doc_id", F.xxhash64("_text"))
+    return (usable.withColumn("_place", place).where(F.col("_place") < bar)
+            .withColumn("_row", F.row_number().over(order)).where(F.col("_row") <= quota)
+            .select("_text", "_declared"))
+
+
 def fit(rows: DataFrame, train_rows: int = TRAIN_ROWS) -> TextModel:
-    """The text model from the ``train_rows`` labelled rows (``doc_id``,
-    ``_text``, ``_declared``) with the smallest hashes of their ids."""
+    """The text model of every language declared on at least ``MIN_ROWS`` of all
+    labelled rows (``doc_id``, ``_text``, ``_declared``). Each is fitted on an
+    equal part of ``train_rows``, on ``MIN_ROWS`` rows at least: those with the
+    smallest hashes of their ids."""
     ship(rows.sparkSession)
     usable = rows.where("_declared is not null and length(_text) > 0").select(
         "doc_id", "_text", "_declared")
-    sample = hashed_sample(usable, "doc_id", train_rows, usable.count()).select(
-        "_text", "_declared")
+    counts = {r["_declared"]: r["n"] for r in
+              usable.where(F.col("_declared") != NONE).groupBy("_declared")
+              .agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= MIN_ROWS).collect()}
+    names = sorted(counts)
+    quota = max(MIN_ROWS, train_rows // max(1, len(names)))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, np.ndarray] = {}
@@ -121,15 +144,25 @@ def fit(rows: DataFrame, train_rows: int = TRAIN_ROWS) -> TextModel:
                 seen.setdefault(name, np.zeros(BUCKETS, np.int64))
                 seen[name] += np.bincount(found, minlength=BUCKETS)
                 rows_of[name] = rows_of.get(name, 0) + 1
-        # the labels are free text: only those that may become languages go on
-        names = [k for k, n in rows_of.items() if n >= MIN_ROWS]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(names, pa.string()), pa.array([seen[k].tobytes() for k in names],
-                                                    pa.binary())], names=["name", "counts"])
-
-    got = {r["name"]: np.frombuffer(r["counts"], np.int64) for r in
-           sample.coalesce(1).mapInArrow(count, "name string, counts binary").collect()}
-    names = sorted(got)
+            [pa.array(list(seen), pa.string()), pa.array(list(rows_of.values()), pa.int64()),
+             pa.array([x.tobytes() for x in seen.values()], pa.binary())],
+            names=["name", "n", "counts"])
+
+    def counted(of: dict[str, int], share: DataFrame) -> dict[str, np.ndarray]:
+        """Counts of the languages whose sample is whole."""
+        total: dict[str, np.ndarray] = {}
+        held: dict[str, int] = {}
+        for r in share.mapInArrow(count, "name string, n long, counts binary").collect():
+            total[r["name"]] = total.get(r["name"], 0) + np.frombuffer(r["counts"], np.int64)
+            held[r["name"]] = held.get(r["name"], 0) + r["n"]
+        return {k: x for k, x in total.items() if held[k] >= min(quota, of[k])}
+
+    got = counted(counts, _sampled(usable, counts, quota)) if names else {}
+    # ids that repeat have one hash, so a language of few ids may miss its part
+    short = {k: min(n, 8 * quota) for k, n in counts.items() if k not in got}
+    if short:
+        got |= counted(short, _sampled(usable, short, quota))
     return TextModel(names, np.array([got[k] for k in names], np.float64).reshape(-1, BUCKETS))
 
 
