@@ -134,3 +134,23 @@ def test_components(spark):
         up[max(x, y)] = min(x, y)
     assert got == {k: find(k) for k in up if any(k in e and e[0] != e[1] for e in edges)}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_near_copies_of_each_text_of_an_id(spark):
+    """An id with several texts is linked through each of them, also where it is
+    a bucket's first."""
+    r = random.Random(8)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(5))
+    for block in (512, 4):
+        rows = []
+        for i in range(12):
+            base = [word() for _ in range(200)]
+            texts = [base, base[:185] + [word() for _ in range(15)],
+                     [word() for _ in range(15)] + base[15:]]
+            hub = 100 * i + (0 if i % 3 else 50)
+            for k, text in enumerate(texts):
+                near = list(text)
+                near[60 * k + 5] = "other"
+                rows += [(hub, " ".join(text)), (100 * i + 10 + k, " ".join(near))]
+        r.shuffle(rows)
+        check(spark, rows, block=block)

@@ -182,7 +182,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85, bands: int = BANDS, rows
     # one row for each different set; equal sets have equal bands
     classes = stored(real.groupBy("class").agg(
         F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"),
-        F.first("bands").alias("bands")), "classes")
+        F.first("bands").alias("bands"))
+        .withColumn("node", F.monotonically_increasing_id()), "classes")
     found = stored(_links(docs, classes, percent, width, block), "verified")
     # rows of one id with different texts are rows of one node
     several = (real.groupBy("doc_id").agg(F.min("class").alias("c"), F.max("class").alias("d"))
@@ -205,72 +206,74 @@ def near_duplicates(docs: DataFrame, percent: int = 85, bands: int = BANDS, rows
 def _links(docs: DataFrame, classes: DataFrame, percent: int, width: int,
            block: int) -> DataFrame:
     """(a, b) verified links between representatives that connect all linked ones.
+    Sets are told apart by the number of their class (``node``): an id on rows
+    with different texts may represent several.
 
     First every member of a bucket is compared with the bucket's smallest one,
     which joins a dense group in time linear in its size. Then, in buckets that
     still hold several components, the members are compared with each other,
     without that smallest one.
     """
-    member = classes.select(F.explode("bands").alias("key"), "rep", "n")
+    member = classes.select(F.explode("bands").alias("key"), "rep", "node", "n")
     bucket = (member.groupBy("key").agg(F.count(F.lit(1)).alias("m"),
-                                        F.min(F.struct("rep", "n")).alias("lead"))
+                                        F.min(F.struct("rep", "node", "n")).alias("lead"))
               .where("m > 1").select("key", "lead"))
-    inside = stored(member.join(bucket, "key").where("rep <> lead.rep"), "buckets")
+    inside = stored(member.join(bucket, "key").where("node <> lead.node"), "buckets")
     near = (100 * F.least("n", "lead.n") >= percent * F.greatest("n", "lead.n"))
-    star = stored(inside.where(near).select(F.col("lead.rep").alias("lead"), "rep").distinct(),
+    star = stored(inside.where(near).select(F.col("lead.node").alias("lead"), "node").distinct(),
                   "stars")
-    active = stored(inside.select("rep").union(star.select("lead")).distinct()
-                    .join(classes.select("rep", "class"), "rep"), "active")
+    active = stored(inside.select("node").union(star.select("lead")).distinct()
+                    .join(classes.select("node", "rep", "class"), "node"), "active")
     sets = stored(_full_sets(docs, if_small(active), width), "sets")
 
     size = star.groupBy("lead").agg(F.ceil(F.count(F.lit(1)) / F.lit(2 * block)).cast("int")
                                     .alias("parts"))
-    part = F.pmod(mix31(F.col("rep") + F.lit(17)), F.col("parts")).cast("int")
+    part = F.pmod(mix31(F.col("node") + F.lit(17)), F.col("parts")).cast("int")
     spokes = star.join(size, "lead").select(
-        F.xxhash64("lead", part).alias("group"), "rep", F.lit(1).alias("place"))
+        F.xxhash64("lead", part).alias("group"), "node", F.lit(1).alias("place"))
     hubs = (size.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-            .select(F.xxhash64("lead", "part").alias("group"), F.col("lead").alias("rep"),
+            .select(F.xxhash64("lead", "part").alias("group"), F.col("lead").alias("node"),
                     F.lit(0).alias("place")))
     first = stored(_verified(spokes.union(hubs), sets, percent, _links_to_first), "first")
 
     named = components(first)
     rest = (inside.join(named.withColumnRenamed("node", "rep"), "rep", "left")
-            .select("key", "rep", "n", F.coalesce("component", "rep").alias("own")))
+            .select("key", "node", "n", F.coalesce("component", "rep").alias("own")))
     crowd = F.ceil(F.col("m") / F.lit(block)).cast("int")
     several = (rest.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("own").alias("c"),
                                        F.max("own").alias("d"))
                .where("c <> d").select("key", crowd.alias("blocks")))
     placed = (rest.join(several, "key")
-              .withColumn("mine", F.pmod(mix31(F.col("rep") + F.lit(17)),
+              .withColumn("mine", F.pmod(mix31(F.col("node") + F.lit(17)),
                                          F.col("blocks")).cast("int"))
               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
               .select("key", F.least("mine", "other").alias("x"),
-                      F.greatest("mine", "other").alias("y"), "rep", "n", "own"))
+                      F.greatest("mine", "other").alias("y"), "node", "n", "own"))
     lists = placed.groupBy("key", "x", "y").agg(
-        F.collect_list("rep").alias("reps"), F.collect_list("n").alias("sizes"),
+        F.collect_list("node").alias("nodes"), F.collect_list("n").alias("sizes"),
         F.collect_list("own").alias("owns"))
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for reps, sizes, owns in zip(*batch.columns):
-                reps, owns = reps.values.to_numpy(), owns.values.to_numpy()
-                of = dict(zip(reps.tolist(), owns.tolist()))
-                out += [run for run in _runs(reps, sizes.values.to_numpy(), percent)
+            for nodes, sizes, owns in zip(*batch.columns):
+                nodes, owns = nodes.values.to_numpy(), owns.values.to_numpy()
+                of = dict(zip(nodes.tolist(), owns.tolist()))
+                out += [run for run in _runs(nodes, sizes.values.to_numpy(), percent)
                         if len({of[x] for x in run.tolist()}) > 1]
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.list_(pa.int64()))],
-                                             names=["reps"])
+                                             names=["nodes"])
 
     # most buckets of a text hold the same texts: each list is verified once
-    groups = stored(lists.select("reps", "sizes", "owns").mapInArrow(split, "reps array<long>")
-                    .distinct().select(F.xxhash64("reps").alias("group"),
-                                       F.explode("reps").alias("rep"),
+    groups = stored(lists.select("nodes", "sizes", "owns").mapInArrow(split, "nodes array<long>")
+                    .distinct().select(F.xxhash64("nodes").alias("group"),
+                                       F.explode("nodes").alias("node"),
                                        F.lit(0).alias("place")), "groups")
     return first.union(_verified(groups, sets, percent, links_within))
 
 
 def _full_sets(docs: DataFrame, active: DataFrame, width: int) -> DataFrame:
-    """rep, shingles: the whole sets of the active representatives."""
+    """node, rep, shingles: the whole sets of the active classes."""
     texts = (docs.select(F.col("doc_id").cast("long").alias("rep"),
                          F.col("text").cast("string").alias("text")).join(active, "rep"))
 
@@ -282,15 +285,17 @@ def _full_sets(docs: DataFrame, active: DataFrame, width: int) -> DataFrame:
                 hit = [(i, s) for i, s in enumerate(shingle_sets(texts_[a:a + 256], width))
                        if _fingerprint(s) == batch.column("class")[a + i].as_py()]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([batch.column("rep")[a + i].as_py() for i, _ in hit], pa.int64()),
-                     pa.array([s.tobytes() for _, s in hit], pa.binary())],
-                    names=["rep", "shingles"])
+                    [pa.array([batch.column(c)[a + i].as_py() for i, _ in hit], pa.int64())
+                     for c in ("node", "rep")]
+                    + [pa.array([s.tobytes() for _, s in hit], pa.binary())],
+                    names=["node", "rep", "shingles"])
 
-    return texts.select("rep", "class", "text").mapInArrow(run, "rep long, shingles binary")
+    return texts.select("node", "rep", "class", "text").mapInArrow(
+        run, "node long, rep long, shingles binary")
 
 
 def _verified(groups: DataFrame, sets: DataFrame, percent: int, links) -> DataFrame:
-    """Links found by ``links`` within each group (group, rep, place)."""
+    """Links found by ``links`` within each group (group, node, place)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, names, held = None, [], []
         for batch in batches:
@@ -305,7 +310,7 @@ def _verified(groups: DataFrame, sets: DataFrame, percent: int, links) -> DataFr
             yield _pairs(out)
         yield _pairs(links(names, held, percent))
 
-    return (groups.join(sets, "rep").select("group", "rep", "shingles", "place")
+    return (groups.join(sets, "node").select("group", "rep", "shingles", "place")
             .repartition("group").sortWithinPartitions("group", "place")
             .select("group", "rep", "shingles").mapInArrow(run, "a long, b long").distinct())
 
