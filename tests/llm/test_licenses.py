@@ -82,3 +82,18 @@ def test_odd_rows(spark):
     assert C.find_licenses(docs, templates=(("X", ""),)).count() == 0
     short = C.find_licenses(docs, templates=(("Y", "MIT License"),))
     assert {x.license for x in short.collect()} <= {"Y"}
+
+
+def test_every_start_counts(spark):
+    """Changed notices after any number of words, as all windows give them."""
+    r = random.Random(6)
+    rows = []
+    for _, t in C.TEMPLATES:
+        for before in range(12 if len(t.split()) > 15 else 2):
+            w = t.split()
+            for _ in range(r.choice([1, 2])):
+                w[r.randrange(len(w))] = "other"
+            rows.append((len(rows), " ".join(["lorem"] * (before + 3) + w + ["ipsum"] * 9)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(x.doc_id, x.license): x.containment for x in C.find_licenses(docs).collect()}
+    assert got == brute(rows)

@@ -11,8 +11,9 @@ holds at least ``CONTAINMENT`` of a template's five-word shingles.
 3. At the worst offset, such a window and its template have a Jaccard
    similarity of 0.58 at least; 24 bands of 2 then collide with probability
    1 - (1 - 0.58^2)^24 > 0.9999. Windows meet templates by a join on bands.
-4. Containment is counted on the shingles themselves; of templates that match
-   one window, those with the highest containment stay.
+4. Containment is counted on the shingles themselves, at every start between a
+   found window's neighbours; of templates that match one window, those with the
+   highest containment stay.
 """
 
 from __future__ import annotations
@@ -159,22 +160,34 @@ def find_licenses(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMP
     placed = stored(rows.select("doc_id", "h", F.array_distinct(F.concat(
         F.array().cast("array<struct<span:int,start:int>>"),
         *[starts(s, t) for s, t in sorted(by_span.items())])).alias("at")), "windows")
+    # with what lies between a window and its neighbours: a notice's own place
+    # may be at any start there
+    reach = F.greatest(F.floor(F.col("at.span") / 8).cast("int"), F.lit(1)) - 1
+    left = F.greatest(F.col("at.start") - reach, F.lit(1))
     windows = (placed.select("doc_id", "h", F.explode("at").alias("at"))
-               .select("doc_id", F.col("at.span").alias("span"), F.col("at.start").alias("start"),
+               .select("doc_id", F.col("at.span").alias("span"),
                        F.array_distinct(F.slice("h", F.col("at.start"), F.col("at.span")))
-                       .alias("held")))
+                       .alias("held"), left.alias("left"), (F.col("at.start") + reach).alias("right"),
+                       F.slice("h", left, F.col("at.start") + reach + F.col("at.span") - left)
+                       .alias("wide")))
     keyed = stored(windows.withColumn("keys", band_keys(F.col("held"), bands)), "banded")
     known_bands = known.withColumn("keys", band_keys(F.col("own"), bands)).select(
         "template", "license", "span", "own", F.posexplode("keys").alias("band", "key"))
-    pairs = (keyed.select("doc_id", "span", "start", "held",
+    found = (keyed.select("doc_id", "span", "left", "right", "wide",
                           F.posexplode("keys").alias("band", "key"))
              .join(known_bands, ["span", "band", "key"])
-             .dropDuplicates(["doc_id", "span", "start", "held", "template"]))
+             .dropDuplicates(["doc_id", "span", "left", "right", "wide", "template"]))
+    last = F.greatest("left", F.least("right", F.col("left") + F.size("wide") - F.col("span")))
+    pairs = (found.withColumn("start", F.explode(F.sequence("left", last)))
+             .withColumn("held", F.array_distinct(F.slice(
+                 "wide", F.col("start") - F.col("left") + 1, F.col("span")))))
     share = F.size(F.array_intersect("held", "own")) / F.size("own")
     # a version's notice also resembles the other version's: the best stays
     best = F.max("containment").over(Window.partitionBy("doc_id", "span", "start"))
-    return (pairs.select("doc_id", "license", "span", "start", share.alias("containment"))
+    return (pairs.withColumn("containment", share)
             .where(F.col("containment") >= containment)
+            .dropDuplicates(["doc_id", "span", "start", "held", "template"])
+            .select("doc_id", "license", "span", "start", "containment")
             .withColumn("best", best).where("containment = best")
             .groupBy("doc_id", "license").agg(
                 F.max("containment").alias("containment"),
