@@ -133,3 +133,22 @@ def test_few_usable_pages_are_all_used(spark, pages):
     bare = spark.range(10_000, 13_960).selectExpr("id", "cast(null as string)")
     whole, alone = H.train(some.union(bare), 60), H.train(some, 60)
     assert alone.state.any() and (whole.state == alone.state).all()
+
+
+@pytest.mark.parametrize("odd", ["<![foo[", "<![ endif]>", "<![1", "<![if !IE]>", "<![endif]-->",
+                                 "<!DOCTYPE", "<!x [", "<!["])
+def test_declarations_cut_nothing(odd):
+    def texts(html):
+        return [b[0] for b in H.leaf_blocks(html)]
+
+    story = "<article><p>First of all.</p>%s<p>And then.</p></article>"
+    assert texts(odd + ">" + story % "")[-2:] == ["First of all.", "And then."]
+    assert texts(story % (odd + ">"))[0] == "First of all."
+    assert texts(story % (odd + ">"))[-1] == "And then."
+
+
+def test_open_head_ends_where_the_page_begins():
+    page = "<html><head><title>T</title><meta charset=x><script>a</script>%s<article><p>Story.</p>"
+    for after in ("", "<link rel=x>", "<noscript><p>no</p></noscript>"):
+        assert [b[0] for b in H.leaf_blocks(page % after)] == ["Story."]
+    assert H.leaf_blocks(page % "")[0][1][1][0] == "article"

@@ -40,6 +40,9 @@ _INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em f
                     "var wbr".split())
 _UNSEEN = frozenset("script style noscript template svg math iframe object canvas select option "
                     "button textarea title head audio video".split())
+#: Start tags that may stand in a head; any other ends it.
+_IN_HEAD = frozenset("html head base basefont bgsound link meta noframes noscript script style "
+                     "template title".split())
 #: Start tags that end an open paragraph.
 _ENDS_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure "
                     "footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table "
@@ -90,7 +93,8 @@ class _Blocks(HTMLParser):
         elif tag in _SIBLINGS:
             names, within = _SIBLINGS[tag]
             self._close(tuple(names.split()), within)
-        if tag == "body":
+        if tag == "body" or self.unseen and tag not in _IN_HEAD and not any(
+                t in _UNSEEN and t != "head" for t, _ in self.stack):
             self._close(("head",), set())
         if tag == "br":
             self.text.append(" ")
@@ -119,7 +123,18 @@ class _Blocks(HTMLParser):
             self.flush()
         return None
 
+    def parse_html_declaration(self, i: int) -> int:
+        """A marked section other than CDATA is a comment up to its ``>``."""
+        marked = self.rawdata.startswith("<![", i)
+        if not marked or self.rawdata.startswith("<![CDATA[", i):
+            end = super().parse_html_declaration(i)
+            if end >= 0 or not marked:
+                return end
+        return self.parse_bogus_comment(i)
+
     def handle_data(self, data: str) -> None:
+        if self.unseen and self.stack[-1][0] == "head" and data.strip():
+            self._pop(len(self.stack) - 1)
         if not self.unseen:
             self.text.append(data)
             if self.links:
@@ -128,11 +143,8 @@ class _Blocks(HTMLParser):
 
 def leaf_blocks(html: str) -> list[tuple[str, tuple, int]]:
     parser = _Blocks()
-    try:
-        parser.feed(html)
-        parser.close()
-    except AssertionError:          # malformed declarations: what came before counts
-        pass
+    parser.feed(html)
+    parser.close()
     parser.flush()
     return parser.blocks
 
@@ -399,7 +411,8 @@ def main_text(html: str, field: Field) -> str:
 def extract(pages: DataFrame, field: Field | None = None) -> DataFrame:
     """page_id, url, text and n_chars (code points) of every page.
 
-    Null and empty pages, and pages without main text, have the empty text.
+    Null and empty pages, and pages without main text, have the empty text. Odd
+    declarations are comments; an open head ends at the first thing not its own.
     Repeated rows are extracted each; other columns are ignored; an empty
     input gives no rows.
     """
