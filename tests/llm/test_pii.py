@@ -115,3 +115,15 @@ def test_held_out_snippets(spark, trees):
             right += mine in extra
         wrong += sum(not yes or s != mine for s in extra)
     assert right / wanted > 0.7 and wrong / max(1, right + wrong) < 0.04
+
+
+def test_numbers_beside_base_spans(spark, trees):
+    rows = [(1, "call 555-123-4567 +1 302 555 8032"), (2, "call 10.0.0.1 555-123-4567 now"),
+            (3, "tel 555-123-4567 10.0.0.1"), (4, "order 555-123-4567 +1 302 555 8032"),
+            (5, "contact jane (at) example.com today"), (6, "meet ron (at) station.north at ten")]
+    found = check(spark, trees, rows)
+    assert sorted(found[1]) == ["phone:18:33", "phone:5:17"]
+    assert sorted(found[2]) == ["ip:5:13", "phone:14:26"]
+    assert sorted(found[3]) == ["ip:17:25", "phone:4:16"]
+    assert found[4] == ["phone:19:34"]
+    assert found[5] == ["email:8:29"] and found[6] == []

@@ -41,7 +41,7 @@ RUN = r"[0-9+][0-9\x20().+-]*+"
 _BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
 _IP_VALID = rf"^{_BYTE}(?:\.{_BYTE}){{3}}$"
 
-# generators of proposals: numbers (within runs that hold no base span), and
+# generators of proposals: numbers (in a run's gaps between base spans), and
 # mail addresses with a bracketed at
 NUMBER = r"[0-9](?:[\x20().-]{0,3}[0-9]){7,18}(?![0-9])"
 SPELT = (r"(?i)(?<![a-z0-9._%+@-])[a-z0-9][a-z0-9._%+-]{0,63}+\x20?[(\[{]\x20?at\x20?[)\]}]"
@@ -178,19 +178,25 @@ def _with_base(df: DataFrame) -> DataFrame:
 def _with_proposals(df: DataFrame) -> DataFrame:
     """Adds ``_numbers`` and ``_spelt``: array<struct<a, b, s, left, right>>. A
     number is proposed as a phone and as a card, overlapping."""
+    def unbarred(gap: Column) -> Column:
+        return F.regexp_replace(gap, r"\|+", "")
+
     def numbers(run: Column) -> Column:
-        inside = _located(run["s"], NUMBER, run["at"])
+        # base spans are barred in place, and left out of the context
+        gaps = F.aggregate(
+            F.concat(run["ip"], run["card"], run["phone"]), run["s"],
+            lambda acc, x: F.overlay(acc, F.repeat(F.lit("|"), x["b"] - x["a"]),
+                                     x["a"] - run["at"] + 1, x["b"] - x["a"]))
+        inside = _located(gaps, NUMBER, run["at"])
         return F.transform(inside, lambda r, i: F.struct(
             r["at"].alias("a"), (r["at"] + F.length(r["s"])).alias("b"), r["s"].alias("s"),
             F.concat(F.when(i == 0, run["left"]).otherwise(F.lit("")),
-                     F.right(r["gap"], F.lit(CONTEXT))).alias("left"),
-            F.concat(F.substring(r["next"], 1, CONTEXT),
+                     F.right(unbarred(r["gap"]), F.lit(CONTEXT))).alias("left"),
+            F.concat(F.substring(unbarred(r["next"]), 1, CONTEXT),
                      F.when(i == F.size(inside) - 1, run["right"]).otherwise(F.lit("")))
             .alias("right")))
 
-    free = F.filter("_runs", lambda r: (F.size(r["ip"]) + F.size(r["card"])
-                                        + F.size(r["phone"]) == 0)
-                    & (F.length(_digits(r["s"])) >= 8))
+    free = F.filter("_runs", lambda r: F.length(_digits(r["s"])) >= 8)
     df = df.withColumn("_numbers", F.filter(
         F.flatten(F.transform(free, numbers)),
         lambda p: ~p["left"].rlike(_JOINED_LEFT) & ~p["right"].rlike(_JOINED_RIGHT)))
@@ -268,7 +274,10 @@ def _snippets(n: int, seed: int = 7) -> list[tuple[int, str, str, int, int]]:
         elif case == 6:
             cue, s, k, y = r.choice(["card", word(), word()]), card(False), 2, 0
         else:
-            cue, s, k, y = word(), f"{word()} (at) {word()}.{word()}", 0, 0
+            # wanted after words that announce an address
+            y = int(r.random() < 0.5)
+            cue = r.choice(["mail", "e-mail", "contact", "write to", "reach"]) if y else word()
+            s, k = f"{word()} {r.choice(['(at)', '[at]'])} {word()}.{word()}", 0
         out.append((i, f"{before} {cue} {s} {after}", s, k, y))
     return out
 
