@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from tickwise.llm.ann import search
 from tickwise.llm.common import table
 from tickwise.llm.decontam import leaky_documents
+from tickwise.llm.fim import ORACLE_SQL as FIM_SQL
+from tickwise.llm.fim import digests
 from tickwise.llm.html import extract
 from tickwise.llm.huffman import read_tokens, write_tokens
 from tickwise.llm.langid import identified
@@ -17,6 +19,7 @@ from tickwise.llm.neardup import near_duplicates
 from tickwise.llm.packing import pack
 from tickwise.llm.pii import personal_data
 from tickwise.llm.sharding import shard_rows
+from tickwise.llm.spelling import spelling_variants
 from tickwise.session import new_scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,6 +68,14 @@ def op10_huffman_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(spark, path, ids=False)
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests(table(spark, sf_dir, "documents"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -76,8 +87,8 @@ def queries() -> dict[str, Query]:
         op1_html_main_text, op2_language_id, op3_license_scan, op4_best_fit_packing,
         op5_posting_list_search, op6_personal_data,
         op7_benchmark_decontamination, op8_jump_sharding, op9_minhash_near_duplicates,
-        op10_huffman_token_files, pipeline)}
+        op10_huffman_token_files, op11_fill_in_middle, op12_spelling_variants, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op11_fill_in_middle": FIM_SQL}
