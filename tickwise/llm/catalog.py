@@ -18,6 +18,7 @@ from tickwise.llm.licenses import find_licenses
 from tickwise.llm.neardup import near_duplicates
 from tickwise.llm.packing import pack
 from tickwise.llm.pii import personal_data
+from tickwise.llm.sampling import compared
 from tickwise.llm.sharding import shard_rows
 from tickwise.llm.spelling import spelling_variants
 from tickwise.session import new_scratch_dir
@@ -76,6 +77,10 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(table(spark, sf_dir, "documents"))
 
 
+def op13_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compared(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -87,7 +92,8 @@ def queries() -> dict[str, Query]:
         op1_html_main_text, op2_language_id, op3_license_scan, op4_best_fit_packing,
         op5_posting_list_search, op6_personal_data,
         op7_benchmark_decontamination, op8_jump_sharding, op9_minhash_near_duplicates,
-        op10_huffman_token_files, op11_fill_in_middle, op12_spelling_variants, pipeline)}
+        op10_huffman_token_files, op11_fill_in_middle, op12_spelling_variants,
+        op13_document_fingerprints, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
