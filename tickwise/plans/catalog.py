@@ -29,7 +29,7 @@ from tickwise.session import new_scratch_dir, stored
 from tickwise.sources import sinks
 from tickwise.sources import snapshots as S
 from tickwise.sources.fixture import app_id, landed_fixture, ticker_snapshot
-from tickwise.streaming.snapshots import stream_snapshots
+from tickwise.streaming.snapshots import rejected_files, stream_snapshots
 
 TS = "processing_timestamp"
 RUN_TS = _dt.datetime(2024, 6, 1, 8, 30, 0, tzinfo=_dt.timezone.utc)
@@ -298,6 +298,58 @@ register("stream_summary", f"SELECT * FROM ({O.summary_a()}) UNION ALL "
         serving.read_collection(spark, _streamed(spark, sf), "market_metrics")))
 
 
+#: Rows of one feed file in the queries below.
+FEED_ROWS = 500
+CUT = "symbol LIKE '%7USDT'"
+
+
+def _feed_files(rows: DataFrame, path: str, cut: bool = False) -> None:
+    """The rows as feed files of one indented JSON array each, about FEED_ROWS in
+    a file; ``cut`` leaves out the second half of every file."""
+    key = F.pmod(F.xxhash64("symbol"), F.lit(1 + rows.count() // FEED_ROWS))
+    text = F.concat(F.lit("[\n"), F.concat_ws(",\n", F.collect_list(F.to_json(F.struct(
+        *RAW.fieldNames())))), F.lit("\n]\n"))
+    files = rows.groupBy(key.alias("file")).agg(text.alias("value"))
+    if cut:
+        files = files.withColumn("value", F.expr("left(value, length(value) div 2)"))
+    files.write.partitionBy("file").text(path)
+
+
+def _mixed_layouts(spark, sf) -> str:
+    """Output of one incremental run over feed arrays and a landed snapshot."""
+    d = new_scratch_dir(spark, "layouts")
+    rows = raw(spark, sf)
+    _feed_files(rows.where(CUT), f"{d}/raw/feed")
+    sinks.land_snapshot(rows.where(f"symbol IS NULL OR NOT {CUT}"), f"{d}/raw", NEWER_STAMP)
+    stream_snapshots(spark, f"{d}/raw", f"{d}/out", run_ts=RUN_TS, pattern="part-*")
+    return f"{d}/out"
+
+
+def _with_rejects(spark, sf) -> DataFrame:
+    """Alerts of an incremental run in which every feed file is cut short, with
+    the number of rows and of files that were set aside."""
+    d = new_scratch_dir(spark, "rejects")
+    rows = raw(spark, sf)
+    _feed_files(rows.where(CUT), f"{d}/raw/feed", cut=True)
+    files = spark.read.text(f"{d}/raw/feed", wholetext=True)
+    sinks.land_snapshot(rows.where(f"symbol IS NULL OR NOT {CUT}"), f"{d}/raw", NEWER_STAMP)
+    stream_snapshots(spark, f"{d}/raw", f"{d}/out", run_ts=RUN_TS, pattern="part-*")
+    missing = files.select(F.col("_metadata.file_path").alias("file")).join(
+        rejected_files(spark, f"{d}/out"), "file", "left_anti")
+    n = missing.agg(F.count(F.lit(1)).alias("n")).select("n").scalar()
+    return (serving.read_collection(spark, f"{d}/out", "processed_data")
+            .select("symbol", "overall_anomaly_score", "critical_alert")
+            .withColumn("files_not_rejected", n))
+
+
+register("stream_mixed_layouts", "SELECT * FROM a_all")(
+    lambda spark, sf: serving.read_collection(spark, _mixed_layouts(spark, sf), "processed_data")
+    .drop(TS))
+register("stream_rejects",
+         f"SELECT symbol, overall_anomaly_score, critical_alert, 0::BIGINT AS files_not_rejected "
+         f"FROM a_all WHERE NOT {CUT}")(_with_rejects)
+
+
 # ----------------------------------------------------------------- sinks
 def _readback(spark, path):
     return spark.read.parquet(path)
@@ -426,6 +478,38 @@ register("pipeline_b_no_alerts",
 register("replay_latest", _at("b_all", RUN_TEXT))(_stored_rows(_replay, "processed_data", TS))
 
 
+def _compacted(spark, sf) -> str:
+    """Three small runs, rewritten as one."""
+    out = new_scratch_dir(spark, "compact")
+    rows = raw(spark, sf)
+    for i in range(3):
+        jobs.run_absolute(spark, rows.where(F.pmod(F.crc32("symbol"), F.lit(3)) == i), out,
+                          run_ts=RUN_TS + _dt.timedelta(microseconds=i))
+    jobs.compact_runs(spark, out, "a", largest=1 << 62)
+    if len(serving.run_log(spark, out)) != 1:
+        raise RuntimeError("the runs were not compacted")
+    return out
+
+
+register("snk_compacted_runs", _at("a_all", RUN_TEXT))(
+    _stored_rows(_compacted, "processed_data", TS))
+
+
+def _cli(spark, sf) -> str:
+    """Profile B as a user runs it: a folder, its preview, replaced results."""
+    out = new_scratch_dir(spark, "cli")
+    args = ["--profile", "b", "--input", _two_snapshots(spark, sf, older_subset=True),
+            "--output", out]
+    for mode in ("all", "latest"):
+        if jobs.main([*args, "--mode", mode]) != 0:
+            raise RuntimeError(f"the job failed with --mode {mode}")
+    return out
+
+
+register("job_cli", "SELECT * FROM b_all")(
+    lambda spark, sf: serving.read_collection(spark, _cli(spark, sf), "processed_data").drop(TS))
+
+
 # --------------------------------------------------------------- serving
 _STORED: dict[tuple[str, str], str] = {}
 

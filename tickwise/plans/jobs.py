@@ -1,12 +1,13 @@
 """End-to-end jobs: profile A ETL, profile B analysis, replay of the newest
 snapshot, plus a ``spark-submit`` entry point.
 
-Each job reads and parses its input once and writes the processed rows to its
-own partition (``run_id``) of the collection; the alerts and the market summary
-are then derived from those written rows (column-pruned Parquet reads), so
-nothing is cached in executors and a lost executor never loses intermediate
-state. A run that is tried again with its id replaces its own partitions; the
-summary comes last and makes the run count.
+Each job reads and parses its input once and writes the processed rows to a
+folder of their own; the alerts and the market summary are then derived from
+those written rows (column-pruned Parquet reads), so nothing is cached in
+executors and a lost executor never loses intermediate state. The run's entry in
+the catalogue comes last: in one step it makes the run count and, where the job
+replaces results, takes the others' place. A run that is tried again with its id
+replaces itself. Scratch tables are deleted when the job has succeeded.
 Stage counts are collected with ``Observation``s on the same jobs.
 """
 
@@ -26,9 +27,9 @@ from tickwise.operators.cleaning import score_absolute, scored_metrics
 from tickwise.operators.relative import (filter_relative, relative_anomalies,
                                           relative_indicators)
 from tickwise.schema import SNAPSHOT_GLOB
-from tickwise.session import stored
-from tickwise.sources import sinks
-from tickwise.sources.snapshots import (ensure_nonempty, load_directory, preview,
+from tickwise.session import expire_scratch, job_scratch
+from tickwise.sources import runs, sinks
+from tickwise.sources.snapshots import (ensure_nonempty, first_records, load_directory,
                                         read_latest_snapshot, read_ticker)
 
 log = logging.getLogger("tickwise")
@@ -39,12 +40,17 @@ def new_run_id(run_ts: _dt.datetime) -> str:
     return as_utc(run_ts).strftime("%Y%m%dT%H%M%S%f")
 
 
-def _finish(rows: DataFrame, alerts: DataFrame, summary: DataFrame, output: str,
-            run_id: str, replace: bool) -> None:
-    sinks.write_run(alerts, output, "critical_alerts", run_id)
-    sinks.write_run(summary, output, "market_metrics", run_id)
-    if replace:
-        sinks.drop_other_runs(rows.sparkSession, output, run_id)
+def _finish(profile: str, rows: DataFrame, alerts: DataFrame, summary: DataFrame, output: str,
+            run_id: str, folder: str, run_ts: _dt.datetime, replace: bool) -> None:
+    spark = rows.sparkSession
+    written = {"processed_data": rows,
+               "critical_alerts": sinks.write_run(alerts, output, "critical_alerts", folder),
+               "market_metrics": sinks.write_run(summary, output, "market_metrics", folder)}
+    total = written["market_metrics"].select("total_symbols", "critical_alerts").first()
+    made = runs.entry(spark, output, run_id, folder, profile, as_utc(run_ts).isoformat(),
+                      total["total_symbols"], total["critical_alerts"])
+    runs.commit(spark, output, made, {c: df.schema for c, df in written.items()}, replace)
+    runs.drop_failed_tries(spark, output, run_id, profile, folder)
 
 
 def run_absolute(spark: SparkSession, raw: DataFrame, output: str,
@@ -58,12 +64,14 @@ def run_absolute(spark: SparkSession, raw: DataFrame, output: str,
     """
     run_ts = run_ts or utc_now()
     run_id = run_id or new_run_id(run_ts)
+    folder = runs.new_folder(run_id, "a")
     loaded = Observation("loaded")
     raw = raw.observe(loaded, F.count(F.lit(1)).alias("rows"))
     stats, parsed, cleaned = Observation("scored"), Observation("parsed"), Observation("cleaned")
     scored = score_absolute(raw, run_ts, stats, parsed, cleaned)
-    rows = sinks.write_run(scored, output, "processed_data", run_id, batch_size)
-    _finish(rows, D.alerts_a(rows, run_ts), D.summary_a(rows, run_ts), output, run_id, replace)
+    rows = sinks.write_run(scored, output, "processed_data", folder, batch_size)
+    _finish("a", rows, D.alerts_a(rows, run_ts), D.summary_a(rows, run_ts), output, run_id,
+            folder, run_ts, replace)
     result = {"loaded": loaded.get.get("rows", 0), "parsed": parsed.get.get("rows", 0),
               "cleaned": cleaned.get.get("rows", 0), **stats.get}
     log.info("profile A: %s", result)
@@ -81,14 +89,17 @@ def run_relative(spark: SparkSession, raw: DataFrame, output: str,
     """
     run_ts = run_ts or utc_now()
     run_id = run_id or new_run_id(run_ts)
+    folder = runs.new_folder(run_id, "b")
     loaded, kept, stats = Observation("loaded"), Observation("kept"), Observation("relative")
     raw = raw.observe(loaded, F.count(F.lit(1)).alias("rows"))
-    base = stored(relative_indicators(filter_relative(raw))
-                  .observe(kept, F.count(F.lit(1)).alias("rows")), "relative")
-    scored = (relative_anomalies(base, exact_median).observe(stats, *scored_metrics())
-              .withColumn("processing_timestamp", stamp(run_ts)))
-    rows = sinks.write_run(scored, output, "processed_data", run_id)
-    _finish(rows, D.alerts_b(rows, run_ts), D.summary_b(rows, run_ts), output, run_id, replace)
+    with job_scratch(spark) as stored:
+        base = stored(relative_indicators(filter_relative(raw))
+                      .observe(kept, F.count(F.lit(1)).alias("rows")), "relative")
+        scored = (relative_anomalies(base, exact_median).observe(stats, *scored_metrics())
+                  .withColumn("processing_timestamp", stamp(run_ts)))
+        rows = sinks.write_run(scored, output, "processed_data", folder)
+    _finish("b", rows, D.alerts_b(rows, run_ts), D.summary_b(rows, run_ts), output, run_id,
+            folder, run_ts, replace)
     result = {"loaded": loaded.get.get("rows", 0), "filtered": kept.get.get("rows", 0),
               **stats.get}
     log.info("profile B: %s", result)
@@ -103,6 +114,32 @@ def replay_latest(spark: SparkSession, raw_dir: str, output: str,
     return run_relative(spark, ensure_nonempty(raw), output, run_ts)
 
 
+def compact_runs(spark: SparkSession, output: str, profile: str, largest: int = 1_000_000,
+                 batch_size: int = 1_000_000) -> dict | None:
+    """Rewrite a profile's runs of up to ``largest`` rows (micro-batches) as one
+    run in files of bounded size, under one commit; rows, alerts and summaries
+    stay as they are. Returns the new entry, None if fewer than two runs are small.
+    """
+    state = runs.current(spark, output)
+    small = sorted((r for r in state["runs"] if r["profile"] == profile and r["rows"] <= largest),
+                   key=lambda r: (r["timestamp"], r["run_id"]))
+    if len(small) < 2:
+        return None
+    run_id = f"{small[-1]['run_id']}-compact"
+    folder = runs.new_folder(run_id, profile)
+    files = 1 + sum(r["rows"] for r in small) // batch_size
+    schemas = {}
+    for collection in sinks.COLLECTIONS:
+        rows = runs.read(spark, output, collection, state, small)
+        schemas[collection] = rows.schema
+        sinks.write_run(rows.coalesce(files), output, collection, folder, batch_size)
+    made = runs.entry(spark, output, run_id, folder, profile, small[-1]["timestamp"],
+                      sum(r["rows"] for r in small), sum(r["alerts"] for r in small),
+                      min(r["oldest"] for r in small), sum(r["summaries"] for r in small))
+    runs.commit(spark, output, made, schemas, instead=[r["run_id"] for r in small])
+    return made
+
+
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="tickwise", description="Ticker snapshot analytics on Spark")
     p.add_argument("--profile", choices=["a", "b"], default="a")
@@ -119,6 +156,8 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--output", required=True)
     p.add_argument("--batch-size", type=int, default=1_000_000,
                    help="rows per written file of processed rows")
+    p.add_argument("--compact", action="store_true",
+                   help="with --mode new: rewrite small runs as one afterwards")
     p.add_argument("--approx-median", action="store_true")
     args = p.parse_args(argv)
 
@@ -127,12 +166,15 @@ def main(argv: list[str] | None = None) -> int:
     active = SparkSession.getActiveSession()
     spark = active or build_session()
     try:
+        expire_scratch(spark)
         if args.mode == "new":
             from tickwise.streaming.snapshots import stream_snapshots
 
             n = stream_snapshots(spark, args.input, args.output, layout=args.layout,
                                  profile=args.profile)
             log.info("processed %d new micro-batch(es)", n)
+            if args.compact:
+                compact_runs(spark, args.output, args.profile, batch_size=args.batch_size)
             return 0
         if args.mode == "latest":
             raw = read_latest_snapshot(spark, args.input, args.pattern, args.layout)
@@ -140,10 +182,8 @@ def main(argv: list[str] | None = None) -> int:
             raw = read_ticker(spark, file=args.input, layout=args.layout)
         else:
             raw = load_directory(spark, args.input, args.layout)
-        raw = ensure_nonempty(raw)
-        if args.preview:
-            for row in preview(raw, args.preview).collect():
-                log.info("record %s", row.asDict())
+        for row in first_records(raw, args.preview):
+            log.info("record %s", row.asDict())
         if args.profile == "a":
             run_absolute(spark, raw, args.output, args.batch_size)
         else:

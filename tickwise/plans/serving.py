@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tickwise.operators.aggregates import label_counts
 from tickwise.schema import DISPLAY_COLUMNS
-from tickwise.sources.sinks import run_ids
+from tickwise.sources import runs
 
 
 def _empty(spark: SparkSession, name: str) -> DataFrame:
@@ -25,40 +25,39 @@ def _empty(spark: SparkSession, name: str) -> DataFrame:
     return spark.createDataFrame([], schemas[name])
 
 
+def _rows_of(spark: SparkSession, output: str, name: str, state: dict,
+             entries: Sequence[dict]) -> DataFrame:
+    found = runs.read(spark, output, name, state, list(entries))
+    return _empty(spark, name) if found is None else found
+
+
+def _newest_first(state: dict) -> list[dict]:
+    return sorted(state["runs"], key=lambda r: (r["timestamp"], r["run_id"]), reverse=True)
+
+
 def read_runs(spark: SparkSession, output: str, name: str, ids: Sequence[str]) -> DataFrame:
-    """The rows of the given runs; only their files are opened. Runs of both
-    profiles may be among them: their schemas are merged."""
-    if not ids:
-        return _empty(spark, name)
-    base = f"{output.rstrip('/')}/{name}"
-    return (spark.read.option("mergeSchema", "true").option("basePath", base)
-            .parquet(*[f"{base}/run_id={i}" for i in ids]).drop("run_id"))
-
-
-def run_log(spark: SparkSession, output: str) -> list:
-    """(run_id, timestamp, rows, alerts) of the complete runs, newest first: the
-    summaries hold one row for each run."""
-    ids = run_ids(spark, output, "market_metrics")
-    if not ids:
-        return []
-    base = f"{output.rstrip('/')}/market_metrics"
-    # run ids are text even where they look like numbers
-    schema = ("timestamp timestamp, total_symbols bigint, critical_alerts bigint, "
-              "run_id string")
-    return (spark.read.schema(schema).parquet(base)
-            .select("run_id", "timestamp", F.col("total_symbols").alias("rows"),
-                    F.col("critical_alerts").alias("alerts"))
-            .orderBy(F.desc("timestamp"), F.desc("run_id")).collect())
+    """The rows of the given current runs; only their files are opened. Runs of
+    both profiles may be among them: the catalogue names their columns, so no
+    file's footer is read to merge them."""
+    state = runs.current(spark, output)
+    return _rows_of(spark, output, name, state, [r for r in state["runs"] if r["run_id"] in ids])
+
+
+def run_log(spark: SparkSession, output: str) -> list[dict]:
+    """The catalogue's entries of the current runs, newest first."""
+    return _newest_first(runs.current(spark, output))
 
 
 def read_collection(spark: SparkSession, output: str, name: str) -> DataFrame:
-    """All complete runs of a collection."""
-    return read_runs(spark, output, name, [r["run_id"] for r in run_log(spark, output)])
+    """All current runs of a collection."""
+    state = runs.current(spark, output)
+    return _rows_of(spark, output, name, state, state["runs"])
 
 
 def newest_run(spark: SparkSession, output: str, name: str) -> DataFrame:
     """The whole newest run of a collection."""
-    return read_runs(spark, output, name, [r["run_id"] for r in run_log(spark, output)[:1]])
+    state = runs.current(spark, output)
+    return _rows_of(spark, output, name, state, _newest_first(state)[:1])
 
 
 def latest(df: DataFrame, ts: str, n: int, tie: str = "symbol") -> DataFrame:
@@ -68,16 +67,17 @@ def latest(df: DataFrame, ts: str, n: int, tie: str = "symbol") -> DataFrame:
 
 def _latest_of_runs(spark: SparkSession, output: str, name: str, ts: str, n: int,
                     size: str, tie: str = "symbol") -> DataFrame:
-    """Newest n rows from the fewest newest runs that hold n: the log says how
-    many rows each run has, so older runs are not opened."""
-    ids, rows, last = [], 0, None
-    for run in run_log(spark, output):
-        if rows >= n and run["timestamp"] != last:
+    """Newest n rows from the fewest newest runs that hold n: the catalogue says
+    how many rows each run has, so older runs are not opened. A compacted run
+    spans stamps; runs newer than its oldest stamp are opened with it."""
+    state, chosen, rows, oldest = runs.current(spark, output), [], 0, ""
+    for run in _newest_first(state):
+        if rows >= n and run["timestamp"] < oldest:
             break
-        ids.append(run["run_id"])
-        rows += 1 if size == "one" else run[size]
-        last = run["timestamp"]
-    return latest(read_runs(spark, output, name, ids), ts, n, tie)
+        chosen.append(run)
+        rows += run[size]
+        oldest = min(oldest or run["oldest"], run["oldest"])
+    return latest(_rows_of(spark, output, name, state, chosen), ts, n, tie)
 
 
 def latest_processed(spark, output, n: int = 1000) -> DataFrame:
@@ -89,7 +89,7 @@ def latest_alerts(spark, output, n: int = 100) -> DataFrame:
 
 
 def latest_metrics(spark, output, n: int = 10) -> DataFrame:
-    return _latest_of_runs(spark, output, "market_metrics", "timestamp", n, "one",
+    return _latest_of_runs(spark, output, "market_metrics", "timestamp", n, "summaries",
                            tie="data_source")
 
 

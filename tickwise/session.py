@@ -11,10 +11,16 @@ from __future__ import annotations
 
 import os
 import tempfile
+import time
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: A scratch folder that old belongs to no job that still runs.
+EXPIRE_HOURS = 7 * 24
+
 
 def build_session(master: str | None = None, app: str = "tickwise",
                   shuffle_partitions: int | None = None) -> SparkSession:
@@ -77,6 +83,46 @@ def new_scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/tickwise-{label}-{uuid.uuid4().hex[:12]}"
 
 
+def remove_scratch(spark: SparkSession, path: str) -> None:
+    """Delete one of this library's scratch folders."""
+    if f"{scratch_root(spark)}/tickwise-" not in path:
+        raise ValueError(f"not a scratch folder: {path}")
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def expire_scratch(spark: SparkSession, hours: float = EXPIRE_HOURS) -> list[str]:
+    """Delete scratch folders that nothing was put into for ``hours``: those of
+    jobs that failed. Returns their names."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(at):
+        return []
+    limit, gone = (time.time() - hours * 3600) * 1000, []
+    for status in fs.listStatus(at):
+        name = status.getPath().getName()
+        if name.startswith("tickwise-") and status.getModificationTime() < limit:
+            fs.delete(status.getPath(), True)
+            gone.append(name)
+    return gone
+
+
+@contextmanager
+def job_scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """``stored`` for one job: what it wrote is deleted when the job succeeds. A
+    job that fails leaves it to ``expire_scratch``."""
+    paths: list[str] = []
+
+    def keep(df: DataFrame, label: str) -> DataFrame:
+        paths.append(new_scratch_dir(spark, label))
+        df.write.parquet(paths[-1])
+        return spark.read.schema(df.schema).parquet(paths[-1])
+
+    yield keep
+    for path in paths:
+        remove_scratch(spark, path)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """The rows, written once to the scratch folder and read back: later passes
     read only the columns they need, and a lost executor loses nothing."""

@@ -4,9 +4,9 @@ All writers are distributed DataFrame writes; nothing is collected to the
 driver. Collections are Parquet directories; ``replace`` overwrites,
 ``append`` adds files.
 
-A job's collections are partitioned by run: ``<collection>/run_id=<id>``. A run
-writes only its own partitions, so it can be tried again, and its one summary
-row, written last, says that it is complete.
+A job's collections are partitioned by run: ``<collection>/run_id=<folder>``, a
+folder of its own for each try. The run's entry in the catalogue (``runs``),
+written last, makes it one of the current runs.
 """
 
 from __future__ import annotations
@@ -15,15 +15,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickwise.schema import RAW, SNAPSHOT_GLOB, SNAPSHOT_PREFIX
+from tickwise.sources.runs import COLLECTIONS, run_folder  # noqa: F401
 
 
-def land_snapshot(df: DataFrame, raw_dir: str, stamp: str,
-                  mode: str = "errorifexists", prefix: str = SNAPSHOT_PREFIX) -> str:
-    """Write one snapshot as JSON lines under ``<prefix><stamp>.json``."""
+#: Records of one landed part file (a few hundred MB of JSON at most).
+FILE_RECORDS = 1_000_000
+
+
+def land_snapshot(df: DataFrame, raw_dir: str, stamp: str, mode: str = "errorifexists",
+                  prefix: str = SNAPSHOT_PREFIX, file_records: int = FILE_RECORDS) -> str:
+    """Write one snapshot as JSON lines under ``<prefix><stamp>.json``, in part
+    files of bounded size."""
     if mode not in ("overwrite", "errorifexists"):
         raise ValueError("landing mode is overwrite or errorifexists")
     path = f"{raw_dir.rstrip('/')}/{prefix}{stamp}.json"
-    df.select(*RAW.fieldNames()).write.mode(mode).json(path)
+    df.select(*RAW.fieldNames()).write.mode(mode).option("maxRecordsPerFile",
+                                                         file_records).json(path)
     return path
 
 
@@ -77,42 +84,11 @@ def list_snapshots(spark: SparkSession, raw_dir: str,
             .groupBy("snapshot").agg(F.count(F.lit(1)).alias("records")))
 
 
-COLLECTIONS = ("processed_data", "critical_alerts", "market_metrics")
-
 
 def write_run(df: DataFrame, output: str, collection: str, run_id: str,
               batch_size: int | None = None) -> DataFrame:
     """Write one run's partition of a collection, replacing what an earlier try
     left there; returns the rows as written."""
-    path = f"{output.rstrip('/')}/{collection}/run_id={run_id}"
+    path = run_folder(output, collection, run_id)
     write_processed(df, path, "replace", batch_size)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def _folder(spark: SparkSession, path: str):
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    at, fs = _folder(spark, path)
-    return fs.exists(at)
-
-
-def run_ids(spark: SparkSession, output: str, collection: str) -> list[str]:
-    """Runs with a partition in a collection, from the names of its folders."""
-    at, fs = _folder(spark, f"{output.rstrip('/')}/{collection}")
-    if not fs.exists(at):
-        return []
-    names = [s.getPath().getName() for s in fs.listStatus(at)]
-    return sorted(n[len("run_id="):] for n in names if n.startswith("run_id="))
-
-
-def drop_other_runs(spark: SparkSession, output: str, run_id: str) -> None:
-    """Delete every other run. Summaries go first: without one, a run that is
-    only half deleted no longer counts."""
-    for collection in reversed(COLLECTIONS):
-        for other in run_ids(spark, output, collection):
-            if other != run_id:
-                at, fs = _folder(spark, f"{output.rstrip('/')}/{collection}/run_id={other}")
-                fs.delete(at, True)

@@ -1,14 +1,17 @@
 """Reading landed ticker snapshots.
 
-Two on-disk layouts exist: the feed's own files hold one JSON array each
-(``layout="array"``, read with ``multiLine`` - one task per file), while
-snapshots landed by Spark are JSON lines (``layout="lines"``, splittable).
-``layout="auto"``, the default of every reader and job, looks at the start of
-one file. A snapshot is addressed as ``<prefix><stamp>.json`` whether that name
-is a single file or a directory of part files written by Spark.
-
-Reads are strict: a malformed document, or files of another layout than the
-one given, fail the job instead of yielding empty or missing rows.
+Two layouts exist: the feed's own files hold one JSON array each
+(``layout="array"``), snapshots landed by Spark are folders of part files of JSON
+lines (``layout="lines"``, splittable). ``layout="auto"``, the default of every
+reader and job, tells them apart for each file: a part file inside a snapshot's
+folder, and any file above ``WHOLE_BYTES``, is read as lines by the JSON source;
+every other file is read once as one text and parsed as what it begins with. A
+snapshot is addressed as ``<prefix><stamp>.json`` whether that names a file or a
+folder.
+
+Reads are strict, and the check is part of the one reading of the input: a
+malformed document, or a file of another layout than the one given, fails the
+job with the file's name instead of yielding empty or missing rows.
 """
 
 from __future__ import annotations
@@ -17,8 +20,9 @@ import re
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickwise.schema import RAW, SNAPSHOT_GLOB
 
@@ -28,35 +32,83 @@ SNAPSHOT_NAME = r"([A-Za-z][A-Za-z0-9]*_[0-9][0-9_-]*\.json)"
 LAYOUTS = ("auto", "array", "lines")
 
 
-def detect_layout(spark: SparkSession, paths: Sequence[str]) -> str:
-    """"array" if the first line that is not blank opens one, else "lines"."""
-    first = (spark.read.text(list(paths)).where(F.length(F.trim("value")) > 0)
-             .select(F.trim("value")).head())
-    return "array" if first is not None and first[0].startswith("[") else "lines"
+#: Files up to this size are read as one text where their layout is to be found.
+WHOLE_BYTES = 256 << 20
 
+_RECORDS = T.ArrayType(RAW)
+_BLANK = " \t\r\n\ufeff"
 
-def _refuse_other_layout(spark: SparkSession, paths: Sequence[str]) -> None:
-    """Files that do not open an array would give one record each, silently."""
-    begins = F.substring(F.ltrim(F.regexp_replace("value", r"\s", " ")), 1, 1)
-    other = (spark.read.text(list(paths), wholetext=True)
-             .where((F.length(F.trim("value")) > 0) & (begins != "[")))
-    if not other.isEmpty():
-        raise ValueError(f"not every file of {list(paths)} is a JSON array; "
-                         "read JSON lines with layout='lines'")
+
+def opens_array(text: Column) -> Column:
+    return F.ltrim(text, F.lit(_BLANK)).startswith("[")
+
+
+def file_records(text: Column) -> Column:
+    """A whole file's records, NULL if it is malformed: one JSON array, or JSON
+    lines of which each is a record (or an array of them)."""
+    body = F.btrim(text, F.lit(_BLANK))
+    lines = F.filter(F.split(body, "\n"), lambda x: F.btrim(x, F.lit(_BLANK)) != "")
+    parsed = F.transform(lines, lambda x: F.from_json(x, _RECORDS))
+    return (F.when(opens_array(text), F.when(body.endswith("]"), F.from_json(body, _RECORDS)))
+            .when(body == "", F.array().cast(_RECORDS))
+            .when(~F.exists(parsed, lambda x: x.isNull()), F.flatten(parsed)))
+
+
+def checked_layout(text: Column, file: Column, layout: str) -> Column:
+    """The text, or an error where a forced layout is not the file's."""
+    wrong = {"array": ~opens_array(text) & (F.btrim(text, F.lit(_BLANK)) != ""),
+             "lines": opens_array(text)}.get(layout)
+    if wrong is None:
+        return text
+    return F.when(wrong, F.raise_error(F.concat(file, F.lit(f" is not of layout {layout}")))
+                  .cast("string")).otherwise(text)
+
+
+def _read_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    return spark.read.schema(RAW).option("mode", "FAILFAST").json(list(paths))
+
+
+def _read_whole(spark: SparkSession, paths: Sequence[str], layout: str,
+                only: Column | None = None) -> DataFrame:
+    files = spark.read.text(list(paths), wholetext=True)
+    if only is not None:
+        files = files.where(only)
+    file = F.col("_metadata.file_path")
+    records = file_records(checked_layout(F.col("value"), file, layout))
+    return files.select(F.inline(F.coalesce(records, F.raise_error(
+        F.concat(F.lit("malformed ticker file "), file)).cast(_RECORDS))))
+
+
+def _is_lines(path: Column, length: Column) -> Column:
+    """Files that are JSON lines by their place or size, told from the listing."""
+    return path.rlike(r"\.json/[^/]+$") | (length > WHOLE_BYTES)
 
 
 def read_snapshots(spark: SparkSession, path: str | Sequence[str],
                    layout: str = "auto") -> DataFrame:
-    """Every record of every snapshot matched by ``path`` (no dedup)."""
+    """Every record of every snapshot matched by ``path`` (no dedup); each file
+    is read once."""
     if layout not in LAYOUTS:
         raise ValueError(f"unknown layout {layout!r}")
     paths = [path] if isinstance(path, str) else list(path)
-    if layout == "auto":
-        layout = detect_layout(spark, paths)
+    if layout == "lines":
+        return _read_lines(spark, paths)
+    # the listing alone: the content column is pruned
+    listed = (spark.read.format("binaryFile").load(paths)
+              .agg(F.count_if(_is_lines(F.col("path"), F.col("length"))).alias("lines"),
+                   F.count(F.lit(1)).alias("files")).first())
     if layout == "array":
-        _refuse_other_layout(spark, paths)
-    return (spark.read.schema(RAW).option("mode", "FAILFAST")
-            .option("multiLine", layout == "array").json(paths))
+        if listed["lines"]:
+            raise ValueError(f"{listed['lines']} files of {paths} are landed part files or too "
+                             "large for one text; read JSON lines with layout='lines'")
+        return _read_whole(spark, paths, layout)
+    if listed["lines"] == listed["files"]:
+        return _read_lines(spark, paths)
+    if not listed["lines"]:
+        return _read_whole(spark, paths, layout)
+    lines = _is_lines(F.col("_metadata.file_path"), F.col("_metadata.file_size"))
+    return _read_lines(spark, paths).where(lines).unionByName(
+        _read_whole(spark, paths, layout, ~lines))
 
 
 def read_all_snapshots(spark: SparkSession, directory: str,
@@ -165,10 +217,19 @@ def read_ticker(spark: SparkSession, *, file: str | None = None,
     raise ValueError("no ticker source given (file, directory or table)")
 
 
+def first_records(df: DataFrame, n: int = 5) -> list:
+    """Up to ``n`` usable records, whichever come first: reads no more of the
+    input than it takes to find them. Stops if there is none."""
+    found = (df.where(F.col("symbol").isNotNull())
+             .select("symbol", "lastPrice", "priceChangePercent", "volume").take(max(n, 1)))
+    if not found:
+        raise ValueError("no ticker records loaded")
+    return found[:n]
+
+
 def ensure_nonempty(df: DataFrame) -> DataFrame:
     """Stop before processing when the input holds no usable record."""
-    if df.where(F.col("symbol").isNotNull()).isEmpty():
-        raise ValueError("no ticker records loaded")
+    first_records(df, 1)
     return df
 
 

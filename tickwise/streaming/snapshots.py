@@ -2,9 +2,16 @@
 
 Snapshots keep landing; a file-source stream with a checkpoint remembers
 which files were processed, so each run scores only new snapshots. A
-micro-batch is a run like any other: it writes its own partition of the three
-collections, named by profile and batch, so a batch that is replayed after a
-failure replaces what its first try left.
+micro-batch is a run like any other: it has a folder of its own in the three
+collections and becomes current with its entry in the catalogue, named by profile
+and batch, so a batch that is replayed after a failure replaces what its first
+try left.
+
+Each file is read once as one text and judged by its own content: a JSON array or
+JSON lines, whatever the others are. A malformed file goes to the table
+``<output>/rejected_files/run_id=<run>`` (file, bytes, beginning) and the batch
+goes on without it; a file that is not of a forced layout fails the run, and its
+snapshots stay to be processed. Landed snapshots are part files of bounded size.
 
 Profile A is stateless per row, so a stream gives the same rows as the batch
 job. Profile B scores rows against the median of all snapshots that are new at
@@ -16,18 +23,19 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tickwise.plans.jobs import run_absolute, run_relative
-from tickwise.schema import RAW
-from tickwise.sources.snapshots import LAYOUTS, detect_layout
+from tickwise.session import job_scratch
+from tickwise.sources.snapshots import LAYOUTS, checked_layout, file_records
 
 
 def stream_snapshots(spark: SparkSession, raw_dir: str, output: str,
                      checkpoint: str | None = None, layout: str = "auto",
                      run_ts: _dt.datetime | None = None,
-                     max_files_per_trigger: int | None = None, profile: str = "a") -> int:
+                     max_files_per_trigger: int | None = None, profile: str = "a",
+                     pattern: str = "*.json") -> int:
     """Score every not yet processed snapshot under ``raw_dir`` into the three
     collections under ``output``; returns the number of micro-batches run.
 
@@ -41,25 +49,26 @@ def stream_snapshots(spark: SparkSession, raw_dir: str, output: str,
     if profile == "b" and max_files_per_trigger:
         raise ValueError("profile b scores all new snapshots against one median; "
                          "a bound on the files per trigger would change it")
-    if layout == "auto":
-        try:
-            layout = detect_layout(spark, [f"{raw_dir.rstrip('/')}/*.json"])
-        except AnalysisException:          # nothing landed yet
-            layout = "lines"
-    reader = (spark.readStream.schema(RAW)
-              .option("mode", "FAILFAST")
-              .option("multiLine", layout == "array")
-              .option("pathGlobFilter", "*.json")
+    reader = (spark.readStream.option("pathGlobFilter", pattern)
               .option("recursiveFileLookup", "true"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.json(raw_dir)
+    file = F.col("_metadata.file_path")
+    stream = reader.text(raw_dir, wholetext=True).select(
+        file.alias("file"), F.col("_metadata.file_size").alias("bytes"),
+        F.substring("value", 1, 200).alias("beginning"),
+        file_records(checked_layout(F.col("value"), file, layout)).alias("records"))
     batches: list[int] = []
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
+        session, run_id = batch.sparkSession, f"new_{profile}_{batch_id:012d}"
         run = run_absolute if profile == "a" else run_relative
-        run(batch.sparkSession, batch, output, run_ts=run_ts,
-            run_id=f"new_{profile}_{batch_id:012d}", replace=False)
+        with job_scratch(session) as stored:
+            files = stored(batch, "files")             # the one reading of the batch
+            (files.where("records IS NULL").select("file", "bytes", "beginning")
+             .write.mode("overwrite").parquet(rejected_folder(output, run_id)))
+            run(session, files.select(F.inline("records")), output, run_ts=run_ts,
+                run_id=run_id, replace=False)
         batches.append(batch_id)
 
     q = (stream.writeStream.foreachBatch(write_batch)
@@ -67,3 +76,13 @@ def stream_snapshots(spark: SparkSession, raw_dir: str, output: str,
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return len(batches)
+
+
+def rejected_folder(output: str, run_id: str) -> str:
+    return f"{output.rstrip('/')}/rejected_files/run_id={run_id}"
+
+
+def rejected_files(spark: SparkSession, output: str) -> DataFrame:
+    """(file, bytes, beginning, run_id) of every malformed file met so far."""
+    return spark.read.schema("file string, bytes bigint, beginning string, run_id string") \
+        .parquet(f"{output.rstrip('/')}/rejected_files")
