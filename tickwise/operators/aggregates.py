@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickwise.functions.sums import exact_avg, exact_sum
 from tickwise.operators.anomalies import add_anomalies
 from tickwise.operators.cleaning import cast_feed, enrich, final_rows, valid_rows
 from tickwise.operators.indicators import add_indicators
@@ -91,12 +92,13 @@ def distributions_b(df: DataFrame) -> DataFrame:
 
 def totals(df: DataFrame, volume: str = "volume_usd",
            change: str = "price_change_percent", exact: bool = False) -> DataFrame:
-    """Row total, summed volume, mean change (missing ignored).
+    """Row total, summed volume, mean change (missing ignored), the same to the
+    last bit for every order of the rows.
 
-    ``exact=False`` rounds the float totals (sum to units, mean to 6 places)
-    so they do not depend on the summation order of a distributed sum.
+    ``exact=False`` rounds them (sum to units, mean to 6 places), for comparison
+    with engines that add doubles in some order.
     """
-    tv, ac = F.sum(volume), F.avg(change)
+    tv, ac = exact_sum(volume), exact_avg(change)
     if not exact:
         tv, ac = F.round(tv, 0), F.round(ac, 6)
     return df.agg(F.count(F.lit(1)).alias("total_symbols"),

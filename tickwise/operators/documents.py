@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tickwise.functions.stamps import stamp
+from tickwise.functions.sums import exact_avg, exact_sum
 from tickwise.operators.aggregates import domain_count_maps, missing_last
 from tickwise.schema import LABELS_A, LABELS_B, SOURCE_TAG_A, SOURCE_TAG_B, ZERO_FILLED_B
 
@@ -84,8 +85,8 @@ def _summary(df: DataFrame, run_ts, tag: str, change: str,
              "recommendation": "recommendation_distribution"}
     base = df.agg(
         F.count(F.lit(1)).alias("total_symbols"),
-        F.sum("volume_usd").alias("total_volume_usd"),
-        F.avg(change).alias("average_price_change"),
+        exact_sum("volume_usd").alias("total_volume_usd"),
+        exact_avg(change).alias("average_price_change"),
         F.count_if(F.col("critical_alert")).alias("critical_alerts"),
         *[maps[d].alias(names[d]) for d in names],
     )

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickwise.functions.sums import exact_avg, exact_sum
 from tickwise.operators.aggregates import label_counts
 from tickwise.schema import DISPLAY_COLUMNS
 from tickwise.sources import runs
@@ -101,8 +102,8 @@ def overview(processed: DataFrame, alerts: DataFrame) -> DataFrame:
     alert_n = alerts.agg(F.count(F.lit(1)).alias("n")).select("n").scalar()
     return processed.agg(
         F.count(F.lit(1)).alias("total_rows"),
-        F.round(col_or_zero("volume_usd", F.sum), 0).alias("total_volume_usd"),
-        F.round(F.coalesce(col_or_zero("price_change_percent", F.avg), F.lit(0.0)), 6)
+        F.round(col_or_zero("volume_usd", exact_sum), 0).alias("total_volume_usd"),
+        F.round(F.coalesce(col_or_zero("price_change_percent", exact_avg), F.lit(0.0)), 6)
         .alias("average_change"),
     ).withColumn("alert_count", alert_n)
 
