@@ -110,6 +110,41 @@ def texts_of(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in pc.cast(column, pa.binary()).to_pylist()]
 
 
+#: Bytes of a batch that a task works on at once.
+SLICE_BYTES = 8 << 20
+
+
+def slices(batch: pa.RecordBatch, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch, some at a time: about ``size`` bytes, one row at least."""
+    if batch.num_rows:
+        rows = max(1, int(batch.num_rows * size / max(batch.nbytes, 1)))
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
+def give_back() -> None:
+    """Return freed memory to the system: a worker lives on between tasks, beside
+    the JVM that runs the next stage."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc only
+    if trim:
+        trim(0)
+
+
+def lean(fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """A mapInArrow function that works on slices of its batches and gives its
+    memory back at the end."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from fn(part for batch in batches for part in slices(batch))
+        finally:
+            give_back()
+
+    return run
+
+
 def arrow_rows(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | Iterable[dict]],
                schema: str) -> DataFrame:
     """mapInArrow with a function that gives columns for each batch."""
@@ -128,4 +163,4 @@ def arrow_rows(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | Iterable[dic
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(columns[f.name], type=f.type) for f in target], schema=target)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(lean(run), schema)

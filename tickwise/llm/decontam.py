@@ -23,13 +23,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickwise.llm.common import arrow_rows, ship, texts_of
+from tickwise.llm.common import arrow_rows, lean, ship, texts_of
 from tickwise.llm.shingles import WIDTH, chunks, mix64, shingles_of, words_of
 
 BITS = 128
 BLOCKS = 8
 RADIUS = 31
 SIMILARITY = 0.8
+#: Words of a text whose windows are summed at once.
+STRETCH = 1 << 14
 #: Bytes of benchmark text that go to the workers at once.
 ITEM_BYTES = 32 << 20
 
@@ -148,13 +150,24 @@ class Items:
         """Items of ``words_in`` words in one text's windows of ``span`` shingles
         that hold a hit."""
         last = max(len(shingles) - span, 0)
-        starts = np.unique(np.clip((hits[:, None] - np.arange(span)).reshape(-1), 0, last))
+        # starts from ``span - 1`` before a hit to the hit itself
+        change = np.zeros(last + 2, np.int32)
+        np.add.at(change, np.clip(hits - span + 1, 0, last), 1)
+        np.add.at(change, np.clip(hits, 0, last) + 1, -1)
+        starts = np.flatnonzero(np.cumsum(change[:-1]))
+        done, a = set(), 0
+        while a < len(starts):
+            # running sums take some hundred bytes a word: a stretch at a time
+            b = max(a + 1, int(np.searchsorted(starts, starts[a] + STRETCH)))
+            yield from self._stretch(text, shingles, starts[a:b], words_in, span, similarity, done)
+            a = b
+
+    def _stretch(self, text, shingles, starts, words_in, span, similarity, done):
         low, high = starts[0], min(starts[-1] + span, len(shingles))
         total = np.zeros((high - low + 1, BITS), np.int32)
         np.cumsum(signs(shingles[low:high]), axis=0, out=total[1:])
         ends = np.minimum(starts + span, len(shingles))
         prints = _pack(total[ends - low] - total[starts - low])
-        done = set()
         for k in range(0, len(starts), 512):
             window, item, far = self.near(prints[k:k + 512])
             for i in np.argsort(far, kind="stable").tolist():
@@ -221,7 +234,7 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame,
                 yield batch.filter(pa.array([i not in leaky for i in range(batch.num_rows)],
                                             pa.bool_()))
 
-        out = out.mapInArrow(keep, docs.schema)
+        out = out.mapInArrow(lean(keep), docs.schema)
     return out
 
 

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tickwise.llm.common import arrow_rows, ship, stored, texts_of
+from tickwise.llm.common import arrow_rows, lean, ship, stored, texts_of
 from tickwise.llm.tokens import vocabulary, word_ids
 
 MAGIC = b"TWH1"
@@ -148,35 +148,47 @@ class Decoder:
         return [None if n else k for k, n in zip(known, null)], sizes, ids
 
 
-_RAW = ("part int, block int, start long, n_tokens long, doc_ids array<long>, "
-        "sizes array<int>, ids binary")
+def tokenized(docs: DataFrame, end_id: int, vocab: str) -> DataFrame:
+    """doc_id, ids (of the narrowest width, with the end id), and the text's
+    beginning and a hash that order rows of one id. Texts are not moved."""
+    def run(batch: pa.RecordBatch) -> dict:
+        coder = word_ids(vocab, KEEP_WORDS)
+        end, dtype = int(end_id).to_bytes(4, "little"), _dtype(coder.size, end_id)
+        return {"doc_id": batch.column(0), "head": batch.column(2), "ids": [
+            np.frombuffer(x + end, "<u4").astype(dtype).tobytes()
+            for x in coder.many(texts_of(batch.column(1)))]}
 
+    text = F.col("text").cast("string")
+    rows = docs.select(F.col("doc_id").cast("long"), text, F.substring(text, 1, 64).alias("head"))
+    return arrow_rows(rows, run, "doc_id long, head string, ids binary").withColumn(
+        "h", F.xxhash64("ids"))
 
-def raw_blocks(docs: DataFrame, end_id: int, vocab: str, block_tokens: int) -> DataFrame:
-    """Ids of all documents in ascending doc_id order, in uncoded blocks."""
+
+def _in_blocks(tokens: DataFrame, encode, dtype: str, block_tokens: int) -> DataFrame:
+    """Blocks of whole documents in ascending doc_id order (rows of one id by the
+    beginning of their texts, then by a hash), each made by ``encode``."""
+    width = np.dtype(dtype).itemsize
     schema = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("start", pa.int64()),
-                        ("n_tokens", pa.int64()), ("doc_ids", pa.list_(pa.int64())),
-                        ("sizes", pa.list_(pa.int32())), ("ids", pa.binary())])
+                        ("n_docs", pa.int32()), ("n_tokens", pa.int64()), ("data", pa.binary())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        coder, part = word_ids(vocab, KEEP_WORDS), TaskContext.get().partitionId()
-        end = int(end_id).to_bytes(4, "little")
+        part = TaskContext.get().partitionId()
         names, held, size, block, start = [], [], 0, 0, 0
 
         def flush() -> pa.RecordBatch:
-            ids = np.frombuffer(b"".join(held), "<u4").astype(_dtype(coder.size, end_id))
+            sizes = np.array([len(x) // width for x in held], np.int64)
+            data = encode(np.frombuffer(b"".join(held), dtype), names, sizes)
             return pa.RecordBatch.from_arrays([pa.array([v], t.type) for v, t in zip(
-                (part, block, start, size, names, [len(x) // 4 for x in held], ids.tobytes()),
-                schema)], schema=schema)
+                (part, block, start, len(names), size, data), schema)], schema=schema)
 
         for batch in batches:
-            for name, text in zip(batch.column(0).to_pylist(), texts_of(batch.column(1))):
-                ids = coder.ids(text) + end
+            for name, ids in zip(batch.column(0).to_pylist(), batch.column(1)):
+                ids = ids.as_py()
                 names.append(name)
                 held.append(ids)
-                size += len(ids) // 4
+                size += len(ids) // width
                 if size >= block_tokens:
                     yield flush()
                     block, start = block + 1, start + size
@@ -184,18 +196,17 @@ def raw_blocks(docs: DataFrame, end_id: int, vocab: str, block_tokens: int) -> D
         if names:
             yield flush()
 
-    ship(docs.sparkSession)
-    return (docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-            .repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-            .mapInArrow(cut, _RAW))
+    ship(tokens.sparkSession)
+    return (tokens.repartitionByRange("doc_id", "head", "h").sortWithinPartitions("doc_id", "head", "h")
+            .select("doc_id", "ids").mapInArrow(lean(cut), _BLOCKS))
 
 
 def _dtype(vocab_size: int, end_id: int) -> str:
     return "<u2" if max(vocab_size - 1, end_id) < 1 << 16 else "<u4"
 
 
-def id_counts(raw: DataFrame, dtype: str) -> np.ndarray:
-    """How often each id occurs in all blocks. Tasks send one row for each id
+def id_counts(tokens: DataFrame, dtype: str) -> np.ndarray:
+    """How often each id occurs in all documents. Tasks send one row for each id
     they met; the driver gets one row for each id of the vocabulary."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(0, np.int64)
@@ -208,7 +219,7 @@ def id_counts(raw: DataFrame, dtype: str) -> np.ndarray:
         yield pa.RecordBatch.from_arrays(
             [pa.array(found.astype(np.int32)), pa.array(seen[found])], names=["id", "n"])
 
-    rows = (raw.select("ids").mapInArrow(count, "id int, n long")
+    rows = (tokens.select("ids").mapInArrow(lean(count), "id int, n long")
             .groupBy("id").agg(F.sum("n").alias("n")).collect())
     counts = np.zeros(max([r["id"] for r in rows], default=0) + 1, np.int64)
     for r in rows:
@@ -221,30 +232,24 @@ def write_tokens(docs: DataFrame, path: str, end_id: int = END_ID, vocab: str |
     """Writes the ids of every document's whole text and ``end_id`` to ``path``,
     in ascending doc_id order (nulls first).
 
-    Texts are tokenized once; their uncoded blocks wait in the shared scratch
-    folder for the global counts. Null or empty text is the end id alone;
-    repeated rows are kept; extra columns are ignored; an empty input gives a
-    file set without blocks.
+    Texts are tokenized once, where they are read; their ids wait in the shared
+    scratch folder for the global counts and are then shuffled into order. Null or
+    empty text is the end id alone; repeated rows are kept; extra columns are
+    ignored; an empty input gives a file set without blocks.
     """
     spark, vocab = docs.sparkSession, vocab or vocabulary()
-    raw = stored(raw_blocks(docs, end_id, vocab, block_tokens), "ids", "zstd")
+    tokens = stored(tokenized(docs, end_id, vocab), "ids", "zstd")
     dtype = _dtype(word_ids(vocab).size, end_id)
-    lengths = code_lengths(id_counts(raw, dtype), max_bits)
+    lengths = code_lengths(id_counts(tokens, dtype), max_bits)
     used = np.flatnonzero(lengths)
     spark.createDataFrame([(int(i), int(lengths[i])) for i in used], "id int, length int") \
         .coalesce(1).write.parquet(f"{path}/codebook")
     codes, _ = canonical(lengths)
 
-    def encode(batch: pa.RecordBatch) -> Iterator[dict]:
-        for row in range(batch.num_rows):
-            got = {n: batch.column(i)[row].as_py() for i, n in enumerate(batch.schema.names)}
-            ids = np.frombuffer(got["ids"], dtype)
-            data = encode_block(ids, got["doc_ids"], np.array(got["sizes"], np.int64),
-                                codes, lengths)
-            yield {**{k: [got[k]] for k in ("part", "block", "start", "n_tokens")},
-                   "n_docs": [len(got["doc_ids"])], "data": [data]}
+    def encode(ids: np.ndarray, names: list, sizes: np.ndarray) -> bytes:
+        return encode_block(ids, names, sizes, codes, lengths)
 
-    arrow_rows(raw, encode, _BLOCKS).write.parquet(f"{path}/blocks")
+    _in_blocks(tokens, encode, dtype, block_tokens).write.parquet(f"{path}/blocks")
 
 
 def read_tokens(spark: SparkSession, path: str, ids: bool = True) -> DataFrame:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickwise.llm.common import if_small, ship, stored, texts_of
+from tickwise.llm.common import if_small, lean, ship, stored, texts_of
 
 BUCKETS = 1 << 16
 TRAIN_ROWS = 4000
@@ -210,8 +210,9 @@ def identify(docs: DataFrame, text: str = "text", declared: str | None = "lang",
                        "_scores"])
 
     scored = stored(rows.withColumn("_key", F.xxhash64("_text")).mapInArrow(
-        score, "doc_id long, _key long, _declared string, _host string, _suffix string, "
-               "_best int, _n long, _scores array<double>"), "languages")
+        lean(score),
+        "doc_id long, _key long, _declared string, _host string, _suffix string, "
+        "_best int, _n long, _scores array<double>"), "languages")
     return _fused(scored, langs)
 
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickwise.llm.common import if_small, mix31, ship, stored, texts_of
+from tickwise.llm.common import if_small, lean, mix31, ship, stored, texts_of
 from tickwise.llm.components import components
 from tickwise.llm.shingles import WIDTH, mix64, shingle_sets
 
@@ -104,7 +104,7 @@ def signed(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, width: int = W
                     names=["doc_id", "n_shingles", "class", "bands"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")) \
-        .mapInArrow(run, _SIGNED)
+        .mapInArrow(lean(run), _SIGNED)
 
 
 def _runs(members: np.ndarray, sizes: np.ndarray, percent: int) -> Iterator[np.ndarray]:
@@ -291,7 +291,7 @@ def _full_sets(docs: DataFrame, active: DataFrame, width: int) -> DataFrame:
                     names=["node", "rep", "shingles"])
 
     return texts.select("node", "rep", "class", "text").mapInArrow(
-        run, "node long, rep long, shingles binary")
+        lean(run), "node long, rep long, shingles binary")
 
 
 def _verified(groups: DataFrame, sets: DataFrame, percent: int, links) -> DataFrame:

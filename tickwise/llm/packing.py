@@ -35,8 +35,8 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID,
         coder = word_ids(vocab)
         out: dict[str, list] = {k: [] for k in ("doc_id", "piece", "start", "length",
                                                 "ids_crc32")}
-        for key, text in zip(batch.column(0).to_pylist(), texts_of(batch.column(1))):
-            ids = coder.ids(text) + end
+        for key, ids in zip(batch.column(0).to_pylist(), coder.many(texts_of(batch.column(1)))):
+            ids += end
             for n, at in enumerate(range(0, len(ids), 4 * capacity)):
                 part = ids[at:at + 4 * capacity]
                 out["doc_id"].append(key)

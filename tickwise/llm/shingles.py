@@ -9,6 +9,8 @@ import numpy as np
 WIDTH = 5
 #: Bytes of text handled at once inside a task.
 CHUNK = 1 << 20
+#: Bytes whose running sums are held at once, also within one long text.
+PIECE = 1 << 18
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)                         # odd, so invertible mod 2^64
 _BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -24,16 +26,37 @@ def _byte_values() -> np.ndarray:
 _POWERS: dict[str, np.ndarray] = {}
 
 
+def _table(base: np.uint64, size: int) -> np.ndarray:
+    p = np.full(size, base, np.uint64)
+    p[0] = 1
+    return np.multiply.accumulate(p)
+
+
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_POWERS.get("up", ())) < n:
-        size = max(n, CHUNK + 4096)
-        for name, base in (("up", _BASE), ("down", _BACK)):
-            p = np.full(size, base, np.uint64)
-            p[0] = 1
-            _POWERS[name] = np.multiply.accumulate(p)
+    """Tables of at least ``n`` powers; longer ones, for a long word, are not kept."""
+    if n > PIECE:
+        return _table(_BASE, n), _table(_BACK, n)
+    if not _POWERS:
+        _POWERS.update(up=_table(_BASE, PIECE), down=_table(_BACK, PIECE))
     return _POWERS["up"], _POWERS["down"]
 
 
+def _word_values(raw: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Polynomial hash of the bytes from ``first`` to ``end`` of every word, which
+    does not depend on the word's place: pieces of the text are summed apart."""
+    value, a = np.empty(len(first), np.uint64), 0
+    while a < len(first):
+        b = max(a + 1, int(np.searchsorted(end, first[a] + PIECE - 1)))
+        low = first[a]
+        part = raw[low:end[b - 1]]
+        up, down = _powers(len(part) + 1)
+        running = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(_byte_values()[part] * up[:len(part)], out=running[1:])
+        value[a:b] = (running[end[a:b] - low] - running[first[a:b] - low]) * down[first[a:b] - low]
+        a = b
+    return value
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
     x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
@@ -46,12 +69,10 @@ def words_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
     sizes = np.array([len(t) for t in texts], np.int64)
     begin = np.concatenate([[0], np.cumsum(sizes + 1)])[:-1]
     raw = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
-    up, down = _powers(len(raw) + 1)
     gap = _SPACE[raw]
     edge = np.flatnonzero(np.diff(gap, prepend=True))
     first, end = edge[::2], edge[1::2]                        # the text ends in a gap
-    running = np.concatenate([[np.uint64(0)], np.cumsum(_byte_values()[raw] * up[:len(raw)])])
-    value = (running[end] - running[first]) * down[first]
+    value = _word_values(raw, first, end)
     owner = np.searchsorted(begin, first, "right") - 1
     return (mix64(value + (end - first).astype(np.uint64)), owner,
             first - begin[owner], end - begin[owner])

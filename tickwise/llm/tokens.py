@@ -8,13 +8,22 @@ keeps the ids of words it has met; the library encodes every other word.
 from __future__ import annotations
 
 import os
+import re
 from functools import lru_cache
 
 import numpy as np
 
-#: Words a worker remembers: half of them new ones, half those met before (bounds
-#: memory, not results).
+#: Bytes of words and ids that a worker remembers, about: half of them new ones,
+#: half those met before (bounds memory, not results).
+KEEP_BYTES = 160 << 20
+#: Words remembered at most, in the same halves; ``keep`` sets another number, with
+#: as many bytes for each.
 KEEP_WORDS = 600_000
+#: Bytes of text whose words are looked up at once.
+GROUP_BYTES = 1 << 17
+#: What a remembered word takes besides its bytes.
+_OVERHEAD = 200
+_GAP = re.compile(rb"[\x20\x09-\x0D]")
 #: Punctuation that never joins the letters before it to one pre-token.
 _TAIL = b".,;:!?#$%&*"
 
@@ -26,15 +35,19 @@ def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-class _Known(dict):
-    """Words' ids; notes the words it is asked for and does not know."""
-
-    def __init__(self):
-        super().__init__()
-        self.missed: list[bytes] = []
-
-    def __missing__(self, word: bytes) -> None:
-        self.missed.append(word)
+def _stretches(text: bytes):
+    """A text in stretches of about GROUP_BYTES, cut at white space; words are
+    looked up without the case of A-Z, which the vocabulary ignores."""
+    if b"<|" not in text:                       # an added token minds its case
+        text = text.lower()
+    at = 0
+    while len(text) - at > 2 * GROUP_BYTES:
+        gap = _GAP.search(text, at + GROUP_BYTES)
+        if gap is None:
+            break
+        yield text[at:gap.start()]
+        at = gap.end()
+    yield text[at:] if at else text
 
 
 class WordIds:
@@ -50,24 +63,45 @@ class WordIds:
         self.size = max(vocab.values()) + 1
         self.ends = np.zeros(self.size, bool)
         self.ends[[i for w, i in vocab.items() if w.endswith("</w>")]] = True
-        self.known = _Known()
+        self.known: dict[bytes, bytes] = {}
         self.before: dict[bytes, bytes] = {}
+        self.held = 0
 
     def ids(self, text: bytes) -> bytes:
+        return self.many([text])[0]
+
+    def many(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of each text. The words of a group of texts are looked up together,
+        so that the library is called once for all the new ones."""
+        out: list[list[bytes]] = [[] for _ in texts]
+        group, size = [], 0
+        for i, text in enumerate(texts):
+            for part in _stretches(text):
+                group.append((i, part.split()))
+                size += len(part)
+                if size > GROUP_BYTES:
+                    self._look_up(group, out)
+                    group, size = [], 0
+        self._look_up(group, out)
+        return [x[0] if len(x) == 1 else b"".join(x) for x in out]
+
+    def _look_up(self, group: list[tuple[int, list[bytes]]], out: list[list[bytes]]) -> None:
+        words = self.keep or KEEP_WORDS
+        size = KEEP_BYTES * max(words / KEEP_WORDS, 1)
+        if len(self.known) > words // 2 or self.held > size / 2:
+            self.before, self.known, self.held = self.known, {}, 0
         known = self.known
-        if len(known) > (self.keep or KEEP_WORDS) // 2:
-            self.before, known = known, _Known()
-            self.known = known
-        words = text.split()
-        got = list(map(known.__getitem__, words))
-        if known.missed:
-            missed, known.missed = known.missed, []
-            self._learn(set(missed))
-            at = -1
-            for w in missed:
-                at = got.index(None, at + 1)
-                got[at] = known[w]
-        return b"".join(got)
+        fresh = set()
+        for _, words in group:
+            fresh.update(words)
+        missing = [w for w in fresh if w not in known]
+        if missing:
+            size = len(known)
+            self._learn(missing)
+            self.held += (len(known) - size) * _OVERHEAD + sum(
+                len(w) + len(known[w]) for w in missing)
+        for i, words in group:
+            out[i].append(b"".join(map(known.__getitem__, words)))
 
     def _encode(self, word: bytes) -> bytes:
         return np.array(self._library_ids(word.decode()), "<u4").tobytes()
@@ -76,7 +110,7 @@ class WordIds:
         # the batch call that leaves out offsets, which nothing here needs
         return self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
-    def _learn(self, missing: set[bytes]) -> None:
+    def _learn(self, missing: list[bytes]) -> None:
         known, before, letters, parts = self.known, self.before, set(), []
         for w in missing:
             if w in before:
