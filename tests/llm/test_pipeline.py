@@ -61,8 +61,8 @@ def test_run_and_empty_documents(spark):
 
 def test_registered_queries():
     names = list(catalog.queries())
-    assert [n.split("_")[0] for n in names[:-1]] == [f"op{i}" for i in range(1, 11)]
-    assert names[-1] == "pipeline" and catalog.oracle_sql() == {}
+    assert [n.split("_")[0] for n in names[:-1]] == [f"op{i}" for i in range(1, 14)]
+    assert names[-1] == "pipeline" and set(catalog.oracle_sql()) == {"op11_fill_in_middle"}
 
 
 def test_entry_without_the_package(monkeypatch):
