@@ -88,3 +88,49 @@ def test_lists_are_balanced():
     size = np.bincount(A._distances(x, c).argmin(1), minlength=len(c))
     assert size.max() <= 3 * A.SPLIT * len(x) / 30
     assert len(A.balanced_centroids(np.ones((50, 4)), 10)) == 1
+
+
+def share_and_recall(x, every=20, k=20):
+    """Part of all pairs that a search compares, and each query's recall."""
+    sample = x[np.random.default_rng(0).permutation(len(x))[:A.SAMPLE]]
+    c = A.fit(sample, len(x), float((x * x).sum(1).max()), k)
+    row, to = np.concatenate([np.stack(c.posts(x[a:a + 256])) + [[a], [0]]
+                              for a in range(0, len(x), 256)], axis=1)
+    q = np.arange(0, len(x), every)
+    take = np.concatenate([c.asks(x[q[a:a + 256]]) for a in range(0, len(q), 256)])
+    size = np.bincount(to, minlength=len(c.points))
+    on = np.zeros((len(x), len(c.points)), bool)
+    on[row, to] = True
+    score = x[q] @ x.T
+    score[np.arange(len(q)), q] = -np.inf
+    true = np.argpartition(-score, k - 1, axis=1)[:, :k]
+    return (take @ size).mean() / len(x), np.array(
+        [(on[t] & take[i]).any(1).mean() for i, t in enumerate(true)])
+
+
+def test_clustered_vectors_are_pruned():
+    r = np.random.default_rng(5)
+    centres = r.normal(size=(400, 64))
+    x = centres[r.integers(0, 400, 12_000)] + 0.5 * r.normal(size=(12_000, 64))
+    share, recall = share_and_recall(x / np.linalg.norm(x, axis=1, keepdims=True))
+    assert share <= 0.15 and recall.mean() >= 0.95 and recall.min() >= 0.8
+
+
+def test_without_clusters_the_ratio_keeps_the_recall():
+    r = np.random.default_rng(6)
+    x = r.normal(size=(4000, 32))
+    share, recall = share_and_recall(x / np.linalg.norm(x, axis=1, keepdims=True))
+    assert share < 0.9 and recall.mean() >= 0.94 and recall.min() >= 0.5
+
+
+def test_rows_of_one_id_are_one_query_and_one_candidate(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (1, [3.0, 0.5]), (1, [0.1, 2.0]),
+            (1, [3.0, 0.5]), (2, [0.0, 2.5]), (3, [-1.0, -1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(map(tuple, A.search(df, every=20, k=3).collect()))
+    assert got == [(0, 1, 1, 3.0), (0, 2, 2, 2.5), (0, 3, 3, -1.0)]
+
+
+def test_shelves_hold_lists_in_a_row(monkeypatch):
+    monkeypatch.setattr(A, "BLOCK", 10)
+    assert A.shelves([(0, 4), (1, 5), (2, 25), (4, 3)], 5).tolist() == [0, 0, 1, 2, 2]
