@@ -15,7 +15,7 @@ from tickwise.llm.html import extract
 from tickwise.llm.huffman import read_tokens, write_tokens
 from tickwise.llm.langid import identified
 from tickwise.llm.licenses import find_licenses
-from tickwise.llm.neardup import near_duplicates
+from tickwise.llm.neardup import NEAR_SQL, near_duplicates
 from tickwise.llm.packing import pack
 from tickwise.llm.pii import personal_data
 from tickwise.llm.sampling import compared
@@ -97,4 +97,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op11_fill_in_middle": FIM_SQL}
+    return {"op9_minhash_near_duplicates": NEAR_SQL, "op11_fill_in_middle": FIM_SQL}

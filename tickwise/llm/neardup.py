@@ -354,3 +354,34 @@ def without_near_duplicates(docs: DataFrame, **settings) -> DataFrame:
     chosen = (docs.join(several, same).withColumn("_place", F.row_number().over(order))
               .where("_place = 1").select(*[F.col(f"`{c}`") for c in docs.columns]))
     return once.union(chosen)
+
+
+#: The rows of ``near_duplicates`` at 85 percent by all pairs that share a shingle.
+NEAR_SQL = r"""
+WITH RECURSIVE split AS (
+    SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+    FROM documents),
+sets AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_sort(list_distinct(list_transform(range(1, len(w) - 3),
+            lambda i: array_to_string(w[i:i + 4], ' ')))) END AS held
+    FROM split),
+classes AS (
+    SELECT min(doc_id) AS rep, held, len(held) AS n FROM sets WHERE len(held) > 0 GROUP BY held),
+each AS (SELECT rep, n, unnest(held) AS h FROM classes),
+links AS (
+    SELECT a.rep AS a, b.rep AS b FROM each a JOIN each b ON a.h = b.h AND a.rep < b.rep
+    GROUP BY a.rep, b.rep, a.n, b.n
+    HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(node, root) AS (
+    SELECT rep, rep FROM classes
+    UNION SELECT e.b, r.root FROM reach r JOIN edges e ON e.a = r.node),
+named AS (SELECT node, min(root) AS component FROM reach GROUP BY node)
+SELECT s.doc_id, CAST(len(s.held) AS BIGINT) AS n_shingles,
+    coalesce(m.component, s.doc_id) AS component_id,
+    s.doc_id = coalesce(m.component, s.doc_id) AS kept
+FROM sets s LEFT JOIN classes c ON s.held = c.held LEFT JOIN named m ON m.node = c.rep
+"""
