@@ -154,3 +154,16 @@ def test_near_copies_of_each_text_of_an_id(spark):
                 rows += [(hub, " ".join(text)), (100 * i + 10 + k, " ".join(near))]
         r.shuffle(rows)
         check(spark, rows, block=block)
+
+
+def test_sql_form_gives_the_same_rows(spark):
+    import duckdb
+
+    from tickwise.llm.catalog import op9_minhash_near_duplicates
+    from tickwise.llm.neardup import NEAR_SQL
+
+    sf = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf}/documents.parquet'")
+    got = op9_minhash_near_duplicates(spark, sf)
+    assert sorted(con.execute(NEAR_SQL).fetchall()) == sorted(map(tuple, got.collect()))
