@@ -152,3 +152,60 @@ def test_open_head_ends_where_the_page_begins():
     for after in ("", "<link rel=x>", "<noscript><p>no</p></noscript>"):
         assert [b[0] for b in H.leaf_blocks(page % after)] == ["Story."]
     assert H.leaf_blocks(page % "")[0][1][1][0] == "article"
+
+
+def test_unseen_elements_and_comments(field):
+    texts = lambda h: [t for t, _, _ in H.leaf_blocks(h)]
+    assert texts("<p>One<noscript><p>Please enable scripts</p></noscript> two</p>") == ["One", "two"]
+    assert texts("<p>a</p><!-- open <p>two") == ["a"]
+    assert texts("<!--><p>a</p><!---><p>b</p><!-- x --!><p>c</p><!-- -- > --><p>d") == list("abcd")
+    assert texts("<p>a<template><p>x</p><li>y</template>b") == ["a", "b"]
+    assert texts("<p>a</p><!doctype") == texts("<p>a</p><p class='x") == ["a"]
+    inside = [a for t, a, _ in H.leaf_blocks(
+        "<article><p>a</p><textarea></article></textarea><p>b</p></article><p>c</p>")]
+    assert ["article" in [t for t, _ in a] for a in inside] == [True, True, False]
+    assert texts("<div><button>Go<p>one</p><p>two</p></div><p>three</p><button>B</button>") == [
+        "one", "two", "three"]
+    assert texts("<div><button><div>Go</div></button><p>one</p></div>") == ["one"]
+    page = ("<body><nav><a>Home</a></nav><article><p>The first paragraph of this story is here."
+            "<noscript><p>Please enable scripts</p></noscript> It goes on.</p>"
+            "<textarea></article></textarea><p>The second paragraph ends the story.</p>"
+            "</article><footer>Imprint</footer><!-- open <p>more")
+    assert H.main_text(page, field) == ("The first paragraph of this story is here. It goes on. "
+                                        "The second paragraph ends the story.")
+
+
+def test_scores_by_context(pages, field):
+    """Sums carried along the open tags are those of the features of each block."""
+    import numpy as np
+
+    odd = ("<div class='a b a'><div class=b>x<p id=a>y</div>z<ul><li>1<li class=q>2</ul>"
+           "<a href=x>w</a>v</div>u")
+    for html in [odd, "plain", *[r.html for r in pages.limit(30).collect()]]:
+        page, blocks = H._parsed(html), H.leaf_blocks(html)
+        assert [b[0] for b in page.blocks] == [b[0] for b in blocks]
+        assert np.allclose(field.page_scores(page), field.scores(H.features(blocks)))
+
+
+def test_no_labels_in_the_sample():
+    field = H.Field().fit(H.labelled(["<p>Hello</p>", "", "<div>" * 400 + "x"]))
+    assert H.main_text('<nav><a href="/">Home</a></nav><article><p>The mayor opened the new '
+                       'bridge on Monday.</p><p>It took four years to build.</p></article>'
+                       '<footer>Copyright 2020</footer>', field) == (
+        "The mayor opened the new bridge on Monday. It took four years to build.")
+
+
+def test_nested_tags_take_linear_time(field):
+    import resource
+    import time
+
+    def took(html):
+        begin = time.process_time()
+        H.main_text(html, field)
+        return time.process_time() - begin
+
+    for unit in ("<div><font>x", "<b><p>x", "<ul><li class=c>x", "<font>x</p>"):
+        assert took(unit * 50_000) < 12
+    many = "".join(f"<div class=c{i}>x" for i in range(50_000))
+    assert took(many) < 12
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss < 2_000_000

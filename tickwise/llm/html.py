@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import random
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from html.parser import HTMLParser
 from itertools import chain
 
@@ -30,6 +30,8 @@ from tickwise.llm.common import hashed_sample, ship, texts_of
 TRAIN_PAGES = 300
 #: Longer pages are not trained on (they are extracted like all others).
 TRAIN_CHARS = 100_000
+#: Pages with tags nested deeper are not trained on either.
+TRAIN_DEPTH = 300
 FEATURES = 1 << 16
 EPOCHS = 6
 RATE, DECAY = 0.3, 1e-6
@@ -39,7 +41,7 @@ _INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em f
                     "label mark q rp rt ruby s samp small span strike strong sub sup time tt u "
                     "var wbr".split())
 _UNSEEN = frozenset("script style noscript template svg math iframe object canvas select option "
-                    "button textarea title head audio video".split())
+                    "button textarea title head audio video noframes noembed".split())
 #: Start tags that may stand in a head; any other ends it.
 _IN_HEAD = frozenset("html head base basefont bgsound link meta noframes noscript script style "
                      "template title".split())
@@ -53,49 +55,99 @@ _SIBLINGS = {"li": ("li", {"ul", "ol", "menu"}), "dt": ("dt dd", {"dl"}),
 
 
 class _Blocks(HTMLParser):
-    """Leaf blocks of a page: text, ancestors (outermost first, as tag and
-    words of class, id and role), and characters inside links."""
+    """Leaf blocks of a page, in time that does not grow with their depth.
+
+    ``blocks`` holds a text, its context (see ``nodes``), its two innermost tags
+    and the characters inside links. A context is a number: ``nodes`` gives the
+    context around it and the ancestor features that it adds, so that nested
+    tags are neither copied nor hashed for each block. With ``depth``, ``whole``
+    also gets each block's ancestors (outermost first, as tag and words of
+    class, id and role), unless they are more than that: then ``deep`` is set.
+    """
 
-    def __init__(self):
+    #: Elements whose content is text up to their own end tag.
+    CDATA_CONTENT_ELEMENTS = ("script", "style", "textarea", "title", "noscript", "iframe",
+                              "noframes", "noembed")
+
+    def __init__(self, depth: float = 0):
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, tuple[str, ...]]] = []
+        self.stack: list[tuple[str, tuple[str, ...], int]] = []
+        self.places: dict[str, list[int]] = {}    # of each open tag, in the stack
+        self.held: dict[str, int] = {}            # ancestor features now open
+        self.nodes: list[tuple[int, list[int]]] = [(0, [])]
         self.unseen = self.links = self.linked = 0
+        self.loose = False                        # a button without an end tag is open
         self.text: list[str] = []
-        self.blocks: list[tuple[str, tuple, int]] = []
+        self.blocks: list[tuple[str, int, tuple[str, ...], int]] = []
+        self.depth, self.deep = depth, False
+        self.whole: list[tuple[str, tuple, int]] = []
 
     def flush(self) -> None:
         if self.text:
             text = " ".join("".join(self.text).split())
             if text:
-                self.blocks.append((text, tuple(self.stack), self.linked))
+                self.blocks.append((text, self.stack[-1][2] if self.stack else 0,
+                                    tuple(t for t, _, _ in self.stack[-2:]), self.linked))
+                self.deep |= len(self.stack) > self.depth
+                if not self.deep:
+                    self.whole.append((text, tuple((t, w) for t, w, _ in self.stack),
+                                       self.linked))
             self.text, self.linked = [], 0
 
+    def _push(self, tag: str, words: tuple[str, ...]) -> None:
+        self.places.setdefault(tag, []).append(len(self.stack))
+        node, new = self.stack[-1][2] if self.stack else 0, []
+        for f in (f"t:{tag}", *[f"w:{w}" for w in words]):
+            n = self.held.get(f, 0)
+            self.held[f] = n + 1
+            if not n:
+                new.append(_number(f))
+        if new:
+            self.nodes.append((node, new))
+            node = len(self.nodes) - 1
+        self.stack.append((tag, words, node))
+        self.unseen += tag in _UNSEEN
+        self.links += tag == "a"
+
     def _pop(self, at: int) -> None:
-        for tag, _ in self.stack[at:]:
+        if any(tag not in _INLINE for tag, _, _ in self.stack[at:]):
+            self.flush()
+        for tag, words, _ in self.stack[at:]:
+            self.places[tag].pop()
+            for f in (f"t:{tag}", *[f"w:{w}" for w in words]):
+                self.held[f] -= 1
             self.unseen -= tag in _UNSEEN
             self.links -= tag == "a"
-        if any(tag not in _INLINE for tag, _ in self.stack[at:]):
-            self.flush()
+            self.loose &= tag != "button"
         del self.stack[at:]
 
-    def _close(self, tags: str | tuple, within: set[str]) -> None:
-        for at in range(len(self.stack) - 1, -1, -1):
-            tag = self.stack[at][0]
-            if tag in tags:
-                return self._pop(at)
-            if tag in within:
-                return None
-        return None
+    def _last(self, tags) -> int:
+        """Place of the innermost open one of the tags; -1 if none is open."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=-1)
+
+    def _close(self, tags: tuple, within) -> None:
+        at = self._last(tags)
+        # what an unseen element holds ends nothing outside of it
+        if at > self._last(within) and at > self._last(_UNSEEN - set(tags)):
+            self._pop(at)
+
+    def parse_starttag(self, i: int) -> int:
+        """A tag that the page's end cuts off is none."""
+        self.begin = i
+        end = super().parse_starttag(i)
+        return end if end >= 0 else len(self.rawdata)
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
+        if self.loose and (tag == "button" or tag in _ENDS_P or tag in _SIBLINGS):
+            self._pop(self._last(("button",)))
         if tag in _ENDS_P:
             self._close(("p",), {"article", "main", "div", "section", "td", "button", "body"})
         elif tag in _SIBLINGS:
             names, within = _SIBLINGS[tag]
             self._close(tuple(names.split()), within)
-        if tag == "body" or self.unseen and tag not in _IN_HEAD and not any(
-                t in _UNSEEN and t != "head" for t, _ in self.stack):
-            self._close(("head",), set())
+        if tag == "body" or self.places.get("head") and tag not in _IN_HEAD:
+            if self.unseen == len(self.places.get("head", ())):
+                self._close(("head",), set())
         if tag == "br":
             self.text.append(" ")
         elif tag not in _INLINE:
@@ -106,9 +158,11 @@ class _Blocks(HTMLParser):
             v for k, v in attrs if v and k in ("class", "id", "role")).lower())) if attrs else ()
         if attrs and any(k == "hidden" or k == "aria-hidden" and v == "true" for k, v in attrs):
             words += ("hidden",)
-        self.stack.append((tag, words))
-        self.unseen += tag in _UNSEEN
-        self.links += tag == "a"
+        self._push(tag, words)
+        if tag == "button":
+            # without an end tag before the next button, blocks after it are not in it
+            end = _BUTTON.search(self.rawdata, self.begin + 1)
+            self.loose = not end or not end[1]
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)
@@ -116,21 +170,29 @@ class _Blocks(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag: str) -> None:
-        for at in range(len(self.stack) - 1, -1, -1):
-            if self.stack[at][0] == tag:
-                return self._pop(at)
-        if tag not in _INLINE:
+        at = self._last((tag,))
+        if at >= 0:
+            self._pop(at)
+        elif tag not in _INLINE:
             self.flush()
-        return None
+
+    def parse_comment(self, i: int, report: bool = True) -> int:
+        """A comment ends at ``-->`` or ``--!>``, at once if ``>`` or ``->``
+        follow its start, and else at the page's end."""
+        end = _COMMENT_END.match(self.rawdata, i + 4) or _COMMENT_END.search(
+            self.rawdata, i + 4)
+        return end.end() if end else len(self.rawdata)
 
     def parse_html_declaration(self, i: int) -> int:
-        """A marked section other than CDATA is a comment up to its ``>``."""
+        """A marked section other than CDATA is a comment up to its ``>``; a
+        declaration without an end goes on to the page's end."""
         marked = self.rawdata.startswith("<![", i)
         if not marked or self.rawdata.startswith("<![CDATA[", i):
             end = super().parse_html_declaration(i)
             if end >= 0 or not marked:
-                return end
-        return self.parse_bogus_comment(i)
+                return end if end >= 0 else len(self.rawdata)
+        end = self.parse_bogus_comment(i)
+        return end if end >= 0 else len(self.rawdata)
 
     def handle_data(self, data: str) -> None:
         if self.unseen and self.stack[-1][0] == "head" and data.strip():
@@ -141,12 +203,21 @@ class _Blocks(HTMLParser):
                 self.linked += len(data)
 
 
-def leaf_blocks(html: str) -> list[tuple[str, tuple, int]]:
-    parser = _Blocks()
+_BUTTON = re.compile(r"<(/?)button(?=[\s/>])", re.I)
+_COMMENT_END = re.compile(r"(?<=<!--)-?>|--!?>")
+
+
+def _parsed(html: str, depth: float = 0) -> _Blocks:
+    parser = _Blocks(depth)
     parser.feed(html)
     parser.close()
     parser.flush()
-    return parser.blocks
+    return parser
+
+
+def leaf_blocks(html: str) -> list[tuple[str, tuple, int]]:
+    """Each leaf block's text, ancestors and characters inside links."""
+    return _parsed(html, float("inf")).whole
 
 
 def _bin(n: int) -> int:
@@ -159,18 +230,22 @@ def features(blocks: list[tuple[str, tuple, int]]) -> list[list[int]]:
     for i, (text, ancestors, linked) in enumerate(blocks):
         own = [f"t:{tag}" for tag, _ in ancestors] + [
             f"w:{w}" for _, words in ancestors for w in words]
-        near = [t for t, _ in ancestors[-3:]]
-        words = text.count(" ") + 1
-        own += ["p:" + "/".join(near[-2:]), f"own:{near[-1] if near else ''}",
-                f"words:{_bin(words)}", f"link:{min(4, 4 * linked // max(len(text), 1))}",
-                f"end:{text[-1] if text[-1] in '.!?:,;|' else ''}",
-                f"at:{min(i, 3)}", f"left:{min(len(blocks) - 1 - i, 3)}", "bias"]
-        if "©" in text or "copyright" in text.lower():
-            own.append("copyright")
+        own += _form(text, [t for t, _ in ancestors[-2:]], linked, i, len(blocks))
         out.append([_number(f) for f in dict.fromkeys(own)])
     return out
 
 
+def _form(text: str, near: Sequence[str], linked: int, i: int, n: int) -> list[str]:
+    """Features of block ``i`` of ``n`` that are not its ancestors'."""
+    own = ["p:" + "/".join(near), f"own:{near[-1] if near else ''}",
+           f"words:{_bin(text.count(' ') + 1)}", f"link:{min(4, 4 * linked // max(len(text), 1))}",
+           f"end:{text[-1] if text[-1] in '.!?:,;|' else ''}",
+           f"at:{min(i, 3)}", f"left:{min(n - 1 - i, 3)}", "bias"]
+    if "©" in text or "copyright" in text.lower():
+        own.append("copyright")
+    return own
+
+
 _NUMBERS: dict[str, int] = {}
 
 
@@ -244,9 +319,29 @@ class Field:
 
     def decode(self, page: list[list[int]]) -> list[int]:
         """The most probable labels (Viterbi), ties to 0."""
-        if not page:
-            return []
-        s = self.scores(page).tolist()
+        return self.best(self.scores(page).tolist()) if page else []
+
+    def page_scores(self, page: _Blocks) -> list[list[float]]:
+        """``scores`` of a parsed page's blocks: what ancestors add is summed
+        once for each context, from the outermost in."""
+        def sums(lists: list[list[int]]) -> np.ndarray:
+            flat = np.fromiter(chain.from_iterable(lists), np.int64)
+            total = np.vstack([np.zeros((1, 2)), np.cumsum(self.state[flat], axis=0)])
+            ends = np.cumsum([len(x) for x in lists])
+            return total[ends] - total[ends - [len(x) for x in lists]]
+
+        context = sums([new for _, new in page.nodes]).tolist()
+        for i, (around, _) in enumerate(page.nodes):
+            if i:
+                context[i][0] += context[around][0]
+                context[i][1] += context[around][1]
+        n = len(page.blocks)
+        own = sums([[_number(f) for f in _form(text, near, linked, i, n)]
+                    for i, (text, _, near, linked) in enumerate(page.blocks)])
+        return (own + np.array([context[node] for _, node, _, _ in page.blocks])).tolist()
+
+    def best(self, s: list[list[float]]) -> list[int]:
+        """The most probable labels of a chain of blocks with these scores."""
         (a, b), (c, d) = self.step.tolist()
         x, y = s[0][0] + self.first[0], s[0][1] + self.first[1]
         came = []
@@ -387,10 +482,15 @@ def train(pages: DataFrame, train_pages: int = TRAIN_PAGES, seed: int = 11) -> F
 
 
 def labelled(sample: list[str], seed: int = 11) -> list[tuple[list[list[int]], list[int]]]:
+    """Labelled pages from sampled ones, and new layouts of their blocks. If no
+    page of the sample has a main text, layouts of stock blocks stand for them."""
     r = random.Random(seed)
     out = []
     for html in sample:
-        blocks = leaf_blocks(html)
+        page = _parsed(html, TRAIN_DEPTH)
+        if page.deep:
+            continue
+        blocks = page.whole
         own = own_labels(blocks) or likely_labels(blocks)
         if not any(own):
             continue
@@ -400,19 +500,36 @@ def labelled(sample: list[str], seed: int = 11) -> list[tuple[list[list[int]], l
         for _ in range(3):
             page, labels = layout(main, other, r)
             out.append((features(page), labels))
+    for _ in range(0 if out else STOCK_LAYOUTS):
+        page, labels = layout([(t, (("p", ()),), 0) for t in r.sample(_STOCK, len(_STOCK))],
+                              [], r)
+        out.append((features(page), labels))
     return out
 
 
+#: Layouts trained on where no sampled page has a main text, and their blocks.
+STOCK_LAYOUTS = 150
+_STOCK = ("The river rose after a week of rain, and the lower fields were under water by Friday.",
+          "She said that the survey would be repeated in spring. Nobody had asked for it before.",
+          "A second report, published last month, comes to the same result with other data.",
+          "Prices fell for the third year in a row.",
+          "How the two methods compare is shown below; both need about an hour for each sample.")
+
+
 def main_text(html: str, field: Field) -> str:
-    blocks = leaf_blocks(html)
-    return " ".join(b[0] for b, y in zip(blocks, field.decode(features(blocks))) if y)
+    page = _parsed(html)
+    if not page.blocks:
+        return ""
+    return " ".join(b[0] for b, y in zip(page.blocks, field.best(field.page_scores(page))) if y)
 
 
 def extract(pages: DataFrame, field: Field | None = None) -> DataFrame:
     """page_id, url, text and n_chars (code points) of every page.
 
     Null and empty pages, and pages without main text, have the empty text. Odd
-    declarations are comments; an open head ends at the first thing not its own.
+    declarations are comments; an open comment, declaration or tag goes on to the
+    page's end; an open head ends at the first thing not its own, an open button
+    at the next block; nothing in an unseen element ends what is around it.
     Repeated rows are extracted each; other columns are ignored; an empty
     input gives no rows.
     """
