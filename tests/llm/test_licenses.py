@@ -97,3 +97,54 @@ def test_every_start_counts(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {(x.doc_id, x.license): x.containment for x in C.find_licenses(docs).collect()}
     assert got == brute(rows)
+
+
+def best_places(text, least=0.8):
+    """Licences whose match no better one of another licence overlaps by half or
+    more of the shorter, from every window of every template."""
+    s = grams(words(text))
+    at = {}
+    for span in {max(1, len(words(t)) - 4) for _, t in C.TEMPLATES}:
+        own = [(k, set(grams(words(t)))) for k, t in C.TEMPLATES
+               if max(1, len(words(t)) - 4) == span]
+        for i in range(max(1, len(s) - span + 1)):
+            held = set(s[i:i + span])
+            score = [(len(g & held) / len(g), k) for k, g in own]
+            best = max(x for x, _ in score)
+            if best >= least:
+                at.update({(k, span, i): x for x, k in score if x == best})
+    stay = {}
+    for (k, n, i), x in at.items():
+        if not any(y > x and o != k
+                   and 2 * (min(i + n, j + m) - max(i, j)) >= min(n, m)
+                   for (o, m, j), y in at.items()):
+            stay[k] = max(stay.get(k, 0), x)
+    return stay
+
+
+def test_best_of_a_place(spark):
+    r = random.Random(9)
+    gpl = {k: t for k, t in C.TEMPLATES if t.startswith("This work is licensed under the GNU")}
+    rows = [(1, "Some words stand here. " + gpl["GPL-3.0"] + " And more follows."),
+            (2, "lorem ipsum " * 40 + gpl["GPL-2.0"] + " " + gpl["GPL-3.0"] + " dolor " * 100),
+            (3, "x y " + gpl["GPL-3.0"]), (3, "x y " + gpl["GPL-2.0"]),
+            (None, "a " + gpl["GPL-3.0"]), (None, "a " + gpl["GPL-2.0"])]
+    for i in range(120):
+        body = []
+        for _ in range(r.randint(1, 4)):
+            w = r.choice(C.TEMPLATES)[1].split()
+            for _ in range(r.choice([0, 0, 1])):
+                w[r.randrange(len(w))] = "other"
+            body += ["lorem"] * r.randint(0, 70) + w
+        rows.append((10 + i, " ".join(body)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(x.doc_id, x.license): x.containment
+           for x in C.find_licenses(docs, by_place=True).collect()}
+    want = {}
+    for key, t in rows:
+        for k, x in best_places(t).items():
+            want[(key, k)] = max(want.get((key, k), 0), x)
+    assert got == want
+    assert [k for d, k in got if d == 1] == ["GPL-3.0"]
+    for d in (2, 3, None):
+        assert sorted(k for e, k in got if e == d) == ["GPL-2.0", "GPL-3.0"]

@@ -35,7 +35,7 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return find_licenses(table(spark, sf_dir, "documents"))
+    return find_licenses(table(spark, sf_dir, "documents"), by_place=True)
 
 
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -115,14 +115,47 @@ def _templates(spark: SparkSession, templates: tuple[tuple[str, str], ...]) -> D
                     F.array_distinct("own").alias("own")).where("span > 0"))
 
 
+#: Matches of a text are compared in pieces of so many starts at least.
+PLACE = 64
+
+
+def _best_by_place(matches: DataFrame, widest: int) -> DataFrame:
+    """The matches that no better one of another licence overlaps by half or
+    more of the shorter window; ``widest`` is the longest window's length.
+
+    Matches meet in pieces of a text, so that a text full of notices is dealt to
+    many tasks; a match is offered to every piece in which it may overlap another.
+    """
+    piece = max(PLACE, widest)
+    better = matches.groupBy("doc_id", "t", "license", "span", "start").agg(
+        F.max("containment").alias("containment")).select(
+        F.col("doc_id").alias("d"), F.col("t").alias("u"), F.col("license").alias("l"),
+        F.col("span").alias("n"), F.col("start").alias("s"), F.col("containment").alias("c"),
+        F.explode(F.sequence(F.floor((F.col("start") - widest) / piece),
+                             F.floor((F.col("start") + F.col("span")) / piece))).alias("q"))
+    shared = (F.least(F.col("start") + F.col("span"), F.col("s") + F.col("n"))
+              - F.greatest("start", "s"))
+    return matches.withColumn("p", F.floor(F.col("start") / piece)).join(
+        better, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("t") == F.col("u"))
+        & (F.col("p") == F.col("q")) & (F.col("license") != F.col("l"))
+        & (F.col("c") > F.col("containment")) & (2 * shared >= F.least("span", "n")),
+        "left_anti").drop("p")
+
+
 def find_licenses(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES,
-                  containment: float = CONTAINMENT, bands: int = BANDS) -> DataFrame:
+                  containment: float = CONTAINMENT, bands: int = BANDS,
+                  by_place: bool = False) -> DataFrame:
     """One row for each document and licence found in it: doc_id, license, the
     best containment, the first word (from 0) of the best window and the number
     of windows that match.
 
+    Of templates that match one window the best stays. With ``by_place``, a match
+    also goes if a better one of another licence, by any template, overlaps it by
+    half or more of the shorter of the two: a notice after other text is then not
+    reported as another version too. A match that goes still outdoes weaker ones.
+
     Null and empty texts hold none; a template of fewer than five words is one
-    shingle. Rows of one id are judged together; other columns are ignored; an
+    shingle. Each text of an id is judged by itself, equal ones as one; other columns are ignored; an
     empty table or no templates give no rows.
     """
     spark = docs.sparkSession
@@ -139,8 +172,8 @@ def find_licenses(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMP
     # would else repeat their making at every use
     texts = docs.where(may).select(F.col("doc_id").cast("long").alias("doc_id"),
                                    words(F.col("text").cast("string")).alias("w"))
-    rows = stored(stored(texts, "words").select("doc_id", shingles(F.col("w")).alias("h")),
-                  "shingles")
+    rows = stored(stored(texts, "words").select("doc_id", shingles(F.col("w")).alias("h"))
+                  .withColumn("t", F.xxhash64("h")), "shingles")
     by_span: dict[int, set[int]] = {}
     for r in own:
         by_span.setdefault(r["span"], set()).update(r["own"])
@@ -157,15 +190,15 @@ def find_licenses(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMP
             lambda s: F.least(s * step + 1, last)))))
         return F.transform(near, lambda s: F.struct(F.lit(span).alias("span"), s.alias("start")))
 
-    placed = stored(rows.select("doc_id", "h", F.array_distinct(F.concat(
+    placed = stored(rows.select("doc_id", "t", "h", F.array_distinct(F.concat(
         F.array().cast("array<struct<span:int,start:int>>"),
         *[starts(s, t) for s, t in sorted(by_span.items())])).alias("at")), "windows")
     # with what lies between a window and its neighbours: a notice's own place
     # may be at any start there
     reach = F.greatest(F.floor(F.col("at.span") / 8).cast("int"), F.lit(1)) - 1
     left = F.greatest(F.col("at.start") - reach, F.lit(1))
-    windows = (placed.select("doc_id", "h", F.explode("at").alias("at"))
-               .select("doc_id", F.col("at.span").alias("span"),
+    windows = (placed.select("doc_id", "t", "h", F.explode("at").alias("at"))
+               .select("doc_id", "t", F.col("at.span").alias("span"),
                        F.array_distinct(F.slice("h", F.col("at.start"), F.col("at.span")))
                        .alias("held"), left.alias("left"), (F.col("at.start") + reach).alias("right"),
                        F.slice("h", left, F.col("at.start") + reach + F.col("at.span") - left)
@@ -173,23 +206,26 @@ def find_licenses(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMP
     keyed = stored(windows.withColumn("keys", band_keys(F.col("held"), bands)), "banded")
     known_bands = known.withColumn("keys", band_keys(F.col("own"), bands)).select(
         "template", "license", "span", "own", F.posexplode("keys").alias("band", "key"))
-    found = (keyed.select("doc_id", "span", "left", "right", "wide",
+    found = (keyed.select("doc_id", "t", "span", "left", "right", "wide",
                           F.posexplode("keys").alias("band", "key"))
              .join(known_bands, ["span", "band", "key"])
-             .dropDuplicates(["doc_id", "span", "left", "right", "wide", "template"]))
+             .dropDuplicates(["doc_id", "t", "span", "left", "right", "wide", "template"]))
     last = F.greatest("left", F.least("right", F.col("left") + F.size("wide") - F.col("span")))
     pairs = (found.withColumn("start", F.explode(F.sequence("left", last)))
              .withColumn("held", F.array_distinct(F.slice(
                  "wide", F.col("start") - F.col("left") + 1, F.col("span")))))
     share = F.size(F.array_intersect("held", "own")) / F.size("own")
     # a version's notice also resembles the other version's: the best stays
-    best = F.max("containment").over(Window.partitionBy("doc_id", "span", "start"))
-    return (pairs.withColumn("containment", share)
-            .where(F.col("containment") >= containment)
-            .dropDuplicates(["doc_id", "span", "start", "held", "template"])
-            .select("doc_id", "license", "span", "start", "containment")
-            .withColumn("best", best).where("containment = best")
-            .groupBy("doc_id", "license").agg(
+    best = F.max("containment").over(Window.partitionBy("doc_id", "t", "span", "start"))
+    matches = (pairs.withColumn("containment", share)
+               .where(F.col("containment") >= containment)
+               .dropDuplicates(["doc_id", "t", "span", "start", "held", "template"])
+               .select("doc_id", "t", "license", "span", "start", "containment")
+               .withColumn("best", best).where("containment = best").drop("best"))
+    if by_place:
+        matches = _best_by_place(stored(matches, "matches"),
+                                 max((r["span"] for r in own), default=1))
+    return (matches.groupBy("doc_id", "license").agg(
                 F.max("containment").alias("containment"),
                 (F.min_by("start", F.struct(-F.col("containment"), F.col("start"))) - 1)
                 .cast("long").alias("word"),
