@@ -63,7 +63,7 @@ def test_registered_queries():
     names = list(catalog.queries())
     assert [n.split("_")[0] for n in names[:-1]] == [f"op{i}" for i in range(1, 14)]
     assert names[-1] == "pipeline" and set(catalog.oracle_sql()) == {
-        "op9_minhash_near_duplicates", "op11_fill_in_middle"}
+        "op8_jump_sharding", "op9_minhash_near_duplicates", "op11_fill_in_middle"}
 
 
 def test_entry_without_the_package(monkeypatch):

@@ -73,3 +73,20 @@ def test_odd_rows(spark):
     assert len({(r.shard, r.slot) for r in got}) == 5
     assert [r.shard for r in got if r.doc_id is None] == [jump(0, 24)]
     assert S.shard_rows(docs.limit(0)).count() == 0
+
+
+def test_sql_form(spark):
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    got = S.shard_rows(table(spark, SF, "documents"))
+    want = con.execute(S.SHARD_SQL)
+    assert [c[0] for c in want.description] == got.columns
+    assert sorted(want.fetchall()) == sorted(map(tuple, got.collect()))
+    con.execute("CREATE OR REPLACE VIEW documents AS SELECT * FROM (VALUES (1, NULL), (1, 'é€😀'),"
+                " (NULL, 'x'), (4611686018427387904, 'x'), (2147483648, '')) AS t(doc_id, text)")
+    rows = [(1, None), (1, "é€😀"), (None, "x"), (1 << 62, "x"), (1 << 31, "")]
+    odd = S.shard_rows(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(map(str, con.execute(S.SHARD_SQL).fetchall())) == sorted(
+        str(tuple(r)) for r in odd.collect())

@@ -19,7 +19,7 @@ from tickwise.llm.neardup import NEAR_SQL, near_duplicates
 from tickwise.llm.packing import pack
 from tickwise.llm.pii import personal_data
 from tickwise.llm.sampling import compared
-from tickwise.llm.sharding import shard_rows
+from tickwise.llm.sharding import SHARD_SQL, shard_rows
 from tickwise.llm.spelling import spelling_variants
 from tickwise.session import new_scratch_dir
 
@@ -97,4 +97,5 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_minhash_near_duplicates": NEAR_SQL, "op11_fill_in_middle": FIM_SQL}
+    return {"op8_jump_sharding": SHARD_SQL, "op9_minhash_near_duplicates": NEAR_SQL,
+            "op11_fill_in_middle": FIM_SQL}

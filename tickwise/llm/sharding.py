@@ -68,3 +68,44 @@ def shard_rows(docs: DataFrame, shards: int = 24) -> DataFrame:
     out = gapless_rank(rows, ["shard"], ["doc_id", "size", "text_crc32"], spread, "slot")
     return out.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
+
+def _mix31_sql(x: str) -> str:
+    """``mix31`` as SQL."""
+    m = 2147483647
+    g = f"((h * 1583458089 + 12345) % {m})"
+    return (f"list_reduce([(({x}) % {m} + {m} + (({x}) >> 31) % {m} * 16807) % {m}, 0, 0, 0], "
+            f"lambda h, r: (xor({g}, {g} >> 15) * 784588716 + 977) % {m})")
+
+
+#: SQL form of ``shard_rows`` for ids from 0: the jumps by recursion, the CRC by its table.
+SHARD_SQL = rf"""
+WITH RECURSIVE crc AS (
+  SELECT list(list_reduce(list_prepend(n, [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+           lambda c, b: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)
+         ORDER BY n) AS t FROM (SELECT range AS n FROM range(256))),
+docs AS (SELECT doc_id, COALESCE(doc_id, 0)::BIGINT AS k, COALESCE(text, '') AS text
+         FROM documents),
+texts AS (
+  SELECT text, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+           regexp_extract_all(hex(encode(text)), '..'), lambda x: ('0x' || x)::BIGINT)),
+         lambda c, b: xor(c // 256, t[xor(c % 256, b) + 1])), 4294967295)::BIGINT AS text_crc32
+  FROM (SELECT DISTINCT text FROM docs), crc),
+jumps AS (
+  SELECT DISTINCT k, 0::BIGINT AS j, 0::BIGINT AS i FROM docs
+  UNION ALL
+  SELECT k, floor((j + 1) * 2147483648::DOUBLE
+                  / (1 + {_mix31_sql("xor(k, i * 1000003 + 7)")})::DOUBLE)::BIGINT, i + 1
+  FROM jumps WHERE j < 25),
+shards AS (
+  SELECT k, (max(j) FILTER (j < 24))::INTEGER AS shard,
+         (max(j) FILTER (j < 25))::INTEGER AS grown_shard,
+         {_mix31_sql("k + 31")} % 1024 AS bucket FROM jumps GROUP BY k),
+sized AS (
+  SELECT doc_id, (octet_length(encode(docs.text)) + 8)::BIGINT AS size, text_crc32,
+         shard, grown_shard, bucket
+  FROM docs JOIN texts ON docs.text = texts.text JOIN shards ON docs.k = shards.k)
+SELECT doc_id, size, text_crc32, 'key' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY bucket, doc_id NULLS FIRST, size,
+                                                      text_crc32) - 1 AS slot, grown_shard
+FROM sized
+"""
