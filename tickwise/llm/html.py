@@ -127,8 +127,10 @@ class _Blocks(HTMLParser):
 
     def _close(self, tags: tuple, within) -> None:
         at = self._last(tags)
+        if at < 0 or at <= self._last(within):
+            return
         # what an unseen element holds ends nothing outside of it
-        if at > self._last(within) and at > self._last(_UNSEEN - set(tags)):
+        if not self.unseen or at > self._last(_UNSEEN - set(tags)):
             self._pop(at)
 
     def parse_starttag(self, i: int) -> int:
@@ -170,9 +172,8 @@ class _Blocks(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag: str) -> None:
-        at = self._last((tag,))
-        if at >= 0:
-            self._pop(at)
+        if self.places.get(tag):
+            self._pop(self.places[tag][-1])
         elif tag not in _INLINE:
             self.flush()
 
