@@ -134,3 +134,24 @@ def test_rows_of_one_id_are_one_query_and_one_candidate(spark):
 def test_shelves_hold_lists_in_a_row(monkeypatch):
     monkeypatch.setattr(A, "BLOCK", 10)
     assert A.shelves([(0, 4), (1, 5), (2, 25), (4, 3)], 5).tolist() == [0, 0, 1, 2, 2]
+
+
+def test_rows_found_do_not_grow_with_the_shelves(spark, monkeypatch):
+    r = np.random.default_rng(7)
+    x = r.normal(size=(3000, 24))
+    x = x / np.linalg.norm(x, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)],
+                               "vec_id long, embedding array<double>")
+    sent, keep = [], A.stored
+
+    def stored(rows, label):
+        kept = keep(rows, label)
+        if label.startswith("found"):
+            sent.append(kept.count())
+        return kept
+
+    monkeypatch.setattr(A, "BLOCK", 48)                 # over 60 shelves
+    monkeypatch.setattr(A, "stored", stored)
+    share = recall(A.search(df).collect(), np.arange(3000), x, 20, 20)
+    assert share.mean() >= 0.95
+    assert sum(sent) <= 150 * 20 * 15                   # for 150 queries of 20

@@ -13,7 +13,9 @@ Largest inner product becomes nearest distance by one more coordinate that
 gives all vectors the same length (queries get 0 there). Lists that lie close
 stand on one shelf, and a query goes once to each shelf that holds any of its
 lists; shelf and queries meet in blocks of bounded size, so a list that holds a
-third of all vectors is split over tasks.
+third of all vectors is split over tasks. A query's few nearest lists are searched
+first: from the others, only vectors not below the k-th best of those are sent on,
+so that the rows found follow the queries and not the shelves.
 """
 
 from __future__ import annotations
@@ -37,6 +39,7 @@ BOUNDARY = 1.03         # ratio of distances within which it is posted
 RECALL = 0.97            # of the sample's neighbours, found by the ratio of distances
 JUDGED = 512             # sampled vectors whose neighbours set the ratio
 LEAST = 8                # lists that a query searches in any case
+FIRST = 3                # of them, those searched first, for a bound on the others
 DEGREE, BEAM = 24, 96    # of the centroid graph and of its search
 POST_BEAM = 16           # of the search for a vector's lists
 STEP = 8                 # centroids that a walk expands at once, at most
@@ -180,11 +183,18 @@ class Centroids:
 
     def asks(self, v: np.ndarray, probes: int | None = None) -> np.ndarray:
         """Which lists each query searches, one row of flags for each."""
+        return self.asked(v, probes)[0]
+
+    def asked(self, v: np.ndarray, probes: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Flags of the lists that each query searches, and of those it searches first:
+        the FIRST nearest."""
         far = self.walk(self.sphere(v, True), ratio=self.ratio)
         take = far <= self.reach2(far.min(1), self.ratio)[:, None]
         place = far.argsort(1, kind="stable").argsort(1, kind="stable")
         take |= (place < LEAST) & np.isfinite(far)
-        return take & (place < probes) if probes else take
+        if probes:
+            take &= place < probes
+        return take, take & (place < FIRST)
 
     def fit_ratio(self, x: np.ndarray, k: int, recall: float) -> None:
         """The smallest ratio by which ``recall`` of the ``k`` neighbours, among the
@@ -309,33 +319,50 @@ def _search(rows: DataFrame, every: int, k: int, sample: int, probes: int | None
             for batch in batches:
                 for a in range(0, batch.num_rows, 256):
                     ids, raw = batch.column(0).slice(a, 256), batch.column(1).slice(a, 256)
-                    take = np.ones((len(ids), len(c.points)), bool) if everything else \
-                        c.asks(_vectors(raw), probes)
-                    row, to = np.nonzero(take)
-                    # shelves ascend with lists: one run for each query and shelf
-                    new = np.flatnonzero(np.r_[True, (row[1:] != row[:-1])
-                                               | (shelf[to[1:]] != shelf[to[:-1]])])
-                    lists = pa.ListArray.from_arrays(
-                        pa.array(np.append(new, len(row)).astype(np.int32)),
-                        pa.array(to.astype(np.int32)))
-                    yield pa.RecordBatch.from_arrays(
-                        [ids.take(pa.array(row[new])), pa.array(shelf[to[new]]), lists,
-                         raw.take(pa.array(row[new]))],
-                        names=["vec_id", "shelf", "lists", "embedding"])
+                    if everything:
+                        take = np.ones((len(ids), len(c.points)), bool)
+                        near = np.zeros_like(take)
+                    else:
+                        take, near = c.asked(_vectors(raw), probes)
+                    for first, flags in ((True, near), (False, take & ~near)):
+                        row, to = np.nonzero(flags)
+                        # shelves ascend with lists: one run for each query and shelf
+                        new = np.flatnonzero(np.r_[True, (row[1:] != row[:-1])
+                                                   | (shelf[to[1:]] != shelf[to[:-1]])]
+                                             [:len(row)])
+                        lists = pa.ListArray.from_arrays(
+                            pa.array(np.append(new, len(row)).astype(np.int32)),
+                            pa.array(to.astype(np.int32)))
+                        yield pa.RecordBatch.from_arrays(
+                            [ids.take(pa.array(row[new])), pa.array(shelf[to[new]]), lists,
+                             raw.take(pa.array(row[new])), pa.array([first] * len(new), pa.bool_())],
+                            names=["vec_id", "shelf", "lists", "embedding", "first"])
         return run
 
-    schema = "vec_id long, shelf int, lists array<int>, embedding array<double>"
+    schema = "vec_id long, shelf int, lists array<int>, embedding array<double>, first boolean"
     queries = rows.where(F.col("vec_id") % every == 0)
     where = F.broadcast(spark.createDataFrame(
         list(enumerate(shelf.tolist())), "list int, shelf int"))
     posted = posted.join(where, "list")
     asked = stored(queries.mapInArrow(ask(False), schema), "probes")
-    found = stored(_compare(posted, asked, k), "found")
+    # the k-th best of the first lists bounds what the others have to send: a vector
+    # below it is none of the k nearest
+    no_bound = F.lit(float("-inf"))
+    near = stored(_compare(posted, asked.where("first").withColumn("bound", no_bound), k),
+                  "found_first")
+    worst = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    bounds = (near.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+              .withColumn("n", F.row_number().over(worst)).where(F.col("n") == k)
+              .select(F.col("query_id").alias("vec_id"), F.col("score").alias("_bound")))
+    others = (asked.where("not first").join(bounds, "vec_id", "left")
+              .withColumn("bound", F.coalesce("_bound", no_bound)).drop("_bound"))
+    found = near.union(stored(_compare(posted, others, k), "found"))
     # fewer than asked for: search every list (few queries, or a small table)
     some = found.groupBy("query_id").agg(F.countDistinct("vec_id").alias("n"))
     short = queries.join(some.where(F.col("n") >= min(k, total - 1)),
                          F.col("vec_id") == F.col("query_id"), "left_anti")
-    rest = _compare(posted, stored(short.mapInArrow(ask(True), schema), "short"), k)
+    every_list = stored(short.mapInArrow(ask(True), schema), "short")
+    rest = _compare(posted, every_list.withColumn("bound", no_bound), k)
     every_one = found.union(rest).groupBy("query_id", "vec_id").agg(
         F.max("score").alias("score"))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
@@ -344,7 +371,8 @@ def _search(rows: DataFrame, every: int, k: int, sample: int, probes: int | None
 
 
 def _compare(posted: DataFrame, asked: DataFrame, k: int) -> DataFrame:
-    """Each query's best ``k`` within each block of a shelf it searches."""
+    """Each query's best ``k``, of those not below its bound, within each block of a
+    shelf it searches."""
     def blocks(df: DataFrame, name: str) -> DataFrame:
         return df.groupBy("shelf").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int")
                                        .alias(name))
@@ -375,6 +403,9 @@ def _compare(posted: DataFrame, asked: DataFrame, k: int) -> DataFrame:
             last = np.append(first[1:], len(ids))
             asked_ids = queries["vec_id"].to_numpy()
             y, wanted = np.stack(queries["embedding"].to_numpy()), queries["lists"].to_numpy()
+            bound = queries["bound"].to_numpy()
+            # sums in another order differ in their last bits
+            least = bound - 1e-9 * (1 + np.abs(np.where(np.isfinite(bound), bound, 0)))
         for a in range(0, len(queries) if not vectors.empty else 0, 256):
             part = wanted[a:a + 256]
             row = np.repeat(np.arange(len(part)), [len(w) for w in part])
@@ -391,7 +422,7 @@ def _compare(posted: DataFrame, asked: DataFrame, k: int) -> DataFrame:
             score = np.maximum.reduceat(score[:, by_id], first, axis=1)
             score[asked_ids[a:a + 256, None] == own[None, :]] = -np.inf
             for i, s in enumerate(score):
-                met = np.flatnonzero(np.isfinite(s))
+                met = np.flatnonzero(np.isfinite(s) & (s >= least[a + i]))
                 n = min(k, len(met))
                 if not n:
                     continue
@@ -403,6 +434,7 @@ def _compare(posted: DataFrame, asked: DataFrame, k: int) -> DataFrame:
                 each = np.append(0, np.cumsum(last[some] - first[some])[:-1])
                 exact = np.maximum.reduceat((x[rows] * y[a + i]).sum(axis=1), each)
                 top = np.argsort(-exact, kind="stable")[:n]   # ids ascend: ties to smaller
+                top = top[exact[top] >= bound[a + i]]
                 out_s.append(exact[top])
                 out_q.append(np.full(len(top), asked_ids[a + i]))
                 out_v.append(own[some[top]])
@@ -411,6 +443,6 @@ def _compare(posted: DataFrame, asked: DataFrame, k: int) -> DataFrame:
 
     return (left.select("shelf", "v", "q", "list", "vec_id", "embedding")
             .groupBy("shelf", "v", "q")
-            .cogroup(right.select("shelf", "v", "q", "lists", "vec_id", "embedding")
+            .cogroup(right.select("shelf", "v", "q", "lists", "vec_id", "embedding", "bound")
                      .groupBy("shelf", "v", "q"))
             .applyInPandas(meet, "query_id long, vec_id long, score double"))
