@@ -18,6 +18,9 @@ from tickwise.llm.pii import redacted
 #: Near duplicates: percent of shared shingles, and signature bands under which
 #: a pair at that similarity stays unseen with probability 3e-6.
 NEAR = {"percent": 80, "bands": 42, "rows": 6}
+#: Words that a packing worker remembers: fewer than alone, beside what the stages
+#: before have left in the executors' memory.
+PACK_WORDS = 300_000
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +40,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pack(docs)
+    return pack(docs, keep_words=PACK_WORDS)
 
 
 STAGES = [("language", language), ("near_duplicates", near_duplicates),

@@ -4,6 +4,7 @@ import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from tickwise.llm.common import lean
 from tickwise.llm.tokens import vocabulary, word_ids
 
 PIECES = st.sampled_from(["the", "Thwh", "é", "É", "ß", "n't", "'s", "###", "\"###", "&&&", "9", "½",
@@ -35,3 +36,11 @@ def test_more_words_than_remembered(monkeypatch):
     text = "one two three four five six. seven! one two three"
     for _ in range(3):
         assert word_ids(vocabulary()).ids(text.encode()) == whole(text)
+
+
+def test_tasks_of_other_operators_drop_the_words():
+    word_ids(vocabulary()).ids(b"one two")
+    assert list(lean(lambda batches: batches, tokenizes=True)(iter([]))) == []
+    assert word_ids.cache_info().currsize
+    assert list(lean(lambda batches: batches)(iter([]))) == []
+    assert not word_ids.cache_info().currsize

@@ -13,6 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tickwise.llm.tokens import forget
 from tickwise.session import new_scratch_dir, table_path
 
 _SHIPPED: set[str] = set()
@@ -133,10 +134,14 @@ def give_back() -> None:
         trim(0)
 
 
-def lean(fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+def lean(fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+         tokenizes: bool = False):
     """A mapInArrow function that works on slices of its batches and gives its
-    memory back at the end."""
+    memory back at the end. Unless it ``tokenizes``, it begins by dropping the words that
+    the worker remembers from tasks which did."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not tokenizes and forget():
+            give_back()
         try:
             yield from fn(part for batch in batches for part in slices(batch))
         finally:
@@ -146,7 +151,7 @@ def lean(fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
 
 
 def arrow_rows(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | Iterable[dict]],
-               schema: str) -> DataFrame:
+               schema: str, tokenizes: bool = False) -> DataFrame:
     """mapInArrow with a function that gives columns for each batch."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
@@ -163,4 +168,4 @@ def arrow_rows(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | Iterable[dic
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(columns[f.name], type=f.type) for f in target], schema=target)
 
-    return df.mapInArrow(lean(run), schema)
+    return df.mapInArrow(lean(run, tokenizes), schema)

@@ -29,16 +29,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickwise.llm.common import arrow_rows, lean, ship, stored, texts_of
-from tickwise.llm.tokens import vocabulary, word_ids
+from tickwise.llm.tokens import KEEP_MANY, vocabulary, word_ids
 
 MAGIC = b"TWH1"
 END_ID = 1
 MAX_BITS = 18
 BLOCK_TOKENS = 1 << 17
 CHECKPOINT = 256
-#: Words that a worker remembers here: nearly all the work is tokenizing, with
-#: little else in memory.
-KEEP_WORDS = 1_600_000
 
 _BLOCKS = "part int, block int, start long, n_docs int, n_tokens long, data binary"
 
@@ -152,7 +149,7 @@ def tokenized(docs: DataFrame, end_id: int, vocab: str) -> DataFrame:
     """doc_id, ids (of the narrowest width, with the end id), and the text's
     beginning and a hash that order rows of one id. Texts are not moved."""
     def run(batch: pa.RecordBatch) -> dict:
-        coder = word_ids(vocab, KEEP_WORDS)
+        coder = word_ids(vocab, KEEP_MANY)
         end, dtype = int(end_id).to_bytes(4, "little"), _dtype(coder.size, end_id)
         return {"doc_id": batch.column(0), "head": batch.column(2), "ids": [
             np.frombuffer(x + end, "<u4").astype(dtype).tobytes()
@@ -160,7 +157,8 @@ def tokenized(docs: DataFrame, end_id: int, vocab: str) -> DataFrame:
 
     text = F.col("text").cast("string")
     rows = docs.select(F.col("doc_id").cast("long"), text, F.substring(text, 1, 64).alias("head"))
-    return arrow_rows(rows, run, "doc_id long, head string, ids binary").withColumn(
+    return arrow_rows(rows, run, "doc_id long, head string, ids binary",
+                      tokenizes=True).withColumn(
         "h", F.xxhash64("ids"))
 
 

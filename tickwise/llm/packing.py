@@ -18,21 +18,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickwise.llm.common import arrow_rows, gapless_rank, mix31, stored, texts_of
-from tickwise.llm.tokens import vocabulary, word_ids
+from tickwise.llm.tokens import KEEP_MANY, vocabulary, word_ids
 
 CAPACITY = 2048
 END_ID = 0
 
 
 def pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID,
-           vocab: str | None = None) -> DataFrame:
+           vocab: str | None = None, keep_words: int = KEEP_MANY) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 of each document's pieces: its
-    ids and the end id, cut only where longer than ``capacity``."""
+    ids and the end id, cut only where longer than ``capacity``. ``keep_words`` bounds
+    the words that a worker remembers: memory and time, not results."""
     vocab = vocab or vocabulary()
     end = int(end_id).to_bytes(4, "little")
 
     def cut(batch: pa.RecordBatch) -> dict:
-        coder = word_ids(vocab)
+        coder = word_ids(vocab, keep_words)
         out: dict[str, list] = {k: [] for k in ("doc_id", "piece", "start", "length",
                                                 "ids_crc32")}
         for key, ids in zip(batch.column(0).to_pylist(), coder.many(texts_of(batch.column(1)))):
@@ -48,7 +49,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID,
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     return arrow_rows(rows, cut, "doc_id long, piece int, start long, length long, "
-                                 "ids_crc32 long")
+                                 "ids_crc32 long", tokenizes=True)
 
 
 def fullest(available: list[tuple[int, int]], room: int) -> dict[int, int]:
@@ -128,14 +129,14 @@ def _places(plan: list[tuple[int, dict[int, int]]]) -> dict[str, np.ndarray]:
 
 
 def pack(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID,
-         vocab: str | None = None) -> DataFrame:
+         vocab: str | None = None, keep_words: int = KEEP_MANY) -> DataFrame:
     """One row for each piece: doc_id, piece, start, length, ids_crc32, the
     sequence that holds it and its offset there (gapless from 0).
 
     Null or empty text is the end id alone. Repeated rows and repeated ids are
     packed row by row; extra columns are ignored; an empty input gives no rows.
     """
-    cut = stored(pieces(docs, capacity, end_id, vocab), "pieces")
+    cut = stored(pieces(docs, capacity, end_id, vocab, keep_words), "pieces")
     # at most ``capacity`` rows, whatever the corpus
     histogram = {r["length"]: r["n"] for r in
                  cut.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}

@@ -19,6 +19,9 @@ KEEP_BYTES = 160 << 20
 #: Words remembered at most, in the same halves; ``keep`` sets another number, with
 #: as many bytes for each.
 KEEP_WORDS = 600_000
+#: Words for a job in which tokenizing is nearly all the work, with little else in
+#: memory.
+KEEP_MANY = 1_600_000
 #: Bytes of text whose words are looked up at once.
 GROUP_BYTES = 1 << 17
 #: What a remembered word takes besides its bytes.
@@ -160,3 +163,11 @@ class WordIds:
 def word_ids(path: str, keep: int | None = None) -> WordIds:
     """This worker's tokenizer with its remembered words."""
     return WordIds(path, keep)
+
+
+def forget() -> bool:
+    """Drops this worker's tokenizers, if it has any: a worker outlives its tasks, and
+    the words it has met are of no use to another operator's."""
+    held = word_ids.cache_info().currsize > 0
+    word_ids.cache_clear()
+    return held
