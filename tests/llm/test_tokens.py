@@ -5,7 +5,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tickwise.llm.common import lean
-from tickwise.llm.tokens import vocabulary, word_ids
+from tickwise.llm.tokens import WordIds, vocabulary, word_ids
 
 PIECES = st.sampled_from(["the", "Thwh", "é", "É", "ß", "n't", "'s", "###", "\"###", "&&&", "9", "½",
                           "́", " ", "\x1c", "\x85", "<|endoftext|>", "<|ENDOFTEXT|>",
@@ -44,3 +44,33 @@ def test_tasks_of_other_operators_drop_the_words():
     assert word_ids.cache_info().currsize
     assert list(lean(lambda batches: batches)(iter([]))) == []
     assert not word_ids.cache_info().currsize
+
+
+def test_a_group_looks_up_each_of_its_words_once():
+    coder, seen = WordIds(vocabulary()), []
+
+    class Known(dict):
+        def get(self, word, other=None):
+            seen.append(word)
+            return super().get(word, other)
+
+        def __getitem__(self, word):
+            seen.append(word)
+            return super().__getitem__(word)
+
+    coder.ids(b"one two")
+    coder.known = Known(coder.known)
+    texts = ["one two " * 500, " two\tone", "", " "]
+    assert coder.many([t.encode() for t in texts]) == [whole(t) for t in texts]
+    assert len(seen) <= 4                            # "one", "two", and no word
+
+
+def test_lower_case_letters_skip_the_normalizer(monkeypatch):
+    coder = WordIds(vocabulary())
+
+    class Refuses:
+        def encode_batch_fast(self, *args, **kwargs):
+            raise AssertionError("sent through the normalizer")
+
+    monkeypatch.setattr(coder, "library", Refuses())
+    assert coder.ids(b"quick brown foxes") == whole("quick brown foxes")

@@ -12,6 +12,8 @@ import re
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Bytes of words and ids that a worker remembers, about: half of them new ones,
 #: half those met before (bounds memory, not results).
@@ -23,7 +25,7 @@ KEEP_WORDS = 600_000
 #: memory.
 KEEP_MANY = 1_600_000
 #: Bytes of text whose words are looked up at once.
-GROUP_BYTES = 1 << 17
+GROUP_BYTES = 1 << 20
 #: What a remembered word takes besides its bytes.
 _OVERHEAD = 200
 _GAP = re.compile(rb"[\x20\x09-\x0D]")
@@ -62,6 +64,7 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
+        self.letters = self._plain(self.library)
         vocab = self.library.get_vocab()
         self.size = max(vocab.values()) + 1
         self.ends = np.zeros(self.size, bool)
@@ -70,6 +73,19 @@ class WordIds:
         self.before: dict[bytes, bytes] = {}
         self.held = 0
 
+    @staticmethod
+    def _plain(library):
+        """The library's own model behind a split at white space: lower-case ASCII
+        letters come out of the vocabulary's normalizer and pre-tokenizer as they went
+        in, one pre-token a word, so that those need not run on them."""
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        plain = Tokenizer(library.model)
+        plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        words = "the quick brown fox jumps over a lazy dog xqzj"
+        same = plain.encode(words).ids == library.encode(words, add_special_tokens=False).ids
+        return plain if same else None               # a vocabulary of another kind
+
     def ids(self, text: bytes) -> bytes:
         return self.many([text])[0]
 
@@ -80,7 +96,7 @@ class WordIds:
         group, size = [], 0
         for i, text in enumerate(texts):
             for part in _stretches(text):
-                group.append((i, part.split()))
+                group.append((i, part))
                 size += len(part)
                 if size > GROUP_BYTES:
                     self._look_up(group, out)
@@ -88,30 +104,43 @@ class WordIds:
         self._look_up(group, out)
         return [x[0] if len(x) == 1 else b"".join(x) for x in out]
 
-    def _look_up(self, group: list[tuple[int, list[bytes]]], out: list[list[bytes]]) -> None:
+    def _look_up(self, group: list[tuple[int, bytes]], out: list[list[bytes]]) -> None:
         words = self.keep or KEEP_WORDS
         size = KEEP_BYTES * max(words / KEEP_WORDS, 1)
         if len(self.known) > words // 2 or self.held > size / 2:
             self.before, self.known, self.held = self.known, {}, 0
         known = self.known
-        fresh = set()
-        for _, words in group:
-            fresh.update(words)
-        missing = [w for w in fresh if w not in known]
+        # Arrow splits at the same ASCII white space as bytes do, and may leave empty
+        # words at the ends; each of a group's words is looked up once
+        split = pc.ascii_split_whitespace(
+            pa.array([part for _, part in group], pa.large_binary()).cast(pa.large_string()))
+        coded = split.values.dictionary_encode()
+        own = coded.dictionary.cast(pa.large_binary()).to_numpy(
+            zero_copy_only=False).tolist()
+        ids = list(map(known.get, own))
+        missing = [w for w, found in zip(own, ids) if found is None and w]
         if missing:
             size = len(known)
             self._learn(missing)
+            ids = [known.get(w, b"") if found is None else found
+                   for w, found in zip(own, ids)]
             self.held += (len(known) - size) * _OVERHEAD + sum(
                 len(w) + len(known[w]) for w in missing)
-        for i, words in group:
-            out[i].append(b"".join(map(known.__getitem__, words)))
+        elif None in ids:
+            ids = [found or b"" for found in ids]
+        packed = pa.array(ids, pa.large_binary()).take(coded.indices)
+        stops = np.frombuffer(packed.buffers()[1], np.int64)[:len(packed) + 1]
+        data = memoryview(packed.buffers()[2] or b"")
+        stops = stops[split.offsets.to_numpy()].tolist()
+        for (i, _), a, b in zip(group, stops, stops[1:]):
+            out[i].append(data[a:b].tobytes())
 
     def _encode(self, word: bytes) -> bytes:
         return np.array(self._library_ids(word.decode()), "<u4").tobytes()
 
-    def _library_ids(self, text: str) -> list[int]:
+    def _library_ids(self, text: str, library=None) -> list[int]:
         # the batch call that leaves out offsets, which nothing here needs
-        return self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids
+        return (library or self.library).encode_batch_fast([text], add_special_tokens=False)[0].ids
 
     def _learn(self, missing: list[bytes]) -> None:
         known, before, letters, parts = self.known, self.before, set(), []
@@ -138,7 +167,9 @@ class WordIds:
                         letters.add(x)
                     else:
                         known[x] = self._encode(x)
-        self._learn_letters(list(letters))
+        # apart, as one other word would send a whole call the long way
+        self._learn_letters([w for w in letters if w.isascii()])
+        self._learn_letters([w for w in letters if not w.isascii()])
         for w, stem, tail in parts:
             if tail:
                 known[w] = known[stem] + known[tail]
@@ -148,7 +179,10 @@ class WordIds:
         a pre-token is marked: one call encodes many words."""
         for at in range(0, len(words), 2000):
             some = words[at:at + 2000]
-            found = np.array(self._library_ids(b" ".join(some).decode()), "<u4")
+            joined = b" ".join(some)
+            plain = joined.isascii() and joined.islower()
+            found = np.array(self._library_ids(
+                joined.decode(), self.letters if plain else None), "<u4")
             stops = np.flatnonzero(self.ends[found]) + 1
             if len(stops) != len(some) or stops[-1] != len(found):
                 self.known.update((w, self._encode(w)) for w in some)
