@@ -75,3 +75,13 @@ def test_odd_rows(spark):
         "doc_id long, text string").selectExpr("*", "1 AS length", "2 AS piece", "'a' AS _rank")
     check(spark, docs, 2048)
     assert P.pack(docs.limit(0)).count() == 0
+
+
+def test_alone_it_remembers_more_words_than_in_the_pipeline():
+    import inspect
+
+    import corpus_pipeline
+    from tickwise.llm.tokens import KEEP_MANY, KEEP_WORDS
+
+    assert inspect.signature(P.pack).parameters["keep_words"].default == KEEP_MANY
+    assert corpus_pipeline.PACK_WORDS < KEEP_WORDS < KEEP_MANY
