@@ -20,7 +20,7 @@ from tickwise.llm.pii import redacted
 NEAR = {"percent": 80, "bands": 42, "rows": 6}
 #: Words that a packing worker remembers: fewer than alone, beside what the stages
 #: before have left in the executors' memory.
-PACK_WORDS = 300_000
+PACK_WORDS = 100_000
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

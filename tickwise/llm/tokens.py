@@ -60,6 +60,8 @@ class WordIds:
 
     def __init__(self, path: str, keep: int | None = None):
         self.keep = keep
+        # who remembers few words has little memory for a group, too
+        self.group = GROUP_BYTES if (keep or 0) >= KEEP_MANY else GROUP_BYTES // 8
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -98,7 +100,7 @@ class WordIds:
             for part in _stretches(text):
                 group.append((i, part))
                 size += len(part)
-                if size > GROUP_BYTES:
+                if size > self.group:
                     self._look_up(group, out)
                     group, size = [], 0
         self._look_up(group, out)
