@@ -74,3 +74,27 @@ def test_lower_case_letters_skip_the_normalizer(monkeypatch):
 
     monkeypatch.setattr(coder, "library", Refuses())
     assert coder.ids(b"quick brown foxes") == whole("quick brown foxes")
+
+
+def test_punctuation_behind_a_word_is_looked_up_apart():
+    coder = WordIds(vocabulary())
+    texts = ["quick quick, quick. quick!!! été quick; été, été###", "zqxj,,,,,,,,,,,,,,,, zqxj",
+             "don't, \"### \",", "quick,<|endoftext|>, <|endoftext|>. <| quick<|,", ", ... ", ""]
+    assert coder.many([t.encode() for t in texts]) == [whole(t) for t in texts]
+    stems = [w for w in coder.known if w.startswith((b"quick", "été".encode()))]
+    assert sorted(stems) == sorted([b"quick", "été".encode(), b"quick,<|endoftext|>,",
+                                    b"quick<|,"])
+
+
+def test_words_of_other_kinds_share_a_call(monkeypatch):
+    coder, library, calls = WordIds(vocabulary()), WordIds(vocabulary()).library, []
+
+    class Counts:
+        def encode_batch_fast(self, texts, **kwargs):
+            calls.append(len(texts))
+            return library.encode_batch_fast(texts, **kwargs)
+
+    monkeypatch.setattr(coder, "library", Counts())
+    text = " ".join(f"{k}-x" for k in range(100)) + " " + "1-" * 300
+    assert coder.ids(text.encode()) == whole(text)
+    assert calls == [100, 1]

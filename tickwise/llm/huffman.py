@@ -209,10 +209,10 @@ def id_counts(tokens: DataFrame, dtype: str) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(0, np.int64)
         for batch in batches:
-            for data in batch.column(0):
-                own = np.bincount(np.frombuffer(data.as_py(), dtype), minlength=len(seen))
-                own[:len(seen)] += seen
-                seen = own
+            data = b"".join(batch.column(0).to_pylist())
+            own = np.bincount(np.frombuffer(data, dtype), minlength=len(seen))
+            own[:len(seen)] += seen
+            seen = own
         found = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays(
             [pa.array(found.astype(np.int32)), pa.array(seen[found])], names=["id", "n"])

@@ -24,13 +24,16 @@ KEEP_WORDS = 600_000
 #: Words for a job in which tokenizing is nearly all the work, with little else in
 #: memory.
 KEEP_MANY = 1_600_000
-#: Bytes of text whose words are looked up at once.
+#: Bytes of a text's stretches, and of text whose words are looked up at once: four
+#: times as many by who remembers many words, an eighth by others.
 GROUP_BYTES = 1 << 20
 #: What a remembered word takes besides its bytes.
 _OVERHEAD = 200
 _GAP = re.compile(rb"[\x20\x09-\x0D]")
 #: Punctuation that never joins the letters before it to one pre-token.
-_TAIL = b".,;:!?#$%&*"
+_TAIL = ".,;:!?#$%&*"
+#: Longest tail taken off a word; words with longer ones are looked up whole.
+_TAIL_MAX = 8
 
 
 def vocabulary() -> str:
@@ -61,7 +64,7 @@ class WordIds:
     def __init__(self, path: str, keep: int | None = None):
         self.keep = keep
         # who remembers few words has little memory for a group, too
-        self.group = GROUP_BYTES if (keep or 0) >= KEEP_MANY else GROUP_BYTES // 8
+        self.group = 4 * GROUP_BYTES if (keep or 0) >= KEEP_MANY else GROUP_BYTES // 8
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -71,7 +74,7 @@ class WordIds:
         self.size = max(vocab.values()) + 1
         self.ends = np.zeros(self.size, bool)
         self.ends[[i for w, i in vocab.items() if w.endswith("</w>")]] = True
-        self.known: dict[bytes, bytes] = {}
+        self.known: dict[bytes, bytes] = {b"": b""}
         self.before: dict[bytes, bytes] = {}
         self.held = 0
 
@@ -110,71 +113,86 @@ class WordIds:
         words = self.keep or KEEP_WORDS
         size = KEEP_BYTES * max(words / KEEP_WORDS, 1)
         if len(self.known) > words // 2 or self.held > size / 2:
-            self.before, self.known, self.held = self.known, {}, 0
-        known = self.known
+            self.before, self.known, self.held = self.known, {b"": b""}, 0
         # Arrow splits at the same ASCII white space as bytes do, and may leave empty
         # words at the ends; each of a group's words is looked up once
         split = pc.ascii_split_whitespace(
             pa.array([part for _, part in group], pa.large_binary()).cast(pa.large_string()))
         coded = split.values.dictionary_encode()
-        own = coded.dictionary.cast(pa.large_binary()).to_numpy(
-            zero_copy_only=False).tolist()
-        ids = list(map(known.get, own))
-        missing = [w for w, found in zip(own, ids) if found is None and w]
-        if missing:
-            size = len(known)
-            self._learn(missing)
-            ids = [known.get(w, b"") if found is None else found
-                   for w, found in zip(own, ids)]
-            self.held += (len(known) - size) * _OVERHEAD + sum(
-                len(w) + len(known[w]) for w in missing)
-        elif None in ids:
-            ids = [found or b"" for found in ids]
-        packed = pa.array(ids, pa.large_binary()).take(coded.indices)
+        packed = self._ids_of(coded.dictionary).take(coded.indices)
         stops = np.frombuffer(packed.buffers()[1], np.int64)[:len(packed) + 1]
         data = memoryview(packed.buffers()[2] or b"")
         stops = stops[split.offsets.to_numpy()].tolist()
         for (i, _), a, b in zip(group, stops, stops[1:]):
             out[i].append(data[a:b].tobytes())
 
-    def _encode(self, word: bytes) -> bytes:
-        return np.array(self._library_ids(word.decode()), "<u4").tobytes()
+    def _ids_of(self, words: pa.Array) -> pa.Array:
+        """Ids of distinct words. "the," is "the" and ",": words that differ in the
+        punctuation behind them alone are looked up as one."""
+        stem = pc.ascii_rtrim(words, _TAIL)
+        last = pc.utf8_slice_codeunits(stem, -1).dictionary_encode()
+        letter = pa.array([x.isalpha() for x in last.dictionary.to_pylist()],
+                          pa.bool_()).take(last.indices)
+        n = pc.subtract(pc.binary_length(words), pc.binary_length(stem))
+        short = pc.and_(pc.greater(n, 0), pc.less_equal(n, _TAIL_MAX))
+        # but '",' is one pre-token, and "<|" may begin an added token
+        apart = pc.and_not(pc.and_(letter, short), pc.match_substring(words, "<|"))
+        stems = pc.if_else(apart, stem, words).dictionary_encode()
+        ids = self._remembered(stems.dictionary).take(stems.indices)
+        if not pc.any(apart).as_py():
+            return ids
+        tail = pa.nulls(len(words), pa.large_string())
+        for k in pc.unique(n.filter(apart)).to_pylist():
+            own = pc.and_(apart, pc.equal(n, k))
+            tail = pc.replace_with_mask(
+                tail, own, pc.utf8_slice_codeunits(words.filter(own), -k))
+        tails = pc.fill_null(tail, "").dictionary_encode()
+        return pc.binary_join_element_wise(
+            ids, self._remembered(tails.dictionary).take(tails.indices),
+            pa.scalar(b"", pa.large_binary()))
+
+    def _remembered(self, words: pa.Array) -> pa.Array:
+        """Ids of words, of which the new ones are learnt."""
+        own = words.cast(pa.large_binary()).to_numpy(zero_copy_only=False).tolist()
+        ids = list(map(self.known.get, own))
+        missing = [w for w, found in zip(own, ids) if found is None]
+        if missing:
+            self._learn(missing)
+            learnt = list(map(self.known.get, missing))
+            self.held += (len(missing) * _OVERHEAD + sum(map(len, missing))
+                          + sum(map(len, learnt)))
+            rest = iter(learnt)
+            ids = [next(rest) if found is None else found for found in ids]
+        return pa.array(ids, pa.large_binary())
 
     def _library_ids(self, text: str, library=None) -> list[int]:
         # the batch call that leaves out offsets, which nothing here needs
         return (library or self.library).encode_batch_fast([text], add_special_tokens=False)[0].ids
 
+    def _encode(self, words: list[bytes]) -> None:
+        """Any words, each by itself: short ones in calls of many."""
+        short = [w for w in words if len(w) < 200]
+        calls = [short[at:at + 500] for at in range(0, len(short), 500)]
+        for some in calls + [[w] for w in words if len(w) >= 200]:
+            coded = self.library.encode_batch_fast([w.decode() for w in some],
+                                                   add_special_tokens=False)
+            self.known.update((w, np.array(x.ids, "<u4").tobytes()) for w, x in zip(some, coded))
+
     def _learn(self, missing: list[bytes]) -> None:
-        known, before, letters, parts = self.known, self.before, set(), []
-        for w in missing:
-            if w in before:
-                known[w] = before[w]
-                continue
-            if w.isalpha():                      # ASCII letters
-                letters.add(w)
-                continue
-            if b"<|" in w:                       # may hold an added token
-                known[w] = self._encode(w)
-                continue
-            stem = w.rstrip(_TAIL)               # "the," is "the" and ","
-            if not stem.decode()[-1:].isalpha():  # but '",' is one pre-token
-                stem = w
-            tail = w[len(stem):]
-            parts.append((w, stem, tail))
-            for x in (stem, tail):
-                if x and x not in known and x not in letters:
-                    if x in before:
-                        known[x] = before[x]
-                    elif len(x) < 200 and x.decode().isalpha():
-                        letters.add(x)
-                    else:
-                        known[x] = self._encode(x)
+        known, letters, others, rest = self.known, [], [], []
+        for w, found in zip(missing, map(self.before.get, missing)):
+            if found is not None:
+                known[w] = found
+            elif w.isalpha():                    # ASCII letters
+                letters.append(w)
+            elif len(w) < 200 and w.decode().isalpha():
+                others.append(w)
+            else:
+                rest.append(w)
         # apart, as one other word would send a whole call the long way
-        self._learn_letters([w for w in letters if w.isascii()])
-        self._learn_letters([w for w in letters if not w.isascii()])
-        for w, stem, tail in parts:
-            if tail:
-                known[w] = known[stem] + known[tail]
+        self._learn_letters(letters)
+        self._learn_letters(others)
+        self._encode(rest)
 
     def _learn_letters(self, words: list[bytes]) -> None:
         """Words of letters only are one pre-token each, and the last token of
@@ -187,7 +205,7 @@ class WordIds:
                 joined.decode(), self.letters if plain else None), "<u4")
             stops = np.flatnonzero(self.ends[found]) + 1
             if len(stops) != len(some) or stops[-1] != len(found):
-                self.known.update((w, self._encode(w)) for w in some)
+                self._encode(some)
                 continue
             packed, a = found.tobytes(), 0
             for w, b in zip(some, (stops * 4).tolist()):
